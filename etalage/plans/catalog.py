@@ -2,6 +2,11 @@
 
 from etalage.plans import (  # noqa: F401
     curation,
+    files,
+    fraud,
+    marts,
+    quality,
+    reports,
 
 )
 from etalage.plans.registry import COLUMNS, QUERIES, SQL, run
