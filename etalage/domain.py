@@ -91,8 +91,12 @@ class Shop:
 
     @cached_property
     def events(self) -> DataFrame:
+        return self.shape_events(self.table("events"))
+
+    def shape_events(self, events: DataFrame) -> DataFrame:
+        """Works on the table and on a stream of it."""
         k = F.get_json_object("props", "$.k").cast("int")
-        return self.table("events").select(
+        return events.select(
             "event_id",
             "ts",
             F.col("user_id").alias("customer_id"),
@@ -105,8 +109,11 @@ class Shop:
 
     @cached_property
     def payments(self) -> DataFrame:
+        return self.shape_payments(self.events)
+
+    def shape_payments(self, events: DataFrame) -> DataFrame:
         """Payment attempts: purchases succeeded, errors failed."""
-        e = self.events.where(F.col("event_type").isin("purchase", "error"))
+        e = events.where(F.col("event_type").isin("purchase", "error"))
         people = self.customers.select("customer_id", "nk", F.col("country").alias("customer_country"))
         nations = self.table("nation").select(
             F.col("n_nationkey").alias("pay_nk"), F.col("n_name").alias("payment_country")

@@ -5,8 +5,10 @@ from etalage.plans import (  # noqa: F401
     files,
     fraud,
     marts,
+    models,
     quality,
     reports,
+    streams,
 
 )
 from etalage.plans.registry import COLUMNS, QUERIES, SQL, run
