@@ -7,10 +7,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from etalage.functions.columns import age_years, is_adult, money
+from etalage.functions.columns import age_years, id_text, is_adult, money
 from etalage.operators.fraud import build_alerts, flag_all
 from etalage.operators.ordered import sessionize
-from etalage.schemas import MONEY
+from etalage.schemas import MONEY, STAR
 from etalage.session import prepare
 
 AS_OF = "2024-01-31"
@@ -31,7 +31,8 @@ class Shop:
         self.path = path
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        # The schema is declared, so that no file is opened before the query runs.
+        return self.spark.read.schema(STAR[name]).parquet(f"{self.path}/{name}.parquet")
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -107,40 +108,48 @@ class Shop:
             _pick(DEVICES, F.floor(k / 10) % 4).alias("device"),
         )
 
+    @cached_property
+    def attempts(self) -> DataFrame:
+        return self.shape_attempts(self.events)
+
     @cached_property
     def payments(self) -> DataFrame:
-        return self.shape_payments(self.events)
+        """Attempts with the customer's and the payment's country."""
+        return self.with_countries(self.attempts)
 
-    def shape_payments(self, events: DataFrame) -> DataFrame:
+    def shape_attempts(self, events: DataFrame) -> DataFrame:
         """Payment attempts: purchases succeeded, errors failed."""
-        e = events.where(F.col("event_type").isin("purchase", "error"))
-        people = self.customers.select("customer_id", "nk", F.col("country").alias("customer_country"))
+        k = F.col("k")
+        other = F.when(k.between(85, 94), k).otherwise(0)
+        device = (F.col("customer_id") * 7 + other).cast("string")
+        return events.where(F.col("event_type").isin("purchase", "error")).select(
+            F.col("event_id").alias("payment_id"),
+            "customer_id",
+            F.col("ts").alias("attempt_ts"),
+            F.col("value").alias("amount"),
+            _pick(METHODS, k % 3).alias("method"),
+            F.concat(F.lit("dev"), device).alias("device_id"),
+            F.concat(F.lit("ip"), device).alias("ip_hash"),
+            F.when(F.col("event_type") == "purchase", "success").otherwise("failed").alias("result"),
+            ((F.col("value") > 200) | (k >= 98)).alias("is_fraudulent"),
+            "k",
+        )
+
+    def with_countries(self, attempts: DataFrame) -> DataFrame:
+        """Every customer pays from home but for attempts with k of 95 and more."""
+        people = self.customers.select(
+            "customer_id", "nk", F.col("country").alias("customer_country")
+        )
         nations = self.table("nation").select(
             F.col("n_nationkey").alias("pay_nk"), F.col("n_name").alias("payment_country")
         )
         k = F.col("k")
         pay_nk = F.when(k >= 95, (F.col("nk") + k) % 25).otherwise(F.col("nk"))
-        other = F.when(k.between(85, 94), k).otherwise(0)
-        device = (F.col("customer_id") * 7 + other).cast("string")
         return (
-            e.join(people, "customer_id", "left")
+            attempts.join(people, "customer_id", "left")
             .withColumn("pay_nk", pay_nk)
             .join(nations, "pay_nk", "left")
-            .select(
-                F.col("event_id").alias("payment_id"),
-                "customer_id",
-                "customer_country",
-                F.col("ts").alias("attempt_ts"),
-                F.col("value").alias("amount"),
-                _pick(METHODS, k % 3).alias("method"),
-                "payment_country",
-                F.concat(F.lit("dev"), device).alias("device_id"),
-                F.concat(F.lit("ip"), device).alias("ip_hash"),
-                F.when(F.col("event_type") == "purchase", "success")
-                .otherwise("failed")
-                .alias("result"),
-                ((F.col("value") > 200) | (k >= 98)).alias("is_fraudulent"),
-            )
+            .drop("pay_nk", "nk", "k")
         )
 
     # Tables in the form of the input files (text ids, 0/1 flags).
@@ -148,14 +157,14 @@ class Shop:
     @cached_property
     def sessions(self) -> DataFrame:
         """Sessions of 30 minutes, with the device and source of their first event."""
-        first = F.struct("ts", "event_id")
-        spans = sessionize(self.events, "customer_id", "ts", 1800)
-        starts = (
-            self.events.groupBy("customer_id", "ts")
-            .agg(*[F.min_by(c, first).alias(c) for c in ("device", "utm_source")])
-            .withColumnRenamed("ts", "session_start")
+        return sessionize(
+            self.events,
+            "customer_id",
+            "ts",
+            1800,
+            firsts={"device": F.col("device"), "utm_source": F.col("utm_source")},
+            order="event_id",
         )
-        return spans.join(starts, ["customer_id", "session_start"])
 
     def raw(self, name: str) -> DataFrame:
         return getattr(self, f"_raw_{name}")
@@ -163,7 +172,7 @@ class Shop:
     @cached_property
     def _raw_customers(self) -> DataFrame:
         return self.customers.select(
-            F.format_string("C%05d", "customer_id").alias("customer_id"),
+            id_text("C", "customer_id", 5).alias("customer_id"),
             "signup_ts",
             "country",
             _pick(DEVICES, F.col("customer_id") % 4).alias("preferred_device"),
@@ -177,8 +186,8 @@ class Shop:
             F.lit("2023-01-01").cast("date"), (F.col("product_id") % 365).cast("int")
         )
         return self.products.select(
-            F.format_string("P%04d", "product_id").alias("product_id"),
-            F.format_string("Product %04d", "product_id").alias("name"),
+            id_text("P", "product_id", 4).alias("product_id"),
+            id_text("Product ", "product_id", 4).alias("name"),
             "category",
             F.col("is_adult_restricted").cast("int").alias("is_adult_restricted"),
             F.col("price").cast(MONEY).alias("unit_price"),
@@ -187,7 +196,7 @@ class Shop:
 
     @cached_property
     def _raw_sessions(self) -> DataFrame:
-        c = F.format_string("C%05d", "customer_id")
+        c = id_text("C", "customer_id", 5)
         start = F.date_format("session_start", "yyyyMMddHHmmss")
         return self.sessions.select(
             F.concat(F.lit("S"), F.col("customer_id").cast("string"), F.lit("-"), start).alias(
@@ -205,10 +214,10 @@ class Shop:
     @cached_property
     def _raw_orders(self) -> DataFrame:
         return self.orders.select(
-            F.format_string("O%07d", "order_id").alias("order_id"),
-            F.format_string("C%05d", "customer_id").alias("customer_id"),
+            id_text("O", "order_id", 7).alias("order_id"),
+            id_text("C", "customer_id", 5).alias("customer_id"),
             F.lit(None).cast("string").alias("session_id"),
-            F.format_string("PAY%07d", "order_id").alias("payment_id"),
+            id_text("PAY", "order_id", 7).alias("payment_id"),
             F.col("order_date").alias("order_ts"),
             F.col("total_amount").cast(MONEY).alias("total_amount"),
             F.lit("EUR").alias("currency"),
@@ -219,8 +228,8 @@ class Shop:
     @cached_property
     def _raw_order_items(self) -> DataFrame:
         return self.lines.select(
-            F.format_string("O%07d", "order_id").alias("order_id"),
-            F.format_string("P%04d", "product_id").alias("product_id"),
+            id_text("O", "order_id", 7).alias("order_id"),
+            id_text("P", "product_id", 4).alias("product_id"),
             F.col("quantity").cast("int").alias("qty"),
         )
 
@@ -228,8 +237,8 @@ class Shop:
     def _raw_payments(self) -> DataFrame:
         number = (F.lit(400000) + F.col("customer_id") * 7919 % 100000).cast("string")
         return self.payments.select(
-            F.format_string("PAY%07d", "payment_id").alias("payment_id"),
-            F.format_string("C%05d", "customer_id").alias("customer_id"),
+            id_text("PAY", "payment_id", 7).alias("payment_id"),
+            id_text("C", "customer_id", 5).alias("customer_id"),
             F.lit(None).cast("string").alias("session_id"),
             "attempt_ts",
             "method",
@@ -255,8 +264,8 @@ class Shop:
         return self.alerts.select(
             "alert_id",
             F.col("alert_date").alias("alert_ts"),
-            F.format_string("PAY%07d", "payment_id").alias("payment_id"),
-            F.format_string("C%05d", "customer_id").alias("customer_id"),
+            id_text("PAY", "payment_id", 7).alias("payment_id"),
+            id_text("C", "customer_id", 5).alias("customer_id"),
             F.lit(None).cast("string").alias("session_id"),
             F.col("amount").cast(MONEY).alias("amount"),
             F.col("alert_type").alias("rule_triggered"),
@@ -268,7 +277,7 @@ class Shop:
         """One identity document per customer; some with a short number or past their expiry."""
         c = F.col("customer_id")
         number = F.when(c % 13 == 0, F.concat(F.lit("ID"), c.cast("string"))).otherwise(
-            F.format_string("ID%07d", c)
+            id_text("ID", c, 7)
         )
         expiry = F.when(c % 11 == 0, "2023-06-30").otherwise("2030-06-30").cast("date")
         return self.customers.select(
@@ -279,25 +288,29 @@ class Shop:
             number.alias("doc_number"),
             expiry.alias("expiry"),
             (age_years("birthdate", AS_OF) >= 17).cast("int").alias("is_adult"),
-            F.format_string("id_%07d.png", c).alias("file"),
+            F.concat(id_text("id_", c, 7), F.lit(".png")).alias("file"),
         )
 
     @cached_property
     def _raw_events(self) -> DataFrame:
+        return self.events_as_input()
+
+    def events_as_input(self, *keep: str) -> DataFrame:
         kind = F.col("event_type")
         pay = kind.isin("purchase", "error")
         return self.events.select(
             F.col("event_id").cast("string").alias("event_id"),
             "ts",
             "event_type",
-            F.format_string("C%05d", "customer_id").alias("customer_id"),
+            id_text("C", "customer_id", 5).alias("customer_id"),
             F.lit(None).cast("string").alias("session_id"),
             "device",
             F.md5(F.col("customer_id").cast("string")).alias("ip_hash"),
             "utm_source",
             F.lit("none").alias("utm_campaign"),
-            F.when(kind == "view", F.format_string("P%04d", F.col("k"))).alias("product_id"),
+            F.when(kind == "view", id_text("P", F.col("k"), 4)).alias("product_id"),
             F.when(kind == "click", F.col("value").cast("double")).alias("cart_value"),
-            F.when(pay, F.format_string("PAY%07d", "event_id")).alias("payment_id"),
-            F.when(kind == "purchase", F.format_string("O%07d", "event_id")).alias("order_id"),
+            F.when(pay, id_text("PAY", "event_id", 7)).alias("payment_id"),
+            F.when(kind == "purchase", id_text("O", "event_id", 7)).alias("order_id"),
+            *keep,
         )

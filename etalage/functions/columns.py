@@ -15,6 +15,17 @@ def id_number(c: str | Column, prefix: str) -> Column:
     return F.replace(_col(c), F.lit(prefix), F.lit("")).try_cast("bigint")
 
 
+def zero_pad(c: str | Column, width: int) -> Column:
+    """At least ``width`` digits; longer numbers stay whole (lpad alone would cut them)."""
+    text = _col(c).cast("string")
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+
+
+def id_text(prefix: str, c: str | Column, width: int) -> Column:
+    """12 -> ``PAY0000012``."""
+    return F.concat(F.lit(prefix), zero_pad(c, width))
+
+
 def money(c: str | Column) -> Column:
     return _col(c).cast("decimal(18,2)")
 

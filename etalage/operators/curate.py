@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from etalage.functions import values as v
-from etalage.functions.columns import age_years, flag, id_number, is_adult, mapped
+from etalage.functions.columns import age_years, flag, id_number, id_text, is_adult, mapped
 from etalage.operators.ordered import global_row_number
 
 EMAIL_DOMAIN = "shop.example"
@@ -21,7 +21,7 @@ def customers(raw: DataFrame, email_domain: str = EMAIL_DOMAIN) -> DataFrame:
         F.concat(F.lit("customer"), text, F.lit("@" + email_domain)).alias("email"),
         F.concat(F.lit("FirstName"), text).alias("first_name"),
         F.concat(F.lit("LastName"), text).alias("last_name"),
-        F.format_string(v.PHONE_PREFIX + "%03d", n).alias("phone"),
+        id_text(v.PHONE_PREFIX, n, 3).alias("phone"),
         F.col("birthdate").alias("date_of_birth"),
         "country",
         F.concat(F.lit("192.168."), byte, F.lit("."), byte).alias("registration_ip"),

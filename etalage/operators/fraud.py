@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from etalage.functions.columns import mapped, micros, share
@@ -13,7 +13,7 @@ from etalage.functions.values import (
     RULES,
     SEVERITIES,
 )
-from etalage.operators.ordered import DAY, with_lookback, trailing
+from etalage.operators.ordered import DAY, trailing, with_rows_before
 
 TEN_MINUTES = 600
 
@@ -40,26 +40,26 @@ def flag_high_amount(payments: DataFrame, limit: float = 100) -> DataFrame:
 
 def flag_stateless(payments: DataFrame) -> DataFrame:
     """Rules that look at one attempt: country mismatch (false on null) and night hours [3, 6)."""
-    hour = F.hour("attempt_ts")
     return payments.withColumns(
         {
             "country_mismatch": F.coalesce(
                 F.col("payment_country") != F.col("customer_country"), F.lit(False)
             ),
-            "time_anomaly": (hour >= 3) & (hour < 6),
+            "time_anomaly": at_night(),
         }
     )
 
 
+def at_night(ts: str = "attempt_ts") -> Column:
+    return (F.hour(ts) >= 3) & (F.hour(ts) < 6)
+
+
 def flag_sequences(
-    payments: DataFrame,
-    velocity_limit: int = 5,
-    failed_limit: int = 3,
-    slice_seconds: int = 7 * DAY,
+    payments: DataFrame, velocity_limit: int = 5, failed_limit: int = 3
 ) -> DataFrame:
     """Rules that look back: velocity, device change, many failed, rapid attempts.
 
-    One pass: one shuffle on (customer, week) serves all four.
+    One pass: one shuffle on (customer, time slice) serves all four.
     """
     swept = trailing(
         payments,
@@ -75,7 +75,6 @@ def flag_sequences(
             "prev_ip": "ip_hash",
         },
         order="payment_id",
-        slice_seconds=slice_seconds,
     )
     gap = (micros("attempt_ts") - micros("prev_ts")) / F.lit(1_000_000)
     return swept.withColumns(
@@ -95,14 +94,10 @@ def flag_sequences(
     )
 
 
-def attempts_within(payments: DataFrame, seconds: int, slice_seconds: int = 7 * DAY) -> DataFrame:
+def attempts_within(payments: DataFrame, seconds: int) -> DataFrame:
     """Attempts of the customer in the closed range [t - seconds, t]."""
     return trailing(
-        payments,
-        "customer_id",
-        "attempt_ts",
-        counts={"attempts": (F.lit(True), seconds)},
-        slice_seconds=max(slice_seconds, seconds),
+        payments, "customer_id", "attempt_ts", counts={"attempts": (F.lit(True), seconds)}
     )
 
 
@@ -161,26 +156,36 @@ def score(flagged: DataFrame) -> DataFrame:
 
 
 def rule_metrics(scored: DataFrame, thresholds: list[float]) -> DataFrame:
-    """Confusion counts, precision, recall and F1 per rule and per score threshold."""
-    tests = [(r, F.col(r)) for r in RULES] + [
-        (f"score>={t:.2f}", F.col("score") >= t) for t in thresholds
-    ]
-    entries = F.array(
-        *[F.struct(F.lit(n).alias("rule"), c.alias("fired")) for n, c in tests]
-    )
-    bad = F.col("is_fraudulent")
-    counts = (
-        scored.select("is_fraudulent", F.inline(entries))
-        .groupBy("rule")
-        .agg(
-            F.count_if(F.col("fired") & bad).alias("tp"),
-            F.count_if(F.col("fired") & ~bad).alias("fp"),
-            F.count_if(~F.col("fired") & bad).alias("fn"),
-            F.count_if(~F.col("fired") & ~bad).alias("tn"),
+    """Confusion counts, precision, recall and F1 per rule and per score threshold.
+
+    All tests are counted in one aggregate row; that row is then turned into one row per test.
+    """
+    tests = {r: F.col(r) for r in RULES}
+    tests |= {f"score>={t:.2f}": F.col("score") >= t for t in thresholds}
+    return confusion(scored, "rule", tests, F.col("is_fraudulent"))
+
+
+def confusion(
+    df: DataFrame, name: str, tests: dict, bad: Column, by: list[str] | None = None
+) -> DataFrame:
+    counts = df.groupBy(*(by or [])).agg(
+        F.count("*").alias("_n"),
+        F.count_if(bad).alias("_bad"),
+        *[F.count_if(hit).alias(f"_hit{i}") for i, hit in enumerate(tests.values())],
+        *[F.count_if(hit & bad).alias(f"_tp{i}") for i, hit in enumerate(tests.values())],
+    )
+    entries = [
+        F.struct(
+            F.lit(test).alias(name),
+            F.col(f"_tp{i}").alias("tp"),
+            (F.col(f"_hit{i}") - F.col(f"_tp{i}")).alias("fp"),
+            (F.col("_bad") - F.col(f"_tp{i}")).alias("fn"),
+            (F.col("_n") - F.col("_bad") - F.col(f"_hit{i}") + F.col(f"_tp{i}")).alias("tn"),
         )
-    )
+        for i, test in enumerate(tests)
+    ]
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    return counts.withColumns(
+    return counts.select(*(by or []), F.inline(F.array(*entries))).withColumns(
         {
             "precision": share(tp, tp + fp),
             "recall": share(tp, tp + fn),
@@ -189,15 +194,14 @@ def rule_metrics(scored: DataFrame, thresholds: list[float]) -> DataFrame:
     )
 
 
-def fail_then_success(
-    payments: DataFrame, failures: int = 3, seconds: int = DAY, slice_seconds: int = 7 * DAY
-) -> DataFrame:
+def fail_then_success(payments: DataFrame, failures: int = 3, seconds: int = DAY) -> DataFrame:
     """Successes whose last ``failures`` attempts all failed, the first at most ``seconds`` before."""
-    rows = with_lookback(
+    rows = with_rows_before(
         payments.select("payment_id", "customer_id", "attempt_ts", "amount", "result"),
+        "customer_id",
         "attempt_ts",
-        seconds,
-        max(slice_seconds, seconds),
+        "payment_id",
+        failures,
     )
     w = Window.partitionBy("customer_id", "_slice").orderBy("attempt_ts", "payment_id")
     all_failed = F.lit(True)

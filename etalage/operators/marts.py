@@ -6,8 +6,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from etalage.functions.columns import age_years, micros, share
-from etalage.operators.ordered import DAY, global_row_number, ntile_of, sessionize, with_history
-from etalage.operators.reports import daily_revenue, revenue_grains, sales_by_product
+from etalage.operators.ordered import (
+    global_row_number,
+    ntile_of,
+    sessionize,
+    trailing,
+    with_history,
+)
+from etalage.operators.reports import daily_revenue, revenue_grains
 from etalage.session import write_through
 
 
@@ -67,12 +73,11 @@ def kpi_anomalies(orders: DataFrame, payments: DataFrame) -> DataFrame:
     )
 
 
-def top_per_category(products: DataFrame, items: DataFrame, n: int = 3) -> DataFrame:
+def top_per_category(products: DataFrame, sales: DataFrame, n: int = 3) -> DataFrame:
     """Best n products of each category; each task keeps n per category before the shuffle."""
     w = Window.partitionBy("category").orderBy(F.col("total_revenue").desc(), "product_id")
     return (
-        sales_by_product(items)
-        .join(products.select("product_id", "name", "category"), "product_id")
+        sales.join(products.select("product_id", "name", "category"), "product_id")
         .withColumn("rank", F.row_number().over(w))
         .where(F.col("rank") <= n)
     )
@@ -97,6 +102,7 @@ def rfm(orders: DataFrame) -> DataFrame:
         F.count("*").alias("frequency"),
         F.sum("total_amount").alias("monetary"),
     )
+    people = write_through(people, "customers")
     n = F.lit(people.count())
     for column, best_last in (
         ("recency", F.col("recency").desc()),
@@ -408,12 +414,10 @@ def fraud_patterns(flagged: DataFrame, rules: list[str]) -> DataFrame:
 
 
 def clicks_before_purchase(events: DataFrame, seconds: int) -> DataFrame:
-    """Purchases at most ``seconds`` after a click of the same customer: how many clicks, and the last.
+    """Purchases at most ``seconds`` after a click of the same customer, with the number of clicks.
 
     One row per purchase, from running values over the customer's slice; no click-purchase pairs.
     """
-    from etalage.operators.ordered import trailing
-
     steps = events.where(F.col("event_type").isin("click", "purchase")).select(
         "customer_id", "ts", "event_id", "event_type", "value"
     )
@@ -422,7 +426,6 @@ def clicks_before_purchase(events: DataFrame, seconds: int) -> DataFrame:
         "customer_id",
         "ts",
         counts={"clicks": (F.col("event_type") == "click", seconds)},
-        slice_seconds=max(DAY, seconds),
     )
     return counted.where("event_type = 'purchase' and clicks > 0")
 

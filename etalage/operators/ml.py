@@ -9,7 +9,8 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from etalage.functions.columns import hash_bucket, share
+from etalage.functions.columns import hash_bucket
+from etalage.operators.fraud import confusion
 from etalage.session import write_through
 
 FEATURES = [
@@ -63,31 +64,8 @@ def fit_fraud_model(
 
 def threshold_metrics(scored: DataFrame, thresholds: list[float]) -> DataFrame:
     """Confusion counts, precision, recall and F1 per part and threshold, in one pass."""
-    tests = F.array(
-        *[
-            F.struct(F.lit(t).alias("threshold"), (F.col("score") >= t).alias("hit"))
-            for t in thresholds
-        ]
-    )
-    bad, hit = F.col("label") == 1, F.col("hit")
-    counts = (
-        scored.select("part", "label", F.inline(tests))
-        .groupBy("part", "threshold")
-        .agg(
-            F.count_if(hit & bad).alias("tp"),
-            F.count_if(hit & ~bad).alias("fp"),
-            F.count_if(~hit & bad).alias("fn"),
-            F.count_if(~hit & ~bad).alias("tn"),
-        )
-    )
-    tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    return counts.withColumns(
-        {
-            "precision": share(tp, tp + fp),
-            "recall": share(tp, tp + fn),
-            "f1": share(2 * tp, 2 * tp + fp + fn),
-        }
-    )
+    tests = {t: F.col("score") >= t for t in thresholds}
+    return confusion(scored, "threshold", tests, F.col("label") == 1, by=["part"])
 
 
 def recommend(

@@ -3,6 +3,10 @@
 A window over ``partitionBy(customer)`` sends every row of a customer to one task, so one
 busy customer holds the job up. The functions here cut a key's history into time slices,
 work inside (key, slice), and pass only a small summary per slice from one slice to the next.
+
+Rows are placed by ``repartition(key, slice)``, not left to the window: rows that come out of a
+join on the key are already clustered for a window over (key, slice), Spark would skip the
+shuffle, and the busy customer would stay in one task after all.
 """
 
 from __future__ import annotations
@@ -15,6 +19,9 @@ from etalage.session import write_through
 
 HOUR = 3600
 DAY = 24 * HOUR
+# Long enough that the summaries stay few, short enough that one slice of a customer with a third
+# of the table is a small part of it.
+SLICE = 6 * HOUR
 
 
 def with_lookback(df: DataFrame, ts: str, horizon: int, slice_seconds: int) -> DataFrame:
@@ -43,64 +50,98 @@ def trailing(
     counts: dict[str, tuple[Column, int]],
     previous: dict[str, str] | None = None,
     order: str | None = None,
-    slice_seconds: int = DAY,
+    slice_seconds: int = SLICE,
 ) -> DataFrame:
-    """Counts over [t - seconds, t] per key, and values of the row before.
+    """Counts over the closed range [t - seconds, t] per key, and values of the row before.
 
-    ``counts`` maps a name to (condition, seconds). Each row is turned into an entry mark at t
-    and one leave mark per count at t + seconds; a running sum over the marks is the count, at
-    linear cost whatever the number of rows inside a range. ``previous`` maps a new name to the
-    column whose value on the row before (by ts, then ``order``) is wanted; it is null when that
-    row lies further back than the longest range.
+    ``counts`` maps a name to (condition, seconds). Each row becomes an entry mark at t (+1) and one
+    leave mark per count just after t + seconds (-1); the running sum of the marks is the count, at
+    linear cost however many rows a range holds. ``previous`` maps a new name to the column whose
+    value on the row before (by ts, then ``order``) is wanted.
     """
     previous = previous or {}
-    horizon = max(seconds for _, seconds in counts.values())
     names = list(counts)
-    rows = with_lookback(df, ts, horizon, slice_seconds)
-    payload = F.struct(*[c for c in df.columns if c != key])
-    no_payload = F.lit(None).cast(df.select(payload.alias("p")).schema["p"].dataType)
+    columns = [c for c in df.columns if c != key]
+    payload = F.struct(*columns)
+    empty = F.lit(None).cast(df.select(payload.alias("p")).schema["p"].dataType)
     tie = F.col(order) if order else F.lit(0)
+    hits = {n: F.coalesce(cond.cast("int"), F.lit(0)) for n, (cond, _) in counts.items()}
+    t = micros(ts)
 
-    def mark(at: Column, leaving: str | None) -> Column:
-        steps = []
-        for name, (cond, _) in counts.items():
-            hit = F.coalesce(cond.cast("int"), F.lit(0))
-            if leaving is None:
-                step = hit
-            else:
-                step = -hit if name == leaving else F.lit(0)
-            steps.append(step.alias(f"_d_{name}"))
-        late = F.lit(0 if leaving is None else 1)
-        body = payload if leaving is None else no_payload
+    def mark(at: Column, row: Column, steps: dict[str, Column]) -> Column:
         return F.struct(
-            (at * 2 + late).alias("_at"), tie.alias("_tie"), body.alias("_row"), *steps
+            at.alias("_at"), tie.alias("_tie"), row.alias("_row"), *[c.alias(n) for n, c in steps.items()]
         )
 
-    t = micros(ts)
-    marks = F.array(
-        mark(t, None),
-        *[mark(t + F.lit(s * 1_000_000), n) for n, (_, s) in counts.items()],
+    zero = {n: F.lit(0) for n in names}
+    marks = [mark(t * 2, payload, hits)] + [
+        mark((t + F.lit(seconds * 1_000_000)) * 2 + 1, empty, {**zero, n: -hits[n]})
+        for n, (_, seconds) in counts.items()
+    ]
+    two_slices = 2 * slice_seconds * 1_000_000
+    swept = df.select(key, F.inline(F.array(*marks))).withColumn(
+        "_slice", F.floor(F.col("_at") / F.lit(two_slices))
     )
-    swept = rows.select(key, "_slice", "_live", F.inline(marks))
-    by_key = Window.partitionBy(key, "_slice")
-    upto = by_key.orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    if previous:
-        before = by_key.orderBy("_at", "_tie").rowsBetween(Window.unboundedPreceding, -1)
-        swept = swept.withColumn("_before", F.last("_row", ignorenulls=True).over(before))
-    swept = swept.select(
-        "*", *[F.sum(f"_d_{n}").over(upto).cast("bigint").alias(n) for n in names]
-    )
-    reachable = micros(F.col(f"_before.{ts}")) >= micros(F.col(f"_row.{ts}")) - F.lit(
-        horizon * 1_000_000
+    wanted = F.when(
+        F.col("_row").isNotNull(), F.struct(*[F.col(f"_row.{c}").alias(n) for n, c in previous.items()])
     ) if previous else None
-    return swept.where("_live and _row is not null").select(
+
+    # What each slice passes on: the sum of its marks, and its last row.
+    passed = [F.sum(n).alias(f"_s_{n}") for n in names]
+    if previous:
+        passed.append(
+            F.max_by(wanted, F.when(wanted.isNotNull(), F.struct("_at", "_tie"))).alias("_last")
+        )
+    summary = swept.groupBy(key, "_slice").agg(*passed)
+    earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = summary.select(
         key,
-        "_row.*",
-        *names,
-        *[
-            F.when(reachable, F.col(f"_before.{src}")).alias(name)
-            for name, src in previous.items()
-        ],
+        "_slice",
+        *[F.sum(f"_s_{n}").over(earlier).alias(f"_s_{n}") for n in names],
+        *([F.last("_last", ignorenulls=True).over(earlier).alias("_last")] if previous else []),
+    )
+
+    here = Window.partitionBy(key, "_slice")
+    upto = here.orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    out = swept.repartition(key, "_slice").join(carried, [key, "_slice"], "left")
+    if previous:
+        before = here.orderBy("_at", "_tie").rowsBetween(Window.unboundedPreceding, -1)
+        out = out.withColumn(
+            "_before", F.coalesce(F.last(wanted, ignorenulls=True).over(before), F.col("_last"))
+        )
+    counted = [
+        (F.coalesce(f"_s_{n}", F.lit(0)) + F.sum(n).over(upto)).cast("bigint").alias(n) for n in names
+    ]
+    kept = ["_row", *(["_before"] if previous else [])]
+    return (
+        out.select(key, *kept, *counted)
+        .where("_row is not null")
+        .select(key, "_row.*", *names, *[f"_before.{n}" for n in previous])
+    )
+
+
+def with_rows_before(
+    df: DataFrame, key: str, ts: str, order: str, rows: int, slice_seconds: int = SLICE
+) -> DataFrame:
+    """Add ``_slice`` and ``_live``, and give each slice the last ``rows`` rows before it as context.
+
+    A window over (key, _slice) then sees up to ``rows`` rows back from every live row. Only the last
+    rows of each slice travel; the list carried to a slice is at most ``rows`` long.
+    """
+    placed = df.withColumn("_slice", slice_of(ts, slice_seconds))
+    newest = Window.partitionBy(key, "_slice").orderBy(F.col(ts).desc(), F.col(order).desc())
+    tails = placed.withColumn("_back", F.row_number().over(newest)).where(F.col("_back") <= rows)
+    line = Window.partitionBy(key).orderBy(ts, order)
+    carried = (
+        tails.withColumn("_before", F.collect_list(F.struct(*df.columns)).over(line.rowsBetween(-rows, -1)))
+        .withColumn("_prev_slice", F.lag("_slice").over(line))
+        .where("_prev_slice < _slice")
+        .select("_slice", F.inline("_before"))
+    )
+    return (
+        placed.withColumn("_live", F.lit(True))
+        .unionByName(carried.withColumn("_live", F.lit(False)))
+        .repartition(key, "_slice")
     )
 
 
@@ -111,7 +152,7 @@ def with_history(
     order: str,
     totals: dict[str, Column] | None = None,
     latest: dict[str, tuple[Column, Column]] | None = None,
-    slice_seconds: int = DAY,
+    slice_seconds: int = SLICE,
 ) -> DataFrame:
     """Sums over, and last values of, all earlier rows of the key.
 
@@ -143,7 +184,7 @@ def with_history(
         .orderBy(ts, order)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    joined = rows.join(carried, [key, "_slice"], "left")
+    joined = rows.repartition(key, "_slice").join(carried, [key, "_slice"], "left")
     zero = F.lit(0)
     return joined.select(
         *df.columns,
@@ -167,21 +208,27 @@ def sessionize(
     ts: str,
     gap: int,
     sums: dict[str, Column] | None = None,
-    slice_seconds: int = DAY,
+    firsts: dict[str, Column] | None = None,
+    order: str | None = None,
+    slice_seconds: int = SLICE,
 ) -> DataFrame:
     """Sessions per key: a new one starts when the gap to the row before is longer than ``gap`` s.
 
+    ``sums`` are added up per session, ``firsts`` taken from its first row (by ts, then ``order``).
     Sessions are built inside each slice; only the first and the last of a slice can go on in a
     neighbour, so only those are looked at again per key.
     """
     sums = {"n_events": F.lit(1), **(sums or {})}
+    firsts = firsts or {}
     gap_us = F.lit(gap * 1_000_000)
     rows = df.select(
         key,
         F.col(ts).alias("_ts"),
+        (F.col(order) if order else F.lit(0)).alias("_tie"),
         slice_of(ts, slice_seconds).alias("_slice"),
         *[c.cast("bigint").alias(n) for n, c in sums.items()],
-    )
+        *[c.alias(n) for n, c in firsts.items()],
+    ).repartition(key, "_slice")
     inside = Window.partitionBy(key, "_slice").orderBy("_ts")
     gap_before = micros("_ts") - micros(F.lag("_ts").over(inside))
     parts = (
@@ -192,10 +239,11 @@ def sessionize(
             F.min("_ts").alias("session_start"),
             F.max("_ts").alias("session_end"),
             *[F.sum(n).alias(n) for n in sums],
+            *[F.min_by(n, F.struct("_ts", "_tie")).alias(n) for n in firsts],
         )
         .withColumn("_last", F.max("_part").over(Window.partitionBy(key, "_slice")))
     )
-    cols = [key, "session_start", "session_end", *sums]
+    cols = [key, "session_start", "session_end", *sums, *firsts]
     inner = parts.where("_part > 1 and _part < _last").select(cols)
     line = Window.partitionBy(key).orderBy("session_start")
     since = micros("session_start") - micros(F.lag("session_end").over(line))
@@ -205,6 +253,7 @@ def sessionize(
         .withColumn("_session", F.sum("_new").over(line))
         .groupBy(key, "_session")
         .agg(
+            *[F.min_by(n, "session_start").alias(n) for n in firsts],
             F.min("session_start").alias("session_start"),
             F.max("session_end").alias("session_end"),
             *[F.sum(n).alias(n) for n in sums],

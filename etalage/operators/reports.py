@@ -25,7 +25,7 @@ def daily_revenue(orders: DataFrame, status: str = "paid") -> DataFrame:
 
 
 def sales_by_product(items: DataFrame) -> DataFrame:
-    """Lines added up per product. Done before any join, so a best-seller is one row after it."""
+    """Priced lines added up per product. Done before any join, so a best-seller is one row after it."""
     return items.groupBy("product_id").agg(
         F.count("*").alias("nb_sales"),
         F.sum("quantity").alias("total_quantity"),
@@ -33,20 +33,31 @@ def sales_by_product(items: DataFrame) -> DataFrame:
     )
 
 
-def top_products(products: DataFrame, items: DataFrame) -> DataFrame:
+def sales_from_lines(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """The same from lines without a price: quantities are added up first, then priced per product."""
+    sold = lines.groupBy("product_id").agg(
+        F.count("*").alias("nb_sales"), F.sum("quantity").alias("total_quantity")
+    )
+    revenue = (F.col("total_quantity") * F.col("price")).cast("decimal(28,2)")
+    return sold.join(products.select("product_id", "price"), "product_id").select(
+        "product_id", "nb_sales", "total_quantity", revenue.alias("total_revenue")
+    )
+
+
+def top_products(products: DataFrame, sales: DataFrame) -> DataFrame:
     """Every product with its sales; products never sold come first (null revenue), as stored order has it."""
     return (
         products.select("product_id", "name", "category")
-        .join(sales_by_product(items), "product_id", "left")
+        .join(sales, "product_id", "left")
         .withColumn("nb_sales", F.coalesce("nb_sales", F.lit(0)))
         .orderBy(F.col("total_revenue").desc_nulls_first(), "product_id")
     )
 
 
-def top_categories(products: DataFrame, items: DataFrame, n: int = 5) -> DataFrame:
+def top_categories(products: DataFrame, sales: DataFrame, n: int = 5) -> DataFrame:
     return (
         products.select("product_id", "category")
-        .join(sales_by_product(items), "product_id")
+        .join(sales, "product_id")
         .groupBy("category")
         .agg(F.sum("nb_sales").alias("nb_sales"), F.sum("total_revenue").alias("revenue"))
         .orderBy(F.col("revenue").desc(), "category")
@@ -104,13 +115,13 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def paid_total(orders: DataFrame, items: DataFrame) -> DataFrame:
+def paid_total(orders: DataFrame, sales: DataFrame) -> DataFrame:
     """Paid revenue and total value of the lines, 0 when there are none."""
     zero = F.lit(0).cast("decimal(18,2)")
     paid = orders.where("status = 'paid'").agg(
         F.coalesce(F.sum("total_amount"), zero).alias("value")
     )
-    lines = items.agg(F.coalesce(F.sum("subtotal"), zero).alias("value"))
+    lines = sales.agg(F.coalesce(F.sum("total_revenue"), zero).alias("value"))
     return paid.select(F.lit("paid_revenue").alias("measure"), "value").union(
         lines.select(F.lit("items_value").alias("measure"), "value")
     )

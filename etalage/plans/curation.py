@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from etalage.domain import AS_OF
 from etalage.functions import values as v
-from etalage.functions.columns import hash_bucket, mapped
+from etalage.functions.columns import hash_bucket, id_text, mapped
 from etalage.operators import curate
 from etalage.operators.ordered import global_row_number
 from etalage.plans.registry import query
@@ -102,7 +102,7 @@ def payments_curated(shop):
     FROM s_alerts WHERE payment_id IN (SELECT payment_id FROM s_links WHERE order_id IS NOT NULL)""",
 )
 def alerts_curated(shop):
-    linked = curate.link_nearest(shop.payments.select("payment_id"), shop.orders)
+    linked = curate.link_nearest(shop.attempts.select("payment_id"), shop.orders)
     return curate.alerts(shop.raw("fraud_alerts"), linked)
 
 
@@ -134,7 +134,7 @@ def map_defaults(shop):
         counted(shop.orders, "order_status", "status", v.ORDER_STATUS, v.DEFAULT_ORDER_STATUS)
         .unionByName(
             counted(
-                shop.payments, "payment_method", "method", v.PAYMENT_METHOD, v.DEFAULT_PAYMENT_METHOD
+                shop.attempts, "payment_method", "method", v.PAYMENT_METHOD, v.DEFAULT_PAYMENT_METHOD
             )
         )
         .unionByName(
@@ -170,7 +170,7 @@ def addresses_build(shop):
     """Customers of one segment have an address already; the others get one."""
     people = curate.customers(shop.raw("customers"))
     has_one = shop.customers.where("segment = 'BUILDING'").select(
-        F.format_string("C%05d", "customer_id").alias("customer_id")
+        id_text("C", "customer_id", 5).alias("customer_id")
     )
     existing = global_row_number(
         curate.addresses(people.join(has_one, "customer_id", "left_semi")),
@@ -229,13 +229,13 @@ def customer_age_bands(shop):
 def reject_split(shop):
     """Lines with some ids spoilt: a letter in the order number, or no product id."""
     li = shop.table("lineitem")
-    order = F.format_string("O%07d", "l_orderkey")
+    order = id_text("O", "l_orderkey", 7)
     feed = li.select(
         F.when((F.col("l_tax") == 0.08) & (F.col("l_discount") == 0.1), F.concat(order, F.lit("X")))
         .otherwise(order)
         .alias("order_id"),
         F.when(
-            ~((F.col("l_tax") == 0) & (F.col("l_discount") == 0)), F.format_string("P%04d", "l_partkey")
+            ~((F.col("l_tax") == 0) & (F.col("l_discount") == 0)), id_text("P", "l_partkey", 4)
         ).alias("product_id"),
         F.col("l_quantity").cast("bigint").alias("qty"),
     )
@@ -302,7 +302,7 @@ def lookup_by_name(shop):
 def payment_order_nearest(shop):
     """Only paid orders can be linked to."""
     return curate.link_nearest(
-        shop.payments.select("payment_id"), shop.orders.where("status = 'paid'")
+        shop.attempts.select("payment_id"), shop.orders.where("status = 'paid'")
     )
 
 
@@ -317,7 +317,7 @@ def payment_order_nearest(shop):
 )
 def positional_link(shop):
     return curate.link_by_position(
-        shop.payments.select("payment_id", "amount"), "payment_id", shop.orders.select("order_id"), "order_id"
+        shop.attempts.select("payment_id", "amount"), "payment_id", shop.orders.select("order_id"), "order_id"
     )
 
 
@@ -333,7 +333,7 @@ def positional_link(shop):
 )
 def scalar_lookup(shop):
     """Customer number by the e-mail an order carries; null where no account in credit has it."""
-    email = F.concat(F.lower(F.format_string("C%05d", "customer_id")), F.lit("@shop.example"))
+    email = F.concat(F.lower(id_text("C", "customer_id", 5)), F.lit("@shop.example"))
     by_email = shop.customers.where("balance >= 0").select(email.alias("email"), "customer_id")
     return curate.lookup_first(
         shop.orders.select("order_id", email.alias("email")), "email", by_email, "customer_id"

@@ -11,6 +11,7 @@ from etalage.functions.columns import id_number
 from etalage.functions.values import TOPICS
 from etalage.operators import curate, reports
 from etalage.plans.registry import query
+from etalage.schemas import FILES
 from etalage.session import fresh_dir
 from etalage.sources import files
 from etalage.sources.load import full_load
@@ -67,14 +68,9 @@ def csv_scan(shop):
 def jsonl_scan(shop):
     """Events as JSON lines, the lines of one kind cut short."""
     path = fresh_dir(shop.spark, "events.jsonl")
-    spoilt = shop.events.select(F.col("event_id").cast("string").alias("event_id"), "k")
-    line = F.to_json(F.struct(*[F.col(c) for c in shop.raw("events").columns]))
-    (
-        shop.raw("events")
-        .join(spoilt, "event_id")
-        .select(F.when(F.col("k") == 13, F.substring(line, 1, 20)).otherwise(line).alias("value"))
-        .write.text(path)
-    )
+    line = F.to_json(F.struct(*FILES["events"].names))
+    cut = F.when(F.col("k") == 13, F.substring(line, 1, 20)).otherwise(line)
+    shop.events_as_input("k").select(cut.alias("value")).write.text(path)
     back = files.read_jsonl(shop.spark, path)
     kind = F.when(F.col(files.CORRUPT).isNotNull(), "corrupt").otherwise(F.col("event_type"))
     return back.groupBy(kind.alias("event_type")).agg(

@@ -4,16 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from etalage.operators import curate, marts
+from etalage.operators import marts, reports
 from etalage.operators.ordered import sessionize as split_sessions
 from etalage.plans.registry import query
 from etalage.plans.views import age
 
 
-def _items(shop):
-    return curate.price_lines(shop.lines, shop.products)
-
-
 @query(
     "kpi_summary",
     "revenue:m nb_orders:l paid_orders:l customers:l mean_basket:f",
@@ -64,7 +60,7 @@ def revenue_growth(shop):
     SELECT * FROM judged WHERE kind IS NOT NULL AND (measure = 'revenue' OR kind = 'peak')""",
 )
 def kpi_anomalies(shop):
-    return marts.kpi_anomalies(shop.orders, shop.payments)
+    return marts.kpi_anomalies(shop.orders, shop.attempts)
 
 
 @query(
@@ -77,7 +73,7 @@ def kpi_anomalies(shop):
         FROM s_items JOIN s_products USING (product_id) GROUP BY 1, 2, 3) WHERE rank <= 3""",
 )
 def top_products_per_category(shop):
-    return marts.top_per_category(shop.products, _items(shop))
+    return marts.top_per_category(shop.products, reports.sales_from_lines(shop.lines, shop.products))
 
 
 @query(
@@ -236,7 +232,7 @@ def sessionize(shop):
                count(*) FILTER (is_fraudulent) AS frauds FROM s_payments GROUP BY 1) USING (customer_id)""",
 )
 def customer_360(shop):
-    profile = marts.customer_360(shop.customers, shop.orders, shop.payments)
+    profile = marts.customer_360(shop.customers, shop.orders, shop.attempts)
     return profile.select(
         "customer_id",
         "name",

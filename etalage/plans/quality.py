@@ -44,7 +44,7 @@ def dq_unique(shop):
             quality.unique(shop.products, "products", ["name"]),
             quality.unique(shop.orders, "orders", ["order_id"]),
             quality.unique(shop.table("lineitem"), "order_items", ["l_orderkey", "l_linenumber"]),
-            quality.unique(shop.payments, "payments", ["payment_id"]),
+            quality.unique(shop.attempts, "payments", ["payment_id"]),
         ]
     )
 
@@ -91,7 +91,7 @@ def dq_accepted_values(shop):
         [
             quality.accepted_values(shop.orders, "orders", {"status": v.ORDER_STATUSES}),
             quality.accepted_values(
-                shop.payments, "payments", {"method": v.PAYMENT_METHODS, "result": v.PAYMENT_RESULTS}
+                shop.attempts, "payments", {"method": v.PAYMENT_METHODS, "result": v.PAYMENT_RESULTS}
             ),
             quality.accepted_values(
                 curate.addresses(curate.customers(shop.raw("customers"))),
@@ -130,7 +130,7 @@ def dq_ranges(shop):
                 "order_items",
                 {"quantity": F.col("quantity") > 0, "unit_price": F.col("unit_price") >= 0},
             ),
-            quality.in_range(shop.payments, "payments", {"amount": F.col("amount").between(0, 200)}),
+            quality.in_range(shop.attempts, "payments", {"amount": F.col("amount").between(0, 200)}),
             quality.in_range(shop.alerts, "fraud_alerts", {"risk_score": F.col("risk_score").between(0, 1)}),
         ]
     )
@@ -272,7 +272,7 @@ def gdpr_erase(shop):
             "sessions": shop.sessions,
             "orders": shop.orders,
             "order_items": shop.lines,
-            "payments": shop.payments,
+            "payments": shop.attempts,
             "fraud_alerts": shop.alerts.drop("customer_id"),
         },
         erased,

@@ -9,13 +9,13 @@ from etalage.functions.columns import share
 from etalage.plans.registry import query
 
 
-def _items(shop):
-    return curate.price_lines(shop.lines, shop.products)
+def _sales(shop):
+    return reports.sales_from_lines(shop.lines, shop.products)
 
 
 def _linked(shop):
     """Payments with the order they are linked to."""
-    return curate.link_nearest(shop.payments, shop.orders)
+    return curate.link_nearest(shop.attempts, shop.orders)
 
 
 def tables(shop) -> dict:
@@ -26,7 +26,7 @@ def tables(shop) -> dict:
         "sessions": shop.sessions,
         "orders": shop.orders,
         "order_items": shop.lines,
-        "payments": shop.payments,
+        "payments": shop.attempts,
         "fraud_alerts": shop.alerts,
         "addresses": shop.customers,
     }
@@ -53,7 +53,7 @@ _TOP_COLUMNS = "product_id:l name:s category:s nb_sales:l total_quantity:l total
 
 @query("top_products", _TOP_COLUMNS, _TOP)
 def top_products(shop):
-    return reports.top_products(shop.products, _items(shop))
+    return reports.top_products(shop.products, _sales(shop))
 
 
 @query(
@@ -63,8 +63,7 @@ def top_products(shop):
 )
 def top_products_limit(shop):
     """The ten best-sellers."""
-    sold = reports.sales_by_product(_items(shop))
-    best = sold.orderBy(F.col("total_revenue").desc(), "product_id").limit(10)
+    best = _sales(shop).orderBy(F.col("total_revenue").desc(), "product_id").limit(10)
     return best.join(shop.products.select("product_id", "name", "category"), "product_id")
 
 
@@ -77,7 +76,7 @@ def top_products_limit(shop):
     GROUP BY category ORDER BY revenue DESC, category LIMIT 5""",
 )
 def top_categories(shop):
-    return reports.top_categories(shop.products, _items(shop))
+    return reports.top_categories(shop.products, _sales(shop))
 
 
 @query(
@@ -168,7 +167,7 @@ def table_counts(shop):
     UNION ALL SELECT 'items_value', coalesce(sum(subtotal), 0) FROM s_items""",
 )
 def paid_revenue_total(shop):
-    return reports.paid_total(shop.orders, _items(shop))
+    return reports.paid_total(shop.orders, _sales(shop))
 
 
 @query(
@@ -188,7 +187,7 @@ def avg_basket(shop):
            CAST(count(*) FILTER (is_fraudulent) AS DOUBLE) / count(*) * 100 AS fraud_rate FROM s_payments""",
 )
 def fraud_rate(shop):
-    return reports.fraud_rate(shop.payments)
+    return reports.fraud_rate(shop.attempts)
 
 
 @query(
@@ -236,14 +235,14 @@ def orphan_counts(shop):
 
 def orphan_links(shop) -> dict:
     paid = shop.orders.where("status = 'paid'")
-    by_number = shop.payments.select(F.col("payment_id").alias("order_id"))
+    by_number = shop.attempts.select(F.col("payment_id").alias("order_id"))
     return {
         "orders_customers": (shop.orders, shop.customers, "customer_id"),
         "order_items_products": (shop.lines, shop.products, "product_id"),
         "order_items_orders": (shop.lines, shop.orders, "order_id"),
-        "payments_customers": (shop.payments, shop.customers, "customer_id"),
+        "payments_customers": (shop.attempts, shop.customers, "customer_id"),
         "payments_orders": (by_number, paid, "order_id"),
-        "alerts_payments": (shop.alerts, shop.payments, "payment_id"),
+        "alerts_payments": (shop.alerts, shop.attempts, "payment_id"),
     }
 
 
@@ -286,7 +285,7 @@ def _page(df, order: list, n: int):
 )
 def payments_by_fraud_label(shop):
     """GET payments?is_fraudulent=true."""
-    return shop.payments.where("is_fraudulent")
+    return shop.attempts.where("is_fraudulent")
 
 
 @query(
@@ -330,8 +329,8 @@ def conversion_rates(shop):
     # Four counts, one row each, folded into one row by a single aggregate.
     parts = {
         "sessions": shop.sessions.agg(F.count("*").alias("n")),
-        "payments": shop.payments.agg(F.count("*").alias("n")),
-        "ok": shop.payments.where("result = 'success'").agg(F.count("*").alias("n")),
+        "payments": shop.attempts.agg(F.count("*").alias("n")),
+        "ok": shop.attempts.where("result = 'success'").agg(F.count("*").alias("n")),
         "orders": shop.orders.agg(F.count("*").alias("n")),
         "items": shop.lines.agg(F.count("*").alias("n")),
     }
@@ -359,7 +358,7 @@ def conversion_rates(shop):
 )
 def payment_success_by_method(shop):
     ok = F.count_if(F.col("result") == "success")
-    return shop.payments.groupBy("method").agg(
+    return shop.attempts.groupBy("method").agg(
         F.count("*").alias("attempts"),
         ok.alias("successes"),
         share(ok, F.count("*")).alias("success_rate"),
@@ -424,6 +423,7 @@ def validation_report(shop):
         tables(shop),
         {k: links[k] for k in ("orders_customers", "order_items_products", "payments_orders")},
         shop.orders,
-        _items(shop),
-        shop.payments,
+        shop.lines,
+        _sales(shop),
+        shop.attempts,
     )

@@ -179,7 +179,7 @@ def stream_interval_join(shop):
 )
 def stream_rules_stateful(shop):
     """Two arrivals cut inside a day: the state of the first is used by the second."""
-    payments = shop.payments.withColumnRenamed("attempt_ts", "ts").select(
+    payments = shop.attempts.withColumnRenamed("attempt_ts", "ts").select(
         "payment_id", "customer_id", "ts", "device_id", "ip_hash"
     )
     arrivals = _split(payments, "2024-01-15 12:00:00")
@@ -200,7 +200,7 @@ def stream_alert_fanout(shop):
     """Alerts of the one-row rules, written to a table and to a topic by each batch."""
     spark = shop.spark
     table, topic = fresh_dir(spark, "alerts"), fresh_dir(spark, "fraud-alerts")
-    flagged = shop.shape_payments(_events(shop))
+    flagged = shop.with_countries(shop.shape_attempts(_events(shop)))
     rules = F.filter(
         F.array(
             F.when(F.col("payment_country") != F.col("customer_country"), "country_mismatch"),

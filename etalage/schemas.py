@@ -80,3 +80,20 @@ FILE_NAMES = {
     "identity_labels": "synthetic_id_labels.csv",
     "events": "events.jsonl",
 }
+
+# The star-schema tables the shop is derived from.
+STAR = {
+    "region": _schema("r_regionkey:i r_name:s"),
+    "nation": _schema("n_nationkey:i n_name:s n_regionkey:i"),
+    "customer": _schema("c_custkey:l c_name:s c_nationkey:i c_acctbal:f c_mktsegment:s"),
+    "supplier": _schema("s_suppkey:l s_name:s s_nationkey:i s_acctbal:f"),
+    "part": _schema("p_partkey:l p_name:s p_brand:s p_type:s p_size:i p_retailprice:f"),
+    "orders": _schema(
+        "o_orderkey:l o_custkey:l o_orderstatus:s o_totalprice:f o_orderdate:t o_orderpriority:s"
+    ),
+    "lineitem": _schema(
+        "l_orderkey:l l_partkey:l l_suppkey:l l_linenumber:i l_quantity:f l_extendedprice:f l_discount:f"
+        " l_tax:f l_returnflag:s l_linestatus:s l_shipdate:t"
+    ),
+    "events": _schema("event_id:l ts:t user_id:l event_type:s value:f props:s"),
+}

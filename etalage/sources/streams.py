@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
+from etalage.schemas import STAR
 from etalage.session import fresh_dir
 
 
 def table_stream(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """One table of a folder of Parquet files as a stream."""
-    schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
     return (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(STAR[table])
         .option("pathGlobFilter", f"{table}.parquet")
         .parquet(folder)
     )
