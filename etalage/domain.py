@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from etalage.functions.columns import age_years, id_text, is_adult, money
-from etalage.operators.fraud import build_alerts, flag_all
+from etalage.operators.fraud import build_alerts, flag_first, flag_sequences, flag_stateless
 from etalage.operators.ordered import sessionize
 from etalage.schemas import MONEY, STAR
 from etalage.session import prepare
@@ -253,7 +253,9 @@ class Shop:
 
     @cached_property
     def flagged(self) -> DataFrame:
-        return flag_all(self.payments)
+        """All rules; the countries are joined on after the pass over the history."""
+        swept = flag_sequences(self.attempts)
+        return flag_first(flag_stateless(self.with_countries(swept)))
 
     @cached_property
     def alerts(self) -> DataFrame:

@@ -57,9 +57,10 @@ def at_night(ts: str = "attempt_ts") -> Column:
 def flag_sequences(
     payments: DataFrame, velocity_limit: int = 5, failed_limit: int = 3
 ) -> DataFrame:
-    """Rules that look back: velocity, device change, many failed, rapid attempts.
+    """Rules that look back, and the customer's history: all from one pass over (customer, slice).
 
-    One pass: one shuffle on (customer, time slice) serves all four.
+    Velocity, device change, many failed and rapid attempts; attempts, failures, successes and
+    amount before.
     """
     swept = trailing(
         payments,
@@ -69,6 +70,12 @@ def flag_sequences(
             "attempts_10min": (F.lit(True), TEN_MINUTES),
             "failures_24h": (F.col("result") == "failed", DAY),
         },
+        totals={
+            "past_attempts": F.lit(1),
+            "past_failures": (F.col("result") == "failed").cast("int"),
+            "past_successes": (F.col("result") == "success").cast("int"),
+            "past_amount": F.col("amount"),
+        },
         previous={
             "prev_ts": "attempt_ts",
             "prev_device": "device_id",
@@ -101,10 +108,13 @@ def attempts_within(payments: DataFrame, seconds: int) -> DataFrame:
     )
 
 
+def flag_first(swept: DataFrame, limit: float = 100) -> DataFrame:
+    """The high-amount rule, from the history of ``flag_sequences``."""
+    return swept.withColumn("high_amount", (F.col("amount") > limit) & (F.col("past_successes") == 0))
+
+
 def flag_all(payments: DataFrame, velocity_limit: int = 5) -> DataFrame:
-    return flag_high_amount(
-        flag_stateless(flag_sequences(payments, velocity_limit=velocity_limit))
-    )
+    return flag_first(flag_stateless(flag_sequences(payments, velocity_limit=velocity_limit)))
 
 
 def build_alerts(flagged: DataFrame) -> DataFrame:

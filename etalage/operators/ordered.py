@@ -4,6 +4,10 @@ A window over ``partitionBy(customer)`` sends every row of a customer to one tas
 busy customer holds the job up. The functions here cut a key's history into time slices,
 work inside (key, slice), and pass only a small summary per slice from one slice to the next.
 
+The slices are cut at quantiles of the rows' own times, so that no slice, of one customer or of
+all, holds more than about 1 / slices of the table, whether the rows come evenly or in a burst.
+(Rows of one customer at the very same microsecond are the one thing a cut cannot part.)
+
 Rows are placed by ``repartition(key, slice)``, not left to the window: rows that come out of a
 join on the key are already clustered for a window over (key, slice), Spark would skip the
 shuffle, and the busy customer would stay in one task after all.
@@ -11,36 +15,49 @@ shuffle, and the busy customer would stay in one task after all.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from etalage.functions.columns import micros, slice_of
+from etalage.functions.columns import micros
 from etalage.session import write_through
 
 HOUR = 3600
 DAY = 24 * HOUR
-# Long enough that the summaries stay few, short enough that one slice of a customer with a third
-# of the table is a small part of it.
-SLICE = 6 * HOUR
 
 
-def with_lookback(df: DataFrame, ts: str, horizon: int, slice_seconds: int) -> DataFrame:
-    """Add ``_slice`` and ``_live``: rows near the end of a slice also go to the next one as context.
+def slice_count(spark: SparkSession) -> int:
+    """Several slices per core, so that the slices of one hot customer keep the cluster busy."""
+    return min(4096, max(16, 4 * spark.sparkContext.defaultParallelism))
 
-    Any row of [t - horizon, t] is then found in the slice of the live row at t. The copies are
-    horizon / slice_seconds of the rows.
-    """
-    if horizon > slice_seconds:
-        raise ValueError("a slice must be at least as long as the horizon")
-    own = slice_of(ts, slice_seconds)
-    next_start = (own + 1) * F.lit(slice_seconds * 1_000_000)
-    live = F.struct(own.alias("_slice"), F.lit(True).alias("_live"))
-    context = F.struct((own + 1).alias("_slice"), F.lit(False).alias("_live"))
-    near_end = micros(ts) >= next_start - F.lit(horizon * 1_000_000)
-    return df.select(
-        "*",
-        F.inline(F.when(near_end, F.array(live, context)).otherwise(F.array(live))),
+
+def cut_points(df: DataFrame, at: Column, slices: int) -> list[float]:
+    """Times that part the rows into slices of about equal size: one narrow scan, a short list back."""
+    shares = [i / slices for i in range(1, slices)]
+    cuts = df.agg(F.percentile_approx(at, shares, 10 * slices)).first()[0] or []
+    return sorted({float(c) for c in cuts})
+
+
+def sliced(df: DataFrame, at: Column, cuts: list[float]) -> DataFrame:
+    """Add ``_slice``, the number of the slice that ``at`` lies in."""
+    if not cuts:
+        return df.withColumn("_slice", F.lit(0))
+    bucketizer = Bucketizer(
+        splits=[float("-inf"), *cuts, float("inf")],
+        inputCol="_num",
+        outputCol="_bucket",
+        handleInvalid="keep",
     )
+    numbered = bucketizer.transform(df.withColumn("_num", at.cast("double")))
+    return numbered.withColumn("_slice", F.col("_bucket").cast("int")).drop("_num", "_bucket")
+
+
+def by_time(
+    df: DataFrame, ts: str, slices: int | None, timeline: DataFrame | None = None
+) -> DataFrame:
+    """Slice by a timestamp column; ``timeline`` may name a cheaper table with the same times."""
+    n = slices or slice_count(df.sparkSession)
+    return sliced(df, micros(ts), cut_points(timeline or df, micros(ts), n))
 
 
 def trailing(
@@ -48,87 +65,100 @@ def trailing(
     key: str,
     ts: str,
     counts: dict[str, tuple[Column, int]],
+    totals: dict[str, Column] | None = None,
     previous: dict[str, str] | None = None,
     order: str | None = None,
-    slice_seconds: int = SLICE,
+    slices: int | None = None,
 ) -> DataFrame:
-    """Counts over the closed range [t - seconds, t] per key, and values of the row before.
+    """Counts over the closed range [t - seconds, t], sums over all earlier rows, the row before.
 
     ``counts`` maps a name to (condition, seconds). Each row becomes an entry mark at t (+1) and one
     leave mark per count just after t + seconds (-1); the running sum of the marks is the count, at
-    linear cost however many rows a range holds. ``previous`` maps a new name to the column whose
-    value on the row before (by ts, then ``order``) is wanted.
+    linear cost however many rows a range holds. ``totals`` maps a name to the column to add up over
+    the rows before, ``previous`` maps a new name to the column whose value on the row before is
+    wanted; before means by ts, then ``order``. All of it takes one large shuffle.
     """
-    previous = previous or {}
-    names = list(counts)
+    totals, previous = totals or {}, previous or {}
     columns = [c for c in df.columns if c != key]
     payload = F.struct(*columns)
-    empty = F.lit(None).cast(df.select(payload.alias("p")).schema["p"].dataType)
+    shape = df.select(payload.alias("p"), *[c.alias(n) for n, c in totals.items()]).schema
+    empty = F.lit(None).cast(shape["p"].dataType)
     tie = F.col(order) if order else F.lit(0)
     hits = {n: F.coalesce(cond.cast("int"), F.lit(0)) for n, (cond, _) in counts.items()}
     t = micros(ts)
 
-    def mark(at: Column, row: Column, steps: dict[str, Column]) -> Column:
+    def mark(at: Column, row: Column, steps: dict[str, Column], sums: dict[str, Column]) -> Column:
         return F.struct(
-            at.alias("_at"), tie.alias("_tie"), row.alias("_row"), *[c.alias(n) for n, c in steps.items()]
+            at.alias("_at"),
+            tie.alias("_tie"),
+            row.alias("_row"),
+            *[c.alias(n) for n, c in steps.items()],
+            *[c.alias(n) for n, c in sums.items()],
         )
 
-    zero = {n: F.lit(0) for n in names}
-    marks = [mark(t * 2, payload, hits)] + [
-        mark((t + F.lit(seconds * 1_000_000)) * 2 + 1, empty, {**zero, n: -hits[n]})
+    none = {n: F.lit(None).cast(shape[n].dataType) for n in totals}
+    marks = [mark(t * 2, payload, hits, totals)] + [
+        mark(
+            (t + F.lit(seconds * 1_000_000)) * 2 + 1,
+            empty,
+            {m: -hits[m] if m == n else F.lit(0) for m in counts},
+            none,
+        )
         for n, (_, seconds) in counts.items()
     ]
-    two_slices = 2 * slice_seconds * 1_000_000
-    swept = df.select(key, F.inline(F.array(*marks))).withColumn(
-        "_slice", F.floor(F.col("_at") / F.lit(two_slices))
-    )
-    wanted = F.when(
-        F.col("_row").isNotNull(), F.struct(*[F.col(f"_row.{c}").alias(n) for n, c in previous.items()])
-    ) if previous else None
+    # The marks, not the rows, are what a slice holds: cut by their times.
+    times = df.select(F.explode(F.array(*[m["_at"] for m in marks])).alias("_at"))
+    cuts = cut_points(times, F.col("_at"), slices or slice_count(df.sparkSession))
+    swept = sliced(df.select(key, F.inline(F.array(*marks))), F.col("_at"), cuts)
 
-    # What each slice passes on: the sum of its marks, and its last row.
-    passed = [F.sum(n).alias(f"_s_{n}") for n in names]
+    # What each slice passes on: the sums of its marks, and its last row.
+    sums = [*counts, *totals]
+    passed = [F.sum(n).alias(f"_s_{n}") for n in sums]
     if previous:
-        passed.append(
-            F.max_by(wanted, F.when(wanted.isNotNull(), F.struct("_at", "_tie"))).alias("_last")
+        wanted = F.when(
+            F.col("_row").isNotNull(),
+            F.struct(*[F.col(f"_row.{c}").alias(n) for n, c in previous.items()]),
         )
+        last_at = F.when(F.col("_row").isNotNull(), F.struct("_at", "_tie"))
+        passed.append(F.max_by(wanted, last_at).alias("_last"))
     summary = swept.groupBy(key, "_slice").agg(*passed)
     earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = summary.select(
         key,
         "_slice",
-        *[F.sum(f"_s_{n}").over(earlier).alias(f"_s_{n}") for n in names],
+        *[F.sum(f"_s_{n}").over(earlier).alias(f"_s_{n}") for n in sums],
         *([F.last("_last", ignorenulls=True).over(earlier).alias("_last")] if previous else []),
     )
 
     here = Window.partitionBy(key, "_slice")
+    before = here.orderBy("_at", "_tie").rowsBetween(Window.unboundedPreceding, -1)
     upto = here.orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    out = swept.repartition(key, "_slice").join(carried, [key, "_slice"], "left")
+    zero = F.lit(0)
+    found = [(F.coalesce(F.sum(n).over(before), zero) + F.coalesce(f"_s_{n}", zero)).alias(n) for n in totals]
     if previous:
-        before = here.orderBy("_at", "_tie").rowsBetween(Window.unboundedPreceding, -1)
-        out = out.withColumn(
-            "_before", F.coalesce(F.last(wanted, ignorenulls=True).over(before), F.col("_last"))
-        )
-    counted = [
-        (F.coalesce(f"_s_{n}", F.lit(0)) + F.sum(n).over(upto)).cast("bigint").alias(n) for n in names
+        last = F.coalesce(F.last(wanted, ignorenulls=True).over(before), F.col("_last"))
+        found.append(last.alias("_before"))
+    found += [
+        (F.sum(n).over(upto) + F.coalesce(f"_s_{n}", zero)).cast("bigint").alias(n) for n in counts
     ]
-    kept = ["_row", *(["_before"] if previous else [])]
     return (
-        out.select(key, *kept, *counted)
+        swept.repartition(key, "_slice")
+        .join(carried, [key, "_slice"], "left")
+        .select(key, "_row", *found)
         .where("_row is not null")
-        .select(key, "_row.*", *names, *[f"_before.{n}" for n in previous])
+        .select(key, "_row.*", *counts, *totals, *[f"_before.{n}" for n in previous])
     )
 
 
 def with_rows_before(
-    df: DataFrame, key: str, ts: str, order: str, rows: int, slice_seconds: int = SLICE
+    df: DataFrame, key: str, ts: str, order: str, rows: int, slices: int | None = None
 ) -> DataFrame:
     """Add ``_slice`` and ``_live``, and give each slice the last ``rows`` rows before it as context.
 
     A window over (key, _slice) then sees up to ``rows`` rows back from every live row. Only the last
     rows of each slice travel; the list carried to a slice is at most ``rows`` long.
     """
-    placed = df.withColumn("_slice", slice_of(ts, slice_seconds))
+    placed = by_time(df, ts, slices)
     newest = Window.partitionBy(key, "_slice").orderBy(F.col(ts).desc(), F.col(order).desc())
     tails = placed.withColumn("_back", F.row_number().over(newest)).where(F.col("_back") <= rows)
     line = Window.partitionBy(key).orderBy(ts, order)
@@ -152,18 +182,19 @@ def with_history(
     order: str,
     totals: dict[str, Column] | None = None,
     latest: dict[str, tuple[Column, Column]] | None = None,
-    slice_seconds: int = SLICE,
+    slices: int | None = None,
+    timeline: DataFrame | None = None,
 ) -> DataFrame:
     """Sums over, and last values of, all earlier rows of the key.
 
     ``totals`` maps a name to the column to add up; ``latest`` maps a name to (value, condition).
-    Each slice is summed up first (partial aggregation before the shuffle), the short list of
+    ``timeline`` may name a cheaper table with the same times, to cut the slices by. Each slice is summed up first (partial aggregation before the shuffle), the short list of
     slice summaries of a key is carried forward, and the rows of a slice start from what is
     carried in.
     """
     totals = totals or {}
     latest = latest or {}
-    rows = df.withColumn("_slice", slice_of(ts, slice_seconds))
+    rows = by_time(df, ts, slices, timeline)
     at = F.struct(F.col(ts), F.col(order))
     summary = rows.groupBy(key, "_slice").agg(
         *[F.sum(c).alias(f"_s_{n}") for n, c in totals.items()],
@@ -210,7 +241,7 @@ def sessionize(
     sums: dict[str, Column] | None = None,
     firsts: dict[str, Column] | None = None,
     order: str | None = None,
-    slice_seconds: int = SLICE,
+    slices: int | None = None,
 ) -> DataFrame:
     """Sessions per key: a new one starts when the gap to the row before is longer than ``gap`` s.
 
@@ -225,10 +256,10 @@ def sessionize(
         key,
         F.col(ts).alias("_ts"),
         (F.col(order) if order else F.lit(0)).alias("_tie"),
-        slice_of(ts, slice_seconds).alias("_slice"),
         *[c.cast("bigint").alias(n) for n, c in sums.items()],
         *[c.alias(n) for n, c in firsts.items()],
-    ).repartition(key, "_slice")
+    )
+    rows = by_time(rows, "_ts", slices, df.select(F.col(ts).alias("_ts"))).repartition(key, "_slice")
     inside = Window.partitionBy(key, "_slice").orderBy("_ts")
     gap_before = micros("_ts") - micros(F.lag("_ts").over(inside))
     parts = (

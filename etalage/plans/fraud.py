@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from etalage.functions.values import RULES
 from etalage.operators import fraud, marts
-from etalage.operators.ordered import DAY, with_history
+from etalage.operators.ordered import DAY
 from etalage.plans.registry import query
 
 _ROW = "payment_id:l customer_id:l attempt_ts:t amount:m"
@@ -199,18 +199,7 @@ def fraud_patterns(shop):
 
 def features(shop):
     """Model inputs per payment: the attempt itself, the rules, and the customer's history."""
-    past = with_history(
-        shop.flagged,
-        "customer_id",
-        "attempt_ts",
-        "payment_id",
-        totals={
-            "past_attempts": F.lit(1),
-            "past_failures": (F.col("result") == "failed").cast("int"),
-            "past_amount": F.col("amount"),
-        },
-    )
-    return past.withColumn("hour", F.hour("attempt_ts"))
+    return shop.flagged.withColumn("hour", F.hour("attempt_ts"))
 
 
 @query(

@@ -16,7 +16,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from etalage.operators.ordered import DAY, with_lookback
+from etalage.functions.columns import micros, slice_of
 
 ALERTS = StructType(
     [
@@ -26,6 +26,7 @@ ALERTS = StructType(
         StructField("rule", StringType()),
     ]
 )
+WEEK = 7 * 24 * 3600
 HOUR_US = 3_600_000_000
 TEN_MINUTES_US = 600_000_000
 
@@ -77,8 +78,27 @@ class AttemptRules(StatefulProcessor):
         pass
 
 
+def with_lookback(df: DataFrame, ts: str, horizon: int, slice_seconds: int) -> DataFrame:
+    """Add ``_slice`` and ``_live``: rows near the end of a slice also go to the next one as context.
+
+    Any row of [t - horizon, t] is then found in the slice of the live row at t. The copies are
+    horizon / slice_seconds of the rows.
+    """
+    if horizon > slice_seconds:
+        raise ValueError("a slice must be at least as long as the horizon")
+    own = slice_of(ts, slice_seconds)
+    next_start = (own + 1) * F.lit(slice_seconds * 1_000_000)
+    live = F.struct(own.alias("_slice"), F.lit(True).alias("_live"))
+    context = F.struct((own + 1).alias("_slice"), F.lit(False).alias("_live"))
+    near_end = micros(ts) >= next_start - F.lit(horizon * 1_000_000)
+    return df.select(
+        "*",
+        F.inline(F.when(near_end, F.array(live, context)).otherwise(F.array(live))),
+    )
+
+
 def attempt_alerts(
-    payments: DataFrame, limit: int = 5, delay: str = "10 minutes", slice_seconds: int = 7 * DAY
+    payments: DataFrame, limit: int = 5, delay: str = "10 minutes", slice_seconds: int = WEEK
 ) -> DataFrame:
     """Alerts per attempt. Keyed by customer and week; the last hour of a week is also sent to the next.
 

@@ -36,18 +36,19 @@ def history(rows):
     return by_customer
 
 
-@pytest.mark.parametrize("slice_seconds", [600, 6 * 3600])
-def test_trailing_counts_and_previous(frame, rows, slice_seconds):
+@pytest.mark.parametrize("slices", [2, 16, 500])
+def test_trailing_counts_and_previous(frame, rows, slices):
     got = {
-        r.id: (r.n, r.n_a, r.prev)
+        r.id: (r.n, r.n_a, r.total, r.prev)
         for r in ordered.trailing(
             frame,
             "customer_id",
             "ts",
             counts={"n": (F.lit(True), 7200), "n_a": (F.col("kind") == "a", 86400)},
+            totals={"total": F.col("value")},
             previous={"prev": "id"},
             order="id",
-            slice_seconds=slice_seconds,
+            slices=slices,
         ).collect()
     }
     assert len(got) == len(rows)
@@ -55,7 +56,8 @@ def test_trailing_counts_and_previous(frame, rows, slice_seconds):
         for i, r in enumerate(line):
             near = [x for x in line if r[1] - timedelta(hours=2) <= x[1] <= r[1]]
             day = [x for x in line if r[1] - timedelta(days=1) <= x[1] <= r[1] and x[3] == "a"]
-            assert got[r[2]] == (len(near), len(day), line[i - 1][2] if i else None)
+            total = sum(x[4] for x in line[:i])
+            assert got[r[2]] == (len(near), len(day), total, line[i - 1][2] if i else None)
 
 
 def test_history(frame, rows):
@@ -66,7 +68,7 @@ def test_history(frame, rows):
         "id",
         totals={"n": F.lit(1), "total": F.col("value")},
         latest={"last_a": (F.col("id"), F.col("kind") == "a")},
-        slice_seconds=3600,
+        slices=50,
     )
     got = {r.id: (r.n, r.total, r.last_a) for r in out.collect()}
     for line in history(rows).values():
@@ -76,7 +78,7 @@ def test_history(frame, rows):
 
 
 def test_rows_before(spark, frame, rows):
-    out = ordered.with_rows_before(frame, "customer_id", "ts", "id", 3, slice_seconds=1800)
+    out = ordered.with_rows_before(frame, "customer_id", "ts", "id", 3, slices=200)
     from pyspark.sql import Window
 
     w = Window.partitionBy("customer_id", "_slice").orderBy("ts", "id")
@@ -86,11 +88,11 @@ def test_rows_before(spark, frame, rows):
             assert got[r[2]] == (line[i - 3][2] if i >= 3 else None)
 
 
-@pytest.mark.parametrize("gap,slice_seconds", [(1800, 3600), (1800, 86400), (6 * 3600, 3600)])
-def test_sessions(frame, rows, gap, slice_seconds):
+@pytest.mark.parametrize("gap,slices", [(1800, 100), (1800, 4), (6 * 3600, 100)])
+def test_sessions(frame, rows, gap, slices):
     out = ordered.sessionize(
         frame, "customer_id", "ts", gap, sums={"total": F.col("value")}, firsts={"first": F.col("id")},
-        order="id", slice_seconds=slice_seconds,
+        order="id", slices=slices,
     )
     got = sorted((r.customer_id, r.session_start, r.session_end, r.n_events, r.total, r.first) for r in out.collect())
     want = []
