@@ -97,19 +97,26 @@ def trailing(
         )
 
     none = {n: F.lit(None).cast(shape[n].dataType) for n in totals}
-    marks = [mark(t * 2, payload, hits, totals)] + [
-        mark(
-            (t + F.lit(seconds * 1_000_000)) * 2 + 1,
-            empty,
-            {m: -hits[m] if m == n else F.lit(0) for m in counts},
-            none,
+    leaving = [
+        F.when(
+            hits[n] == 1,
+            mark(
+                (t + F.lit(seconds * 1_000_000)) * 2 + 1,
+                empty,
+                {m: F.lit(-1 if m == n else 0) for m in counts},
+                none,
+            ),
         )
         for n, (_, seconds) in counts.items()
     ]
+    entering = mark(t * 2, payload, hits, totals)
+
     # The marks, not the rows, are what a slice holds: cut by their times.
+    marks = [entering, *leaving]
     times = df.select(F.explode(F.array(*[m["_at"] for m in marks])).alias("_at"))
     cuts = cut_points(times, F.col("_at"), slices or slice_count(df.sparkSession))
-    swept = sliced(df.select(key, F.inline(F.array(*marks))), F.col("_at"), cuts)
+    swept = df.select(key, F.inline(F.array(*marks))).where("_at is not null")
+    swept = sliced(swept, F.col("_at"), cuts)
 
     # What each slice passes on: the sums of its marks, and its last row.
     sums = [*counts, *totals]
@@ -130,23 +137,39 @@ def trailing(
         *([F.last("_last", ignorenulls=True).over(earlier).alias("_last")] if previous else []),
     )
 
+    # Inside a slice. The windows come before the join: its order by (key, slice) is then at hand.
     here = Window.partitionBy(key, "_slice")
     before = here.orderBy("_at", "_tie").rowsBetween(Window.unboundedPreceding, -1)
     upto = here.orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = swept.repartition(key, "_slice")
+    if totals or previous:
+        found = [F.sum(n).over(before).alias(n) for n in totals]
+        if previous:
+            found.append(F.last(wanted, ignorenulls=True).over(before).alias("_before"))
+        inside = inside.select(key, "_slice", "_at", "_row", *counts, *found)
+    inside = inside.select(
+        key,
+        "_slice",
+        "_row",
+        *[F.sum(n).over(upto).alias(n) for n in counts],
+        *totals,
+        *(["_before"] if previous else []),
+    ).where("_row is not null")
+
     zero = F.lit(0)
-    found = [(F.coalesce(F.sum(n).over(before), zero) + F.coalesce(f"_s_{n}", zero)).alias(n) for n in totals]
+
+    def added(n: str) -> Column:
+        return F.coalesce(n, zero) + F.coalesce(f"_s_{n}", zero)
+
+    out = inside.join(carried, [key, "_slice"], "left")
     if previous:
-        last = F.coalesce(F.last(wanted, ignorenulls=True).over(before), F.col("_last"))
-        found.append(last.alias("_before"))
-    found += [
-        (F.sum(n).over(upto) + F.coalesce(f"_s_{n}", zero)).cast("bigint").alias(n) for n in counts
-    ]
-    return (
-        swept.repartition(key, "_slice")
-        .join(carried, [key, "_slice"], "left")
-        .select(key, "_row", *found)
-        .where("_row is not null")
-        .select(key, "_row.*", *counts, *totals, *[f"_before.{n}" for n in previous])
+        out = out.withColumn("_before", F.coalesce("_before", "_last"))
+    return out.select(
+        key,
+        "_row.*",
+        *[added(n).cast("bigint").alias(n) for n in counts],
+        *[added(n).alias(n) for n in totals],
+        *[f"_before.{n}" for n in previous],
     )
 
 
@@ -215,22 +238,21 @@ def with_history(
         .orderBy(ts, order)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    joined = rows.repartition(key, "_slice").join(carried, [key, "_slice"], "left")
-    zero = F.lit(0)
-    return joined.select(
+    found = rows.repartition(key, "_slice").select(
         *df.columns,
+        "_slice",
+        *[F.sum(c).over(inside).alias(n) for n, c in totals.items()],
         *[
-            (F.coalesce(f"_s_{n}", zero) + F.coalesce(F.sum(c).over(inside), zero)).alias(n)
-            for n, c in totals.items()
-        ],
-        *[
-            F.coalesce(
-                F.last(F.when(cond, F.struct(v.alias("v"))), ignorenulls=True).over(inside),
-                F.col(f"_l_{n}"),
-            )["v"].alias(n)
+            F.last(F.when(cond, F.struct(v.alias("v"))), ignorenulls=True).over(inside).alias(n)
             for n, (v, cond) in latest.items()
         ],
     )
+    zero = F.lit(0)
+    return found.join(carried, [key, "_slice"], "left").select(
+        *df.columns,
+        *[(F.coalesce(n, zero) + F.coalesce(f"_s_{n}", zero)).alias(n) for n in totals],
+        *[F.coalesce(n, f"_l_{n}")["v"].alias(n) for n in latest],
+    )
 
 
 def sessionize(
