@@ -148,7 +148,14 @@ def build_alerts(flagged: DataFrame) -> DataFrame:
     )
 
 
-def fired_rules() -> F.Column:
+def daily_stats(alerts: DataFrame) -> DataFrame:
+    """Alerts and amounts per day, rule and label."""
+    return alerts.groupBy(F.to_date("alert_date").alias("day"), "alert_type", "is_fraudulent").agg(
+        F.count("*").alias("alerts"), F.sum("amount").alias("amount")
+    )
+
+
+def fired_rules() -> Column:
     return F.filter(
         F.array(*[F.when(F.col(r), F.lit(r)) for r in sorted(RULES)]), lambda r: r.isNotNull()
     )

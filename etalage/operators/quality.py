@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from etalage.functions.columns import share
 from etalage.operators import reports
 
 
@@ -87,6 +88,24 @@ def drift_psi(
     return row.select(F.inline(F.array(*entries)))
 
 
+def profile(df: DataFrame, value: str, period: Column) -> DataFrame:
+    """Rows, null share, mean and standard deviation of a money column per period.
+
+    Sums are exact decimals, so that the figures do not hang on the order of the rows.
+    """
+    x = F.col(value).cast("decimal(18,2)")
+    n = F.count(x)
+    total = F.sum(x).cast("double")
+    squares = F.sum((x * x).cast("decimal(28,4)")).cast("double")
+    mean = total / n
+    return df.groupBy(period.alias("period")).agg(
+        F.count("*").alias("rows"),
+        share(F.count("*") - n, F.count("*")).alias("null_share"),
+        mean.alias("mean"),
+        F.sqrt(F.greatest(squares / n - mean * mean, F.lit(0.0))).alias("stddev"),
+    )
+
+
 def reconcile(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Order totals against the sum of their lines, counted by outcome."""
     lines = items.groupBy("order_id").agg(F.sum("subtotal").alias("lines_total"))

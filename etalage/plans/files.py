@@ -149,6 +149,28 @@ def medallion_gold_daily(shop):
     return files.write_layer(reports.daily_revenue(silver), lake, "gold", "daily_revenue")
 
 
+@query(
+    "medallion_gold_tables",
+    "table_name:s row_count:l",
+    """
+    SELECT 'daily_revenue' AS table_name, count(DISTINCT CAST(order_date AS DATE)) AS row_count
+    FROM s_orders WHERE status = 'paid'
+    UNION ALL SELECT 'top_products', count(*) FROM s_products
+    UNION ALL SELECT 'fraud_stats', count(*) FROM (
+        SELECT DISTINCT CAST(alert_date AS DATE), alert_type, is_fraudulent FROM s_alerts)
+    UNION ALL SELECT 'customer_lifetime_value', count(DISTINCT customer_id) FROM s_orders WHERE status = 'paid'""",
+)
+def medallion_gold_tables(shop):
+    """Silver tables written first, the gold ones from them."""
+    lake = fresh_dir(shop.spark, "lake")
+    orders = files.write_layer(shop.orders, lake, "silver", "orders")
+    products = files.write_layer(shop.products, lake, "silver", "products")
+    lines = files.write_layer(shop.lines, lake, "silver", "order_items")
+    alerts = files.write_layer(shop.alerts, lake, "silver", "fraud_alerts")
+    gold = files.write_gold(lake, orders, products, reports.sales_from_lines(lines, products), alerts)
+    return reports.table_counts(gold).toDF("table_name", "row_count")
+
+
 @query(
     "route_topics",
     "topic:s event_type:s n:l",

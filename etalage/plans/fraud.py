@@ -180,9 +180,7 @@ def fraud_by_country(shop):
     FROM s_alerts GROUP BY 1, 2, 3""",
 )
 def fraud_stats_daily(shop):
-    return shop.alerts.groupBy(
-        F.to_date("alert_date").alias("day"), "alert_type", "is_fraudulent"
-    ).agg(F.count("*").alias("alerts"), F.sum("amount").alias("amount"))
+    return fraud.daily_stats(shop.alerts)
 
 
 @query(

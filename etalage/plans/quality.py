@@ -181,6 +181,22 @@ def dq_drift_psi(shop):
     )
 
 
+@query(
+    "dq_profile",
+    "period:d rows:l null_share:f mean:r stddev:r",
+    """
+    SELECT period, "rows", null_share, mean, sqrt(greatest(squares / n - mean * mean, 0)) AS stddev FROM (
+        SELECT CAST(ts AS DATE) AS period, count(*) AS "rows", count(v) AS n,
+               CAST(count(*) - count(v) AS DOUBLE) / count(*) AS null_share,
+               CAST(sum(v) AS DOUBLE) / count(v) AS mean, CAST(sum(v * v) AS DOUBLE) AS squares
+        FROM (SELECT ts, CASE WHEN event_type <> 'signup' THEN value END AS v FROM s_events) GROUP BY 1)""",
+)
+def dq_profile(shop):
+    """Event values per day; sign-ups count as having none."""
+    valued = F.when(F.col("event_type") != "signup", F.col("value"))
+    return quality.profile(shop.events.withColumn("value", valued), "value", F.to_date("ts"))
+
+
 @query(
     "dq_reconcile",
     "outcome:s n:l difference:m",

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from etalage.operators import fraud, marts, reports
 from etalage.schemas import FILE_NAMES, FILES
 
 CORRUPT = "_corrupt"
@@ -92,6 +93,23 @@ def write_layer(
     return df.sparkSession.read.parquet(path)
 
 
+def write_gold(
+    lake: str,
+    orders: DataFrame,
+    products: DataFrame,
+    sales: DataFrame,
+    alerts: DataFrame,
+) -> dict[str, DataFrame]:
+    """The aggregate tables of the gold layer, from silver tables."""
+    gold = {
+        "daily_revenue": reports.daily_revenue(orders),
+        "top_products": reports.top_products(products, sales),
+        "fraud_stats": fraud.daily_stats(alerts),
+        "customer_lifetime_value": marts.lifetime_value(orders),
+    }
+    return {name: write_layer(df, lake, "gold", name) for name, df in gold.items()}
+
+
 def topic_of(event_type: str | Column, topics: dict[str, str]) -> Column:
     c = F.col(event_type) if isinstance(event_type, str) else event_type
     pairs = [F.lit(x) for kv in topics.items() for x in kv]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from etalage.operators import curate
+from etalage.operators import curate, quality, reports
 from etalage.operators.ordered import global_row_number
 from etalage.sources.files import CORRUPT, read_input, refresh
 
@@ -38,6 +38,64 @@ def full_load(spark: SparkSession, folder: str, out: str) -> dict[str, DataFrame
     return done
 
 
+def register_views(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Make the tables and the report views known to SQL by name."""
+    sales = reports.sales_by_product(tables["order_items"])
+    views = {
+        "daily_revenue": reports.daily_revenue(tables["orders"]),
+        "top_products": reports.top_products(tables["products"], sales),
+        "suspicious_payments": reports.suspicious_payments(
+            tables["payments"], tables["orders"], tables["customers"], tables["fraud_alerts"]
+        ).select(
+            "payment_id",
+            "payment_date",
+            "amount",
+            "payment_method",
+            "is_fraudulent",
+            "customer_id",
+            "customer_country",
+            "nb_alerts",
+        ),
+        "v_orders_details": reports.orders_details(
+            tables["orders"].select("order_id", "order_date", "status", "total_amount", "customer_id"),
+            tables["customers"].select("customer_id", "email", "first_name", "last_name"),
+            tables["order_items"],
+        ),
+        "v_suspicious_payments": reports.suspicious_scored(
+            tables["payments"].select(
+                "payment_id",
+                "order_id",
+                "amount",
+                F.col("payment_status").alias("status"),
+                curate.fraud_score(F.col("is_fraudulent")).alias("fraud_score"),
+                "is_fraudulent",
+            ),
+            tables["orders"],
+            tables["customers"],
+        ),
+    }
+    for name, df in {**tables, **views}.items():
+        df.createOrReplaceTempView(name)
+    return views
+
+
+def validate(tables: dict[str, DataFrame]) -> DataFrame:
+    """The report after a load: row counts, orphans, business totals."""
+    links = {
+        "orders_customers": (tables["orders"], tables["customers"], "customer_id"),
+        "order_items_products": (tables["order_items"], tables["products"], "product_id"),
+        "payments_orders": (tables["payments"], tables["orders"], "order_id"),
+    }
+    return quality.validation_report(
+        tables,
+        links,
+        tables["orders"],
+        tables["order_items"],
+        reports.sales_by_product(tables["order_items"]),
+        tables["payments"],
+    )
+
+
 def good_lines(df: DataFrame) -> DataFrame:
     """Parsed rows of a JSON lines scan."""
     return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from etalage.functions.columns import age_years, id_number, id_text, is_adult
 from etalage.operators import curate, reports
 from etalage.sources import files
-from etalage.sources.load import full_load
+from etalage.sources.load import full_load, register_views, validate
 from tests.conftest import at
 
 
@@ -116,6 +116,19 @@ def test_load_from_files(spark, tmp_path):
     assert [(r.alert_id, r.risk_score, r.action_taken) for r in t["fraud_alerts"]] == [("AL1", 0.80, "blocked")]
     assert len(t["addresses"]) == 2
 
+    tables = {name: spark.read.parquet(f"{out}/{name}") for name in t}
+    report = {r.check_name: (r.value, r.ok) for r in validate(tables).collect()}
+    assert report["rows_customers"] == (2.0, True)
+    assert report["orphans_orders_customers"] == (0.0, True)
+    assert report["paid_revenue"][0] == 47.83
+    assert report["fraud_rate"][0] == 100.0
+    register_views(tables)
+    assert spark.sql("SELECT nb_alerts, customer_country FROM suspicious_payments").first()[:] == (1, "BE")
+    assert spark.sql("SELECT items_count, email FROM v_orders_details").first().items_count == 1
+    assert spark.sql("SELECT fraud_score FROM v_suspicious_payments").first().fraud_score == 90.0
+    assert spark.sql("SELECT total_quantity FROM top_products").first().total_quantity == 2
+    assert spark.sql("SELECT nb_orders FROM daily_revenue").first().nb_orders == 1
+
 
 def test_bad_json_lines_are_kept_apart(spark, tmp_path):
     (tmp_path / "events.jsonl").write_text(
