@@ -14,6 +14,12 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 _CLOSED = "(SELECT max(ts) - INTERVAL 10 MINUTE FROM s_events)"
 
 
+def _state(shop, **more: str):
+    """State is laid out once, when a query first starts: as many partitions as there are cores."""
+    cores = str(shop.spark.sparkContext.defaultParallelism)
+    return settings(shop.spark, spark__sql__shuffle__partitions=cores, **more)
+
+
 def _events(shop):
     return shop.shape_events(streams.table_stream(shop.spark, shop.path, "events"))
 
@@ -68,7 +74,8 @@ def stream_bronze_append(shop):
     GROUP BY 1, 2 HAVING time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE <= {_CLOSED}""",
 )
 def stream_tumbling_5min(shop):
-    return streams.run_to_table(jobs.tumbling_counts(_events(shop)), "tumbling")
+    with _state(shop):
+        return streams.run_to_table(jobs.tumbling_counts(_events(shop)), "tumbling")
 
 
 @query(
@@ -77,9 +84,8 @@ def stream_tumbling_5min(shop):
     f"SELECT * FROM s_sessions WHERE session_end + INTERVAL 30 MINUTE <= {_CLOSED}",
 )
 def stream_sessions(shop):
-    with settings(
-        shop.spark,
-        spark__sql__streaming__sessionWindow__merge__sessions__in__local__partition="true",
+    with _state(
+        shop, spark__sql__streaming__sessionWindow__merge__sessions__in__local__partition="true"
     ):
         return streams.run_to_table(jobs.session_counts(_events(shop)), "sessions")
 
@@ -98,7 +104,8 @@ def stream_sessions(shop):
 def stream_velocity_sliding(shop):
     """Ten-minute windows, one per minute, with two or more attempts of a customer."""
     attempts = _events(shop).where(F.col("event_type").isin("purchase", "error"))
-    return streams.run_to_table(jobs.sliding_attempts(attempts, at_least=2), "velocity")
+    with _state(shop):
+        return streams.run_to_table(jobs.sliding_attempts(attempts, at_least=2), "velocity")
 
 
 @query(
@@ -116,9 +123,10 @@ def stream_late_drop(shop):
     )
     first, rest = _split(shop.events, "2024-01-10")
     arrivals = [first.where(~late), rest, shop.events.where(late)]
-    out, _ = streams.replay(
-        shop.spark, arrivals, lambda s: jobs.tumbling_counts(s, minutes=60), "late"
-    )
+    with _state(shop):
+        out, _ = streams.replay(
+            shop.spark, arrivals, lambda s: jobs.tumbling_counts(s, minutes=60), "late"
+        )
     return out
 
 
@@ -132,7 +140,8 @@ def stream_dedup(shop):
     ts = F.col("ts")
     first = shop.events.where(ts < F.lit("2024-01-16").cast("timestamp_ntz"))
     second = shop.events.where(ts >= F.lit("2024-01-15").cast("timestamp_ntz"))
-    out, _ = streams.replay(shop.spark, [first, second], jobs.unique_events, "unique")
+    with _state(shop):
+        out, _ = streams.replay(shop.spark, [first, second], jobs.unique_events, "unique")
     return out.groupBy("event_type").agg(
         F.count("*").alias("n"), F.countDistinct("event_id").alias("events")
     )
@@ -164,7 +173,8 @@ def stream_enrich(shop):
 def stream_interval_join(shop):
     clicks = _events(shop).where("event_type = 'click'")
     purchases = _events(shop).where("event_type = 'purchase'")
-    return streams.run_to_table(jobs.click_to_purchase(clicks, purchases), "pairs")
+    with _state(shop):
+        return streams.run_to_table(jobs.click_to_purchase(clicks, purchases), "pairs")
 
 
 @query(
@@ -183,7 +193,7 @@ def stream_rules_stateful(shop):
         "payment_id", "customer_id", "ts", "device_id", "ip_hash"
     )
     arrivals = _split(payments, "2024-01-15 12:00:00")
-    with settings(shop.spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
+    with _state(shop, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
         out, _ = streams.replay(shop.spark, arrivals, stateful.attempt_alerts, "alerts")
         return out
 
