@@ -35,27 +35,30 @@ class Shop:
         return self.spark.read.schema(STAR[name]).parquet(f"{self.path}/{name}.parquet")
 
     @cached_property
-    def customers(self) -> DataFrame:
+    def people(self) -> DataFrame:
+        """Customers without the name of their country, for queries that do not show it."""
         born = F.date_add(
             F.lit("1950-01-01").cast("date"), (F.col("c_custkey") * 37 % 21900).cast("int")
         )
         signed_up = F.date_add(
             F.lit("1994-01-01").cast("date"), (F.col("c_custkey") * 11 % 360).cast("int")
         )
-        return (
-            self.table("customer")
-            .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(
-                F.col("c_custkey").alias("customer_id"),
-                F.col("c_name").alias("name"),
-                F.col("n_name").alias("country"),
-                F.col("c_nationkey").alias("nk"),
-                born.alias("birthdate"),
-                signed_up.cast("timestamp_ntz").alias("signup_ts"),
-                money("c_acctbal").alias("balance"),
-                F.col("c_mktsegment").alias("segment"),
-            )
+        return self.table("customer").select(
+            F.col("c_custkey").alias("customer_id"),
+            F.col("c_name").alias("name"),
+            F.col("c_nationkey").alias("nk"),
+            born.alias("birthdate"),
+            signed_up.cast("timestamp_ntz").alias("signup_ts"),
+            money("c_acctbal").alias("balance"),
+            F.col("c_mktsegment").alias("segment"),
+        )
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        nations = self.table("nation").select(
+            F.col("n_nationkey").alias("nk"), F.col("n_name").alias("country")
         )
+        return self.people.join(nations, "nk")
 
     @cached_property
     def products(self) -> DataFrame:
@@ -282,7 +285,7 @@ class Shop:
             id_text("ID", c, 7)
         )
         expiry = F.when(c % 11 == 0, "2023-06-30").otherwise("2030-06-30").cast("date")
-        return self.customers.select(
+        return self.people.select(
             F.upper("name").alias("last_name"),
             F.upper("segment").alias("first_name"),
             F.when(c % 2 == 0, "F").otherwise("M").alias("sex"),

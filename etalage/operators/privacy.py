@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from etalage.functions.columns import age_years, flag, is_adult, salted_hash
+from etalage.session import write_through
 
 
 def age_check(labels: DataFrame, as_of: str) -> DataFrame:
@@ -56,7 +57,8 @@ def erase(
     Tables carrying ``key`` lose its rows directly; ``children`` maps a table to (parent, column)
     for those that go with their parent's rows.
     """
-    gone = erased.select(key).distinct()
+    # Written once, so that every table is rid of the same keys.
+    gone = write_through(erased.select(key).distinct(), "erased")
     kept = {}
     for name, df in tables.items():
         if name in children:

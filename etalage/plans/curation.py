@@ -169,7 +169,7 @@ def payments_scored(shop):
 def addresses_build(shop):
     """Customers of one segment have an address already; the others get one."""
     people = curate.customers(shop.raw("customers"))
-    has_one = shop.customers.where("segment = 'BUILDING'").select(
+    has_one = shop.people.where("segment = 'BUILDING'").select(
         id_text("C", "customer_id", 5).alias("customer_id")
     )
     existing = global_row_number(
@@ -200,7 +200,7 @@ def addresses_latest(shop):
     FROM s_people""",
 )
 def adult_flag(shop):
-    return curate.adults(shop.customers.withColumnRenamed("birthdate", "date_of_birth"), AS_OF)
+    return curate.adults(shop.people.withColumnRenamed("birthdate", "date_of_birth"), AS_OF)
 
 
 @query(
@@ -211,7 +211,7 @@ def adult_flag(shop):
     FROM s_people GROUP BY 1""",
 )
 def customer_age_bands(shop):
-    people = curate.adults(shop.customers, AS_OF, born="birthdate")
+    people = curate.adults(shop.people, AS_OF, born="birthdate")
     return people.groupBy((F.floor(F.col("age") / 10) * 10).alias("band")).agg(
         F.count("*").alias("n"), F.count_if("is_adult").alias("n_adults")
     )
@@ -257,7 +257,7 @@ _GOOD = "SELECT customer_id FROM s_customers WHERE balance >= 0"
 )
 def semi_valid_orders(shop):
     """Orders whose customer is in the valid set: accounts in credit."""
-    return shop.orders.join(shop.customers.where("balance >= 0"), "customer_id", "left_semi")
+    return shop.orders.join(shop.people.where("balance >= 0"), "customer_id", "left_semi")
 
 
 @query(
@@ -266,7 +266,7 @@ def semi_valid_orders(shop):
     f"SELECT order_id, customer_id, total_amount FROM s_orders WHERE customer_id NOT IN ({_GOOD})",
 )
 def anti_rejected_orders(shop):
-    return shop.orders.join(shop.customers.where("balance >= 0"), "customer_id", "left_anti")
+    return shop.orders.join(shop.people.where("balance >= 0"), "customer_id", "left_anti")
 
 
 @query(
@@ -334,7 +334,7 @@ def positional_link(shop):
 def scalar_lookup(shop):
     """Customer number by the e-mail an order carries; null where no account in credit has it."""
     email = F.concat(F.lower(id_text("C", "customer_id", 5)), F.lit("@shop.example"))
-    by_email = shop.customers.where("balance >= 0").select(email.alias("email"), "customer_id")
+    by_email = shop.people.where("balance >= 0").select(email.alias("email"), "customer_id")
     return curate.lookup_first(
         shop.orders.select("order_id", email.alias("email")), "email", by_email, "customer_id"
     )
@@ -361,8 +361,8 @@ def scalar_lookup(shop):
 )
 def upsert_stamped(shop):
     """Incoming rows: two segments with overdrafts cleared, and the suppliers as new customers."""
-    current = shop.customers.withColumnRenamed("signup_ts", "updated_at")
-    cleared = shop.customers.where(F.col("segment").isin("BUILDING", "MACHINERY")).select(
+    current = shop.people.withColumnRenamed("signup_ts", "updated_at")
+    cleared = shop.people.where(F.col("segment").isin("BUILDING", "MACHINERY")).select(
         "customer_id",
         F.greatest("balance", F.lit(0).cast("decimal(18,2)")).alias("balance"),
         "segment",
@@ -413,7 +413,7 @@ def dedup_latest(shop):
 )
 def split_70_15_15(shop):
     b = hash_bucket("customer_id")
-    return shop.customers.select(
+    return shop.people.select(
         "customer_id",
         F.when(b < 70, "train").when(b < 85, "validation").otherwise("test").alias("part"),
     )

@@ -297,7 +297,7 @@ def product_pairs(shop):
     WHERE age < 18""",
 )
 def restricted_sales_to_minors(shop):
-    return marts.restricted_to_minors(shop.lines, shop.products, shop.orders, shop.customers)
+    return marts.restricted_to_minors(shop.lines, shop.products, shop.orders, shop.people)
 
 
 @query(

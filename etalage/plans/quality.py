@@ -39,7 +39,7 @@ def _sql_checks(parts: list[tuple[str, str, str]]) -> str:
 def dq_unique(shop):
     return quality.union_all(
         [
-            quality.unique(shop.customers, "customers", ["customer_id"]),
+            quality.unique(shop.people, "customers", ["customer_id"]),
             quality.unique(shop.products, "products", ["product_id"]),
             quality.unique(shop.products, "products", ["name"]),
             quality.unique(shop.orders, "orders", ["order_id"]),
@@ -122,7 +122,7 @@ def dq_ranges(shop):
     items = curate.price_lines(shop.lines, shop.products)
     return quality.union_all(
         [
-            quality.in_range(shop.customers, "customers", {"balance": F.col("balance") >= 0}),
+            quality.in_range(shop.people, "customers", {"balance": F.col("balance") >= 0}),
             quality.in_range(shop.products, "products", {"price": F.col("price") >= 0}),
             quality.in_range(shop.orders, "orders", {"total_amount": F.col("total_amount") >= 0}),
             quality.in_range(
@@ -281,10 +281,10 @@ _INACTIVE = """
 def gdpr_erase(shop):
     """Erase the customers without an order since 2001, with all that hangs on them."""
     recent = shop.orders.where(F.col("order_date") >= F.lit("2001-01-01").cast("timestamp_ntz"))
-    erased = shop.customers.join(recent, "customer_id", "left_anti")
+    erased = shop.people.join(recent, "customer_id", "left_anti")
     kept = privacy.erase(
         {
-            "customers": shop.customers,
+            "customers": shop.people,
             "sessions": shop.sessions,
             "orders": shop.orders,
             "order_items": shop.lines,

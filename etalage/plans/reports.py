@@ -21,14 +21,14 @@ def _linked(shop):
 def tables(shop) -> dict:
     """The curated tables by name."""
     return {
-        "customers": shop.customers,
+        "customers": shop.people,
         "products": shop.products,
         "sessions": shop.sessions,
         "orders": shop.orders,
         "order_items": shop.lines,
         "payments": shop.attempts,
         "fraud_alerts": shop.alerts,
-        "addresses": shop.customers,
+        "addresses": shop.people,
     }
 
 
@@ -119,7 +119,7 @@ def suspicious_payments_scored(shop):
         curate.fraud_score(F.col("is_fraudulent")).alias("fraud_score"),
         "is_fraudulent",
     )
-    people = shop.customers.select(
+    people = shop.people.select(
         "customer_id",
         F.concat(F.lit("customer"), F.col("customer_id").cast("string"), F.lit("@shop.example")).alias(
             "email"
@@ -237,10 +237,10 @@ def orphan_links(shop) -> dict:
     paid = shop.orders.where("status = 'paid'")
     by_number = shop.attempts.select(F.col("payment_id").alias("order_id"))
     return {
-        "orders_customers": (shop.orders, shop.customers, "customer_id"),
+        "orders_customers": (shop.orders, shop.people, "customer_id"),
         "order_items_products": (shop.lines, shop.products, "product_id"),
         "order_items_orders": (shop.lines, shop.orders, "order_id"),
-        "payments_customers": (shop.attempts, shop.customers, "customer_id"),
+        "payments_customers": (shop.attempts, shop.people, "customer_id"),
         "payments_orders": (by_number, paid, "order_id"),
         "alerts_payments": (shop.alerts, shop.attempts, "payment_id"),
     }
