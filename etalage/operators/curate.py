@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from etalage.functions import values as v
@@ -149,26 +149,24 @@ def price_lines_by_name(raw: DataFrame, products: DataFrame) -> DataFrame:
 def link_nearest(payments: DataFrame, orders: DataFrame, reach: int = 4) -> DataFrame:
     """Payment number -> order number: the same, else the smallest within ``reach``; unlinked left out.
 
-    The near search is an equi-join on the listed neighbours, not a range condition.
+    The near search is an equi-join on the listed neighbours, not a range condition. Only numbers are
+    joined to find the links; the payments themselves move once, at the end.
     """
-    ids = orders.select(F.col("order_id").alias("_oid"))
-    exact = payments.join(ids, F.col("payment_id") == F.col("_oid"), "left")
-    rest = exact.where("_oid is null").drop("_oid")
+    numbers = payments.select("payment_id").distinct()
+    same = orders.select(F.col("order_id").alias("payment_id"))
+    exact = numbers.join(same, "payment_id", "left_semi").select(
+        "payment_id", F.col("payment_id").alias("order_id"), F.lit("exact").alias("link")
+    )
+    neighbours = F.sequence(F.col("payment_id") - F.lit(reach), F.col("payment_id") + F.lit(reach))
     near = (
-        rest.select(
-            "payment_id",
-            F.explode(
-                F.sequence(F.col("payment_id") - F.lit(reach), F.col("payment_id") + F.lit(reach))
-            ).alias("_oid"),
-        )
-        .join(ids, "_oid")
+        numbers.join(same, "payment_id", "left_anti")
+        .select("payment_id", F.explode(neighbours).alias("order_id"))
+        .join(orders.select("order_id"), "order_id")
         .groupBy("payment_id")
-        .agg(F.min("_oid").alias("_oid"))
+        .agg(F.min("order_id").alias("order_id"))
+        .withColumn("link", F.lit("near"))
     )
-    matched = exact.where("_oid is not null").withColumn("link", F.lit("exact"))
-    return matched.unionByName(
-        rest.join(near, "payment_id").withColumn("link", F.lit("near"))
-    ).withColumnRenamed("_oid", "order_id")
+    return payments.join(exact.unionByName(near), "payment_id")
 
 
 def link_by_position(
@@ -288,7 +286,5 @@ def dedup_latest(df: DataFrame, key: list[str], latest: list[Column]) -> DataFra
 
     Spark limits each key to one row before the shuffle, so a key with many copies stays small.
     """
-    from pyspark.sql import Window
-
     w = Window.partitionBy(*key).orderBy(*latest)
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")

@@ -76,7 +76,8 @@ def trailing(
     leave mark per count just after t + seconds (-1); the running sum of the marks is the count, at
     linear cost however many rows a range holds. ``totals`` maps a name to the column to add up over
     the rows before, ``previous`` maps a new name to the column whose value on the row before is
-    wanted; before means by ts, then ``order``. All of it takes one large shuffle.
+    wanted; before means by ts, then ``order``. All of it takes one large shuffle. A row without a
+    time is kept, counts for no other, and has nulls for all of these.
     """
     totals, previous = totals or {}, previous or {}
     columns = [c for c in df.columns if c != key]
@@ -84,7 +85,9 @@ def trailing(
     shape = df.select(payload.alias("p"), *[c.alias(n) for n, c in totals.items()]).schema
     empty = F.lit(None).cast(shape["p"].dataType)
     tie = F.col(order) if order else F.lit(0)
-    hits = {n: F.coalesce(cond.cast("int"), F.lit(0)) for n, (cond, _) in counts.items()}
+    dated = F.col(ts).isNotNull()
+    hits = {n: F.when(dated & cond, 1).otherwise(0) for n, (cond, _) in counts.items()}
+    adds = {n: F.when(dated, c) for n, c in totals.items()}
     t = micros(ts)
 
     def mark(at: Column, row: Column, steps: dict[str, Column], sums: dict[str, Column]) -> Column:
@@ -109,13 +112,13 @@ def trailing(
         )
         for n, (_, seconds) in counts.items()
     ]
-    entering = mark(t * 2, payload, hits, totals)
+    entering = mark(t * 2, payload, hits, adds)
 
     # The marks, not the rows, are what a slice holds: cut by their times.
     marks = [entering, *leaving]
     times = df.select(F.explode(F.array(*[m["_at"] for m in marks])).alias("_at"))
     cuts = cut_points(times, F.col("_at"), slices or slice_count(df.sparkSession))
-    swept = df.select(key, F.inline(F.array(*marks))).where("_at is not null")
+    swept = df.select(key, F.inline(F.array(*marks))).where("_at is not null or _row is not null")
     swept = sliced(swept, F.col("_at"), cuts)
 
     # What each slice passes on: the sums of its marks, and its last row.
@@ -123,10 +126,12 @@ def trailing(
     passed = [F.sum(n).alias(f"_s_{n}") for n in sums]
     if previous:
         wanted = F.when(
-            F.col("_row").isNotNull(),
+            F.col("_row").isNotNull() & F.col("_at").isNotNull(),
             F.struct(*[F.col(f"_row.{c}").alias(n) for n, c in previous.items()]),
         )
-        last_at = F.when(F.col("_row").isNotNull(), F.struct("_at", "_tie"))
+        last_at = F.when(
+            F.col("_row").isNotNull() & F.col("_at").isNotNull(), F.struct("_at", "_tie")
+        )
         passed.append(F.max_by(wanted, last_at).alias("_last"))
     summary = swept.groupBy(key, "_slice").agg(*passed)
     earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -158,12 +163,14 @@ def trailing(
 
     zero = F.lit(0)
 
+    had_time = F.col(f"_row.{ts}").isNotNull()
+
     def added(n: str) -> Column:
-        return F.coalesce(n, zero) + F.coalesce(f"_s_{n}", zero)
+        return F.when(had_time, F.coalesce(n, zero) + F.coalesce(f"_s_{n}", zero))
 
     out = inside.join(carried, [key, "_slice"], "left")
     if previous:
-        out = out.withColumn("_before", F.coalesce("_before", "_last"))
+        out = out.withColumn("_before", F.when(had_time, F.coalesce("_before", "_last")))
     return out.select(
         key,
         "_row.*",

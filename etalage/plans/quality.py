@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from etalage.domain import AS_OF
 from etalage.functions import values as v
-from etalage.operators import curate, privacy, quality
+from etalage.operators import curate, privacy, quality, reports
 from etalage.plans.registry import query
 
 _CHECK = "check_name:s rows:l failed:l"
@@ -295,9 +295,7 @@ def gdpr_erase(shop):
         "customer_id",
         children={"order_items": ("orders", "order_id"), "fraud_alerts": ("payments", "payment_id")},
     )
-    from etalage.operators.reports import table_counts
-
-    return table_counts(kept).toDF("table_name", "row_count")
+    return reports.table_counts(kept).toDF("table_name", "row_count")
 
 
 def _digest(columns: str) -> str:

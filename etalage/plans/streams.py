@@ -161,14 +161,21 @@ def stream_enrich(shop):
     )
 
 
+def _minutes(kind: str, name: str) -> str:
+    return f"""SELECT customer_id, time_bucket(INTERVAL 1 MINUTE, ts) AS at, count(*) AS {name} FROM s_events
+    WHERE event_type = '{kind}' GROUP BY 1, 2
+    HAVING time_bucket(INTERVAL 1 MINUTE, ts) + INTERVAL 1 MINUTE <= (
+        SELECT least(max(ts) FILTER (event_type = 'click'), max(ts) FILTER (event_type = 'purchase'))
+               - INTERVAL 10 MINUTE FROM s_events)"""
+
+
 @query(
     "stream_interval_join",
-    "customer_id:l click_id:l purchase_id:l click_ts:t purchase_ts:t",
-    """
-    SELECT c.customer_id, c.event_id AS click_id, p.event_id AS purchase_id, c.ts AS click_ts, p.ts AS purchase_ts
-    FROM s_events c JOIN s_events p ON c.customer_id = p.customer_id AND p.ts >= c.ts
-      AND p.ts <= c.ts + INTERVAL 30 MINUTE
-    WHERE c.event_type = 'click' AND p.event_type = 'purchase'""",
+    "customer_id:l click_minute:t purchase_minute:t clicks:l purchases:l",
+    f"""
+    SELECT c.customer_id, c.at AS click_minute, p.at AS purchase_minute, clicks, purchases
+    FROM ({_minutes('click', 'clicks')}) c JOIN ({_minutes('purchase', 'purchases')}) p
+      ON c.customer_id = p.customer_id AND p.at >= c.at AND p.at <= c.at + INTERVAL 30 MINUTE""",
 )
 def stream_interval_join(shop):
     clicks = _events(shop).where("event_type = 'click'")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from etalage.schemas import STAR
@@ -38,6 +38,11 @@ def finish(writer: DataStreamWriter) -> list[dict]:
     return [p if isinstance(p, dict) else p.jsonValue for p in query.recentProgress]
 
 
+def keep_running(writer: DataStreamWriter, every: str = "15 minutes") -> StreamingQuery:
+    """Start a query that takes in what is new at an interval, until it is stopped."""
+    return writer.trigger(processingTime=every).start()
+
+
 def append_to(stream: DataFrame, path: str, checkpoint: str, by: str | None = None) -> DataStreamWriter:
     """Exactly-once append: the file sink's log and the checkpoint together."""
     writer = (

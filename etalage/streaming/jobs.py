@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from etalage.functions.columns import slice_of
-
 DELAY = "10 minutes"
 
 
@@ -72,39 +70,39 @@ def enrich(events: DataFrame, customers: DataFrame) -> DataFrame:
     return events.join(customers.select("customer_id", "country", "segment"), "customer_id", "left")
 
 
+def _per_minute(events: DataFrame, count: str, at: str, who: str, delay: str) -> DataFrame:
+    w = F.window("ts", "1 minute")
+    counts = (
+        timed(events)
+        .withWatermark("ts", delay)
+        .groupBy(w.alias("w"), F.col("customer_id").alias(who))
+        .agg(F.count("*").alias(count))
+    )
+    return counts.select(who, F.window_time("w").alias(at), count)
+
+
 def click_to_purchase(
     clicks: DataFrame, purchases: DataFrame, minutes: int = 30, delay: str = DELAY
 ) -> DataFrame:
-    """Click-purchase pairs of a customer at most ``minutes`` apart, stream to stream.
+    """Minutes with purchases and the minutes with clicks of the same customer up to ``minutes`` before.
 
-    The join key holds the time slice as well, a click being sent to its slice and the next, so
-    that the state of a busy customer is spread over the tasks.
+    Both streams are counted per customer and minute before they meet, so that a customer has at most
+    one row per minute on either side and ``minutes`` + 1 matches per row, however busy.
     """
-    seconds = minutes * 60
-    c = (
-        timed(clicks)
-        .select("customer_id", F.col("ts").alias("click_ts"), F.col("event_id").alias("click_id"))
-        .withWatermark("click_ts", delay)
-        .withColumn("slice", slice_of("click_ts", seconds))
-        .withColumn("slice", F.explode(F.array(F.col("slice"), F.col("slice") + 1)))
-    )
-    p = (
-        timed(purchases)
-        .select(
-            F.col("customer_id").alias("buyer"),
-            F.col("ts").alias("purchase_ts"),
-            F.col("event_id").alias("purchase_id"),
-            slice_of("ts", seconds).alias("buy_slice"),
-        )
-        .withWatermark("purchase_ts", delay)
-    )
+    c = _per_minute(clicks, "clicks", "click_at", "customer_id", delay)
+    p = _per_minute(purchases, "purchases", "purchase_at", "buyer", delay)
     near = (
         (F.col("customer_id") == F.col("buyer"))
-        & (F.col("slice") == F.col("buy_slice"))
-        & (F.col("purchase_ts") >= F.col("click_ts"))
-        & (F.col("purchase_ts") <= F.col("click_ts") + F.expr(f"interval {minutes} minutes"))
+        & (F.col("purchase_at") >= F.col("click_at"))
+        & (F.col("purchase_at") <= F.col("click_at") + F.expr(f"interval {minutes} minutes"))
+    )
+    return c.join(p, near).select(
+        "customer_id",
+        F.date_trunc("minute", "click_at").alias("click_minute"),
+        F.date_trunc("minute", "purchase_at").alias("purchase_minute"),
+        "clicks",
+        "purchases",
     )
-    return c.join(p, near).select("customer_id", "click_id", "purchase_id", "click_ts", "purchase_ts")
 
 
 def write_twice(table: str, topic: str):

@@ -60,6 +60,16 @@ def test_trailing_counts_and_previous(frame, rows, slices):
             assert got[r[2]] == (len(near), len(day), total, line[i - 1][2] if i else None)
 
 
+def test_trailing_keeps_rows_without_a_time(spark):
+    df = spark.createDataFrame([(1, None, 1, "a", 5), (1, at(0), 2, "a", 5), (1, at(60), 3, "a", 5)], SCHEMA)
+    out = ordered.trailing(
+        df, "customer_id", "ts", counts={"n": (F.lit(True), 600)}, totals={"total": F.col("value")},
+        previous={"prev": "id"}, order="id",
+    )
+    got = {r.id: (r.n, r.total, r.prev) for r in out.collect()}
+    assert got == {1: (None, None, None), 2: (1, 0, None), 3: (2, 5, 2)}
+
+
 def test_history(frame, rows):
     out = ordered.with_history(
         frame,
