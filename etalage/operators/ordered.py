@@ -190,7 +190,11 @@ def with_rows_before(
     """
     placed = by_time(df, ts, slices)
     newest = Window.partitionBy(key, "_slice").orderBy(F.col(ts).desc(), F.col(order).desc())
-    tails = placed.withColumn("_back", F.row_number().over(newest)).where(F.col("_back") <= rows)
+    tails = (
+        placed.repartition(key, "_slice")
+        .withColumn("_back", F.row_number().over(newest))
+        .where(F.col("_back") <= rows)
+    )
     line = Window.partitionBy(key).orderBy(ts, order)
     carried = (
         tails.withColumn("_before", F.collect_list(F.struct(*df.columns)).over(line.rowsBetween(-rows, -1)))
@@ -294,14 +298,14 @@ def sessionize(
     parts = (
         rows.withColumn("_new", (F.coalesce(gap_before, gap_us + 1) > gap_us).cast("int"))
         .withColumn("_part", F.sum("_new").over(inside))
-        .groupBy(key, "_slice", "_part")
+        .withColumn("_last", F.max("_part").over(Window.partitionBy(key, "_slice")))
+        .groupBy(key, "_slice", "_part", "_last")
         .agg(
             F.min("_ts").alias("session_start"),
             F.max("_ts").alias("session_end"),
             *[F.sum(n).alias(n) for n in sums],
             *[F.min_by(n, F.struct("_ts", "_tie")).alias(n) for n in firsts],
         )
-        .withColumn("_last", F.max("_part").over(Window.partitionBy(key, "_slice")))
     )
     cols = [key, "session_start", "session_end", *sums, *firsts]
     inner = parts.where("_part > 1 and _part < _last").select(cols)
