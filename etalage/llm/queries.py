@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from etalage.llm import bpe, simhash, toxicity, url_filter
+from etalage.llm import bpe, exact_dedup, mixing, quality, simhash, toxicity, url_filter
+from etalage.llm.common import word_count
 from etalage.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +34,84 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query(
+    "op1_exact_dedup",
+    """
+        WITH hashed AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        grouped AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM hashed GROUP BY t)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
+        FROM hashed JOIN grouped USING (t)
+    """,
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), F.col("doc_id"))
+    return found.select(
+        F.col("key").alias("doc_id"),
+        F.col("keeper.key").alias("keep_id"),
+        F.col("n").alias("group_size"),
+        "kept",
+        F.col("digest").alias("text_sha256"),
+    )
+
+
+#: The sources' weights in turn, and how many times its size a source may give.
+MIX_WEIGHTS, MIX_MOST = [5, 2, 1], 3
+#: Over the training a source grows rarer, stays as it is, or comes more and more, in turn.
+MIX_SHAPES = [[(0.0, 1.5), (1.0, 0.5)], [(0.0, 1.0), (1.0, 1.0)], [(0.0, 0.5), (0.5, 1.0), (1.0, 1.5)]]
+
+
+def mixed(docs: DataFrame, key: Column) -> DataFrame:
+    return mixing.mix(docs, key, F.col("source"), word_count(F.col("text")), MIX_WEIGHTS, MIX_SHAPES, MIX_MOST)
+
+
+MIX_SQL = r"""
+    WITH sized AS (
+        SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
+    ), sources AS (
+        SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM sized GROUP BY source
+    ), weighed AS (
+        SELECT *, CASE (rank - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, 3 * source_size AS cap FROM sources
+    ), levels AS (
+        SELECT *, row_number() OVER (ORDER BY cap / weight, rank) AS nth, CAST((SELECT sum(source_size) FROM weighed)
+                - coalesce(sum(cap) OVER (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+            / CAST(sum(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
+        FROM weighed
+    ), chosen AS (
+        SELECT coalesce(arg_min(level, nth) FILTER (level * weight <= cap), 0) AS level FROM levels
+    ), targets AS (
+        SELECT source, source_size, rank, least(CAST(cap AS DOUBLE), chosen.level * weight) AS target FROM weighed, chosen
+    ), tapes AS (
+        SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
+            coalesce(sum(size) OVER (
+                PARTITION BY s.source ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), size, doc_id
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+        FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+    ), taken AS (
+        SELECT *, CASE WHEN size > 0 THEN
+            CAST(CAST(2 * start + size AS DOUBLE) <= 2 * target AS BIGINT)
+            + CAST(CAST(2 * start + 2 * source_size + size AS DOUBLE) <= 2 * target AS BIGINT)
+            + CAST(CAST(2 * start + 4 * source_size + size AS DOUBLE) <= 2 * target AS BIGINT) ELSE 0 END AS copies
+        FROM tapes
+    )
+    SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken FROM taken
+"""
+
+
+@query("op3_source_mix", MIX_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixed(table(spark, sf_dir, "documents"), F.col("doc_id"))
+    return found.select(
+        F.col("key").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("bigint").alias("taken")
+    )
+
+
+@query("op4_quality_rules")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.quality(table(spark, sf_dir, "documents"), {"doc_id": F.col("doc_id")})
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return found.select("doc_id", *counts, "base_failed", "kept")
+
+
 #: Fixed rules: verdict, host, start of the path.
 URL_RULES = [
     ("allow", "com", "/"),
