@@ -7,12 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from etalage.llm import simhash
-from etalage.llm.common import located, without
-from etalage.llm.queries import bpe_digests
+from etalage.llm import exact_dedup, mixing, quality, simhash
+from etalage.llm.common import located, without, word_count
+from etalage.llm.queries import MIX_MOST, MIX_SHAPES, MIX_WEIGHTS, bpe_digests
 from etalage.session import prepare, write_through
 
 
+def by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    rows = located(docs, [F.col("text"), F.col("lang"), F.col("source")])
+    judged = quality.quality(rows, {"_loc": F.col("_loc")})
+    return without(docs, judged.where("not kept").select("_loc"))
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each text stays: the largest id, then the last place."""
+    found = exact_dedup.exact_duplicates(docs, F.col("doc_id"))
+    return without(docs, found.where("not kept").select("_loc"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHash near-duplicates stays: the smallest id, then the first place."""
     rows = located(docs, [F.col("doc_id"), F.col("text")])
@@ -21,13 +34,27 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without(docs, found.where("key <> component").select("key._loc"))
 
 
+def in_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents the mix takes, as often as it takes them, in the order of training."""
+    columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+    rows = write_through(located(docs, [columns]), "rows")
+    mixed = mixing.mix(
+        rows, F.struct("_doc.doc_id", "_loc"), F.col("_doc.source"), word_count(F.col("_doc.text")), MIX_WEIGHTS, MIX_SHAPES, MIX_MOST
+    )
+    copies = mixing.in_order(mixed, MIX_SHAPES)
+    return copies
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every document that is in the mix."""
     return bpe_digests(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("by_rules", by_rules),
+    ("exact", exact),
     ("near_dedup", near_dedup),
+    ("in_mix", in_mix),
     ("tokens", tokens),
 ]
 

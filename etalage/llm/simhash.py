@@ -185,7 +185,11 @@ def near_duplicates(docs: DataFrame, key: Column, text: str = "text", shingle: i
     grouped = nodes.join(roots, "node")
     least = grouped.groupBy("root").agg(F.min("least").alias("component"))
     linked = grouped.select("node", "root").join(least, "root").select("node", "component")
-    named = nodes.join(linked, "node", "left").select(
-        F.col("node").alias("fingerprint"), F.coalesce("component", "least").alias("component")
+    # Written, so that the last join reads two plain tables and a fingerprint with many rows can be split.
+    named = write_through(
+        nodes.join(linked, "node", "left").select(
+            F.col("node").alias("fingerprint"), F.coalesce("component", "least").alias("component")
+        ),
+        "named",
     )
     return rows.join(named, "fingerprint").select("key", "fingerprint", "component")
