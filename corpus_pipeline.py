@@ -36,13 +36,19 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def in_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents the mix takes, as often as it takes them, in the order of training."""
-    columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
-    rows = write_through(located(docs, [columns]), "rows")
+    rows = located(docs, [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")])
     mixed = mixing.mix(
-        rows, F.struct("_doc.doc_id", "_loc"), F.col("_doc.source"), word_count(F.col("_doc.text")), MIX_WEIGHTS, MIX_SHAPES, MIX_MOST
+        located(docs, [F.col("doc_id"), F.col("source"), F.col("text")]),
+        F.col("_loc"),
+        F.col("source"),
+        word_count(F.col("text")),
+        MIX_WEIGHTS,
+        MIX_SHAPES,
+        MIX_MOST,
+        order_by=F.col("doc_id"),
     )
-    copies = mixing.in_order(mixed, MIX_SHAPES)
-    return copies
+    taken = mixed.where("copies > 0").join(rows.withColumnRenamed("_loc", "key"), "key")
+    return mixing.in_order(taken, MIX_SHAPES).select("_doc.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

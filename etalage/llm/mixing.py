@@ -85,23 +85,26 @@ def mix(
     weights: list[int],
     shapes: list[Shape] | None = None,
     most: int = 3,
+    order_by: Column | None = None,
     rows_per_slice: int = 100_000,
 ) -> DataFrame:
     """key, size, source_size, target, shape, start (the row's place on its source's tape, in words), copies
     (times the mix takes the row) and position: when its first copy comes, null if it is not taken.
 
-    The tape of a source is cut into slices by the hash that orders it, so that a source with a third
+    ``order_by`` is hashed for the order of a tape; if not given, the key is. The tape of a source is cut into slices by the hash that orders it, so that a source with a third
     of all rows is as many tasks; sums of slices say where each begins.
     """
     shapes = shapes or [FLAT]
-    order = F.md5(F.coalesce(F.col("key").cast("string"), F.lit("")).cast("binary"))
+    hashed = F.md5(F.coalesce((key if order_by is None else order_by).cast("string"), F.lit("")).cast("binary"))
     rows = write_through(
-        docs.select(key.alias("key"), size.cast("bigint").alias("size"), source.alias("source")).select(
+        docs.select(
+            key.alias("key"), size.cast("bigint").alias("size"), source.alias("source"), hashed.alias("order")
+        ).select(
             "key",
             "size",
             # One that is never null, so that joins and windows hash it alike.
             F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("s"), F.col("source"))).alias("source_key"),
-            order.alias("order"),
+            "order",
         ),
         "sizes",
     )
@@ -144,7 +147,8 @@ def position(turn: Column, shapes: list[Shape]) -> Column:
 
 
 def in_order(mixed: DataFrame, shapes: list[Shape] | None = None) -> DataFrame:
-    """A row for each copy of each row of :func:`mix`, range-sorted by its position."""
+    """A row for each copy of each row of :func:`mix` (with whatever has been joined to it), range-sorted
+    by the copy's position."""
     turns = F.sequence(F.lit(0), F.col("copies") - 1)
     copies = mixed.where("copies > 0").withColumn("turn", F.explode(turns))
     timed = copies.withColumn("position", position(F.col("turn"), shapes or [FLAT]))
