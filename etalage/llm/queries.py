@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from etalage.llm import bpe, exact_dedup, mixing, quality, simhash, toxicity, url_filter
+from etalage.llm import (
+    bpe,
+    exact_dedup,
+    html_extract,
+    license_scan,
+    mixing,
+    quality,
+    secret_scan,
+    simhash,
+    toxicity,
+    url_filter,
+)
 from etalage.llm.common import word_count
 from etalage.session import prepare
 
@@ -193,3 +204,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
         F.size("offending").cast("bigint").alias("n_offending"),
     )
+
+
+@query("op8_html_extract")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"), "repeated_words")
+
+
+@query("op2_license_scan")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+@query("op7_secret_scan")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs, {"doc_id": F.col("doc_id")}, F.col("source"))
+    # The value itself is not passed on.
+    return found.select("doc_id", "word_no", F.sha2("value", 256).alias("value_sha256"), F.length("value").alias("n_chars"), "score", "is_secret")
