@@ -67,6 +67,15 @@ def bags(docs: DataFrame, label: str, text: str) -> DataFrame:
     return rows.mapInArrow(run, "label int, ids array<int>, sizes array<int>")
 
 
+def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The lists of a column as slices of its own buffers."""
+    out: list[np.ndarray] = []
+    for chunk in column.chunks:
+        values, offsets = chunk.values.to_numpy(), chunk.offsets.to_numpy()
+        out += [values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    return out
+
+
 def fit(bagged: pa.Table, share: dict[int, float], epochs: int = 30, rate: float = 0.3, shrink: float = 1e-4, per_step: int = 128) -> Model:
     """Noisy-or logistic regression by stochastic gradient steps scaled by past gradients.
 
@@ -74,9 +83,8 @@ def fit(bagged: pa.Table, share: dict[int, float], epochs: int = 30, rate: float
     these shares however many of each were drawn. Rows come in the order given; the result is the
     same in every run.
     """
-    ids = [np.asarray(x, np.int64) for x in bagged.column("ids").to_pylist()]
-    sizes = [np.asarray(x, np.int64) for x in bagged.column("sizes").to_pylist()]
-    label = np.asarray(bagged.column("label").to_pylist(), np.int64)
+    ids, sizes = _lists(bagged.column("ids")), _lists(bagged.column("sizes"))
+    label = bagged.column("label").to_numpy().astype(np.int64)
     used = np.array([i for i, x in enumerate(sizes) if len(x)], np.int64)
     weights, bias = np.zeros(BUCKETS), -6.0
     drawn = {c: float((label[used] == c).sum()) for c in (0, 1)}
@@ -107,7 +115,7 @@ def fit(bagged: pa.Table, share: dict[int, float], epochs: int = 30, rate: float
     return Model(weights, bias)
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 4000, key: str = "doc_id", label: str = "toxic", text: str = "text") -> Model:
+def train(docs: DataFrame, labels: DataFrame, per_class: int = 6000, key: str = "doc_id", label: str = "toxic", text: str = "text") -> Model:
     """Fit on at most ``per_class`` labelled documents of each class, drawn by a hash of the id.
 
     The bound is on what goes to the driver: word buckets of the drawn rows. Class shares are
