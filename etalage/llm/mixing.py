@@ -72,7 +72,7 @@ def inverse(share: Column, shape: Shape) -> Column:
         # d0 x + slope x^2 / 2 = rest, solved for x in the form that also holds for a slope of zero.
         rest = share * F.lit(passed) - F.lit(before)
         root = F.sqrt(F.greatest(F.lit(d0 * d0) + F.lit(2 * slope) * rest, F.lit(0.0)))
-        time = F.lit(t0) + F.lit(2.0) * rest / (F.lit(d0) + root)
+        time = F.lit(t0) + F.coalesce(F.try_divide(F.lit(2.0) * rest, F.lit(d0) + root), F.lit(0.0))
         out = F.when(share * F.lit(passed) < F.lit(after), time).otherwise(out)
     return out
 
@@ -86,7 +86,7 @@ def mix(
     shapes: list[Shape] | None = None,
     most: int = 3,
     order_by: Column | None = None,
-    rows_per_slice: int = 100_000,
+    rows_per_slice: int = 20_000,
 ) -> DataFrame:
     """key, size, source_size, target, shape, start (the row's place on its source's tape, in words), copies
     (times the mix takes the row) and position: when its first copy comes, null if it is not taken.
@@ -139,7 +139,7 @@ def mix(
 
 def position(turn: Column, shapes: list[Shape]) -> Column:
     """The training position (0 to 1) of a row's copy on the ``turn``-th run of its tape; null if there is none."""
-    share = (F.col("start") + F.col("source_size") * turn).cast("double") / F.col("target")
+    share = F.try_divide((F.col("start") + F.col("source_size") * turn).cast("double"), F.col("target"))
     time = F.lit(None).cast("double")
     for i, shape in enumerate(shapes):
         time = F.when(F.col("shape") == i, inverse(share, shape)).otherwise(time)
