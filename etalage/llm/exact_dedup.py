@@ -43,6 +43,8 @@ def keep_state(rows: DataFrame, files_per_batch: int = 10_000) -> DataFrame:
         spark__sql__streaming__stateStore__rocksdb__boundedMemoryUsage="true",
         spark__sql__streaming__stateStore__rocksdb__maxMemoryUsageMB="200",
         spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled="true",
+        # A partition's store is closed when its task is done: open ones cost memory and disk.
+        spark__sql__streaming__stateStore__unloadOnCommit="true",
     ):
         writer = state.writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint)
         writer.trigger(availableNow=True).start().awaitTermination()
@@ -51,20 +53,28 @@ def keep_state(rows: DataFrame, files_per_batch: int = 10_000) -> DataFrame:
         return write_through(held.select("key.digest", F.col(keeper).alias("keeper"), F.col(n).alias("n")), "state")
 
 
+def only_hits(texts: DataFrame, hits: DataFrame, most_sent: int = 1_000_000) -> DataFrame:
+    """The rows whose digest is in ``hits``, and no others that matter.
+
+    Up to ``most_sent`` hits, 8 bytes of hash of each are sent to every task, so that no text moves; a row
+    let through by an equal hash is compared for nothing. Beyond, the texts meet the hits in a shuffle.
+    """
+    marks = write_through(hits.select(F.xxhash64("digest").alias("mark")), "hits")
+    if marks.count() <= most_sent:
+        marks = F.broadcast(marks)
+    return texts.join(marks, F.xxhash64("digest") == F.col("mark"), "left_semi")
+
+
 def exact_duplicates(docs: DataFrame, key: Column, text: str = "text", digest=text_digest, files_per_batch: int = 10_000) -> DataFrame:
     """key, _loc (the row's place), digest, keeper (key and place of the row that stays), n (rows of the
     group) and kept, for every row. ``digest`` makes the digest column from the text column."""
     texts = located(docs, [key.alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), digest(F.col(f"`{text}`")).alias("digest")])
     rows = write_through(texts.select("digest", "key", "_loc"), "digested")
     state = keep_state(rows, files_per_batch)
-    hits = state.where("n > 1")
-    # Full bytes: each different text behind a hit, once per task, against the content the state points to.
-    behind = texts.join(hits.select("digest"), "digest", "left_semi").groupBy("digest", "text").agg(F.count("*").alias("n"))
-    content = texts.join(hits.select(F.col("keeper._loc").alias("_loc")), "_loc", "left_semi").select(
-        "digest", F.col("text").alias("content")
-    )
-    other = behind.join(content, "digest").where("cast(text as binary) <> cast(content as binary)")
-    collided = write_through(other.select("digest").distinct(), "collided")
+    # Full bytes: the different texts behind each hit, each sent once by a task. Where a digest has one text
+    # only, all its rows equal the content that the state points to.
+    behind = only_hits(texts, state.where("n > 1").select("digest")).groupBy("digest", "text").agg(F.count("*").alias("n"))
+    collided = write_through(behind.groupBy("digest").count().where("count > 1").select("digest"), "collided")
     found = rows.join(state, "digest")
     if not collided.isEmpty():
         # Groups of these digests are made from the texts themselves.
