@@ -76,7 +76,7 @@ def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
     return out
 
 
-def fit(bagged: pa.Table, share: dict[int, float], epochs: int = 30, rate: float = 0.3, shrink: float = 1e-4, per_step: int = 128) -> Model:
+def fit(bagged: pa.Table, share: dict[int, float], epochs: int = 15, rate: float = 0.3, shrink: float = 1e-4, per_step: int = 128, least_docs: int = 3) -> Model:
     """Noisy-or logistic regression by stochastic gradient steps scaled by past gradients.
 
     ``share`` is each class's share of all labels; rows are weighted so that the classes count in
@@ -91,6 +91,11 @@ def fit(bagged: pa.Table, share: dict[int, float], epochs: int = 30, rate: float
     if not drawn[0] or not drawn[1]:
         return Model(weights, -1e9)
     factor = np.array([share[c] * len(used) / drawn[c] for c in (0, 1)])
+    seen = np.zeros((2, BUCKETS))
+    for i in used:
+        seen[label[i], np.unique(ids[i])] += 1
+    rates = [np.log((seen[c] + 1) / (drawn[c] + 2)) for c in (0, 1)]
+    scale = np.where(seen.sum(axis=0) >= least_docs, np.abs(rates[1] - rates[0]), 0.0)
     past, past_bias = np.full(BUCKETS, 1e-8), 1e-8
     shuffled = np.random.default_rng(7)
     for _ in range(epochs):
@@ -100,19 +105,19 @@ def fit(bagged: pa.Table, share: dict[int, float], epochs: int = 30, rate: float
             words = np.concatenate([ids[i] for i in own])
             size = np.concatenate([sizes[i] for i in own])
             count = np.array([len(sizes[i]) for i in own])
-            z = np.add.reduceat(weights[words], np.cumsum(size) - size) + bias
+            z = np.add.reduceat(weights[words] * scale[words], np.cumsum(size) - size) + bias
             total = np.add.reduceat(np.logaddexp(0, z), np.cumsum(count) - count)  # -log of no sentence being bad
             y = label[own]
             slope = np.where(y == 1, -1 / np.maximum(np.expm1(np.minimum(total, 50)), 1e-6), 1.0) * factor[y]
             by_sentence = np.repeat(slope, count) / (1 + np.exp(-z))
             touched, where = np.unique(words, return_inverse=True)
-            grad = np.bincount(where, weights=np.repeat(by_sentence, size)) / len(own) + shrink * weights[touched]
+            grad = np.bincount(where, weights=np.repeat(by_sentence, size)) * scale[touched] / len(own) + shrink * weights[touched]
             past[touched] += grad**2
             weights[touched] -= rate * grad / np.sqrt(past[touched])
             grad = by_sentence.sum() / len(own)
             past_bias += grad**2
             bias -= rate * grad / math.sqrt(past_bias)
-    return Model(weights, bias)
+    return Model(weights * scale, bias)
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 6000, key: str = "doc_id", label: str = "toxic", text: str = "text") -> Model:
