@@ -44,7 +44,7 @@ HEADLINE = [
     "utm_attribution",
     "sessionize",
     "customer_360",
-    "product_pairs",
+    "category_pairs",
     "revenue_grains",
     "stream_tumbling_5min",
     "stream_sessions",

@@ -11,7 +11,7 @@ from etalage.functions.columns import age_years, id_text, is_adult, money
 from etalage.operators.fraud import build_alerts, flag_first, flag_sequences, flag_stateless
 from etalage.operators.ordered import sessionize
 from etalage.schemas import MONEY, STAR
-from etalage.session import prepare
+from etalage.session import prepare, write_through
 
 AS_OF = "2024-01-31"
 UTM_SOURCES = ["direct", "ads_google", "ads_meta", "email"]
@@ -24,7 +24,7 @@ def _pick(values: list[str], i) -> F.Column:
 
 
 class Shop:
-    """Lazy views; nothing is read before an action."""
+    """Views of the tables. Most are lazy; sessions and alerts place and write rows when first asked for."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = prepare(spark)
@@ -262,7 +262,8 @@ class Shop:
 
     @cached_property
     def alerts(self) -> DataFrame:
-        return build_alerts(self.flagged)
+        # Written once: queries look at them from several sides.
+        return write_through(build_alerts(self.flagged), "alerts")
 
     @cached_property
     def _raw_fraud_alerts(self) -> DataFrame:

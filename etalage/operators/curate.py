@@ -146,13 +146,16 @@ def price_lines_by_name(raw: DataFrame, products: DataFrame) -> DataFrame:
     return keyed.join(found, "name").select("order_id", "product_id", "quantity", "unit_price")
 
 
-def link_nearest(payments: DataFrame, orders: DataFrame, reach: int = 4) -> DataFrame:
+def link_nearest(
+    payments: DataFrame, orders: DataFrame, reach: int = 4, numbers: DataFrame | None = None
+) -> DataFrame:
     """Payment number -> order number: the same, else the smallest within ``reach``; unlinked left out.
 
     The near search is an equi-join on the listed neighbours, not a range condition. Only numbers are
-    joined to find the links; the payments themselves move once, at the end.
+    joined to find the links; the payments themselves move once, at the end. ``numbers`` may name a
+    cheaper table with the payments' numbers.
     """
-    numbers = payments.select("payment_id").distinct()
+    numbers = (payments if numbers is None else numbers).select("payment_id").distinct()
     same = orders.select(F.col("order_id").alias("payment_id"))
     exact = numbers.join(same, "payment_id", "left_semi").select(
         "payment_id", F.col("payment_id").alias("order_id"), F.lit("exact").alias("link")
@@ -184,8 +187,9 @@ def lookup_first(df: DataFrame, on: str, dim: DataFrame, value: str) -> DataFram
     return df.join(first, on, "left")
 
 
-def payments(raw: DataFrame, orders: DataFrame) -> DataFrame:
-    """Payments linked to an order; the last four of the card number prefix, as text."""
+def payments(raw: DataFrame, orders: DataFrame, numbers: DataFrame | None = None) -> DataFrame:
+    """Payments linked to an order; the last four of the card number prefix, as text. For ``numbers`` see
+    :func:`link_nearest`."""
     parsed = raw.select(
         id_number("payment_id", "PAY").alias("payment_id"),
         F.col("attempt_ts").alias("payment_date"),
@@ -200,7 +204,7 @@ def payments(raw: DataFrame, orders: DataFrame) -> DataFrame:
         flag("is_fraud_label").alias("is_fraudulent"),
         F.col("attempt_ts").alias("created_at"),
     )
-    return link_nearest(parsed.where("payment_id is not null"), orders).drop("link")
+    return link_nearest(parsed.where("payment_id is not null"), orders, numbers=numbers).drop("link")
 
 
 def payments_scored(raw: DataFrame) -> DataFrame:

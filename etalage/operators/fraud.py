@@ -54,51 +54,53 @@ def at_night(ts: str = "attempt_ts") -> Column:
     return (F.hour(ts) >= 3) & (F.hour(ts) < 6)
 
 
+#: The rules that look back, in the order of the columns they add.
+SEQUENCES = ("velocity", "many_failed_attempts", "rapid_attempts", "device_change")
+
+
 def flag_sequences(
-    payments: DataFrame, velocity_limit: int = 5, failed_limit: int = 3
+    payments: DataFrame, velocity_limit: int = 5, failed_limit: int = 3, only: list[str] | None = None
 ) -> DataFrame:
-    """Rules that look back, and the customer's history: all from one pass over (customer, slice).
+    """Rules that look back, and the customer's history: all from one pass over (customer, piece).
 
-    Velocity, device change, many failed and rapid attempts; attempts, failures, successes and
-    amount before.
+    Velocity, many failed, rapid attempts and device change; attempts, failures, successes and amount
+    before. ``only`` names the rules wanted; the pass then does no more than they need, and the history
+    is left out.
     """
+    rules = set(only or SEQUENCES)
+    counts = {
+        "attempts_10min": ("velocity", F.lit(True), TEN_MINUTES),
+        "failures_24h": ("many_failed_attempts", F.col("result") == "failed", DAY),
+    }
+    history = {
+        "past_attempts": F.lit(1),
+        "past_failures": (F.col("result") == "failed").cast("int"),
+        "past_successes": (F.col("result") == "success").cast("int"),
+        "past_amount": F.col("amount"),
+    }
+    row_before = {"prev_ts": "attempt_ts", "prev_device": "device_id", "prev_ip": "ip_hash"}
     swept = trailing(
         payments,
         "customer_id",
         "attempt_ts",
-        counts={
-            "attempts_10min": (F.lit(True), TEN_MINUTES),
-            "failures_24h": (F.col("result") == "failed", DAY),
-        },
-        totals={
-            "past_attempts": F.lit(1),
-            "past_failures": (F.col("result") == "failed").cast("int"),
-            "past_successes": (F.col("result") == "success").cast("int"),
-            "past_amount": F.col("amount"),
-        },
-        previous={
-            "prev_ts": "attempt_ts",
-            "prev_device": "device_id",
-            "prev_ip": "ip_hash",
-        },
+        counts={n: (cond, seconds) for n, (rule, cond, seconds) in counts.items() if rule in rules},
+        totals=None if only else history,
+        previous=row_before if rules & {"rapid_attempts", "device_change"} else None,
         order="payment_id",
     )
     gap = (micros("attempt_ts") - micros("prev_ts")) / F.lit(1_000_000)
-    return swept.withColumns(
-        {
-            "gap_s": gap,
-            "velocity": F.col("attempts_10min") > velocity_limit,
-            "many_failed_attempts": (F.col("result") == "failed")
-            & (F.col("failures_24h") >= failed_limit),
-            "rapid_attempts": F.coalesce(gap < TEN_MINUTES, F.lit(False)),
-            "device_change": F.coalesce(
-                (F.col("device_id") != F.col("prev_device"))
-                & (F.col("ip_hash") != F.col("prev_ip"))
-                & (gap < 3600),
-                F.lit(False),
-            ),
-        }
-    )
+    flags = {
+        "velocity": F.col("attempts_10min") > velocity_limit,
+        "many_failed_attempts": (F.col("result") == "failed") & (F.col("failures_24h") >= failed_limit),
+        "rapid_attempts": F.coalesce(gap < TEN_MINUTES, F.lit(False)),
+        "device_change": F.coalesce(
+            (F.col("device_id") != F.col("prev_device")) & (F.col("ip_hash") != F.col("prev_ip")) & (gap < 3600),
+            F.lit(False),
+        ),
+    }
+    if rules & {"rapid_attempts", "device_change"}:
+        swept = swept.withColumn("gap_s", gap)
+    return swept.withColumns({r: flags[r] for r in SEQUENCES if r in rules})
 
 
 def attempts_within(payments: DataFrame, seconds: int) -> DataFrame:
@@ -220,7 +222,7 @@ def fail_then_success(payments: DataFrame, failures: int = 3, seconds: int = DAY
         "payment_id",
         failures,
     )
-    w = Window.partitionBy("customer_id", "_slice").orderBy("attempt_ts", "payment_id")
+    w = Window.partitionBy("customer_id", "_piece").orderBy("attempt_ts", "payment_id")
     all_failed = F.lit(True)
     for i in range(1, failures + 1):
         all_failed = all_failed & (F.lag("result", i).over(w) == "failed")

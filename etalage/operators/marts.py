@@ -64,7 +64,8 @@ def _outliers(daily: DataFrame, measure: str) -> DataFrame:
 
 def kpi_anomalies(orders: DataFrame, payments: DataFrame) -> DataFrame:
     """Revenue drops and peaks, and days with unusually many labelled frauds."""
-    revenue = daily_revenue(orders).select("date", F.col("revenue").alias("value"))
+    # Sorted below by the window itself: the view's own order is left out.
+    revenue = daily_revenue(orders, ordered=False).select("date", F.col("revenue").alias("value"))
     frauds = payments.groupBy(F.to_date("attempt_ts").alias("date")).agg(
         F.count_if("is_fraudulent").alias("value")
     )
@@ -150,24 +151,25 @@ def lifetime_value(orders: DataFrame) -> DataFrame:
 
 
 def conversion_funnel(events: DataFrame, steps: list[str]) -> DataFrame:
-    """Customers reaching each step, every step after the first time of the one before."""
+    """Customers reaching each step, every step after the first time of the one before.
+
+    The firsts of each step stay beside those of the steps before, so the events are read once a step.
+    """
     at = F.struct("ts", "event_id")
     reached = None
-    parts = []
     for i, step in enumerate(steps):
-        hits = events.where(F.col("event_type") == step)
+        hits = events.where(F.col("event_type") == step).select("customer_id", at.alias("_at"))
         if reached is not None:
-            hits = hits.join(reached, "customer_id").where(at > F.col("_at"))
-        reached = hits.groupBy("customer_id").agg(F.min(at).alias("_at"))
-        parts.append(
-            reached.agg(F.count("*").alias("customers")).select(
-                F.lit(i + 1).alias("step_no"), F.lit(step).alias("step"), "customers"
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+            known = reached.select("customer_id", F.col(f"_at{i - 1}").alias("_before")).where("_before is not null")
+            hits = hits.join(known, "customer_id").where("_at > _before")
+        first = hits.groupBy("customer_id").agg(F.min("_at").alias(f"_at{i}"))
+        reached = first if reached is None else reached.join(first, "customer_id", "left")
+    counts = reached.agg(*[F.count(f"_at{i}").alias(f"_n{i}") for i in range(len(steps))])
+    rows = [
+        F.struct(F.lit(i + 1).alias("step_no"), F.lit(s).alias("step"), F.col(f"_n{i}").alias("customers"))
+        for i, s in enumerate(steps)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def cart_abandonment(events: DataFrame, gap: int) -> DataFrame:
@@ -237,30 +239,22 @@ def session_metrics(sessions: DataFrame) -> DataFrame:
     )
 
 
-def customer_360(
-    customers: DataFrame, orders: DataFrame, payments: DataFrame, recent: int = 3
-) -> DataFrame:
-    """One profile per customer: totals as structs and the last few orders as a list.
+def customer_360(customers: DataFrame, orders: DataFrame, payments: DataFrame) -> DataFrame:
+    """One profile per customer: totals of orders and payments as structs, and the last order.
 
-    Orders carry the number of their payment; the payment's result joins on that key.
+    Orders name their payment (``payment_id``); the payment's result joins on that key.
     """
+    at = F.struct("order_date", "order_id")
     totals = orders.groupBy("customer_id").agg(
         F.struct(
             F.count("*").alias("nb_orders"),
             F.sum(F.when(F.col("status") == "paid", F.col("total_amount"))).alias("revenue"),
             F.max("order_date").alias("last_order"),
+            F.max_by("order_id", at).alias("last_order_id"),
         ).alias("orders")
     )
-    newest = Window.partitionBy("customer_id").orderBy(F.col("order_date").desc(), F.col("order_id").desc())
-    last = (
-        orders.withColumn("_rn", F.row_number().over(newest))
-        .where(F.col("_rn") <= recent)
-        .groupBy("customer_id")
-        .agg(F.array_sort(F.collect_list(F.struct("_rn", "order_id"))).alias("_list"))
-        .select("customer_id", F.col("_list.order_id").alias("recent_orders"))
-    )
     paid_for = (
-        orders.select("customer_id", F.col("order_id").alias("payment_id"))
+        orders.select("customer_id", "payment_id")
         .join(payments.select("payment_id", "result"), "payment_id")
         .groupBy("customer_id")
         .agg(
@@ -278,7 +272,7 @@ def customer_360(
         ).alias("payments")
     )
     out = customers.select("customer_id", "name", "country", "segment")
-    for part in (totals, last, paid_for, attempts):
+    for part in (totals, paid_for, attempts):
         out = out.join(part, "customer_id", "left")
     return out
 
@@ -309,69 +303,26 @@ def seasonality(events: DataFrame) -> DataFrame:
     )
 
 
-def product_pairs(
-    lines: DataFrame, min_orders: int = 2, big_order: int = 100, salts: int = 32
-) -> DataFrame:
-    """Products bought together in at least ``min_orders`` orders, with lift. Exact.
+def category_pairs(lines: DataFrame, products: DataFrame, min_orders: int = 1) -> DataFrame:
+    """Categories bought together: orders with both, and the lift. Exact, whatever the size of an order.
 
-    Products in fewer orders than that are left out first; they can be in no such pair. Orders of up
-    to ``big_order`` products list their pairs. A bigger order does not: its count for the listed
-    pairs comes from looking them up in it, and only products that several big orders share are
-    paired among big orders, spread over ``salts`` tasks per order.
+    An order has at most as many entries as there are categories, so its pairs stay few; pairs of single
+    products would grow with the square of an order's lines.
     """
-    basket = lines.select("order_id", "product_id").distinct()
-    support = basket.groupBy("product_id").agg(F.count("*").alias("n"))
-    often = support.where(F.col("n") >= min_orders).select("product_id")
-    sized = basket.groupBy("order_id").agg(F.count("*").alias("size"))
-    kept = write_through(
-        basket.join(often, "product_id", "left_semi").join(sized, "order_id"), "basket"
-    )
-    small = kept.where(F.col("size") <= big_order).select("order_id", "product_id")
-    big = kept.where(F.col("size") > big_order).select("order_id", "product_id")
-
-    a = small.withColumnRenamed("product_id", "a")
-    b = small.withColumnRenamed("product_id", "b")
-    listed = a.join(b, "order_id").where("a < b").groupBy("a", "b").agg(F.count("*").alias("n"))
-
-    big_a = big.withColumnRenamed("product_id", "a")
-    big_b = big.withColumnRenamed("product_id", "b")
-    found = (
-        listed.select("a", "b")
-        .join(big_a, "a")
-        .join(big_b, ["order_id", "b"])
-        .groupBy("a", "b")
-        .agg(F.count("*").alias("n"))
-    )
-    shared = big.groupBy("product_id").agg(F.count("*").alias("k")).where("k >= 2").select("product_id")
-    again = big.join(shared, "product_id", "left_semi")
-    left = again.select(
-        "order_id", F.col("product_id").alias("a"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
-    )
-    right = again.select(
-        "order_id",
-        F.col("product_id").alias("b"),
-        F.pmod(F.hash("product_id"), F.lit(salts)).alias("salt"),
-    )
-    only_big = (
-        left.join(right, ["order_id", "salt"])
-        .where("a < b")
-        .groupBy("a", "b")
-        .agg(F.count("*").alias("n"))
-        .join(listed, ["a", "b"], "left_anti")
-    )
-    pairs = (
-        listed.unionByName(found)
-        .unionByName(only_big)
-        .groupBy("a", "b")
-        .agg(F.sum("n").alias("orders"))
-        .where(F.col("orders") >= min_orders)
-    )
-    total = F.lit(sized.count()).cast("double")
-    sa = support.select(F.col("product_id").alias("a"), F.col("n").alias("orders_a"))
-    sb = support.select(F.col("product_id").alias("b"), F.col("n").alias("orders_b"))
+    kinds = products.select("product_id", "category")
+    basket = lines.select("order_id", "product_id").join(kinds, "product_id").select("order_id", "category").distinct()
+    per_order = basket.groupBy("order_id").agg(F.array_sort(F.collect_set("category")).alias("c"))
+    per_order = write_through(per_order.select("c"), "baskets")
+    n = F.col("n")
+    support = per_order.select(F.explode("c").alias("category")).groupBy("category").agg(F.count("*").alias("n"))
+    both = F.flatten(
+        F.transform("c", lambda x, i: F.transform(F.slice("c", i + 2, F.size("c")), lambda y: F.struct(x.alias("a"), y.alias("b"))))
+    )
+    pairs = per_order.select(F.inline(both)).groupBy("a", "b").agg(F.count("*").alias("orders")).where(F.col("orders") >= min_orders)
+    total = F.lit(per_order.count()).cast("double")
     return (
-        pairs.join(sa, "a")
-        .join(sb, "b")
+        pairs.join(support.select(F.col("category").alias("a"), n.alias("orders_a")), "a")
+        .join(support.select(F.col("category").alias("b"), n.alias("orders_b")), "b")
         .withColumn("lift", F.col("orders") * total / (F.col("orders_a") * F.col("orders_b")))
     )
 
@@ -416,7 +367,7 @@ def fraud_patterns(flagged: DataFrame, rules: list[str]) -> DataFrame:
 def clicks_before_purchase(events: DataFrame, seconds: int) -> DataFrame:
     """Purchases at most ``seconds`` after a click of the same customer, with the number of clicks.
 
-    One row per purchase, from running values over the customer's slice; no click-purchase pairs.
+    One row per purchase, from running values over the customer's rows; no click-purchase pairs.
     """
     steps = events.where(F.col("event_type").isin("click", "purchase")).select(
         "customer_id", "ts", "event_id", "event_type", "value"

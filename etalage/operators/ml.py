@@ -69,12 +69,12 @@ def threshold_metrics(scored: DataFrame, thresholds: list[float]) -> DataFrame:
 
 
 def recommend(
-    bought: DataFrame, pairs: DataFrame, n: int = 3, rank: int = 8, seed: int = 7
+    bought: DataFrame, products: DataFrame, n: int = 3, per_category: int = 10, rank: int = 8, seed: int = 7
 ) -> DataFrame:
-    """Best ``n`` products per customer among those bought together with theirs and not yet theirs.
+    """Best ``n`` products per customer among the most bought of the categories they buy, not yet theirs.
 
-    ``bought`` is (customer_id, product_id, times). The factors rank the candidates that the pairs
-    give; customers and products are never all paired. Ids must fit the trainer's 32 bits.
+    ``bought`` is (customer_id, product_id, times). A customer has at most ``per_category`` candidates for
+    each category they have bought from; the factors rank them. Ids must fit the trainer's 32 bits.
     """
     ratings = write_through(
         bought.select(
@@ -93,14 +93,15 @@ def recommend(
         coldStartStrategy="drop",
     )
     model = als.fit(ratings)
-    both = pairs.select("a", "b").unionByName(
-        pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))
-    )
-    near = both.select(F.col("a").cast("int").alias("product_id"), F.col("b").cast("int").alias("other"))
+    kinds = products.select(F.col("product_id").cast("int").alias("product_id"), "category")
+    # Added up per product before the category is known: the windows below see one row a product.
+    sold = ratings.groupBy("product_id").agg(F.sum("times").alias("sold")).join(kinds, "product_id")
+    top = Window.partitionBy("category").orderBy(F.col("sold").desc(), "product_id")
+    leaders = sold.withColumn("_rn", F.row_number().over(top)).where(F.col("_rn") <= per_category)
+    interests = ratings.join(kinds, "product_id").select("customer_id", "category").distinct()
     candidates = (
-        ratings.join(near, "product_id")
-        .select("customer_id", F.col("other").alias("product_id"))
-        .distinct()
+        interests.join(leaders.select("category", "product_id"), "category")
+        .select("customer_id", "product_id")
         .join(ratings, ["customer_id", "product_id"], "left_anti")
     )
     best = Window.partitionBy("customer_id").orderBy(F.col("prediction").desc(), "product_id")

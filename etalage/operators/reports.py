@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from etalage.functions.columns import share
 
 
-def daily_revenue(orders: DataFrame, status: str = "paid") -> DataFrame:
-    """Orders, revenue and mean order value per day, newest first."""
+def daily_revenue(orders: DataFrame, status: str = "paid", ordered: bool = True) -> DataFrame:
+    """Orders, revenue and mean order value per day, newest first unless not ``ordered``."""
     revenue = F.sum("total_amount")
     n = F.count("*")
-    return (
+    daily = (
         orders.where(F.col("status") == status)
         .groupBy(F.to_date("order_date").alias("date"))
         .agg(
@@ -20,8 +20,8 @@ def daily_revenue(orders: DataFrame, status: str = "paid") -> DataFrame:
             revenue.alias("revenue"),
             (revenue.cast("double") / n).alias("avg_order_value"),
         )
-        .orderBy(F.col("date").desc())
     )
+    return daily.orderBy(F.col("date").desc()) if ordered else daily
 
 
 def sales_by_product(items: DataFrame) -> DataFrame:

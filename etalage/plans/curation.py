@@ -89,7 +89,7 @@ def sessions_curated(shop):
     FROM s_payments JOIN s_links USING (payment_id) WHERE order_id IS NOT NULL""",
 )
 def payments_curated(shop):
-    return curate.payments(shop.raw("payments"), shop.orders)
+    return curate.payments(shop.raw("payments"), shop.orders, numbers=shop.attempts)
 
 
 @query(
@@ -118,8 +118,8 @@ def alerts_curated(shop):
            {case_map('method', v.PAYMENT_METHOD, v.DEFAULT_PAYMENT_METHOD)}, count(*)
     FROM s_payments GROUP BY 2, 3
     UNION ALL
-    SELECT 'severity', event_type, {case_map('event_type', v.SEVERITIES, v.DEFAULT_SEVERITY)}, count(*)
-    FROM s_events GROUP BY 2, 3""",
+    SELECT 'severity', alert_type, {case_map('alert_type', v.SEVERITIES, v.DEFAULT_SEVERITY)}, count(*)
+    FROM s_alerts GROUP BY 2, 3""",
 )
 def map_defaults(shop):
     def counted(df, kind, column, values, default):
@@ -138,7 +138,7 @@ def map_defaults(shop):
             )
         )
         .unionByName(
-            counted(shop.events, "severity", "event_type", v.SEVERITIES, v.DEFAULT_SEVERITY)
+            counted(shop.alerts, "severity", "alert_type", v.SEVERITIES, v.DEFAULT_SEVERITY)
         )
     )
 

@@ -211,19 +211,18 @@ def sessionize(shop):
 
 @query(
     "customer_360",
-    "customer_id:l name:s country:s segment:s nb_orders:l revenue:m last_order:t recent_orders:s"
+    "customer_id:l name:s country:s segment:s nb_orders:l revenue:m last_order:t last_order_id:l"
     " linked:l linked_failed:l attempts:l failed:l frauds:l",
     """
-    SELECT c.customer_id, name, country, segment, nb_orders, revenue, last_order, recent_orders, linked,
+    SELECT c.customer_id, name, country, segment, nb_orders, revenue, last_order, last_order_id, linked,
            linked_failed, attempts, failed, frauds
     FROM s_customers c LEFT JOIN (
         SELECT customer_id, count(*) AS nb_orders, sum(total_amount) FILTER (status = 'paid') AS revenue,
                max(order_date) AS last_order FROM s_orders GROUP BY 1) USING (customer_id)
     LEFT JOIN (
-        SELECT customer_id, string_agg(CAST(order_id AS VARCHAR), ',' ORDER BY rn) AS recent_orders
-        FROM (SELECT customer_id, order_id, row_number() OVER (
-                  PARTITION BY customer_id ORDER BY order_date DESC, order_id DESC) AS rn FROM s_orders)
-        WHERE rn <= 3 GROUP BY 1) USING (customer_id)
+        SELECT customer_id, order_id AS last_order_id FROM s_orders
+        QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY order_date DESC, order_id DESC) = 1)
+      USING (customer_id)
     LEFT JOIN (
         SELECT o.customer_id, count(*) AS linked, count(*) FILTER (result = 'failed') AS linked_failed
         FROM s_orders o JOIN s_payments p ON o.order_id = p.payment_id GROUP BY 1) USING (customer_id)
@@ -232,14 +231,15 @@ def sessionize(shop):
                count(*) FILTER (is_fraudulent) AS frauds FROM s_payments GROUP BY 1) USING (customer_id)""",
 )
 def customer_360(shop):
-    profile = marts.customer_360(shop.customers, shop.orders, shop.attempts)
+    # The raw orders carry the number of their payment, which here is their own.
+    orders = shop.orders.withColumn("payment_id", F.col("order_id"))
+    profile = marts.customer_360(shop.customers, orders, shop.attempts)
     return profile.select(
         "customer_id",
         "name",
         "country",
         "segment",
         "orders.*",
-        F.array_join(F.col("recent_orders").cast("array<string>"), ",").alias("recent_orders"),
         "linked_payments.linked",
         F.col("linked_payments.failed").alias("linked_failed"),
         "payments.*",
@@ -270,19 +270,19 @@ def seasonality(shop):
 
 
 @query(
-    "product_pairs",
-    "a:l b:l orders:l orders_a:l orders_b:l lift:f",
+    "category_pairs",
+    "a:s b:s orders:l orders_a:l orders_b:l lift:f",
     """
-    WITH basket AS (SELECT DISTINCT l_orderkey AS o, l_partkey AS p FROM lineitem),
-    support AS (SELECT p, count(*) AS n FROM basket GROUP BY p),
-    pairs AS (SELECT x.p AS a, y.p AS b, count(*) AS orders FROM basket x JOIN basket y ON x.o = y.o AND x.p < y.p
-              GROUP BY 1, 2 HAVING count(*) >= 2)
+    WITH basket AS (SELECT DISTINCT l_orderkey AS o, category AS c FROM lineitem JOIN s_products ON l_partkey = product_id),
+    support AS (SELECT c, count(*) AS n FROM basket GROUP BY c),
+    pairs AS (SELECT x.c AS a, y.c AS b, count(*) AS orders FROM basket x JOIN basket y ON x.o = y.o AND x.c < y.c
+              GROUP BY 1, 2)
     SELECT a, b, orders, s.n AS orders_a, t.n AS orders_b,
            orders * CAST((SELECT count(DISTINCT o) FROM basket) AS DOUBLE) / (s.n * t.n) AS lift
-    FROM pairs JOIN support s ON a = s.p JOIN support t ON b = t.p""",
+    FROM pairs JOIN support s ON a = s.c JOIN support t ON b = t.c""",
 )
-def product_pairs(shop):
-    return marts.product_pairs(shop.lines)
+def category_pairs(shop):
+    return marts.category_pairs(shop.lines, shop.products)
 
 
 @query(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from etalage.operators import marts, ml
+from etalage.operators import ml
 from etalage.plans.fraud import features
 from etalage.plans.registry import query
 
@@ -25,4 +25,4 @@ def als_recommend(shop):
         .groupBy("customer_id", "product_id")
         .agg(F.count("*").alias("times"))
     )
-    return ml.recommend(bought, marts.product_pairs(shop.lines))
+    return ml.recommend(bought, shop.products)

@@ -274,8 +274,10 @@ def orders_keyset_page(shop):
 
 
 def _page(df, order: list, n: int):
-    """One page of at most 1000 rows."""
-    return df.orderBy(*order).limit(min(n, 1000))
+    """One page. A page has at most 1000 rows; to ask for more is an error, not a shorter page."""
+    if n > 1000:
+        raise ValueError("a page has at most 1000 rows; ask for the next one by the last key")
+    return df.orderBy(*order).limit(n)
 
 
 @query(

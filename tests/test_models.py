@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from etalage.domain import Shop
-from etalage.operators import marts, ml
+from etalage.operators import ml
 from etalage.plans.fraud import features
 
 SF = "/root/testdata/sf0.01"
@@ -26,7 +26,7 @@ def test_recommendations_are_new_to_the_customer(spark):
         .groupBy("customer_id", "product_id")
         .agg(F.count("*").alias("times"))
     )
-    best = ml.recommend(bought, marts.product_pairs(shop.lines), n=2).persist()
+    best = ml.recommend(bought, shop.products, n=2).persist()
     assert best.count() > 0
     assert best.groupBy("customer_id").count().agg(F.max("count")).first()[0] <= 2
     assert best.join(bought, ["customer_id", "product_id"], "left_semi").count() == 0

@@ -1,4 +1,4 @@
-"""The sliced operators against brute force, with one customer holding much of the rows."""
+"""The ordered operators against brute force, with one customer holding much of the rows."""
 
 import random
 from datetime import datetime, timedelta
@@ -36,8 +36,8 @@ def history(rows):
     return by_customer
 
 
-@pytest.mark.parametrize("slices", [2, 16, 500])
-def test_trailing_counts_and_previous(frame, rows, slices):
+@pytest.mark.parametrize("pieces", [2, 16, 200])
+def test_trailing_counts_and_previous(frame, rows, pieces):
     got = {
         r.id: (r.n, r.n_a, r.total, r.prev)
         for r in ordered.trailing(
@@ -48,7 +48,7 @@ def test_trailing_counts_and_previous(frame, rows, slices):
             totals={"total": F.col("value")},
             previous={"prev": "id"},
             order="id",
-            slices=slices,
+            pieces=pieces,
         ).collect()
     }
     assert len(got) == len(rows)
@@ -78,7 +78,7 @@ def test_history(frame, rows):
         "id",
         totals={"n": F.lit(1), "total": F.col("value")},
         latest={"last_a": (F.col("id"), F.col("kind") == "a")},
-        slices=50,
+        pieces=50,
     )
     got = {r.id: (r.n, r.total, r.last_a) for r in out.collect()}
     for line in history(rows).values():
@@ -88,21 +88,21 @@ def test_history(frame, rows):
 
 
 def test_rows_before(spark, frame, rows):
-    out = ordered.with_rows_before(frame, "customer_id", "ts", "id", 3, slices=200)
+    out = ordered.with_rows_before(frame, "customer_id", "ts", "id", 3, pieces=200)
     from pyspark.sql import Window
 
-    w = Window.partitionBy("customer_id", "_slice").orderBy("ts", "id")
+    w = Window.partitionBy("customer_id", "_piece").orderBy("ts", "id")
     got = {r.id: r.back for r in out.withColumn("back", F.lag("id", 3).over(w)).where("_live").collect()}
     for line in history(rows).values():
         for i, r in enumerate(line):
             assert got[r[2]] == (line[i - 3][2] if i >= 3 else None)
 
 
-@pytest.mark.parametrize("gap,slices", [(1800, 100), (1800, 4), (6 * 3600, 100)])
-def test_sessions(frame, rows, gap, slices):
+@pytest.mark.parametrize("gap,pieces", [(1800, 100), (1800, 4), (6 * 3600, 100)])
+def test_sessions(frame, rows, gap, pieces):
     out = ordered.sessionize(
         frame, "customer_id", "ts", gap, sums={"total": F.col("value")}, firsts={"first": F.col("id")},
-        order="id", slices=slices,
+        order="id", pieces=pieces,
     )
     got = sorted((r.customer_id, r.session_start, r.session_end, r.n_events, r.total, r.first) for r in out.collect())
     want = []
@@ -140,25 +140,49 @@ def test_ntile_matches_builtin(spark, n):
     assert all(r.built == r.own for r in got)
 
 
-@pytest.mark.parametrize("big_order", [2, 5, 100])
-def test_product_pairs(spark, big_order):
-    """Same pairs wherever the line between small and big orders lies."""
+def test_category_pairs(spark):
+    """One order of every product and many small ones: the plain count's answer."""
     rnd = random.Random(5)
-    lines = [(0, p) for p in range(30)] + [(1, p) for p in range(10, 35)]
-    lines += [(o, rnd.randrange(35)) for o in range(2, 60) for _ in range(4)]
+    kind = {p: f"c{p % 7}" for p in range(35)}
+    lines = [(0, p) for p in range(35)] + [(1, p) for p in range(10, 35)]
+    lines += [(o, rnd.randrange(35)) for o in range(2, 60) for _ in range(rnd.randrange(1, 5))]
     df = spark.createDataFrame(lines, "order_id long, product_id long")
+    products = spark.createDataFrame(list(kind.items()), "product_id long, category string")
     baskets = {}
     for o, p in lines:
-        baskets.setdefault(o, set()).add(p)
+        baskets.setdefault(o, set()).add(kind[p])
     want = {}
     for b in baskets.values():
         for x in b:
             for y in b:
                 if x < y:
                     want[x, y] = want.get((x, y), 0) + 1
-    want = {k: n for k, n in want.items() if n >= 2}
-    got = {(r.a, r.b): r for r in marts.product_pairs(df, big_order=big_order, salts=4).collect()}
-    assert {k: r.orders for k, r in got.items()} == want
-    (a, b), n = next(iter(want.items()))
-    na, nb = (sum(p in s for s in baskets.values()) for p in (a, b))
-    assert got[a, b].lift == pytest.approx(n * len(baskets) / (na * nb))
+    for least in (1, 15):
+        got = {(r.a, r.b): r for r in marts.category_pairs(df, products, least).collect()}
+        assert {k: r.orders for k, r in got.items()} == {k: n for k, n in want.items() if n >= least}
+        for (a, b), r in got.items():
+            na, nb = (sum(c in s for s in baskets.values()) for c in (a, b))
+            assert r.lift == pytest.approx(want[a, b] * len(baskets) / (na * nb))
+
+
+@pytest.mark.parametrize("hot", [True, False])
+def test_little_is_carried_on(spark, hot):
+    """A summary row for each piece at most, with one customer holding a third and with many small ones."""
+    if hot:
+        customer = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500)
+    else:
+        customer = F.col("id") % 100_000
+    df = spark.range(200_000).select(customer.alias("customer_id"), F.timestamp_seconds("id").cast("timestamp_ntz").alias("ts"), "id")
+    rows = ordered.placed(df, "customer_id", F.col("ts"), pieces=40)
+    cross = ordered.crossings(rows, "customer_id")
+    assert cross.count() <= 40
+    assert rows.groupBy("_piece").count().agg(F.max("count")).first()[0] < 20_000
+    out = ordered.with_history(df, "customer_id", "ts", "id", totals={"n": F.lit(1)}, pieces=40)
+    total = out.groupBy("customer_id").agg(F.max("n").alias("n"), F.count("*").alias("rows"))
+    assert total.where("n <> rows - 1").count() == 0
+
+
+def test_null_keys_are_a_key(spark):
+    df = spark.createDataFrame([(None, at(60 * i), i, "a", 1) for i in range(50)], SCHEMA)
+    out = ordered.with_history(df, "customer_id", "ts", "id", totals={"n": F.lit(1)}, pieces=5).collect()
+    assert sorted((r.id, r.n) for r in out) == [(i, i) for i in range(50)]

@@ -41,9 +41,9 @@ def test_query(spark, duck, name):
 
 
 @pytest.mark.parametrize("name", ["rule_velocity", "fraud_features", "sessionize", "cep_fail_then_success"])
-def test_history_is_placed_by_customer_and_slice(spark, name):
+def test_history_is_placed_by_customer_and_piece(spark, name):
     plan = physical_plan(catalog.run(name, spark, SF))
-    assert re.search(r"hashpartitioning\(customer_id#\d+L?, _slice#\d+L?", plan)
+    assert re.search(r"hashpartitioning\(customer_id#\d+L?, _piece#\d+L?", plan)
 
 
 def test_filter_and_columns_reach_the_scan(spark):
