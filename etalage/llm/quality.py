@@ -117,18 +117,17 @@ def _merged() -> list[Column]:
 
 def thresholds(sketched: DataFrame, least_rows: int = 200, reach: float = 5.0) -> DataFrame:
     """_lang, _source and, for every ratio, ``<ratio>_low`` and ``<ratio>_high``; null is no limit."""
+    sketched = write_through(sketched, "sketches")
     by_lang = sketched.groupBy("_lang").agg(F.sum("n").alias("n"), *_merged())
-    overall = by_lang.agg(F.sum("n").alias("n"), *_merged())
-
-    def named(df: DataFrame, level: str) -> DataFrame:
-        return df.select(*[c for c in ("_lang",) if c in df.columns], *[F.col(c).alias(f"{level}_{c}") for c in ("n", *RATIOS)])
-
-    levels = sketched.join(named(by_lang, "lang"), "_lang").join(named(overall, "all"))
+    # One row: a sketch of each ratio, whose size does not depend on the data.
+    overall = by_lang.agg(*_merged()).first()
+    named = by_lang.select("_lang", *[F.col(c).alias(f"lang_{c}") for c in ("n", *RATIOS)])
+    levels = sketched.join(named, "_lang")
 
     def chosen(ratio: str) -> Column:
         return F.when(F.col("n") >= least_rows, F.col(ratio)).when(
             F.col("lang_n") >= least_rows, F.col(f"lang_{ratio}")
-        ).otherwise(F.col(f"all_{ratio}"))
+        ).otherwise(F.lit(overall[ratio]))
 
     picked = levels.select("_lang", "_source", *[chosen(r).alias(r) for r in RATIOS])
     limits = []
