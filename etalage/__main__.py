@@ -40,13 +40,17 @@ def main() -> None:
 
     spark = prepare(SparkSession.builder.appName("etalage").getOrCreate())
     if args.command == "load":
-        tables = full_load(spark, args.data_dir, args.out)
+        tables, counts = full_load(spark, args.data_dir, args.out)
+        counts.show(truncate=False)
         validate(tables).orderBy("check_name").show(100, truncate=False)
         top_categories(tables["products"], sales_by_product(tables["order_items"])).show(truncate=False)
         tables["payments"].agg(F.count_if("is_fraudulent").alias("fraudulent_payments")).show()
     elif args.command == "convert":
         done = convert_to_parquet(spark, args.data_dir, args.out or args.data_dir)
-        print("converted:", ", ".join(done) or "nothing found")
+        for table, rejects in done.items():
+            print(f"{table}: converted, {rejects} lines rejected")
+        if not done:
+            print("nothing found")
     else:
         register_views({t: spark.read.parquet(f"{args.tables}/{t}") for t in TABLES})
         spark.sql(args.statement).show(100, truncate=False)

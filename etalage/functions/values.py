@@ -47,6 +47,9 @@ ADDRESS_TYPES = ["billing", "shipping", "both"]
 ORDER_STATUSES = ["pending", "paid", "cancelled", "processing", "shipped"]
 PAYMENT_METHODS = ["card", "paypal", "bank_transfer"]
 PAYMENT_RESULTS = ["success", "failed"]
+DOCUMENT_TYPES = ["national_id", "passport", "driver_license"]
+ALERT_SEVERITIES = ["low", "medium", "high", "critical"]
+ALERT_STATUSES = ["open", "investigating", "resolved", "false_positive"]
 
 # Event types and the topics they go to.
 TOPICS = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from etalage.functions.columns import age_years, flag, is_adult, salted_hash
@@ -36,8 +36,11 @@ def verify_documents(labels: DataFrame, as_of: str) -> DataFrame:
     )
 
 
-def pseudonymize(customers: DataFrame, salt: str = "salt:") -> DataFrame:
-    """Salted hash for the id, year for the birth date, no name or contact."""
+def pseudonymize(customers: DataFrame, salt: str) -> DataFrame:
+    """Salted hash for the id, year for the birth date, no name or contact.
+
+    The salt must be secret and long: ids are small numbers, and without it they are found by counting up.
+    """
     return customers.select(
         salted_hash("customer_id", salt).alias("pseudonym"),
         F.year("birthdate").alias("birth_year"),
@@ -70,7 +73,7 @@ def erase(
     return kept
 
 
-def row_checksum(df: DataFrame, columns: list[str]) -> F.Column:
+def row_checksum(columns: list[str]) -> Column:
     """Order-free checksum: the sum over rows of 32 bits of the row's digest."""
     text = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
     return F.sum(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint"))
@@ -81,7 +84,7 @@ def lineage(stages: dict[str, DataFrame], columns: list[str]) -> DataFrame:
     out = None
     for i, (name, df) in enumerate(stages.items()):
         part = df.agg(
-            F.count("*").alias("rows"), F.coalesce(row_checksum(df, columns), F.lit(0)).alias("checksum")
+            F.count("*").alias("rows"), F.coalesce(row_checksum(columns), F.lit(0)).alias("checksum")
         ).select(F.lit(i).alias("step"), F.lit(name).alias("stage"), "rows", "checksum")
         out = part if out is None else out.unionByName(part)
     return out

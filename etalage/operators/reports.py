@@ -153,13 +153,13 @@ def items_per_order(items: DataFrame) -> DataFrame:
 
 
 def orphan_counts(links: dict[str, tuple[DataFrame, DataFrame, str]]) -> DataFrame:
-    """Rows whose key is not in the parent, per named link (child, parent, key).
+    """Rows whose key is not in the parent, per named link (child, parent, key); no key is no orphan.
 
     Child rows are counted per key before the anti-join: a key met a billion times is one row.
     """
     out = None
     for name, (child, parent, key) in links.items():
-        per_key = child.groupBy(key).agg(F.count("*").alias("n"))
+        per_key = child.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
         part = (
             per_key.join(parent.select(key), key, "left_anti")
             .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphans"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from etalage.functions.columns import id_number
 from etalage.functions.values import TOPICS
 from etalage.operators import curate, reports
+from etalage.operators.privacy import row_checksum
 from etalage.plans.registry import query
 from etalage.schemas import FILES
 from etalage.session import fresh_dir
@@ -81,24 +82,50 @@ def jsonl_scan(shop):
     )
 
 
+def _digest(columns: str) -> str:
+    return f"sum(CAST(concat('0x', substr(md5(concat_ws('|', {columns})), 1, 8)) AS BIGINT))"
+
+
+# The columns that are summed up by a digest of each row, so that a swap or a lost cell shows.
+_SUMMED = {
+    "customers": ["customer_id", "country", "birthdate"],
+    "products": ["product_id", "name", "category", "unit_price"],
+    "orders": ["order_id", "customer_id", "total_amount", "status"],
+    "order_items": ["order_id", "product_id", "qty"],
+    "payments": ["payment_id", "customer_id", "method", "amount", "result"],
+    "events": ["event_id", "event_type", "customer_id", "device", "utm_source"],
+}
+
+
 @query(
     "convert_roundtrip",
-    "table_name:s row_count:l",
-    """
-    SELECT 'customers' AS table_name, count(*) AS row_count FROM s_customers
-    UNION ALL SELECT 'products', count(*) FROM s_products
-    UNION ALL SELECT 'orders', count(*) FROM s_orders
-    UNION ALL SELECT 'order_items', count(*) FROM lineitem
-    UNION ALL SELECT 'payments', count(*) FROM s_payments
-    UNION ALL SELECT 'events', count(*) FROM s_events""",
+    "table_name:s row_count:l checksum:l",
+    f"""
+    SELECT 'customers' AS table_name, count(*) AS row_count,
+           {_digest("printf('C%05d', customer_id), country, birthdate")} AS checksum FROM s_customers
+    UNION ALL SELECT 'products', count(*),
+           {_digest("printf('P%04d', product_id), printf('Product %04d', product_id), category, price")} FROM s_products
+    UNION ALL SELECT 'orders', count(*),
+           {_digest("printf('O%07d', order_id), printf('C%05d', customer_id), total_amount, status")} FROM s_orders
+    UNION ALL SELECT 'order_items', count(*),
+           {_digest("printf('O%07d', l_orderkey), printf('P%04d', l_partkey), CAST(l_quantity AS BIGINT)")} FROM lineitem
+    UNION ALL SELECT 'payments', count(*),
+           {_digest("printf('PAY%07d', payment_id), printf('C%05d', customer_id), method, amount, result")} FROM s_payments
+    UNION ALL SELECT 'events', count(*),
+           {_digest("event_id, event_type, printf('C%05d', customer_id), device, utm_source")} FROM s_events""",
 )
 def convert_roundtrip(shop):
     """Inputs that are there become Parquet; the absent ones are passed over."""
     folder = _inputs(shop, [*_TABLES, "events"])
     out = fresh_dir(shop.spark, "parquet")
     done = files.convert_to_parquet(shop.spark, folder, out)
-    tables = {name: shop.spark.read.parquet(f"{out}/{name}") for name in done}
-    return reports.table_counts(tables).toDF("table_name", "row_count")
+    total = None
+    for name in done:
+        part = shop.spark.read.parquet(f"{out}/{name}").agg(
+            F.count("*").alias("row_count"), row_checksum(_SUMMED[name]).alias("checksum")
+        ).select(F.lit(name).alias("table_name"), "*")
+        total = part if total is None else total.unionByName(part)
+    return total
 
 
 @query(
@@ -118,10 +145,41 @@ def convert_roundtrip(shop):
 def full_refresh_counts(shop):
     """Load all input files into empty tables."""
     folder = _inputs(shop, [*_TABLES, "sessions", "fraud_alerts"])
-    tables = full_load(shop.spark, folder, fresh_dir(shop.spark, "tables"))
+    tables, _ = full_load(shop.spark, folder, fresh_dir(shop.spark, "tables"))
     return reports.table_counts(tables).toDF("table_name", "row_count")
 
 
+@query(
+    "load_rejects",
+    "table_name:s read:l accepted:l unreadable:l unlinked:l",
+    """
+    WITH spoilt AS (
+        SELECT *, order_id % 13 = 0 AS unreadable,
+               order_id % 11 = 0 OR customer_id NOT IN (SELECT customer_id FROM s_customers) AS unlinked FROM s_orders),
+    lines AS (
+        SELECT coalesce(l_orderkey IN (SELECT order_id FROM spoilt WHERE NOT unreadable AND NOT unlinked)
+                        AND l_partkey IN (SELECT product_id FROM s_products), FALSE) AS ok FROM lineitem)
+    SELECT 'customers' AS table_name, count(*) AS "read", count(*) AS accepted, 0 AS unreadable, 0 AS unlinked FROM s_customers
+    UNION ALL SELECT 'products', count(*), count(*), 0, 0 FROM s_products
+    UNION ALL SELECT 'orders', count(*), count(*) FILTER (NOT unreadable AND NOT unlinked),
+        count(*) FILTER (unreadable), count(*) FILTER (unlinked AND NOT unreadable) FROM spoilt
+    UNION ALL SELECT 'order_items', count(*), count(*) FILTER (ok), 0, count(*) FILTER (NOT ok) FROM lines""",
+)
+def load_rejects(shop):
+    """A load of files in which some orders have no readable amount and some name no known customer."""
+    folder = _inputs(shop, [*(t for t in _TABLES if t != "orders"), "sessions", "fraud_alerts"])
+    n = id_number("order_id", "O")
+    spoilt = shop.raw("orders").withColumns(
+        {
+            "total_amount": F.when(n % 13 == 0, "abc").otherwise(F.col("total_amount").cast("string")),
+            "customer_id": F.when(n % 11 == 0, "nobody").otherwise(F.col("customer_id")),
+        }
+    )
+    files.write_input(spoilt, folder, "orders")
+    _, counts = full_load(shop.spark, folder, fresh_dir(shop.spark, "tables"))
+    return counts.where(F.col("table_name").isin("customers", "products", "orders", "order_items"))
+
+
 @query(
     "medallion_gold_daily",
     "date:d nb_orders:l revenue:m avg_order_value:f",
@@ -142,7 +200,9 @@ def medallion_gold_daily(shop):
         "status",
         F.date_format("order_ts", "yyyy-MM").alias("month"),
     ).where("order_id is not null")
-    unique = curate.dedup_latest(typed, ["order_id"], [F.col("order_date").desc()])
+    unique = curate.dedup_latest(
+        typed, ["order_id"], [F.col("order_date").desc(), "customer_id", "total_amount", "status"]
+    )
     silver = files.write_layer(
         unique, lake, "silver", "orders", by="month", spread=["order_date", "order_id"]
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from etalage.domain import AS_OF
+from etalage.functions.columns import id_text
 from etalage.functions import values as v
 from etalage.operators import curate, privacy, quality, reports
 from etalage.plans.registry import query
@@ -33,6 +34,8 @@ def _sql_checks(parts: list[tuple[str, str, str]]) -> str:
             ("orders(order_id)", "s_orders", "order_id"),
             ("order_items(l_orderkey,l_linenumber)", "lineitem", "l_orderkey, l_linenumber"),
             ("payments(payment_id)", "s_payments", "payment_id"),
+            ("payments(transaction_id)", "s_payments", "printf('PAY%07d', payment_id)"),
+            ("customers(email)", "s_customers", "concat('customer', customer_id, '@shop.example')"),
         ]
     ),
 )
@@ -45,6 +48,10 @@ def dq_unique(shop):
             quality.unique(shop.orders, "orders", ["order_id"]),
             quality.unique(shop.table("lineitem"), "order_items", ["l_orderkey", "l_linenumber"]),
             quality.unique(shop.attempts, "payments", ["payment_id"]),
+            quality.unique(
+                shop.attempts.select(id_text("PAY", "payment_id", 7).alias("transaction_id")), "payments", ["transaction_id"]
+            ),
+            quality.unique(curate.customers(shop.raw("customers")), "customers", ["email"]),
         ]
     )
 
@@ -55,8 +62,8 @@ def dq_unique(shop):
     _sql_checks(
         [(f"customers.{c}", "s_customers", f"{c} IS NULL") for c in ("customer_id", "name", "country")]
         + [(f"orders.{c}", "s_orders", f"{c} IS NULL") for c in ("customer_id", "order_date", "total_amount")]
-        + [("payments.payment_id", "s_payments", "FALSE"), ("payments.card_bin", "s_payments", "method <> 'card'")]
-        + [("sessions.start_ts", "s_sessions", "FALSE"), ("sessions.end_ts", "s_sessions", "n_events = 1")]
+        + [("payments.payment_id", "s_payments", "payment_id IS NULL"), ("payments.card_bin", "s_payments", "method <> 'card'")]
+        + [("sessions.start_ts", "s_sessions", "session_start IS NULL"), ("sessions.end_ts", "s_sessions", "n_events = 1")]
     ),
 )
 def dq_not_null(shop):
@@ -81,7 +88,10 @@ _KNOWN_EVENTS = ["view", "click", "purchase"]
             ("orders.status", "s_orders", "status NOT IN ('pending', 'paid', 'cancelled', 'processing', 'shipped')"),
             ("payments.method", "s_payments", "method NOT IN ('card', 'paypal', 'bank_transfer')"),
             ("payments.result", "s_payments", "result NOT IN ('success', 'failed')"),
-            ("addresses.address_type", "s_customers", "FALSE"),
+            ("addresses.address_type", "s_customers", f"'{v.DEFAULT_ADDRESS_TYPE}' NOT IN ('billing', 'shipping', 'both')"),
+            ("documents.document_type", "s_people", "customer_num % 13 = 0"),
+            ("fraud_alerts.severity", "s_alerts", "severity NOT IN ('low', 'medium', 'high', 'critical')"),
+            ("fraud_alerts.status", "s_alerts", "status NOT IN ('open', 'investigating', 'resolved', 'false_positive')"),
             ("events.event_type", "s_events", "event_type NOT IN ('view', 'click', 'purchase')"),
         ]
     ),
@@ -98,6 +108,17 @@ def dq_accepted_values(shop):
                 "addresses",
                 {"address_type": v.ADDRESS_TYPES},
             ),
+            quality.accepted_values(
+                # Documents carry no type; one whose number is not of the card's form counts as another kind.
+                shop.raw("identity_labels").select(
+                    F.when(F.col("doc_number").rlike("^ID[0-9]{7}$"), "national_id").otherwise("other").alias("document_type")
+                ),
+                "documents",
+                {"document_type": v.DOCUMENT_TYPES},
+            ),
+            quality.accepted_values(
+                shop.alerts, "fraud_alerts", {"severity": v.ALERT_SEVERITIES, "status": v.ALERT_STATUSES}
+            ),
             quality.accepted_values(shop.events, "events", {"event_type": _KNOWN_EVENTS}),
         ]
     )
@@ -144,7 +165,11 @@ def dq_ranges(shop):
             ("customers.customer_id", "s_people", "NOT regexp_matches(customer_id, '^C[0-9]{5}$')"),
             ("customers.country", "s_people", "length(country) > 2 OR NOT regexp_matches(country, '^[A-Z]{2}$')"),
             ("documents.doc_number", "s_people", "customer_num % 13 = 0"),
-            ("payments.card_bin", "s_payments", "FALSE"),
+            (
+                "payments.card_bin",
+                "s_payments",
+                "method = 'card' AND NOT regexp_matches(CAST(400000 + customer_id * 7919 % 100000 AS VARCHAR), '^[0-9]{6}$')",
+            ),
         ]
     ),
 )
@@ -254,7 +279,8 @@ def id_verify(shop):
     FROM s_customers""",
 )
 def gdpr_pseudonymize(shop):
-    return privacy.pseudonymize(shop.customers)
+    """With a salt that is known, so that the result can be compared."""
+    return privacy.pseudonymize(shop.customers, "salt:")
 
 
 _INACTIVE = """

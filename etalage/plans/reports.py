@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from etalage.functions.columns import share
+from etalage.functions.columns import id_number, share
 from etalage.operators import curate, quality, reports
 from etalage.operators.ordered import sessionize
 from etalage.plans.registry import query
@@ -228,10 +228,36 @@ def distinct_categories(shop):
     UNION ALL SELECT 'payments_orders', count(*) FROM s_payments
     WHERE payment_id NOT IN (SELECT order_id FROM s_orders WHERE status = 'paid')
     UNION ALL SELECT 'alerts_payments', count(*) FROM s_alerts
-    WHERE payment_id NOT IN (SELECT payment_id FROM s_payments)""",
+    WHERE payment_id NOT IN (SELECT payment_id FROM s_payments)
+    UNION ALL SELECT 'sessions_customers', count(*) FROM s_sessions
+    WHERE customer_id NOT IN (SELECT customer_id FROM s_customers)
+    UNION ALL SELECT 'addresses_customers', count(*) FROM s_people
+    WHERE customer_num NOT IN (SELECT customer_id FROM s_customers)
+    UNION ALL SELECT 'orders_shipping_address', count(*) FROM s_orders
+    WHERE customer_id NOT IN (SELECT customer_num FROM s_people)
+    UNION ALL SELECT 'orders_billing_address', count(*) FROM s_orders
+    WHERE customer_id NOT IN (SELECT customer_num FROM s_people)
+    UNION ALL SELECT 'documents_customers', count(*) FROM s_people
+    WHERE customer_num NOT IN (SELECT customer_id FROM s_customers)""",
 )
 def orphan_counts(shop):
-    return reports.orphan_counts(orphan_links(shop))
+    """The customer's number stands for the number of their one address; documents are named by it."""
+    number = id_number("customer_id", "C")
+    homes = curate.addresses(curate.customers(shop.raw("customers"))).select(
+        number.alias("customer_id"), number.alias("address_id")
+    )
+    sent = shop.orders.select(F.col("customer_id").alias("address_id"))
+    documents = shop.raw("identity_labels").select(
+        F.regexp_extract("file", "([0-9]+)", 1).cast("bigint").alias("customer_id")
+    )
+    more = {
+        "sessions_customers": (shop.sessions, shop.people, "customer_id"),
+        "addresses_customers": (homes, shop.people, "customer_id"),
+        "orders_shipping_address": (sent, homes, "address_id"),
+        "orders_billing_address": (sent, homes, "address_id"),
+        "documents_customers": (documents, shop.people, "customer_id"),
+    }
+    return reports.orphan_counts(orphan_links(shop) | more)
 
 
 def orphan_links(shop) -> dict:

@@ -11,11 +11,34 @@ from etalage.operators import fraud, marts, reports
 from etalage.schemas import FILE_NAMES, FILES
 
 CORRUPT = "_corrupt"
+BAD = "_bad"
 
 
 def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """CSV with a header and the declared schema; nothing is inferred."""
-    return spark.read.schema(FILES[table]).option("header", True).csv(path)
+    """CSV with a header, columns taken by name and typed as declared; nothing is inferred.
+
+    ``_corrupt`` has a line that does not have the header's columns, ``_bad`` the names of the cells that
+    are not of their type. A missing column is an error, and so are files whose headers differ.
+    """
+    names = spark.read.option("header", True).csv(path).columns
+    missing = [c for c in FILES[table].names if c not in names]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+    as_text = StructType([StructField(c, StringType()) for c in [*names, CORRUPT]])
+    lines = (
+        spark.read.schema(as_text)
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .csv(path)
+    )
+    typed = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in FILES[table].fields}
+    bad = [F.when(F.col(f"`{c}`").isNotNull() & t.isNull(), F.lit(c)) for c, t in typed.items()]
+    return lines.select(
+        *[t.alias(c) for c, t in typed.items()],
+        CORRUPT,
+        F.filter(F.array(*bad), lambda c: c.isNotNull()).alias(BAD),
+    )
 
 
 def read_jsonl(spark: SparkSession, path: str, table: str = "events") -> DataFrame:
@@ -29,10 +52,25 @@ def read_jsonl(spark: SparkSession, path: str, table: str = "events") -> DataFra
     )
 
 
-def read_input(spark: SparkSession, folder: str, table: str) -> DataFrame:
+def read_checked(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """All lines of an input file, the broken ones too, with ``_corrupt`` and ``_bad``."""
     name = FILE_NAMES[table]
-    reader = read_jsonl if name.endswith(".jsonl") else read_csv
-    return reader(spark, f"{folder}/{name}", table)
+    if name.endswith(".jsonl"):
+        return read_jsonl(spark, f"{folder}/{name}", table).withColumn(BAD, F.array().cast("array<string>"))
+    return read_csv(spark, f"{folder}/{name}", table)
+
+
+def is_good() -> Column:
+    return F.col(CORRUPT).isNull() & (F.size(BAD) == 0)
+
+
+def good_rows(checked: DataFrame) -> DataFrame:
+    return checked.where(is_good()).drop(CORRUPT, BAD)
+
+
+def read_input(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """The good rows of an input file; :func:`read_checked` has the others."""
+    return good_rows(read_checked(spark, folder, table))
 
 
 def write_input(df: DataFrame, folder: str, table: str) -> None:
@@ -47,20 +85,22 @@ def write_input(df: DataFrame, folder: str, table: str) -> None:
 
 def convert_to_parquet(
     spark: SparkSession, folder: str, out: str, tables: list[str] | None = None
-) -> list[str]:
-    """Convert every input file that exists to Parquet; absent files are passed over."""
-    done = []
+) -> dict[str, int]:
+    """Convert every input file that exists to Parquet; absent files are passed over.
+
+    Broken lines and lines with bad cells go to ``<table>_rejects``. Returns the rejects of each table.
+    """
+    done = {}
     for table in tables or list(FILES):
         try:
-            df = read_input(spark, folder, table)
+            checked = read_checked(spark, folder, table)
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
             continue
-        if CORRUPT in df.columns:
-            df = df.drop(CORRUPT)
-        df.write.mode("overwrite").parquet(f"{out}/{table}")
-        done.append(table)
+        good_rows(checked).write.mode("overwrite").parquet(f"{out}/{table}")
+        rejects = refresh(checked.where(~is_good()), out, f"{table}_rejects")
+        done[table] = rejects.count()
     return done
 
 
@@ -71,11 +111,6 @@ def refresh(df: DataFrame, folder: str, table: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def append_new(existing: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
-    """Insert that leaves rows whose key is already there alone."""
-    return existing.unionByName(new.join(existing, key, "left_anti"))
-
-
 def write_layer(
     df: DataFrame, root: str, layer: str, table: str, by: str | None = None, spread: list | None = None
 ) -> DataFrame:

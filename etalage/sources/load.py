@@ -7,35 +7,40 @@ from pyspark.sql import functions as F
 
 from etalage.operators import curate, quality, reports
 from etalage.operators.ordered import global_row_number
-from etalage.sources.files import CORRUPT, read_input, refresh
+from etalage.sources.files import good_rows, is_good, read_checked, refresh
 
 
-def full_load(spark: SparkSession, folder: str, out: str) -> dict[str, DataFrame]:
-    """Replace every curated table from the files of ``folder``; returns the tables by name."""
+def full_load(spark: SparkSession, folder: str, out: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Replace every curated table from the files of ``folder``.
+
+    Returns the tables by name, and for each input file how many rows were read and accepted, were
+    unreadable, or were left out because what they refer to is not there.
+    """
     done: dict[str, DataFrame] = {}
+    counts = []
 
-    def store(name: str, df: DataFrame) -> DataFrame:
+    def store(name: str, df: DataFrame, checked: DataFrame | None = None) -> DataFrame:
         done[name] = refresh(df, out, name)
+        if checked is not None:
+            row = checked.agg(F.count("*").alias("read"), F.count_if(~is_good()).alias("unreadable")).first()
+            accepted = done[name].count()
+            counts.append((name, row["read"], accepted, row["unreadable"], row["read"] - row["unreadable"] - accepted))
         return done[name]
 
-    customers = store("customers", curate.customers(read_input(spark, folder, "customers")))
-    products = store("products", curate.products(read_input(spark, folder, "products")))
-    store("sessions", curate.sessions(read_input(spark, folder, "sessions"), customers))
+    def load(name: str, build) -> DataFrame:
+        checked = read_checked(spark, folder, name)
+        return store(name, build(good_rows(checked)), checked)
+
+    customers = load("customers", curate.customers)
+    products = load("products", curate.products)
+    load("sessions", lambda rows: curate.sessions(rows, customers))
     numbered = global_row_number(curate.addresses(customers), [F.col("customer_id")], "address_id")
     addresses = store("addresses", numbered)
-    orders = store(
-        "orders",
-        curate.orders(
-            read_input(spark, folder, "orders"), customers, curate.latest_address(addresses)
-        ),
-    )
-    store(
-        "order_items",
-        curate.order_items(read_input(spark, folder, "order_items"), orders, products),
-    )
-    payments = store("payments", curate.payments(read_input(spark, folder, "payments"), orders))
-    store("fraud_alerts", curate.alerts(read_input(spark, folder, "fraud_alerts"), payments))
-    return done
+    orders = load("orders", lambda rows: curate.orders(rows, customers, curate.latest_address(addresses)))
+    load("order_items", lambda rows: curate.order_items(rows, orders, products))
+    payments = load("payments", lambda rows: curate.payments(rows, orders))
+    load("fraud_alerts", lambda rows: curate.alerts(rows, payments))
+    return done, spark.createDataFrame(counts, "table_name string, read long, accepted long, unreadable long, unlinked long")
 
 
 def register_views(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -94,8 +99,3 @@ def validate(tables: dict[str, DataFrame]) -> DataFrame:
         reports.sales_by_product(tables["order_items"]),
         tables["payments"],
     )
-
-
-def good_lines(df: DataFrame) -> DataFrame:
-    """Parsed rows of a JSON lines scan."""
-    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)

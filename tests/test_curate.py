@@ -105,7 +105,8 @@ def test_load_from_files(spark, tmp_path):
         (tmp_path / name).write_text(body)
     out = str(tmp_path / "tables")
     for _ in range(2):  # a second load replaces, it does not add
-        t = {name: df.collect() for name, df in full_load(spark, str(tmp_path), out).items()}
+        tables, counts = full_load(spark, str(tmp_path), out)
+        t = {name: df.collect() for name, df in tables.items()}
     phones = {r.customer_id: r.phone for r in t["customers"]}
     assert phones == {"C00001": "+33612345001", "C01234": "+336123451234"}
     assert [str(r.created_at) for r in t["products"]] == ["2025-11-08 15:46:54"]
@@ -115,6 +116,10 @@ def test_load_from_files(spark, tmp_path):
     assert [(r.payment_id, r.order_id, r.card_bin_last4, r.is_fraudulent) for r in t["payments"]] == [(3, 0, "2078", True)]
     assert [(r.alert_id, r.risk_score, r.action_taken) for r in t["fraud_alerts"]] == [("AL1", 0.80, "blocked")]
     assert len(t["addresses"]) == 2
+    assert {r.table_name: r[1:] for r in counts.collect()} == {
+        "customers": (2, 2, 0, 0), "products": (1, 1, 0, 0), "sessions": (2, 1, 0, 1), "orders": (2, 1, 0, 1),
+        "order_items": (3, 1, 0, 2), "payments": (2, 1, 0, 1), "fraud_alerts": (2, 1, 0, 1),
+    }
 
     tables = {name: spark.read.parquet(f"{out}/{name}") for name in t}
     report = {r.check_name: (r.value, r.ok) for r in validate(tables).collect()}
@@ -144,5 +149,35 @@ def test_conversion_skips_absent_files(spark, tmp_path):
         "product_id,name,category,is_adult_restricted,unit_price,created_at\nP0001,A,B,0,1.5,2025-11-08 15:46:54\n"
     )
     out = str(tmp_path / "out")
-    assert files.convert_to_parquet(spark, str(tmp_path), out) == ["products"]
+    assert files.convert_to_parquet(spark, str(tmp_path), out) == {"products": 0}
     assert spark.read.parquet(f"{out}/products").first().unit_price is not None
+
+
+HEADER = "product_id,name,category,is_adult_restricted,unit_price,created_at"
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "products.csv").write_text(
+        "category,extra,name,created_at,product_id,unit_price,is_adult_restricted\nB,x,A,2025-11-08 15:46:54,P0001,1.5,0\n"
+    )
+    row = files.read_input(spark, str(tmp_path), "products").first()
+    assert (row.product_id, row.name, row.category, float(row.unit_price)) == ("P0001", "A", "B", 1.5)
+
+
+def test_a_missing_column_is_an_error(spark, tmp_path):
+    (tmp_path / "products.csv").write_text("product_id,name\nP0001,A\n")
+    with pytest.raises(ValueError, match="category, is_adult_restricted, unit_price, created_at"):
+        files.read_input(spark, str(tmp_path), "products")
+
+
+def test_bad_cells_and_broken_lines_are_counted_and_kept_apart(spark, tmp_path):
+    good = "P0001,A,B,0,1.5,2025-11-08 15:46:54"
+    (tmp_path / "products.csv").write_text(f"{HEADER}\n{good}\nP0002,A,B,0,abc,2025-11-08 15:46:54\nP0003,A,B\n{good},1,2\nP0004,,B,0,,\n")
+    (tmp_path / "events.jsonl").write_text('{"event_id": "a", "event_type": "view"}\n{"event_id": \n')
+    checked = files.read_checked(spark, str(tmp_path), "products").collect()
+    assert [r[files.BAD] for r in checked if r[files.CORRUPT] is None] == [[], ["unit_price"], []]
+    out = str(tmp_path / "out")
+    assert files.convert_to_parquet(spark, str(tmp_path), out) == {"products": 3, "events": 1}
+    assert sorted(r.product_id for r in spark.read.parquet(f"{out}/products").collect()) == ["P0001", "P0004"]
+    assert [r.event_id for r in spark.read.parquet(f"{out}/events").collect()] == ["a"]
+    assert spark.read.parquet(f"{out}/events_rejects").first()[files.CORRUPT].startswith('{"event_id"')
