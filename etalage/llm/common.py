@@ -3,16 +3,24 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from etalage.session import write_through
+from etalage.session import prepare, write_through
 
 #: Fixed pattern: a word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """The package's settings, and batches to Python workers bounded in rows and bytes: texts can be long."""
+    prepare(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+    return spark
+
+
 def word_list(text: Column) -> Column:
     """The words of a text; no words for null."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))

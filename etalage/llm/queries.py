@@ -20,8 +20,7 @@ from etalage.llm import (
     toxicity,
     url_filter,
 )
-from etalage.llm.common import word_count
-from etalage.session import prepare
+from etalage.llm.common import ready, word_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -33,7 +32,7 @@ PATTERN = public_tokenizers.PATTERN
 
 def query(name: str, sql: str | None = None):
     def register(fn: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: fn(prepare(spark), sf_dir)
+        QUERIES[name] = lambda spark, sf_dir: fn(ready(spark), sf_dir)
         if sql is not None:
             SQL[name] = sql
         return fn
