@@ -1,0 +1,96 @@
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from etalage.llm import queries, secret_scan
+from tests.conftest import SF
+
+PROSE = "river stone walks under light paper seven green house morning table window quiet letter".split()
+
+
+def token(draw, n=40):
+    return "".join(draw.choice("0123456789abcdef") for _ in range(n))
+
+
+def documents():
+    draw = random.Random(12)
+    out = []
+    for i in range(400):
+        words = [draw.choice(PROSE) for _ in range(30)]
+        kind = i % 4
+        if kind == 0:
+            words[10] = f'{draw.choice(["token", "secret", "api_key"])} = "{token(draw)}"'
+        elif kind == 1:
+            words[10] = "".join(draw.choice(PROSE) for _ in range(4))
+        elif kind == 2:
+            words[10] = str(draw.getrandbits(60)).zfill(18)
+        else:
+            words[10] = 'token = "your_token_example_here"'
+        out.append((i, " ".join(words), "src/app.py"))
+    return out
+
+
+@pytest.fixture(scope="module")
+def found(spark):
+    docs = spark.createDataFrame([(*r, "v", 1) for r in documents()], "doc_id long, text string, source string, value string, length int")
+    return secret_scan.scan(docs, {"doc_id": F.col("doc_id")}, F.col("source")).collect()
+
+
+def test_secrets_are_told_from_the_rest(found):
+    by_kind = {k: [r for r in found if r.doc_id % 4 == k] for k in range(4)}
+    assert all(r.is_secret for r in by_kind[0]) and len(by_kind[0]) == 100
+    assert not any(r.is_secret for k in (1, 2) for r in by_kind[k])
+    assert sum(r.is_secret for r in by_kind[3]) == 0
+
+
+def test_findings_held_out_from_training(spark):
+    """Labels of one half; the forest judges the other."""
+    docs = spark.createDataFrame(documents(), "doc_id long, text string, source string")
+    rows = secret_scan.with_features(secret_scan.candidates(docs, {"doc_id": F.col("doc_id")}, F.col("source")), PROSE)
+    labelled = rows.withColumn("label", (F.col("doc_id") % 4 == 0).cast("double"))
+    model = secret_scan.train(labelled.where("doc_id < 200"))
+    tested = secret_scan.classify(labelled.where("doc_id >= 200"), model).collect()
+    assert sum(r.is_secret == (r.label == 1) for r in tested) / len(tested) > 0.97
+
+
+def test_candidates_by_brute_force(spark):
+    text = 'a https://x.y/abcdefghijklmnop key="0123456789abcdef0123" tail ABCDEFGHIJKLMNOP=QRSTUVWXYZ012345,0123456789012345 end'
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    rows = secret_scan.candidates(docs, {"doc_id": F.col("doc_id")}, F.lit(None)).collect()
+    want = [(i, v) for i, w in enumerate(text.split()) for v in re.findall(secret_scan.CANDIDATE, w)]
+    assert sorted((r.word_no, r.value) for r in rows) == sorted(want)
+    row = next(r for r in rows if r.value.startswith("0123456789abcdef"))
+    assert row.before == 'a https://x.y/abcdefghijklmnop key="' and row.after == '" tail'
+
+
+def test_features(spark):
+    rows = [("aB3-aB3-aB3-aB3-", 'api_key = "', '" x', "docs/a/test.md"), ("stonepaperhouse1", "see the", "end", None), ("0123456789abcdef", "", "", "x")]
+    found = spark.createDataFrame(rows, "value string, before string, after string, path string")
+    a, b, c = secret_scan.with_features(found, ["stone", "paper", "house"]).collect()
+    assert (a.named, a.assigned, a.quoted, a.path_test, a.path_depth) == (1, 1, 1, 1, 3)
+    assert a.transitions == 1.0 and a.digits == 0.25 and a.capitals == 0.25 and a.different == 0.25
+    assert (b.covered, b.words_before, b.named, b.path_depth) == (15 / 16, 2, 0, 0)
+    assert c.hex_only == 1 and c.covered == 0 and c.words_before == 0
+
+
+def test_no_labels_keeps_every_candidate(spark):
+    docs = spark.createDataFrame([(1, "see abcdefghijklmnopqrstuvwxyz now"), (None, None), (2, "")], "doc_id long, text string")
+    rows = secret_scan.scan(docs, {"doc_id": F.col("doc_id")}, F.lit(None)).collect()
+    assert [(r.doc_id, r.score, r.is_secret) for r in rows] == [(1, 1.0, True)]
+    assert secret_scan.scan(docs.where("false"), {"doc_id": F.col("doc_id")}, F.lit(None)).count() == 0
+
+
+def test_common_words_count_all_texts(spark):
+    docs = spark.createDataFrame([("The cat the",), ("cat. dog, THE",), (None,), ("toolongaword ab",)], "text string")
+    assert secret_scan.common_words(docs) == ["the", "cat", "dog"]
+
+
+def test_query_finds_the_tokens_of_the_documents(spark):
+    folder = SF.replace("sf0.001", "sf0.01")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    want = {(d.doc_id, hashlib.sha256(t.encode()).hexdigest()) for d in docs for t in re.findall(r'token = "([0-9a-f]{40})"', d.text)}
+    rows = queries.QUERIES["op7_secret_scan"](spark, folder).where("is_secret").collect()
+    assert {(r.doc_id, r.value_sha256) for r in rows} == want
