@@ -12,11 +12,13 @@ not UTF-8 are read as U+FFFD. An empty table gives an empty table.
 from __future__ import annotations
 
 import base64
-import heapq
+from array import array
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -96,50 +98,58 @@ class PerfectHash:
 
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The ids of a piece: neighbours of the lowest rank are joined, the leftmost first, to the end."""
+    """The ids of a piece: neighbours of the lowest rank are joined, the leftmost first, to the end.
+
+    Parts are a doubly linked list over the bytes. The heap holds a number for each pair: its rank, then
+    the place of its left part. An entry whose rank is no longer its pair's is passed over.
+    """
     n = len(piece)
-    end = list(range(1, n + 1))  # of the part that starts here; 0 once it is joined to the one before
-    before = list(range(-1, n - 1))
-    heap = []
-    for i in range(n - 1):
-        rank = ranks.get(piece[i : i + 2])
-        if rank is not None:
-            heap.append((rank, i, i + 2))
-    heapq.heapify(heap)
+    rank_of, far = ranks.get, n << 40
+    pair = [rank_of(piece[i : i + 2], far) for i in range(n - 1)]  # of the part that starts here and the next
+    pair.append(far)
+    after, before = list(range(1, n + 1)), list(range(-1, n))
+    heap = [r << 32 | i for i, r in enumerate(pair) if r != far]
+    heapify(heap)
     while heap:
-        rank, i, stop = heapq.heappop(heap)
-        j = end[i]
-        if not j or j >= n or end[j] != stop:
-            continue  # a part of this pair has changed since
-        end[i], end[j] = stop, 0
+        entry = heappop(heap)
+        i = entry & _LOW
+        if pair[i] != entry >> 32:
+            continue
+        j = after[i]
+        stop = after[j]
+        after[i], before[stop] = stop, i
+        pair[j] = far
         if stop < n:
-            before[stop] = i
-            rank = ranks.get(piece[i : end[stop]])
-            if rank is not None:
-                heapq.heappush(heap, (rank, i, end[stop]))
-        h = before[i]
-        if h >= 0:
-            rank = ranks.get(piece[h:stop])
-            if rank is not None:
-                heapq.heappush(heap, (rank, h, stop))
+            rank = pair[i] = rank_of(piece[i : after[stop]], far)
+            if rank != far:
+                heappush(heap, rank << 32 | i)
+        else:
+            pair[i] = far
+        if i:
+            h = before[i]
+            rank = pair[h] = rank_of(piece[h:stop], far)
+            if rank != far:
+                heappush(heap, rank << 32 | h)
     out, i = [], 0
     while i < n:
-        out.append(ranks[piece[i : end[i]]])
-        i = end[i]
+        stop = after[i]
+        out.append(ranks[piece[i:stop]])
+        i = stop
     return out
 
 
 class Tokens(dict):
-    """Ids by pre-token, found on first sight. At ``most`` entries it starts afresh, so memory is bounded."""
+    """Ids by pre-token, found on first sight, as the bytes of 32-bit numbers: these are joined fast and
+    are nothing to the garbage collector. At ``most`` entries it starts afresh, so memory is bounded."""
 
-    def __init__(self, whole: PerfectHash, ranks: dict[bytes, int], most: int = 200_000):
+    def __init__(self, whole: PerfectHash, ranks: dict[bytes, int], most: int = 400_000):
         super().__init__()
         self.whole, self.ranks, self.most = whole, ranks, most
 
-    def __missing__(self, token: str) -> list[int]:
+    def __missing__(self, token: str) -> bytes:
         piece = token.encode()
         one = self.whole.get(piece)
-        ids = merge(piece, self.ranks) if one is None else [one]
+        ids = array("i", merge(piece, self.ranks) if one is None else (one,)).tobytes()
         if len(self) >= self.most:
             self.clear()
         if len(piece) <= 256:
@@ -166,12 +176,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", k
                 part = batch.slice(at, 256)
                 ends, flat = [0], []
                 for raw in part.column(len(keep)).to_pylist():
-                    ids: list[int] = []
-                    for token in find((raw or b"").decode("utf-8", "replace")):
-                        ids += tokens[token]
-                    flat.append(np.array(ids, dtype=np.int32))
-                    ends.append(ends[-1] + len(ids))
-                values = pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32))
+                    pieces = find((raw or b"").decode("utf-8", "replace"))
+                    flat.append(b"".join([tokens[piece] for piece in pieces]))
+                    ends.append(ends[-1] + len(flat[-1]) // 4)
+                values = pa.array(np.frombuffer(b"".join(flat), np.int32))
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], ids], names=[*keep, "ids"])
 
@@ -185,16 +193,24 @@ def decode(rows: DataFrame, ranks_path: str, ids: str = "ids") -> DataFrame:
     Null ids give empty bytes; an id that is not in the vocabulary is an error.
     """
     ranks = read_ranks(ranks_path)
+    pieces: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
+    for piece, i in ranks.items():
+        pieces[i] = piece
     keep = [c for c in rows.columns if c != "decoded"]
     at = keep.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = {i: b for b, i in ranks.items()}
+        table = pa.array(pieces, pa.binary())
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                texts = [b"".join([pieces[i] for i in x or ()]) for x in part.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[*keep, "decoded"])
+                lists = pc.fill_null(part.column(at), pa.scalar([], part.column(at).type))
+                found = table.take(lists.flatten())
+                if found.null_count:
+                    raise ValueError("an id that is not in the vocabulary")
+                ends = np.r_[0, np.cumsum(pc.list_value_length(lists).to_numpy(), dtype=np.int64)]
+                texts = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(ends), found), b"")
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], names=[*keep, "decoded"])
 
     picked = rows.select(*[F.col(f"`{c}`") for c in keep])
     return picked.mapInArrow(run, extended(picked.schema, "decoded binary"))
