@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from etalage.llm import exact_dedup, mixing, quality, simhash
-from etalage.llm.common import located, ready, without, word_count
+from etalage.llm.common import in_files, located, ready, without, word_count
 from etalage.llm.queries import MIX_MOST, MIX_SHAPES, MIX_WEIGHTS, bpe_digests
 from etalage.session import write_through
 
@@ -16,6 +16,7 @@ from etalage.session import write_through
 def by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     ready(spark)
+    docs = in_files(docs)
     rows = located(docs, [F.col("text"), F.col("lang"), F.col("source")])
     judged = quality.quality(rows, {"_loc": F.col("_loc")})
     return without(docs, judged.where("not kept").select("_loc"))
@@ -24,6 +25,7 @@ def by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text stays: the largest id, then the last place."""
     ready(spark)
+    docs = in_files(docs)
     found = exact_dedup.exact_duplicates(docs, F.col("doc_id"))
     return without(docs, found.where("not kept").select("_loc"))
 
@@ -31,6 +33,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHash near-duplicates stays: the smallest id, then the first place."""
     ready(spark)
+    docs = in_files(docs)
     rows = located(docs, [F.col("doc_id"), F.col("text")])
     first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("_loc"))
     found = simhash.near_duplicates(rows, first)
@@ -40,6 +43,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def in_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents the mix takes, as often as it takes them, in the order of training."""
     ready(spark)
+    docs = in_files(docs)
     rows = located(docs, [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")])
     mixed = mixing.mix(
         located(docs, [F.col("doc_id"), F.col("source"), F.col("text")]),

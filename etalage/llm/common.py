@@ -35,23 +35,21 @@ def extended(schema: StructType, more: str) -> StructType:
     return StructType([*schema.fields, *StructType.fromDDL(more).fields])
 
 
-def located(docs: DataFrame, columns: list[Column]) -> DataFrame:
-    """``columns`` of every row and ``_loc``, the row's place: its file and its number in the file.
-
-    A place names one row for good, also where ids repeat or are null. A table that does not come
-    straight from Parquet files is written to the shared folder first.
-    """
-
-    def placed(df: DataFrame) -> DataFrame:
-        place = F.struct(
-            F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
-        )
-        return df.select(*columns, place.alias("_loc"))
-
+def in_files(docs: DataFrame) -> DataFrame:
+    """``docs`` itself where it comes straight from files, so that its rows have places; else a copy that
+    is written to the shared folder. Places agree only between uses of one such table."""
     try:
-        return placed(docs)
+        docs.select("_metadata.file_path", "_metadata.row_index")
     except AnalysisException:
-        return placed(write_through(docs, "located"))
+        return write_through(docs, "documents")
+    return docs
+
+
+def located(docs: DataFrame, columns: list[Column]) -> DataFrame:
+    """``columns`` of every row of a table from files and ``_loc``, the row's place: its file and its number
+    in the file. A place names one row for good, also where ids repeat or are null."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return docs.select(*columns, place.alias("_loc"))
 
 
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:

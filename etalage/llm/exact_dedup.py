@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from etalage.llm.common import located
+from etalage.llm.common import in_files, located
 from etalage.session import fresh_dir, settings, write_through
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -68,7 +68,7 @@ def only_hits(texts: DataFrame, hits: DataFrame, most_sent: int = 1_000_000) ->
 def exact_duplicates(docs: DataFrame, key: Column, text: str = "text", digest=text_digest, files_per_batch: int = 10_000) -> DataFrame:
     """key, _loc (the row's place), digest, keeper (key and place of the row that stays), n (rows of the
     group) and kept, for every row. ``digest`` makes the digest column from the text column."""
-    texts = located(docs, [key.alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), digest(F.col(f"`{text}`")).alias("digest")])
+    texts = located(in_files(docs), [key.alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), digest(F.col(f"`{text}`")).alias("digest")])
     rows = write_through(texts.select("digest", "key", "_loc"), "digested")
     state = keep_state(rows, files_per_batch)
     # Full bytes: the different texts behind each hit, each sent once by a task. Where a digest has one text
