@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from etalage.functions import values as v
+from etalage.functions.columns import micros
+from etalage.operators.fraud import first_success
 from etalage.plans.registry import query
 from etalage.session import fresh_dir, settings
 from etalage.sources import streams
@@ -184,22 +187,37 @@ def stream_interval_join(shop):
         return streams.run_to_table(jobs.click_to_purchase(clicks, purchases), "pairs")
 
 
-@query(
-    "stream_rules_stateful",
-    "payment_id:l customer_id:l ts:t rule:s",
-    """
-    SELECT payment_id, customer_id, attempt_ts AS ts, 'device_change' AS rule FROM s_flags WHERE device_change
-    UNION ALL
-    SELECT payment_id, customer_id, attempt_ts, 'rapid_attempts' FROM s_flags WHERE rapid_attempts
-    UNION ALL
-    SELECT payment_id, customer_id, attempt_ts, 'velocity' FROM s_flags WHERE velocity""",
+# Attempts are judged when the watermark has passed their six hours.
+_JUDGED = """(SELECT to_timestamp(floor((epoch(max(ts)) - 600) / 21600) * 21600) AT TIME ZONE 'UTC' FROM s_events)"""
+_RULES = " UNION ALL ".join(
+    f"SELECT payment_id, customer_id, attempt_ts AS ts, '{r}' AS rule FROM s_flags WHERE {r}" for r in v.RULES
 )
-def stream_rules_stateful(shop):
-    """Two arrivals cut inside a day: the state of the first is used by the second."""
-    payments = shop.attempts.withColumnRenamed("attempt_ts", "ts").select(
-        "payment_id", "customer_id", "ts", "device_id", "ip_hash"
+_LIVE = f"""
+    SELECT * FROM ({_RULES} UNION ALL
+        SELECT payment_id, customer_id, attempt_ts, 'fail_then_success' FROM (
+            SELECT *, lag(result, 1) OVER w AS r1, lag(result, 2) OVER w AS r2, lag(result, 3) OVER w AS r3,
+                   lag(attempt_ts, 3) OVER w AS first_failure
+            FROM s_payments WINDOW w AS (PARTITION BY customer_id ORDER BY attempt_ts, payment_id))
+        WHERE result = 'success' AND r1 = 'failed' AND r2 = 'failed' AND r3 = 'failed'
+          AND attempt_ts - first_failure <= INTERVAL 24 HOUR)
+    WHERE ts < {_JUDGED}"""
+
+
+def _with_history(shop, attempts):
+    """Attempts with both countries and the customer's first success, looked up in the tables."""
+    first = first_success(shop.attempts).select(
+        "customer_id",
+        micros("first_ok.attempt_ts").alias("first_at"),
+        F.col("first_ok.payment_id").alias("first_id"),
     )
-    arrivals = _split(payments, "2024-01-15 12:00:00")
+    return shop.with_countries(attempts).join(first, "customer_id", "left").withColumnRenamed("attempt_ts", "ts")
+
+
+@query("stream_rules_stateful", "payment_id:l customer_id:l ts:t rule:s", _LIVE)
+def stream_rules_stateful(shop):
+    """Two arrivals cut inside a day; the rows of the first wait for those of the second."""
+    attempts = _with_history(shop, shop.attempts)
+    arrivals = _split(attempts, "2024-01-15 12:00:00")
     with _state(shop, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
         out, _ = streams.replay(shop.spark, arrivals, stateful.attempt_alerts, "alerts")
         return out
@@ -207,34 +225,28 @@ def stream_rules_stateful(shop):
 
 @query(
     "stream_alert_fanout",
-    "sink:s n:l payments:l",
-    """
-    SELECT sink, count(*) AS n, count(DISTINCT payment_id) AS payments
-    FROM s_alerts, (VALUES ('table'), ('topic')) s(sink)
-    WHERE alert_type IN ('country_mismatch', 'time_anomaly') GROUP BY sink""",
+    "sink:s rule:s n:l payments:l",
+    f"""
+    SELECT sink, rule, count(*) AS n, count(DISTINCT payment_id) AS payments
+    FROM ({_LIVE}), (VALUES ('table'), ('topic')) s(sink) GROUP BY sink, rule""",
 )
 def stream_alert_fanout(shop):
-    """Alerts of the one-row rules, written to a table and to a topic by each batch."""
+    """The live job: attempts, looked up history, all rules and the pattern, to a table and to a topic."""
     spark = shop.spark
     table, topic = fresh_dir(spark, "alerts"), fresh_dir(spark, "fraud-alerts")
-    flagged = shop.with_countries(shop.shape_attempts(_events(shop)))
-    rules = F.filter(
-        F.array(
-            F.when(F.col("payment_country") != F.col("customer_country"), "country_mismatch"),
-            F.when((F.hour("attempt_ts") >= 3) & (F.hour("attempt_ts") < 6), "time_anomaly"),
-        ),
-        lambda r: r.isNotNull(),
-    )
-    alerts = flagged.select("payment_id", "customer_id", "attempt_ts", F.explode(rules).alias("rule"))
-    streams.finish(
-        alerts.writeStream.foreachBatch(jobs.write_twice(table, topic)).option(
-            "checkpointLocation", fresh_dir(spark, "fanout-checkpoint")
+    attempts = _with_history(shop, shop.shape_attempts(_events(shop)))
+    with _state(shop, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
+        streams.finish(
+            stateful.attempt_alerts(attempts)
+            .writeStream.foreachBatch(jobs.write_twice(table, topic))
+            .option("checkpointLocation", fresh_dir(spark, "fanout-checkpoint"))
         )
-    )
-    stored = spark.read.parquet(table).select(F.lit("table").alias("sink"), "payment_id")
+    stored = spark.read.parquet(table).select(F.lit("table").alias("sink"), "rule", "payment_id")
     sent = spark.read.parquet(topic).select(
-        F.lit("topic").alias("sink"), F.col("key").cast("bigint").alias("payment_id")
+        F.lit("topic").alias("sink"),
+        F.get_json_object("value", "$.rule").alias("rule"),
+        F.col("key").cast("bigint").alias("payment_id"),
     )
-    return stored.unionByName(sent).groupBy("sink").agg(
+    return stored.unionByName(sent).groupBy("sink", "rule").agg(
         F.count("*").alias("n"), F.countDistinct("payment_id").alias("payments")
     )

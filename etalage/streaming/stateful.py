@@ -4,17 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import (
-    LongType,
-    StringType,
-    StructField,
-    StructType,
-    TimestampType,
-)
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from etalage.functions.columns import micros, slice_of
 
@@ -26,113 +21,140 @@ ALERTS = StructType(
         StructField("rule", StringType()),
     ]
 )
-WEEK = 7 * 24 * 3600
-HOUR_US = 3_600_000_000
-TEN_MINUTES_US = 600_000_000
+#: What is kept of an attempt until it is judged.
+ATTEMPT = {
+    "payment_id": "long",
+    "at": "long",
+    "live": "boolean",
+    "amount": "double",
+    "result": "string",
+    "device_id": "string",
+    "ip_hash": "string",
+    "payment_country": "string",
+    "customer_country": "string",
+    "first_at": "long",
+    "first_id": "long",
+}
+SLICE = 6 * 3600
+DAY = 24 * 3600
+SECOND = 1_000_000
+
+
+def judge(rows: pd.DataFrame, velocity_limit: int = 5, failed_limit: int = 3, amount_limit: float = 100) -> dict[str, np.ndarray]:
+    """Which rules each attempt of one customer breaks; ``rows`` in order of time and number.
+
+    Rows need the 24 hours before them. The first successful payment (``first_at``, ``first_id``) is known.
+    """
+    at, number = rows["at"].to_numpy(), rows["payment_id"].to_numpy()
+    failed = (rows["result"] == "failed").to_numpy()
+    upto = np.searchsorted(at, at, side="right")
+    so_far = np.r_[0, np.cumsum(failed)]
+
+    def since(seconds: int) -> np.ndarray:
+        return np.searchsorted(at, at - seconds * SECOND, side="left")
+
+    def before(column: str, n: int = 1) -> pd.Series:
+        return rows[column].shift(n)
+
+    def moved(column: str) -> np.ndarray:
+        a, b = rows[column], before(column)
+        return (a.notna() & b.notna() & (a != b)).to_numpy()
+
+    gap = np.full(len(at), np.inf)
+    gap[1:] = np.diff(at)
+    home, paid = rows["customer_country"], rows["payment_country"]
+    first_at = rows["first_at"].to_numpy(dtype="float64", na_value=np.inf)
+    first_id = rows["first_id"].to_numpy(dtype="float64", na_value=np.inf)
+    hour = at // (3600 * SECOND) % 24
+    three_back = before("at", 3).to_numpy(dtype="float64", na_value=-np.inf)
+    after_failures = np.logical_and.reduce([(before("result", n) == "failed").to_numpy() for n in (1, 2, 3)])
+    return {
+        "high_amount": (rows["amount"] > amount_limit).to_numpy()
+        & ((at < first_at) | ((at == first_at) & (number <= first_id))),
+        "country_mismatch": (home.notna() & paid.notna() & (home != paid)).to_numpy(),
+        "velocity": upto - since(600) > velocity_limit,
+        "device_change": moved("device_id") & moved("ip_hash") & (gap < 3600 * SECOND),
+        "time_anomaly": (hour >= 3) & (hour < 6),
+        "many_failed_attempts": failed & (so_far[upto] - so_far[since(DAY)] >= failed_limit),
+        "rapid_attempts": gap < 600 * SECOND,
+        "fail_then_success": (rows["result"] == "success").to_numpy() & after_failures & (at - three_back <= DAY * SECOND),
+    }
 
 
 class AttemptRules(StatefulProcessor):
-    """Velocity, rapid attempts and device change over the attempts of one customer and time slice.
+    """The attempts of one customer and time slice, held until the watermark has passed the slice.
 
-    The state is the last attempt and the few latest times; it goes when the watermark passes the
-    end of the slice. It is one value, read and written once per key and batch.
+    Then no more can come, whatever the order they came in, and they are judged at once in the order of
+    their times. The state goes with that.
     """
 
-    def __init__(self, limit: int, slice_seconds: int):
-        self.limit = limit
-        self.slice_us = slice_seconds * 1_000_000
+    def __init__(self, slice_seconds: int):
+        self.slice_us = slice_seconds * SECOND
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("attempts", "device string, ip string, recent array<long>")
+        self.rows = handle.getListState("rows", ", ".join(f"{n} {t}" for n, t in ATTEMPT.items()))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["at", "payment_id"])
-        before = self.state.get()
-        device, ip, recent = (before[0], before[1], list(before[2])) if before else (None, None, [])
-        out = []
-        for r in batch.itertuples(index=False):
-            fired = []
-            if recent:
-                gap = r.at - recent[-1]
-                if gap < TEN_MINUTES_US:
-                    fired.append("rapid_attempts")
-                if gap < HOUR_US and r.device_id != device and r.ip_hash != ip:
-                    fired.append("device_change")
-            # One time more than the limit is enough to tell whether the limit is passed.
-            recent = [*recent, int(r.at)][-(self.limit + 1) :]
-            if len(recent) > self.limit and recent[0] >= r.at - TEN_MINUTES_US:
-                fired.append("velocity")
-            device, ip = r.device_id, r.ip_hash
-            if r.live:
-                out += [(r.payment_id, int(key[0]), r.ts, rule) for rule in fired]
-        self.state.update((device, ip, recent))
+        for batch in rows:
+            plain = batch[list(ATTEMPT)].astype(object)
+            self.rows.appendList(list(plain.where(batch[list(ATTEMPT)].notna(), None).itertuples(index=False, name=None)))
         self.handle.registerTimer((int(key[1]) + 1) * self.slice_us // 1000)
-        yield pd.DataFrame(out, columns=ALERTS.names)
+        return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.state.clear()
-        return iter([])
+        held = pd.DataFrame(list(self.rows.get()), columns=list(ATTEMPT)).sort_values(["at", "payment_id"], ignore_index=True)
+        held = held.astype({"payment_id": "int64", "at": "int64", "first_at": "Int64", "first_id": "Int64"})
+        live = held["live"].to_numpy(dtype=bool)
+        found = []
+        for rule, hit in judge(held).items():
+            own = held[live & hit]
+            found.append(
+                pd.DataFrame(
+                    {
+                        "payment_id": own["payment_id"],
+                        "customer_id": int(key[0]),
+                        "ts": pd.to_datetime(own["at"], unit="us"),
+                        "rule": rule,
+                    }
+                )
+            )
+        self.rows.clear()
+        yield pd.concat(found, ignore_index=True)
 
     def close(self) -> None:
         pass
 
 
 def with_lookback(df: DataFrame, ts: str, horizon: int, slice_seconds: int) -> DataFrame:
-    """Add ``_slice`` and ``_live``: rows near the end of a slice also go to the next one as context.
+    """Add ``_slice`` and ``_live``: a row also goes to the later slices that begin within the horizon.
 
     Any row of [t - horizon, t] is then found in the slice of the live row at t. The copies are
     horizon / slice_seconds of the rows.
     """
-    if horizon > slice_seconds:
-        raise ValueError("a slice must be at least as long as the horizon")
     own = slice_of(ts, slice_seconds)
-    next_start = (own + 1) * F.lit(slice_seconds * 1_000_000)
-    live = F.struct(own.alias("_slice"), F.lit(True).alias("_live"))
-    context = F.struct((own + 1).alias("_slice"), F.lit(False).alias("_live"))
-    near_end = micros(ts) >= next_start - F.lit(horizon * 1_000_000)
-    return df.select(
-        "*",
-        F.inline(F.when(near_end, F.array(live, context)).otherwise(F.array(live))),
+    last = F.floor((micros(ts) + F.lit(horizon * SECOND)) / F.lit(slice_seconds * SECOND)).cast("bigint")
+    return df.select("*", F.explode(F.sequence(own.cast("bigint"), last)).alias("_slice")).withColumn(
+        "_live", F.col("_slice") == own
     )
 
 
-def attempt_alerts(
-    payments: DataFrame, limit: int = 5, delay: str = "10 minutes", slice_seconds: int = WEEK
-) -> DataFrame:
-    """Alerts per attempt. Keyed by customer and week; the last hour of a week is also sent to the next.
+def attempt_alerts(payments: DataFrame, delay: str = "10 minutes", slice_seconds: int = SLICE) -> DataFrame:
+    """Alerts of all rules, and of a success after three failures, for a stream of attempts.
 
-    Rows of one key are put in order inside a batch; across batches they must come in time order.
+    ``payments`` has payment_id, customer_id, ts, amount, result, device_id, ip_hash, both countries and the
+    customer's first success (first_at in microseconds, first_id). Keyed by customer and slice; the 24 hours
+    before a slice are sent to it as context. Attempts may come in any order within the watermark.
     """
-    keyed = with_lookback(
-        payments.select(
-            "payment_id",
-            "customer_id",
-            F.col("ts").cast("timestamp").alias("ts"),
-            "device_id",
-            "ip_hash",
-        ),
-        "ts",
-        3600,
-        slice_seconds,
-    )
-    rows = keyed.select(
-        "customer_id",
-        F.col("_slice").alias("week"),
-        F.col("_live").alias("live"),
-        "payment_id",
-        "ts",
-        F.unix_micros("ts").alias("at"),
-        "device_id",
-        "ip_hash",
-    )
-    return (
-        rows.withWatermark("ts", delay)
-        .groupBy("customer_id", "week")
-        .transformWithStateInPandas(
-            statefulProcessor=AttemptRules(limit, slice_seconds),
-            outputStructType=ALERTS,
-            outputMode="Append",
-            timeMode="EventTime",
-        )
+    timed = payments.withColumn("ts", F.col("ts").cast("timestamp")).where("ts is not null")
+    # The watermark is on the attempts' own times, ahead of the copies.
+    sent = with_lookback(timed.withWatermark("ts", delay), "ts", DAY, slice_seconds)
+    rows = sent.withColumns(
+        {"at": F.unix_micros("ts"), "live": F.col("_live"), "amount": F.col("amount").cast("double")}
+    ).select("customer_id", "_slice", "ts", *ATTEMPT)
+    return rows.groupBy("customer_id", "_slice").transformWithStateInPandas(
+        statefulProcessor=AttemptRules(slice_seconds),
+        outputStructType=ALERTS,
+        outputMode="Append",
+        timeMode="EventTime",
     )

@@ -1,7 +1,14 @@
-from datetime import timedelta
+import random
+import subprocess
+import sys
+from datetime import datetime
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
+from etalage.functions.values import RULES
+from etalage.operators import fraud
 from etalage.plans.streams import ROCKSDB
 from etalage.session import fresh_dir, settings
 from etalage.sources import streams
@@ -35,27 +42,84 @@ def test_duplicates_count_once(spark):
     assert sorted(r.event_id for r in out.collect()) == [1, 2, 3]
 
 
-def attempts(spark, rows):
-    schema = "payment_id long, customer_id long, ts timestamp_ntz, device_id string, ip_hash string"
-    return spark.createDataFrame(rows, schema)
+ATTEMPT = (
+    "payment_id long, customer_id long, ts timestamp_ntz, amount double, result string, device_id string, ip_hash string,"
+    " payment_country string, customer_country string, first_at long, first_id long"
+)
+LATER = at(30 * 86400)
 
 
-def test_state_goes_on_between_arrivals(spark):
-    six = [(i, 1, at(100 * i), "d", "i") for i in range(6)]
-    moved = [(20, 2, at(0), "d", "i"), (21, 2, at(3599), "x", "y"), (22, 2, at(3599 + 3600), "d", "i")]
-    # Across the edge of two weeks: the former hour is known in the new one.
-    edge = at(0, base=stateful.pd.Timestamp("2024-01-04").to_pydatetime())
-    over = [(30, 3, edge - timedelta(seconds=300), "d", "i"), (31, 3, edge + timedelta(seconds=300), "x", "y")]
-    first = attempts(spark, six[:3] + moved[:1] + over[:1])
-    second = attempts(spark, six[3:] + moved[1:] + over[1:])
-    with settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
+def attempt(pid, seconds, customer=1, amount=10.0, result="failed", device="d", ip="i", paid="FR", home="FR"):
+    return (pid, customer, at(seconds), amount, result, device, ip, paid, home, None, None)
+
+
+def alerts_of(spark, arrivals, name, **options):
+    """Alerts after the arrivals and one last attempt, long after, that closes all slices."""
+    arrivals = [*arrivals, [(999_999, 777, LATER, 1.0, "failed", "d", "i", "FR", "FR", None, None)]]
+    with settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB, spark__sql__shuffle__partitions="4"):
         out, _ = streams.replay(
-            spark, [first, second], lambda s: stateful.attempt_alerts(s, delay="10 days"), "state-test"
+            spark, [spark.createDataFrame(a, ATTEMPT) for a in arrivals], lambda s: stateful.attempt_alerts(s, **options), name
         )
-    got = {(r.payment_id, r.rule) for r in out.collect()}
-    assert got == {(i, "rapid_attempts") for i in range(1, 6)} | {
-        (5, "velocity"), (21, "device_change"), (31, "device_change")
-    }
+    return sorted((r.payment_id, r.rule) for r in out.collect())
+
+
+def test_late_attempts_raise_no_false_alerts(spark):
+    """Half an hour apart, the earlier one arriving second: nothing. Five minutes apart: the later one is rapid."""
+    assert alerts_of(spark, [[attempt(2, 1800)], [attempt(1, 0)]], "late-none", delay="2 hours") == []
+    assert alerts_of(spark, [[attempt(2, 300)], [attempt(1, 0)]], "late-pair", delay="2 hours") == [(2, "rapid_attempts")]
+
+
+def some_attempts():
+    rnd = random.Random(11)
+    out = []
+    for i in range(220):
+        # Half of them one customer's; times over two days, some equal, and the edges of slices among them.
+        seconds = rnd.choice([rnd.randrange(2 * 86400), rnd.randrange(86400) // 900 * 900, 8 * 3600 + rnd.randrange(-900, 900)])
+        out.append(attempt(i, seconds, customer=1 if rnd.random() < 0.5 else rnd.randrange(2, 8), amount=rnd.choice([50.0, 150.0]),
+                           result=rnd.choice(["failed", "failed", "success"]), device=rnd.choice("ab"), ip=rnd.choice("xy"),
+                           paid=rnd.choice(["FR", "BE", None])))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_stream_gives_the_batch_rules_for_any_order_of_arrival(spark, seed):
+    rows = some_attempts()
+    batch = spark.createDataFrame([r[:9] for r in rows], ATTEMPT.split(", first_at")[0]).withColumnsRenamed({"ts": "attempt_ts"})
+    batch = batch.withColumn("is_fraudulent", F.lit(False))
+    flagged = fraud.flag_all(batch)
+    rules = F.filter(F.array(*[F.when(F.col(r), F.lit(r)) for r in RULES]), lambda r: r.isNotNull())
+    want = [(r.payment_id, r.rule) for r in flagged.select("payment_id", F.explode(rules).alias("rule")).collect()]
+    want += [(r.payment_id, "fail_then_success") for r in fraud.fail_then_success(batch).collect()]
+    first = {}
+    for r in rows:
+        if r[4] == "success":
+            first[r[1]] = min(first.get(r[1], (LATER, 0)), (r[2], r[0]))
+    micros = lambda t: int((t - datetime(1970, 1, 1)).total_seconds() * 1_000_000)
+    known = [(*r[:9], micros(first[r[1]][0]), first[r[1]][1]) if r[1] in first else r for r in rows]
+    random.Random(seed).shuffle(known)
+    cut = random.Random(seed).randrange(40, 180)
+    assert alerts_of(spark, [known[:cut], known[cut:]], f"any-order-{seed}", delay="3 days") == sorted(want)
+
+
+def test_workers_need_not_have_the_package(tmp_path):
+    """From another folder, with the package on the driver's path only."""
+    root = str(Path(__file__).resolve().parents[1])
+    job = f"""
+import sys
+sys.path.append({root!r})
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2")
+         .config("spark.sql.streaming.stateStore.providerClass", "{ROCKSDB}").getOrCreate())
+from etalage.session import prepare
+from etalage.sources import streams
+from etalage.streaming import stateful
+from datetime import datetime
+rows = [(i, 1, datetime(2024, 1, 1 + 9 * (i == 3), 10, 5 * i), 1.0, "failed", "d", "i", "FR", "FR", None, None) for i in (1, 2, 3)]
+df = prepare(spark).createDataFrame(rows, "{ATTEMPT}")
+print("ALERTS", streams.replay(spark, [df], stateful.attempt_alerts, "t")[0].count())
+"""
+    said = subprocess.run([sys.executable, "-c", job], cwd=tmp_path, capture_output=True, text=True, timeout=150)
+    assert "ALERTS 1" in said.stdout, said.stderr[-2000:]
 
 
 def test_a_batch_written_again_leaves_no_row_twice(spark):
