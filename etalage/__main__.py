@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from etalage.session import prepare
 from etalage.sources.files import convert_to_parquet
 from etalage.sources.load import full_load, register_views, validate
+from etalage.operators.privacy import erase_to, pseudonymize
 from etalage.operators.reports import sales_by_product, top_categories
 
 TABLES = [
@@ -24,6 +25,19 @@ TABLES = [
 ]
 
 
+#: Tables whose rows go with those of another, and the column that leads there.
+CHILDREN = {"order_items": ("orders", "order_id"), "fraud_alerts": ("payments", "payment_id")}
+
+
+def erase_command(spark: SparkSession, folder: str, ids: str, out: str) -> DataFrame:
+    """Curated payments lead to their customer over the order, alerts over the payment."""
+    tables = {t: spark.read.parquet(f"{folder}/{t}") for t in TABLES}
+    keys = tables["orders"].select("order_id", "customer_id")
+    with_customer = {**tables, "payments": tables["payments"].join(keys, "order_id", "left")}
+    erased = spark.read.text(ids).select(F.trim("value").alias("customer_id"))
+    return erase_to(with_customer, erased, "customer_id", CHILDREN, out)
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(prog="etalage", description=__doc__)
     commands = parser.add_subparsers(dest="command", required=True)
@@ -36,6 +50,14 @@ def main() -> None:
     ask = commands.add_parser("sql", help="run a statement on the loaded tables and report views")
     ask.add_argument("--tables", required=True)
     ask.add_argument("statement")
+    forget = commands.add_parser("erase", help="write the loaded tables without the customers listed in a file")
+    forget.add_argument("--tables", required=True)
+    forget.add_argument("--ids", required=True, help="text file, one customer id a line")
+    forget.add_argument("--out", required=True)
+    hide = commands.add_parser("pseudonymize", help="write the customers under salted names")
+    hide.add_argument("--tables", required=True)
+    hide.add_argument("--out", required=True)
+    hide.add_argument("--salt-file", required=True, help="file that holds the secret salt")
     args = parser.parse_args()
 
     spark = prepare(SparkSession.builder.appName("etalage").getOrCreate())
@@ -51,6 +73,12 @@ def main() -> None:
             print(f"{table}: converted, {rejects} lines rejected")
         if not done:
             print("nothing found")
+    elif args.command == "erase":
+        erase_command(spark, args.tables, args.ids, args.out).show(truncate=False)
+    elif args.command == "pseudonymize":
+        salt = spark.read.text(args.salt_file).first()[0]
+        customers = spark.read.parquet(f"{args.tables}/customers").withColumnsRenamed({"date_of_birth": "birthdate"})
+        pseudonymize(customers.withColumn("segment", F.lit(None).cast("string")), salt).write.parquet(args.out)
     else:
         register_views({t: spark.read.parquet(f"{args.tables}/{t}") for t in TABLES})
         spark.sql(args.statement).show(100, truncate=False)

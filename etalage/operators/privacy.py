@@ -58,7 +58,7 @@ def erase(
     """Tables without the erased keys.
 
     Tables carrying ``key`` lose its rows directly; ``children`` maps a table to (parent, column)
-    for those that go with their parent's rows.
+    for those that go with their parent's rows. Tables with neither stay as they are.
     """
     # Written once, so that every table is rid of the same keys.
     gone = write_through(erased.select(key).distinct(), "erased")
@@ -68,11 +68,32 @@ def erase(
             parent, column = children[name]
             dead = tables[parent].join(gone, key, "left_semi").select(column)
             kept[name] = df.join(dead, column, "left_anti")
-        else:
+        elif key in df.columns:
             kept[name] = df.join(gone, key, "left_anti")
+        else:
+            kept[name] = df
     return kept
 
 
+def erase_to(
+    tables: dict[str, DataFrame],
+    erased: DataFrame,
+    key: str,
+    children: dict[str, tuple[str, str]],
+    out: str,
+) -> DataFrame:
+    """Write the tables without the erased keys to ``out``, a folder each; rows before and after by table.
+
+    The old folders are the caller's to delete, once the new ones are in use.
+    """
+    spark = erased.sparkSession
+    counts = []
+    for name, kept in erase(tables, erased, key, children).items():
+        kept.write.mode("overwrite").parquet(f"{out}/{name}")
+        counts.append((name, tables[name].count(), spark.read.parquet(f"{out}/{name}").count()))
+    return spark.createDataFrame(counts, "table_name string, before long, after long")
+
+
 def row_checksum(columns: list[str]) -> Column:
     """Order-free checksum: the sum over rows of 32 bits of the row's digest."""
     text = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])

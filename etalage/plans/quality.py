@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from etalage.domain import AS_OF
-from etalage.functions.columns import id_text
+from etalage.functions.columns import id_number, id_text
 from etalage.functions import values as v
 from etalage.operators import curate, privacy, quality, reports
 from etalage.plans.registry import query
+from etalage.session import fresh_dir
 
 _CHECK = "check_name:s rows:l failed:l"
 
@@ -288,30 +289,55 @@ _INACTIVE = """
         SELECT customer_id FROM s_orders WHERE order_date >= TIMESTAMP '2001-01-01 00:00:00')"""
 
 
+def _erased_sql(parts: list[tuple[str, str, str]]) -> str:
+    """(table name, table, condition that keeps a row) -> rows before and after."""
+    return " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, count(*) AS before, count(*) FILTER ({c}) AS after FROM {t}" for n, t, c in parts
+    )
+
+
 @query(
     "gdpr_erase",
-    "table_name:s row_count:l",
+    "table_name:s before:l after:l",
     f"""
     WITH gone AS ({_INACTIVE}), gone_orders AS (
         SELECT order_id FROM s_orders WHERE customer_id IN (SELECT customer_id FROM gone)),
     gone_payments AS (SELECT payment_id FROM s_payments WHERE customer_id IN (SELECT customer_id FROM gone))
-    SELECT 'customers' AS table_name, count(*) AS row_count FROM s_customers
-    WHERE customer_id NOT IN (SELECT customer_id FROM gone)
-    UNION ALL SELECT 'sessions', count(*) FROM s_sessions WHERE customer_id NOT IN (SELECT customer_id FROM gone)
-    UNION ALL SELECT 'orders', count(*) FROM s_orders WHERE customer_id NOT IN (SELECT customer_id FROM gone)
-    UNION ALL SELECT 'order_items', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT order_id FROM gone_orders)
-    UNION ALL SELECT 'payments', count(*) FROM s_payments WHERE customer_id NOT IN (SELECT customer_id FROM gone)
-    UNION ALL SELECT 'fraud_alerts', count(*) FROM s_alerts
-    WHERE payment_id NOT IN (SELECT payment_id FROM gone_payments)""",
+    """
+    + _erased_sql(
+        [
+            (name, table, f"{column} NOT IN (SELECT {column if column.endswith('_id') else 'customer_id'} FROM gone)")
+            for name, table, column in [
+                ("customers", "s_customers", "customer_id"),
+                ("addresses", "s_people", "customer_num"),
+                ("documents", "s_people", "customer_num"),
+                ("sessions", "s_sessions", "customer_id"),
+                ("events", "s_events", "customer_id"),
+                ("orders", "s_orders", "customer_id"),
+                ("payments", "s_payments", "customer_id"),
+            ]
+        ]
+        + [
+            ("order_items", "lineitem", "l_orderkey NOT IN (SELECT order_id FROM gone_orders)"),
+            ("fraud_alerts", "s_alerts", "payment_id NOT IN (SELECT payment_id FROM gone_payments)"),
+        ]
+    ),
 )
 def gdpr_erase(shop):
-    """Erase the customers without an order since 2001, with all that hangs on them."""
+    """Erase the customers without an order since 2001, with all that hangs on them, into new folders."""
     recent = shop.orders.where(F.col("order_date") >= F.lit("2001-01-01").cast("timestamp_ntz"))
     erased = shop.people.join(recent, "customer_id", "left_anti")
-    kept = privacy.erase(
+    number = id_number("customer_id", "C")
+    return privacy.erase_to(
         {
             "customers": shop.people,
+            "addresses": curate.addresses(curate.customers(shop.raw("customers"))).withColumn("customer_id", number),
+            # Documents carry their customer's number in the name of the file.
+            "documents": shop.raw("identity_labels").withColumn(
+                "customer_id", F.regexp_extract("file", "([0-9]+)", 1).cast("bigint")
+            ),
             "sessions": shop.sessions,
+            "events": shop.events,
             "orders": shop.orders,
             "order_items": shop.lines,
             "payments": shop.attempts,
@@ -320,8 +346,8 @@ def gdpr_erase(shop):
         erased,
         "customer_id",
         children={"order_items": ("orders", "order_id"), "fraud_alerts": ("payments", "payment_id")},
+        out=fresh_dir(shop.spark, "erased"),
     )
-    return reports.table_counts(kept).toDF("table_name", "row_count")
 
 
 def _digest(columns: str) -> str:

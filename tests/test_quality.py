@@ -68,3 +68,32 @@ def test_lineage_checksum_ignores_order(spark):
     got = privacy.lineage({"in": a, "out": a.orderBy(F.desc("a")), "less": a.where("a = 1")}, ["a", "b"]).collect()
     sums = {r.stage: r.checksum for r in got}
     assert sums["in"] == sums["out"] != sums["less"]
+
+
+def test_erasure_leaves_no_key_anywhere(spark, tmp_path):
+    from etalage.__main__ import TABLES, erase_command
+
+    def rows(schema, *data):
+        return spark.createDataFrame(list(data), schema)
+
+    tables = {
+        "customers": rows("customer_id string, email string", ("C1", "a"), ("C2", "b")),
+        "products": rows("product_id long", (1,)),
+        "sessions": rows("session_id string, customer_id string", ("s", "C1"), ("t", "C2"), ("u", None)),
+        "addresses": rows("address_id long, customer_id string", (1, "C1"), (2, "C2")),
+        "orders": rows("order_id long, customer_id string", (1, "C1"), (2, "C2"), (3, "C1")),
+        "order_items": rows("order_id long, product_id long", (1, 1), (2, 1), (3, 1)),
+        "payments": rows("payment_id long, order_id long", (10, 1), (20, 2), (30, 3)),
+        "fraud_alerts": rows("alert_id string, payment_id long", ("x", 10), ("y", 20)),
+    }
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / "old" / name))
+    (tmp_path / "ids.txt").write_text("C1\nC404\n")
+    counts = erase_command(spark, str(tmp_path / "old"), str(tmp_path / "ids.txt"), str(tmp_path / "new")).collect()
+    assert {r.table_name: (r.before, r.after) for r in counts} == {
+        "customers": (2, 1), "products": (1, 1), "sessions": (3, 2), "addresses": (2, 1), "orders": (3, 1),
+        "order_items": (3, 1), "payments": (3, 1), "fraud_alerts": (2, 1),
+    }
+    kept = {t: spark.read.parquet(str(tmp_path / "new" / t)) for t in TABLES}
+    assert all(df.where("customer_id = 'C1'").isEmpty() for df in kept.values() if "customer_id" in df.columns)
+    assert [r.payment_id for r in kept["payments"].collect()] == [20]
