@@ -6,10 +6,13 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from etalage.schemas import FILES
 from etalage.session import prepare
 from etalage.sources.files import convert_to_parquet
 from etalage.sources.load import full_load, register_views, validate
+from etalage.sources.streams import append_to, keep_running
 from etalage.operators.privacy import erase_to, pseudonymize
 from etalage.operators.reports import sales_by_product, top_categories
 
@@ -38,6 +41,12 @@ def erase_command(spark: SparkSession, folder: str, ids: str, out: str) -> DataF
     return erase_to(with_customer, erased, "customer_id", CHILDREN, out)
 
 
+def ingest_events(spark: SparkSession, inbox: str, out: str, checkpoint: str, every: str) -> StreamingQuery:
+    """Event files (JSON lines) that are new, each time, by day."""
+    lines = spark.readStream.schema(FILES["events"]).json(inbox)
+    return keep_running(append_to(lines.withColumn("day", F.to_date("ts")), out, checkpoint, by="day"), every)
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(prog="etalage", description=__doc__)
     commands = parser.add_subparsers(dest="command", required=True)
@@ -58,6 +67,11 @@ def main() -> None:
     hide.add_argument("--tables", required=True)
     hide.add_argument("--out", required=True)
     hide.add_argument("--salt-file", required=True, help="file that holds the secret salt")
+    ingest = commands.add_parser("ingest", help="append new event files to the bronze layer until stopped")
+    ingest.add_argument("--inbox", required=True)
+    ingest.add_argument("--out", required=True)
+    ingest.add_argument("--checkpoint", required=True)
+    ingest.add_argument("--every", default="15 minutes")
     args = parser.parse_args()
 
     spark = prepare(SparkSession.builder.appName("etalage").getOrCreate())
@@ -73,6 +87,8 @@ def main() -> None:
             print(f"{table}: converted, {rejects} lines rejected")
         if not done:
             print("nothing found")
+    elif args.command == "ingest":
+        ingest_events(spark, args.inbox, args.out, args.checkpoint, args.every).awaitTermination()
     elif args.command == "erase":
         erase_command(spark, args.tables, args.ids, args.out).show(truncate=False)
     elif args.command == "pseudonymize":

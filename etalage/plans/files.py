@@ -231,6 +231,33 @@ def medallion_gold_tables(shop):
     return reports.table_counts(gold).toDF("table_name", "row_count")
 
 
+@query(
+    "silver_layers",
+    "table_name:s bronze:l silver:l checksum:l",
+    f"""
+    SELECT 'customers' AS table_name, count(*) + count(*) FILTER (customer_id % 7 = 0) AS bronze, count(*) AS silver,
+           {_digest("printf('C%05d', customer_id), country, birthdate")} AS checksum FROM s_customers
+    UNION ALL SELECT 'payments', count(*) + count(*) FILTER (payment_id % 7 = 0), count(*),
+           {_digest("printf('PAY%07d', payment_id), printf('C%05d', customer_id), method, amount, result")} FROM s_payments""",
+)
+def silver_layers(shop):
+    """Customers and payments as delivered, some of them twice, and the unique, readable ones."""
+    lake = fresh_dir(shop.spark, "lake")
+    total = None
+    for name, key, prefix, at in (("customers", "customer_id", "C", "signup_ts"), ("payments", "payment_id", "PAY", "attempt_ts")):
+        number = id_number(key, prefix)
+        delivered = shop.raw(name)
+        bronze = files.write_layer(delivered.unionByName(delivered.where(number % 7 == 0)), lake, "bronze", name)
+        others = [c for c in bronze.columns if c not in (key, at)]
+        unique = curate.dedup_latest(bronze.where(number.isNotNull()), [key], [F.col(at).desc(), *others])
+        silver = files.write_layer(unique, lake, "silver", name)
+        part = silver.agg(F.count("*").alias("silver"), row_checksum(_SUMMED[name]).alias("checksum")).select(
+            F.lit(name).alias("table_name"), F.lit(bronze.count()).alias("bronze"), "silver", "checksum"
+        )
+        total = part if total is None else total.unionByName(part)
+    return total
+
+
 @query(
     "route_topics",
     "topic:s event_type:s n:l",

@@ -131,3 +131,21 @@ def test_a_batch_written_again_leaves_no_row_twice(spark):
     write(batch, 1)
     assert spark.read.parquet(table).count() == 10
     assert spark.read.parquet(topic).count() == 10
+
+
+def test_ingest_takes_each_new_file_once(spark, tmp_path):
+    from etalage.__main__ import ingest_events
+
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    line = '{"event_id": "%s", "ts": "2025-11-%02dT09:51:23", "event_type": "view", "customer_id": "C1"}\n'
+    (inbox / "a.jsonl").write_text(line % ("a", 11))
+    query = ingest_events(spark, str(inbox), str(tmp_path / "bronze"), str(tmp_path / "check"), "1 second")
+    try:
+        query.processAllAvailable()
+        (inbox / "b.jsonl").write_text(line % ("b", 11) + line % ("c", 12))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    rows = spark.read.parquet(str(tmp_path / "bronze")).collect()
+    assert sorted((r.event_id, str(r.day)) for r in rows) == [("a", "2025-11-11"), ("b", "2025-11-11"), ("c", "2025-11-12")]
