@@ -69,3 +69,12 @@ RULES = [
     "many_failed_attempts",
     "rapid_attempts",
 ]
+
+# Texts of generated columns.
+EMAIL_NAME = "customer"
+FIRST_NAME, LAST_NAME = "FirstName", "LastName"
+CONTACT_FIRST_NAME, CONTACT_LAST_NAME = "Client", "Test"
+IP_PREFIX = "192.168."
+BRAND_PREFIX = "Brand "
+DESCRIPTION_PREFIX = "Description de "
+ALERT_PREFIX = "Alerte déclenchée par règle: "

@@ -18,13 +18,13 @@ def customers(raw: DataFrame, email_domain: str = EMAIL_DOMAIN) -> DataFrame:
     byte = (n % 256).cast("string")
     return raw.select(
         "customer_id",
-        F.concat(F.lit("customer"), text, F.lit("@" + email_domain)).alias("email"),
-        F.concat(F.lit("FirstName"), text).alias("first_name"),
-        F.concat(F.lit("LastName"), text).alias("last_name"),
+        F.concat(F.lit(v.EMAIL_NAME), text, F.lit("@" + email_domain)).alias("email"),
+        F.concat(F.lit(v.FIRST_NAME), text).alias("first_name"),
+        F.concat(F.lit(v.LAST_NAME), text).alias("last_name"),
         id_text(v.PHONE_PREFIX, n, 3).alias("phone"),
         F.col("birthdate").alias("date_of_birth"),
         "country",
-        F.concat(F.lit("192.168."), byte, F.lit("."), byte).alias("registration_ip"),
+        F.concat(F.lit(v.IP_PREFIX), byte, F.lit("."), byte).alias("registration_ip"),
         F.col("signup_ts").alias("created_at"),
     )
 
@@ -34,8 +34,8 @@ def customers_with_contact(raw: DataFrame, email_domain: str = EMAIL_DOMAIN) ->
     digits = F.expr("substring(customer_id, 2)")
     return raw.select(
         F.concat(F.lower("customer_id"), F.lit("@" + email_domain)).alias("email"),
-        F.concat(F.lit("Client"), digits).alias("first_name"),
-        F.concat(F.lit("Test"), digits).alias("last_name"),
+        F.concat(F.lit(v.CONTACT_FIRST_NAME), digits).alias("first_name"),
+        F.concat(F.lit(v.CONTACT_LAST_NAME), digits).alias("last_name"),
         F.lit(None).cast("string").alias("phone"),
         F.col("birthdate").alias("date_of_birth"),
         (F.col("is_minor") == 0).alias("identity_verified"),
@@ -50,8 +50,8 @@ def products(raw: DataFrame) -> DataFrame:
         F.col("category").alias("subcategory"),
         F.col("unit_price").alias("price"),
         F.lit(v.DEFAULT_STOCK).alias("stock_quantity"),
-        F.concat(F.lit("Brand "), "category").alias("brand"),
-        F.concat(F.lit("Description de "), "name").alias("description"),
+        F.concat(F.lit(v.BRAND_PREFIX), "category").alias("brand"),
+        F.concat(F.lit(v.DESCRIPTION_PREFIX), "name").alias("description"),
         flag("is_adult_restricted").alias("is_adult_only"),
         "created_at",
     )
@@ -239,7 +239,7 @@ def alerts(raw: DataFrame, payments: DataFrame) -> DataFrame:
             mapped(rule, v.RISK_SCORES, v.DEFAULT_RISK_SCORE).alias("risk_score"),
             F.when(label, "blocked").otherwise("reviewed").alias("action_taken"),
             mapped(rule, v.SEVERITIES, v.DEFAULT_SEVERITY).alias("severity"),
-            F.concat(F.lit("Alerte déclenchée par règle: "), rule).alias("description"),
+            F.concat(F.lit(v.ALERT_PREFIX), rule).alias("description"),
             F.when(label, "resolved").otherwise("false_positive").alias("status"),
         )
     )

@@ -64,3 +64,10 @@ def test_totals_agree(spark):
     assert total("revenue_by_country", "revenue") == pytest.approx(paid)
     both = catalog.run("semi_valid_orders", spark, SF).count() + catalog.run("anti_rejected_orders", spark, SF).count()
     assert both == spark.read.parquet(f"{SF}/orders.parquet").count()
+
+
+def test_views_come_in_their_order(spark):
+    days = [r.date for r in catalog.run("daily_revenue", spark, SF).collect()]
+    assert days == sorted(days, reverse=True) and len(days) > 10
+    best = [(-r.revenue, r.category) for r in catalog.run("top_categories", spark, SF).collect()]
+    assert best == sorted(best)
