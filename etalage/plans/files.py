@@ -258,6 +258,23 @@ def silver_layers(shop):
     return total
 
 
+@query(
+    "retention_drop",
+    "day:s n:l",
+    """
+    SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM s_events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00'
+    GROUP BY 1""",
+)
+def retention_drop(shop):
+    """Events by day, the days before a date deleted."""
+    lake = fresh_dir(shop.spark, "lake")
+    daily = shop.events.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    files.write_layer(daily, lake, "bronze", "events", by="day", spread=["ts"])
+    files.drop_partitions(shop.spark, f"{lake}/bronze/events", "day", "2024-01-15")
+    left = shop.spark.read.parquet(f"{lake}/bronze/events")
+    return left.groupBy(F.date_format("day", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n"))
+
+
 @query(
     "route_topics",
     "topic:s event_type:s n:l",

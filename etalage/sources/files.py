@@ -128,6 +128,20 @@ def write_layer(
     return df.sparkSession.read.parquet(path)
 
 
+def drop_partitions(spark: SparkSession, path: str, by: str, before: str) -> list[str]:
+    """Delete the partitions of a table whose value is below ``before``, without reading a row of them.
+
+    ``by`` is a calendar column (day, month), so the list of its values is short. Returns those dropped.
+    """
+    values = spark.read.parquet(path).select(F.col(by).cast("string").alias("value")).distinct()
+    gone = sorted(r["value"] for r in values.where(F.col("value") < before).collect())
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for value in gone:
+        folder = hadoop.Path(f"{path}/{by}={value}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return gone
+
+
 def write_gold(
     lake: str,
     orders: DataFrame,
