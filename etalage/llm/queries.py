@@ -115,7 +115,59 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op4_quality_rules")
+def quality_sql(least_rows: int = 200, reach: float = 5.0) -> str:
+    """Exact quartiles: what the sketches give as long as a group has no more rows than a sketch holds."""
+    ratios = {n: f"CAST({a} AS DOUBLE) / nullif({b}, 0)" for n, (a, b, _, _) in quality.RATIOS.items()}
+    levels = {"own": "lang, source", "lang": "lang", "overall": "1"}
+    quartiles = ", ".join(
+        f"quantile_disc({r}, {q}) OVER (PARTITION BY {by}) AS {level}_{n}_{i}"
+        for n, r in ratios.items()
+        for level, by in levels.items()
+        for i, q in ((1, 0.25), (3, 0.75))
+    )
+
+    def chosen(n: str, i: int) -> str:
+        return f"CASE WHEN own_n >= {least_rows} THEN own_{n}_{i} WHEN lang_n >= {least_rows} THEN lang_{n}_{i} ELSE overall_{n}_{i} END"
+
+    picked = ", ".join(f"any_value({chosen(n, i)}) AS {n}_{i}" for n in ratios for i in (1, 3))
+    bad = []
+    for n, (_, _, side, least) in quality.RATIOS.items():
+        width = f"greatest({n}_3 - {n}_1, {least}) * {reach}"
+        bad.append(f"coalesce({ratios[n]} > {n}_3 + {width}, FALSE)")
+        if side == "both":
+            bad.append(f"coalesce({ratios[n]} < {n}_1 - {width}, FALSE)")
+    return f"""
+        WITH texts AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
+        split AS (
+            SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w,
+                list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM texts
+        ), windows AS (
+            SELECT rid, i, array_to_string(w[i:i + 7], ' ') AS s FROM (SELECT rid, w, unnest(range(1, len(w) - 6)) AS i FROM split)
+        ), twice AS (
+            SELECT rid, i FROM (SELECT *, count(*) OVER (PARTITION BY rid, s) AS c FROM windows) WHERE c > 1
+        ), covered AS (
+            SELECT rid, sum(least(8, coalesce(following - i, 8))) AS n
+            FROM (SELECT *, lead(i) OVER (PARTITION BY rid ORDER BY i) AS following FROM twice) GROUP BY rid
+        ), counts AS (
+            SELECT doc_id, lang, source, len(w) AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g')) AS word_chars,
+                len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(regexp_extract_all(t, '\\p{{Lu}}')) AS n_capitals,
+                len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_echoes,
+                len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
+                CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words
+            FROM split LEFT JOIN covered USING (rid)
+        ), based AS (
+            SELECT *, n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.MOST_REPEATED} * n_words AS base_failed FROM counts
+        ), ranked AS (
+            SELECT *, count(*) OVER (PARTITION BY lang, source) AS own_n, count(*) OVER (PARTITION BY lang) AS lang_n, {quartiles}
+            FROM based WHERE NOT base_failed
+        ), limits AS (SELECT lang, source, {picked} FROM ranked GROUP BY lang, source)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+            NOT base_failed AND NOT ({' OR '.join(bad)}) AS kept
+        FROM based b LEFT JOIN limits l ON b.lang IS NOT DISTINCT FROM l.lang AND b.source IS NOT DISTINCT FROM l.source
+    """
+
+
+@query("op4_quality_rules", quality_sql())
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.quality(table(spark, sf_dir, "documents"), {"doc_id": F.col("doc_id")})
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]

@@ -109,3 +109,13 @@ def test_nulls_empties_and_groups_without_limits(spark):
     assert [found[i].kept for i in range(5)] == [False, False, True, True, True]
     none = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert quality.quality(none, {"doc_id": F.col("doc_id")}).count() == 0
+
+
+def test_query_is_its_twin(spark):
+    """Groups of this table fit into a sketch, which is then exact."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    got = queries.QUERIES["op4_quality_rules"](spark, SF).collect()
+    assert sorted(map(tuple, got)) == sorted(con.execute(queries.SQL["op4_quality_rules"]).fetchall())
