@@ -65,10 +65,16 @@ def only_hits(texts: DataFrame, hits: DataFrame, most_sent: int = 1_000_000) ->
     return texts.join(marks, F.xxhash64("digest") == F.col("mark"), "left_semi")
 
 
-def exact_duplicates(docs: DataFrame, key: Column, text: str = "text", digest=text_digest, files_per_batch: int = 10_000) -> DataFrame:
+def exact_duplicates(
+    docs: DataFrame, key: Column, text: str = "text", digest=text_digest, files_per_batch: int = 10_000
+) -> DataFrame:
     """key, _loc (the row's place), digest, keeper (key and place of the row that stays), n (rows of the
     group) and kept, for every row. ``digest`` makes the digest column from the text column."""
-    texts = located(in_files(docs), [key.alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"), digest(F.col(f"`{text}`")).alias("digest")])
+    content = F.col(f"`{text}`")
+    texts = located(
+        in_files(docs),
+        [key.alias("key"), F.coalesce(content, F.lit("")).alias("text"), digest(content).alias("digest")],
+    )
     rows = write_through(texts.select("digest", "key", "_loc"), "digested")
     state = keep_state(rows, files_per_batch)
     # Full bytes: the different texts behind each hit, each sent once by a task. Where a digest has one text

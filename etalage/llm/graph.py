@@ -21,7 +21,9 @@ def components(links: DataFrame) -> DataFrame:
     while not left.isEmpty():
         both = left.unionAll(left.select(F.col("v").alias("u"), F.col("u").alias("v")))
         parent = write_through(
-            both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("p")).select("node", F.least("node", "p").alias("parent")),
+            both.groupBy(F.col("u").alias("node"))
+            .agg(F.min("v").alias("p"))
+            .select("node", F.least("node", "p").alias("parent")),
             "parents",
         )
         parents.append(parent)

@@ -91,8 +91,9 @@ def mix(
     """key, size, source_size, target, shape, start (the row's place on its source's tape, in words), copies
     (times the mix takes the row) and position: when its first copy comes, null if it is not taken.
 
-    ``order_by`` is hashed for the order of a tape; if not given, the key is. The tape of a source is cut into slices by the hash that orders it, so that a source with a third
-    of all rows is as many tasks; sums of slices say where each begins.
+    ``order_by`` is hashed for the order of a tape; if not given, the key is. The tape of a source is cut
+    into slices by the hash that orders it, so that a source with a third of all rows is as many tasks;
+    sums of slices say where each begins.
     """
     shapes = shapes or [FLAT]
     hashed = F.md5(F.coalesce((key if order_by is None else order_by).cast("string"), F.lit("")).cast("binary"))

@@ -135,7 +135,8 @@ def thresholds(sketched: DataFrame, least_rows: int = 200, reach: float = 5.0) -
         some = F.kll_sketch_get_n_double(F.col(ratio)) > 0
         q1, q3 = (F.when(some, F.kll_sketch_get_quantile_double(F.col(ratio), F.lit(q))) for q in (0.25, 0.75))
         width = F.greatest(q3 - q1, F.lit(least)) * reach
-        limits += [(q3 + width).alias(f"{ratio}_high"), (q1 - width if side == "both" else F.lit(None).cast("double")).alias(f"{ratio}_low")]
+        low = q1 - width if side == "both" else F.lit(None).cast("double")
+        limits += [(q3 + width).alias(f"{ratio}_high"), low.alias(f"{ratio}_low")]
     return picked.select("_lang", "_source", *limits)
 
 
@@ -147,7 +148,8 @@ def judge(counts: DataFrame, limits: DataFrame) -> DataFrame:
     bad = F.lit(False)
     for ratio in RATIOS:
         value = _ratio(ratio)
-        bad = bad | F.coalesce(value > F.col(f"{ratio}_high"), F.lit(False)) | F.coalesce(value < F.col(f"{ratio}_low"), F.lit(False))
+        for outside in (value > F.col(f"{ratio}_high"), value < F.col(f"{ratio}_low")):
+            bad = bad | F.coalesce(outside, F.lit(False))
     return joined.select(*counts.columns, base_failed().alias("base_failed"), (~base_failed() & ~bad).alias("kept"))
 
 

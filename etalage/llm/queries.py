@@ -111,7 +111,11 @@ MIX_SQL = r"""
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixed(table(spark, sf_dir, "documents"), F.col("doc_id"))
     return found.select(
-        F.col("key").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("bigint").alias("taken")
+        F.col("key").alias("doc_id"),
+        "size",
+        "source_size",
+        "target",
+        (F.col("size") * F.col("copies")).cast("bigint").alias("taken"),
     )
 
 
@@ -127,7 +131,8 @@ def quality_sql(least_rows: int = 200, reach: float = 5.0) -> str:
     )
 
     def chosen(n: str, i: int) -> str:
-        return f"CASE WHEN own_n >= {least_rows} THEN own_{n}_{i} WHEN lang_n >= {least_rows} THEN lang_{n}_{i} ELSE overall_{n}_{i} END"
+        own, lang = (f"WHEN {x}_n >= {least_rows} THEN {x}_{n}_{i}" for x in ("own", "lang"))
+        return f"CASE {own} {lang} ELSE overall_{n}_{i} END"
 
     picked = ", ".join(f"any_value({chosen(n, i)}) AS {n}_{i}" for n in ratios for i in (1, 3))
     bad = []
@@ -273,4 +278,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = secret_scan.scan(docs, {"doc_id": F.col("doc_id")}, F.col("source"))
     # The value itself is not passed on.
-    return found.select("doc_id", "word_no", F.sha2("value", 256).alias("value_sha256"), F.length("value").alias("n_chars"), "score", "is_secret")
+    return found.select(
+        "doc_id",
+        "word_no",
+        F.sha2("value", 256).alias("value_sha256"),
+        F.length("value").alias("n_chars"),
+        "score",
+        "is_secret",
+    )

@@ -115,7 +115,9 @@ def label_by_rule(found: DataFrame) -> DataFrame:
     return found.withColumn("label", F.when(yes, 1.0).when(no, 0.0))
 
 
-def train(labelled: DataFrame, per_class: int = 10_000, trees: int = 24, seed: int = 11) -> RandomForestClassificationModel | None:
+def train(
+    labelled: DataFrame, per_class: int = 10_000, trees: int = 24, seed: int = 11
+) -> RandomForestClassificationModel | None:
     """A forest from at most ``per_class`` labelled findings of each class, drawn by a hash of their value.
 
     Of every other finding (by hash) the neighbouring words are blanked, so that the forest has to

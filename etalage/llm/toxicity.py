@@ -50,21 +50,28 @@ def features(word: str) -> list[int]:
 
 
 def bags(docs: DataFrame, label: str, text: str) -> DataFrame:
-    """label, the buckets of the distinct words of each sentence one after the other, and their numbers."""
-    rows = docs.select(F.col(label).cast("int").alias("label"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    """label, place (a hash of the text, to put rows in an order), the buckets of the distinct words of each
+    sentence one after the other, and their numbers."""
+    rows = docs.select(
+        F.col(label).cast("int").alias("label"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"),
+        F.xxhash64(text).alias("place"),
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sentences, words = re.compile(SENTENCE).findall, re.compile(LETTERS).findall
         for batch in batches:
             ids, sizes = [], []
             for doc in batch.column(1).to_pylist():
-                own = [x for s in sentences(doc) if (x := [i for w in sorted(set(words(s.lower()))) for i in features(w)])]
+                own = [[i for w in sorted(set(words(s.lower()))) for i in features(w)] for s in sentences(doc)]
+                own = [x for x in own if x]
                 ids.append([i for x in own for i in x])
                 sizes.append([len(x) for x in own])
             kind = pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, kind), pa.array(sizes, kind)], names=["label", "ids", "sizes"])
+            columns = [batch.column(0), batch.column(2), pa.array(ids, kind), pa.array(sizes, kind)]
+            yield pa.RecordBatch.from_arrays(columns, names=["label", "place", "ids", "sizes"])
 
-    return rows.mapInArrow(run, "label int, ids array<int>, sizes array<int>")
+    return rows.mapInArrow(run, "label int, place long, ids array<int>, sizes array<int>")
 
 
 def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
@@ -76,12 +83,22 @@ def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
     return out
 
 
-def fit(bagged: pa.Table, share: dict[int, float], epochs: int = 15, rate: float = 0.3, shrink: float = 1e-4, per_step: int = 128, least_docs: int = 3) -> Model:
+def fit(
+    bagged: pa.Table,
+    share: dict[int, float],
+    epochs: int = 15,
+    rate: float = 0.3,
+    shrink: float = 1e-4,
+    per_step: int = 128,
+    least_docs: int = 3,
+) -> Model:
     """Noisy-or logistic regression by stochastic gradient steps scaled by past gradients.
 
     ``share`` is each class's share of all labels; rows are weighted so that the classes count in
-    these shares however many of each were drawn. Rows come in the order given; the result is the
-    same in every run.
+    these shares however many of each were drawn. A bucket counts by how unevenly it is spread over
+    the classes (the log of the ratio of its document rates), and one of fewer than ``least_docs``
+    documents not at all: few labels then go a long way. The same rows in the same order give the
+    same model.
     """
     ids, sizes = _lists(bagged.column("ids")), _lists(bagged.column("sizes"))
     label = bagged.column("label").to_numpy().astype(np.int64)
@@ -111,7 +128,8 @@ def fit(bagged: pa.Table, share: dict[int, float], epochs: int = 15, rate: float
             slope = np.where(y == 1, -1 / np.maximum(np.expm1(np.minimum(total, 50)), 1e-6), 1.0) * factor[y]
             by_sentence = np.repeat(slope, count) / (1 + np.exp(-z))
             touched, where = np.unique(words, return_inverse=True)
-            grad = np.bincount(where, weights=np.repeat(by_sentence, size)) * scale[touched] / len(own) + shrink * weights[touched]
+            grad = np.bincount(where, weights=np.repeat(by_sentence, size)) * scale[touched] / len(own)
+            grad += shrink * weights[touched]
             past[touched] += grad**2
             weights[touched] -= rate * grad / np.sqrt(past[touched])
             grad = by_sentence.sum() / len(own)
@@ -120,7 +138,14 @@ def fit(bagged: pa.Table, share: dict[int, float], epochs: int = 15, rate: float
     return Model(weights * scale, bias)
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = 6000, key: str = "doc_id", label: str = "toxic", text: str = "text") -> Model:
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    per_class: int = 6000,
+    key: str = "doc_id",
+    label: str = "toxic",
+    text: str = "text",
+) -> Model:
     """Fit on at most ``per_class`` labelled documents of each class, drawn by a hash of the id.
 
     The bound is on what goes to the driver: word buckets of the drawn rows. Class shares are
@@ -140,7 +165,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = 6000, key: str =
     )
     # At most 2 x per_class rows of two numbers.
     picked = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(drawn), "_key")
-    return fit(bags(picked, "_label", "_text").toArrow().sort_by([("label", "ascending")]), share)
+    bagged = bags(picked, "_label", "_text").toArrow()
+    return fit(bagged.sort_by([("label", "ascending"), ("place", "ascending")]), share)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, offends: float = 0.3) -> DataFrame:
