@@ -187,8 +187,8 @@ def stream_interval_join(shop):
         return streams.run_to_table(jobs.click_to_purchase(clicks, purchases), "pairs")
 
 
-# Attempts are judged when the watermark has passed their six hours.
-_JUDGED = """(SELECT to_timestamp(floor((epoch(max(ts)) - 600) / 21600) * 21600) AT TIME ZONE 'UTC' FROM s_events)"""
+# Attempts are judged when the watermark has passed their day.
+_JUDGED = """(SELECT to_timestamp(floor((epoch(max(ts)) - 600) / 86400) * 86400) AT TIME ZONE 'UTC' FROM s_events)"""
 _RULES = " UNION ALL ".join(
     f"SELECT payment_id, customer_id, attempt_ts AS ts, '{r}' AS rule FROM s_flags WHERE {r}" for r in v.RULES
 )

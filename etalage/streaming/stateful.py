@@ -35,7 +35,7 @@ ATTEMPT = {
     "first_at": "long",
     "first_id": "long",
 }
-SLICE = 6 * 3600
+SLICE = 24 * 3600
 DAY = 24 * 3600
 SECOND = 1_000_000
 
