@@ -109,8 +109,9 @@ MIX_SQL = r"""
 
 @query("op3_source_mix", MIX_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, range-sorted by the training position of its first copy; those not taken come last."""
     found = mixed(table(spark, sf_dir, "documents"), F.col("doc_id"))
-    return found.select(
+    return found.orderBy(F.col("position").asc_nulls_last(), "key", "start").select(
         F.col("key").alias("doc_id"),
         "size",
         "source_size",
@@ -119,6 +120,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_source_mix_order")
+def op3_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every copy of the mix with its training position, in the order of training; the twin of op3 has no positions."""
+    found = mixed(table(spark, sf_dir, "documents"), F.col("doc_id"))
+    return mixing.in_order(found, MIX_SHAPES).select(F.col("key").alias("doc_id"), "turn", "size", "position")
+
+
 def quality_sql(least_rows: int = 200, reach: float = 5.0) -> str:
     """Exact quartiles: what the sketches give as long as a group has no more rows than a sketch holds."""
     ratios = {n: f"CAST({a} AS DOUBLE) / nullif({b}, 0)" for n, (a, b, _, _) in quality.RATIOS.items()}

@@ -109,3 +109,20 @@ def test_query_is_its_twin(spark, docs, tmp_path):
         con.execute(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{files}'")
         got = queries.QUERIES["op3_source_mix"](spark, folder).collect()
         assert sorted(map(tuple, got), key=str) == sorted(con.execute(queries.SQL["op3_source_mix"]).fetchall(), key=str)
+
+
+def test_queries_carry_the_positions(spark, docs, tmp_path):
+    """Each copy at the time at which its place on the tape has been asked for; documents in the order of their first copies."""
+    docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).write.parquet(str(tmp_path / "documents.parquet"))
+    mixed = queries.mixed(spark.read.parquet(str(tmp_path / "documents.parquet")), F.col("doc_id"))
+    rows = {r.key: r for r in mixed.collect()}
+    copies = queries.QUERIES["op3_source_mix_order"](spark, str(tmp_path)).collect()
+    assert sorted((c.doc_id, c.turn) for c in copies) == sorted((k, t) for k, r in rows.items() for t in range(r.copies))
+    assert [c.position for c in copies] == sorted(c.position for c in copies)
+    for c in copies[::7]:
+        r, shape = rows[c.doc_id], SHAPES[rows[c.doc_id].shape]
+        share = (r.start + c.turn * r.source_size) / r.target
+        assert area(shape, c.position) / area(shape, 1.0) == pytest.approx(share, abs=2e-3)
+    order = [rows[r.doc_id].position for r in queries.QUERIES["op3_source_mix"](spark, str(tmp_path)).collect()]
+    taken = [p for p in order if p is not None]
+    assert taken == sorted(taken) and order == taken + [None] * (len(order) - len(taken)) and len(set(taken)) > 100
