@@ -35,7 +35,7 @@ ATTEMPT = {
     "first_at": "long",
     "first_id": "long",
 }
-SLICE = 24 * 3600
+SLICE = 6 * 3600
 DAY = 24 * 3600
 SECOND = 1_000_000
 
@@ -82,10 +82,11 @@ def judge(rows: pd.DataFrame, velocity_limit: int = 5, failed_limit: int = 3, am
 
 
 class AttemptRules(StatefulProcessor):
-    """The attempts of one customer and time slice, held until the watermark has passed the slice.
+    """The attempts of one customer and time slice, each judged when the watermark has passed its time.
 
-    Then no more can come, whatever the order they came in, and they are judged at once in the order of
-    their times. The state goes with that.
+    Then no earlier one can come, whatever the order they came in. A timer stands at the earliest attempt that
+    waits; when it fires, all attempts up to the watermark are judged in the order of their times. The rows stay
+    as context until the watermark has passed the slice.
     """
 
     def __init__(self, slice_seconds: int):
@@ -94,33 +95,54 @@ class AttemptRules(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.rows = handle.getListState("rows", ", ".join(f"{n} {t}" for n, t in ATTEMPT.items()))
+        self.upto = handle.getValueState("upto", "at long")
+
+    def wake(self, at: int) -> None:
+        """A timer in the first whole millisecond after a time: the watermark is then beyond it."""
+        self.handle.registerTimer(at // 1000 + 1)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         for batch in rows:
             plain = batch[list(ATTEMPT)].astype(object)
             self.rows.appendList(list(plain.where(batch[list(ATTEMPT)].notna(), None).itertuples(index=False, name=None)))
-        self.handle.registerTimer((int(key[1]) + 1) * self.slice_us // 1000)
+            own = batch["at"][batch["live"].astype(bool)]
+            if len(own):
+                self.wake(int(own.min()))
+        self.wake((int(key[1]) + 1) * self.slice_us)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        before = self.upto.get()[0] if self.upto.exists() else None
+        if not self.rows.exists() or (before is not None and before >= passed):
+            return
         held = pd.DataFrame(list(self.rows.get()), columns=list(ATTEMPT)).sort_values(["at", "payment_id"], ignore_index=True)
         held = held.astype({"payment_id": "int64", "at": "int64", "first_at": "Int64", "first_id": "Int64"})
-        live = held["live"].to_numpy(dtype=bool)
-        found = []
-        for rule, hit in judge(held).items():
-            own = held[live & hit]
-            found.append(
-                pd.DataFrame(
-                    {
-                        "payment_id": own["payment_id"],
-                        "customer_id": int(key[0]),
-                        "ts": pd.to_datetime(own["at"], unit="us"),
-                        "rule": rule,
-                    }
+        at, live = held["at"].to_numpy(), held["live"].to_numpy(dtype=bool)
+        due = live & (at <= passed) & (before is None or at > before)
+        if due.any():
+            found = []
+            for rule, hit in judge(held).items():
+                own = held[due & hit]
+                found.append(
+                    pd.DataFrame(
+                        {
+                            "payment_id": own["payment_id"],
+                            "customer_id": int(key[0]),
+                            "ts": pd.to_datetime(own["at"], unit="us"),
+                            "rule": rule,
+                        }
+                    )
                 )
-            )
-        self.rows.clear()
-        yield pd.concat(found, ignore_index=True)
+            yield pd.concat(found, ignore_index=True)
+        if passed >= (int(key[1]) + 1) * self.slice_us:
+            self.rows.clear()
+            self.upto.clear()
+            return
+        self.upto.update((passed,))
+        waiting = at[live & (at > passed)]
+        if len(waiting):
+            self.wake(int(waiting[0]))
 
     def close(self) -> None:
         pass

@@ -69,6 +69,17 @@ def test_late_attempts_raise_no_false_alerts(spark):
     assert alerts_of(spark, [[attempt(2, 300)], [attempt(1, 0)]], "late-pair", delay="2 hours") == [(2, "rapid_attempts")]
 
 
+def test_attempts_of_the_open_day_are_judged_up_to_the_watermark(spark):
+    """Pairs five minutes apart, over one day: only the last, within the delay of ten minutes, is open at the end."""
+    rows = [attempt(2 * i + j, 3600 * i + 300 * j) for i in range(12) for j in (0, 1)]
+    with settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB, spark__sql__shuffle__partitions="4"):
+        for cut in (24, 13):
+            arrivals = [spark.createDataFrame(a, ATTEMPT) for a in (rows[:cut], rows[cut:]) if a]
+            out, _ = streams.replay(spark, arrivals, stateful.attempt_alerts, f"open-day-{cut}")
+            got = sorted(r.payment_id for r in out.where("rule = 'rapid_attempts'").collect())
+            assert got == [2 * i + 1 for i in range(11)]
+
+
 def some_attempts():
     rnd = random.Random(11)
     out = []
