@@ -4,7 +4,8 @@ The templates' word k-grams are winnowed (of each window of neighbours the small
 that any shared run of ``window + k - 1`` words has a kept one in common; an inverted index leads
 from a code to templates and places. Hits of a document that lie near one diagonal are a candidate,
 and a banded local alignment of the words there gives the matched coverage of the template and the
-span in the text. Of findings that overlap the one with more matched words stays.
+span in the text. While hits of the candidate lie before or after the span, as where a notice stands twice
+in a row, these parts of the text are aligned again. Of findings that overlap the one with more matched words stays.
 
 Null and empty texts have no finding. Texts of any length are scanned whole; a text with many
 notices gives as many rows. Repeated rows and null ids give their findings again. An empty table
@@ -62,8 +63,8 @@ class Index:
             out, known = out * self.base + part, known & (part > 0)
         return np.where(known, out, -1)
 
-    def candidates(self, words: np.ndarray, band: int) -> list[tuple[int, int, int]]:
-        """Template, diagonal and last hit of each group of hits near one diagonal."""
+    def candidates(self, words: np.ndarray, band: int) -> list[tuple[int, int, list[tuple[int, int]]]]:
+        """Template, first diagonal and hits (diagonal, place) of each group of hits near one diagonal."""
         codes = self.codes(words)
         at = np.flatnonzero(codes >= 0)
         first, last = np.searchsorted(self.keys, codes[at]), np.searchsorted(self.keys, codes[at], "right")
@@ -73,11 +74,11 @@ class Index:
             for i, a, b in zip(at, first, last, strict=True)
             for p in range(a, b)
         )
-        out: list[tuple[int, int, int]] = []
+        out: list[tuple[int, int, list[tuple[int, int]]]] = []
         for t, diagonal, i in hits:
-            if out and out[-1][0] == t and diagonal - out[-1][1] <= band:
-                continue  # the band of the group's first diagonal has it
-            out.append((t, diagonal, i))
+            if not (out and out[-1][0] == t and diagonal - out[-1][1] <= band):
+                out.append((t, diagonal, []))
+            out[-1][2].append((diagonal, i))  # the band of the group's first diagonal has it
         return out
 
     def align(self, words: np.ndarray, t: int, diagonal: int, band: int) -> tuple[int, int, int]:
@@ -118,10 +119,22 @@ class Index:
     def scan(self, words: np.ndarray, band: int, coverage: float) -> list[tuple[int, float, int, int, int]]:
         """Template, coverage, matched words, first and last word of every finding, in the text's order."""
         found = []
-        for t, diagonal, _ in self.candidates(words, band):
-            hit, first, last = self.align(words, t, diagonal, band)
-            if hit and hit >= coverage * len(self.words[t]):
-                found.append((t, hit / len(self.words[t]), hit, first, last))
+        for t, _, hits in self.candidates(words, band):
+            # Parts of the text, and the hits that lie in them: at first all of it.
+            parts = [(0, len(words), hits)]
+            while parts:
+                begin, end, own = parts.pop()
+                diagonal = own[0][0]
+                hit, first, last = self.align(words[begin:end], t, diagonal - begin, band)
+                if not hit:
+                    continue
+                first, last = first + begin, last + begin
+                if hit >= coverage * len(self.words[t]):
+                    found.append((t, hit / len(self.words[t]), hit, first, last))
+                for b, e in ((begin, first), (last + 1, end)):
+                    left = [x for x in own if b <= x[1] and x[1] + self.k <= e]
+                    if left:
+                        parts.append((b, e, left))
         kept: list[tuple[int, float, int, int, int]] = []
         taken = np.zeros(len(words), bool)
         for x in sorted(set(found), key=lambda x: (-x[2], -x[1], x[0], x[3])):

@@ -48,6 +48,19 @@ def test_many_notices_in_a_long_text(spark):
     assert [g[1:] for g in got] == [("MIT notice", 1.0, NOTICE.rstrip("."))] * 20
 
 
+def test_notices_that_stand_next_to_each_other(spark):
+    """Of every notice 2, 3 and 9 in a row, with nothing or a word between them, and in turn with another."""
+    names = [n for n in TEMPLATES if n.endswith(("notice", "licensed"))]
+    texts, want = [], []
+    for i, name in enumerate(names):
+        other = names[(i + 1) % len(names)]
+        for row in ([name] * 2, [name] * 3, [name] * 9, [name, other] * 3):
+            for between in (" ", " and "):
+                texts.append(between.join(TEMPLATES[n] for n in row))
+                want += [(len(texts) - 1, n, 1.0, TEMPLATES[n].rstrip(".")) for n in row]
+    assert found(spark, texts) == want
+
+
 def test_winnowing_keeps_a_code_of_every_shared_run():
     index = Index({"t": " ".join(f"w{i}" for i in range(60))}, k=3, window=4)
     words = index.words[0]
