@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from etalage.llm import (
     bpe,
     exact_dedup,
+    filter_audit,
     html_extract,
     license_scan,
     mixing,
@@ -294,3 +295,54 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         "is_secret",
     )
+
+
+#: Fixed: the filters' letters, in the order of the mask's bits; the last is the repeated text.
+FILTERS = "ABCDE"
+
+
+@query(
+    "op13_filter_audit",
+    r"""
+        WITH texts AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+        split AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM texts),
+        lost AS (
+            SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id
+        ), failing AS (
+            SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, concat(
+                CASE WHEN len(w) < 100 THEN 'A' ELSE '' END,
+                CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END,
+                CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END,
+                CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END,
+                CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END) AS s
+            FROM split LEFT JOIN lost USING (doc_id)
+        ), masks AS (
+            SELECT part, s, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failing GROUP BY part, s
+        ), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        orders AS (
+            SELECT concat(a.x, b.x, c.x, d.x, e.x) AS o FROM letters a, letters b, letters c, letters d, letters e
+            WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+        ), told AS (
+            SELECT part, o, k, n, good, toxic, s, contains(s, o[k]) AS fails,
+                length(translate(left(o, k - 1), s, '')) < k - 1 AS gone
+            FROM masks, orders, (SELECT unnest(range(1, 6)) AS k)
+        ), steps AS (
+            SELECT part, o, CAST(k AS INT) AS step, coalesce(sum(n) FILTER (NOT gone AND NOT fails), 0) AS kept,
+                coalesce(sum(n) FILTER (NOT gone AND fails), 0) AS removed, coalesce(sum(n) FILTER (gone AND fails), 0) AS redundant,
+                coalesce(sum(n) FILTER (s = o[k]), 0) AS unique_fails, coalesce(sum(good) FILTER (NOT gone AND fails), 0) AS good_lost,
+                coalesce(sum(toxic) FILTER (NOT gone AND fails), 0) AS toxic_lost
+            FROM told GROUP BY part, o, k
+        )
+        SELECT part, o AS filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+            CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+            CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+            CAST(sum(removed) OVER (PARTITION BY part, o[step]) AS BIGINT) AS shapley
+        FROM steps
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    text, key = F.col("text"), F.col("doc_id")
+    flags = [F.col("quality") == 1, F.col("toxic") == 1]
+    counted = filter_audit.failures(docs, labels, key, F.col("lang"), text, filter_audit.text_conditions(text), flags, key)
+    return filter_audit.interactions(counted, FILTERS, ["good_lost", "toxic_lost"])
