@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from etalage.llm import (
     bpe,
+    collocations,
     exact_dedup,
     filter_audit,
     html_extract,
@@ -346,3 +347,45 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     flags = [F.col("quality") == 1, F.col("toxic") == 1]
     counted = filter_audit.failures(docs, labels, key, F.col("lang"), text, filter_audit.text_conditions(text), flags, key)
     return filter_audit.interactions(counted, FILTERS, ["good_lost", "toxic_lost"])
+
+
+@query(
+    "op11_collocations",
+    r"""
+        WITH texts AS (
+            SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+        ), pieces AS (
+            SELECT d, lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM texts
+        ), words AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+        totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+        grams AS (
+            SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+            FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (SELECT unnest([1, 2, 3]) AS k))
+            GROUP BY ALL HAVING count(*) >= 10
+        ), whole AS (SELECT *, string_split(phrase, ' ') AS w FROM grams WHERE k > 1),
+        cuts AS (
+            SELECT *, array_to_string(w[1:c], ' ') AS head, array_to_string(w[c + 1:], ' ') AS tail
+            FROM (SELECT *, unnest(range(1, k)) AS c FROM whole)
+        ), scored AS (
+            SELECT q.lang, q.phrase, q.k, q.f AS a, h.f AS l, t.f AS r, c,
+                1000000 * CAST(q.f AS HUGEINT) * q.f // (CAST(h.f AS HUGEINT) * t.f) AS score
+            FROM cuts q JOIN grams h ON h.lang = q.lang AND h.phrase = q.head AND h.k = q.c
+            JOIN grams t ON t.lang = q.lang AND t.phrase = q.tail AND t.k = q.k - q.c
+        ), lowest AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase, k ORDER BY score, c) = 1
+        ), around AS (
+            SELECT lang, inner_phrase, max(f) AS f FROM (
+                SELECT lang, f, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS inner_phrase FROM whole WHERE k = 3)
+            GROUP BY ALL
+        ), kept AS (
+            SELECT s.* FROM lowest s LEFT JOIN around u ON u.lang = s.lang AND u.inner_phrase = s.phrase AND s.k = 2
+            WHERE u.f IS NULL OR 100 * u.f < 50 * s.a
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+        )
+        SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), F.col("lang"), F.col("text"))
