@@ -21,6 +21,7 @@ from etalage.llm import (
     simhash,
     toxicity,
     url_filter,
+    vector_search,
 )
 from etalage.llm.common import ready, word_count
 
@@ -389,3 +390,12 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"), F.col("lang"), F.col("text"))
+
+
+@query("op12_vector_search")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    found = vector_search.nearest(vectors, F.col("vec_id"), F.col("embedding"), F.col("key") % 50 == 0)
+    return found.select(
+        F.col("query").alias("query_id"), "rank", F.col("key").alias("vec_id"), "score"
+    )
