@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from etalage.functions import values as v
-from etalage.functions.columns import micros
-from etalage.operators.fraud import first_success
 from etalage.plans.registry import query
-from etalage.session import fresh_dir, settings
+from etalage.session import fresh_dir, settings, write_through
 from etalage.sources import streams
 from etalage.streaming import jobs, stateful
 
@@ -187,8 +185,8 @@ def stream_interval_join(shop):
         return streams.run_to_table(jobs.click_to_purchase(clicks, purchases), "pairs")
 
 
-# Attempts are judged when the watermark has passed their day.
-_JUDGED = """(SELECT to_timestamp(floor((epoch(max(ts)) - 600) / 86400) * 86400) AT TIME ZONE 'UTC' FROM s_events)"""
+# Attempts are judged when the watermark, in whole milliseconds, has passed them.
+_JUDGED = "(SELECT date_trunc('milliseconds', max(attempt_ts)) - INTERVAL 10 MINUTE FROM s_payments)"
 _RULES = " UNION ALL ".join(
     f"SELECT payment_id, customer_id, attempt_ts AS ts, '{r}' AS rule FROM s_flags WHERE {r}" for r in v.RULES
 )
@@ -200,35 +198,27 @@ _LIVE = f"""
             FROM s_payments WINDOW w AS (PARTITION BY customer_id ORDER BY attempt_ts, payment_id))
         WHERE result = 'success' AND r1 = 'failed' AND r2 = 'failed' AND r3 = 'failed'
           AND attempt_ts - first_failure <= INTERVAL 24 HOUR)
-    WHERE ts < {_JUDGED}"""
+    WHERE ts <= {_JUDGED}"""
+#: The table of the past ends here, and the stream begins.
+_SEEDED_UPTO = "2024-01-10"
 
 
-def _with_history(shop, attempts):
-    """Attempts with both countries and the customer's first success, looked up in the tables."""
-    first = first_success(shop.attempts).select(
-        "customer_id",
-        micros("first_ok.attempt_ts").alias("first_at"),
-        F.col("first_ok.payment_id").alias("first_id"),
-    )
-    return shop.with_countries(attempts).join(first, "customer_id", "left").withColumnRenamed("attempt_ts", "ts")
-
-
-def _twin_days(shop, alerts):
-    """The alerts of the days that ``_JUDGED`` counts as closed. The job gives those of the open day as well, up to
-    the watermark; the twin does not have them."""
-    last = shop.events.agg(F.max(micros("ts"))).first()[0]
-    day = 86400 * stateful.SECOND
-    return alerts.where(micros("ts") < F.lit((last - 600 * stateful.SECOND) // day * day)) if last is not None else alerts
+def _live_attempts(shop, attempts):
+    return shop.with_countries(attempts).withColumnRenamed("attempt_ts", "ts")
 
 
-@query("stream_rules_stateful", "payment_id:l customer_id:l ts:t rule:s", _LIVE)
+@query(
+    "stream_rules_stateful",
+    "payment_id:l customer_id:l ts:t rule:s",
+    f"SELECT * FROM ({_LIVE}) WHERE ts >= TIMESTAMP '{_SEEDED_UPTO}'",
+)
 def stream_rules_stateful(shop):
-    """Two arrivals cut inside a day; the rows of the first wait for those of the second."""
-    attempts = _with_history(shop, shop.attempts)
-    arrivals = _split(attempts, "2024-01-15 12:00:00")
+    """State seeded by the attempts before a day; then two arrivals cut inside a day, the rows of the first waiting
+    for those of the second."""
+    past, *arrivals = _split(_live_attempts(shop, shop.attempts), _SEEDED_UPTO, "2024-01-15 12:00:00")
+    seed = write_through(stateful.past_of(past), "past")
     with _state(shop, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
-        out, _ = streams.replay(shop.spark, arrivals, stateful.attempt_alerts, "alerts")
-        return _twin_days(shop, out)
+        return streams.replay(shop.spark, arrivals, lambda s: stateful.attempt_alerts(s, past=seed), "alerts")[0]
 
 
 @query(
@@ -239,23 +229,22 @@ def stream_rules_stateful(shop):
     FROM ({_LIVE}), (VALUES ('table'), ('topic')) s(sink) GROUP BY sink, rule""",
 )
 def stream_alert_fanout(shop):
-    """The live job: attempts, looked up history, all rules and the pattern, to a table and to a topic."""
+    """The live job from an empty state: attempts, all rules and the pattern, to a table and to a topic."""
     spark = shop.spark
     table, topic = fresh_dir(spark, "alerts"), fresh_dir(spark, "fraud-alerts")
-    attempts = _with_history(shop, shop.shape_attempts(_events(shop)))
+    attempts = _live_attempts(shop, shop.shape_attempts(_events(shop)))
     with _state(shop, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
         streams.finish(
             stateful.attempt_alerts(attempts)
             .writeStream.foreachBatch(jobs.write_twice(table, topic))
             .option("checkpointLocation", fresh_dir(spark, "fanout-checkpoint"))
         )
-    stored = spark.read.parquet(table).select(F.lit("table").alias("sink"), "rule", "payment_id", "ts")
+    stored = spark.read.parquet(table).select(F.lit("table").alias("sink"), "rule", "payment_id")
     sent = spark.read.parquet(topic).select(
         F.lit("topic").alias("sink"),
         F.get_json_object("value", "$.rule").alias("rule"),
         F.col("key").cast("bigint").alias("payment_id"),
-        F.get_json_object("value", "$.ts").cast("timestamp").alias("ts"),
     )
-    return _twin_days(shop, stored.unionByName(sent)).groupBy("sink", "rule").agg(
+    return stored.unionByName(sent).groupBy("sink", "rule").agg(
         F.count("*").alias("n"), F.countDistinct("payment_id").alias("payments")
     )

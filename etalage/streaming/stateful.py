@@ -1,4 +1,4 @@
-"""Per-customer rules with keyed state."""
+"""Per-customer rules with keyed state that a table of the past can seed."""
 
 from __future__ import annotations
 
@@ -6,12 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
-from etalage.functions.columns import micros, slice_of
+from etalage.functions.columns import micros
 
 ALERTS = StructType(
     [
@@ -21,162 +21,205 @@ ALERTS = StructType(
         StructField("rule", StringType()),
     ]
 )
-#: What is kept of an attempt until it is judged.
+#: What is kept of an attempt until it is judged, and of the last ones as context.
 ATTEMPT = {
-    "payment_id": "long",
     "at": "long",
-    "live": "boolean",
+    "payment_id": "long",
     "amount": "double",
     "result": "string",
     "device_id": "string",
     "ip_hash": "string",
     "payment_country": "string",
     "customer_country": "string",
-    "first_at": "long",
-    "first_id": "long",
 }
-SLICE = 6 * 3600
 DAY = 24 * 3600
 SECOND = 1_000_000
+MINUTE = 60 * SECOND
+#: The rules look back over so many attempts and so many failures, and no further than a day.
+VELOCITY_LIMIT, FAILED_LIMIT, AMOUNT_LIMIT = 5, 3, 100.0
+ROWS_BACK, FAILURES_BACK = VELOCITY_LIMIT + 1, FAILED_LIMIT
 
 
-def judge(rows: pd.DataFrame, velocity_limit: int = 5, failed_limit: int = 3, amount_limit: float = 100) -> dict[str, np.ndarray]:
-    """Which rules each attempt of one customer breaks; ``rows`` in order of time and number.
+def judge(rows: list[tuple], n_before: int, had_success: bool) -> dict[str, np.ndarray]:
+    """Which rules each attempt of one customer breaks, from the ``n_before``-th on.
 
-    Rows need the 24 hours before them. The first successful payment (``first_at``, ``first_id``) is known.
+    ``rows`` are attempts as in ATTEMPT in order of time and number. Those before are the context: the last ROWS_BACK
+    attempts and FAILURES_BACK failures decide every rule that looks back. ``had_success``: one of the past, also if
+    it is not among the rows.
     """
-    at, number = rows["at"].to_numpy(), rows["payment_id"].to_numpy()
-    failed = (rows["result"] == "failed").to_numpy()
+    at, _, amount, result, device, ip, paid, home = (list(c) for c in zip(*rows, strict=True))
+    at = np.array(at, np.int64)
+    amount = np.array([np.nan if x is None else x for x in amount], np.float64)
+    failed = np.array([x == "failed" for x in result])
+    success = np.array([x == "success" for x in result])
     upto = np.searchsorted(at, at, side="right")
     so_far = np.r_[0, np.cumsum(failed)]
 
     def since(seconds: int) -> np.ndarray:
         return np.searchsorted(at, at - seconds * SECOND, side="left")
 
-    def before(column: str, n: int = 1) -> pd.Series:
-        return rows[column].shift(n)
-
-    def moved(column: str) -> np.ndarray:
-        a, b = rows[column], before(column)
-        return (a.notna() & b.notna() & (a != b)).to_numpy()
+    def moved(column: list) -> np.ndarray:
+        pairs = zip(column, column[1:], strict=False)
+        return np.array([False, *[a is not None and b is not None and a != b for a, b in pairs]])
 
     gap = np.full(len(at), np.inf)
     gap[1:] = np.diff(at)
-    home, paid = rows["customer_country"], rows["payment_country"]
-    first_at = rows["first_at"].to_numpy(dtype="float64", na_value=np.inf)
-    first_id = rows["first_id"].to_numpy(dtype="float64", na_value=np.inf)
     hour = at // (3600 * SECOND) % 24
-    three_back = before("at", 3).to_numpy(dtype="float64", na_value=-np.inf)
-    after_failures = np.logical_and.reduce([(before("result", n) == "failed").to_numpy() for n in (1, 2, 3)])
-    return {
-        "high_amount": (rows["amount"] > amount_limit).to_numpy()
-        & ((at < first_at) | ((at == first_at) & (number <= first_id))),
-        "country_mismatch": (home.notna() & paid.notna() & (home != paid)).to_numpy(),
-        "velocity": upto - since(600) > velocity_limit,
-        "device_change": moved("device_id") & moved("ip_hash") & (gap < 3600 * SECOND),
+    successes = np.r_[0, np.cumsum(success)[:-1]]
+    three_back = np.full(len(at), -np.inf)
+    three_back[3:] = at[:-3]
+    after_failures = np.zeros(len(at), bool)
+    after_failures[3:] = failed[2:-1] & failed[1:-2] & failed[:-3]
+    found = {
+        "high_amount": (amount > AMOUNT_LIMIT) & (successes == 0) & (not had_success),
+        "country_mismatch": np.array([a is not None and b is not None and a != b for a, b in zip(home, paid, strict=True)]),
+        "velocity": upto - since(600) > VELOCITY_LIMIT,
+        "device_change": moved(device) & moved(ip) & (gap < 3600 * SECOND),
         "time_anomaly": (hour >= 3) & (hour < 6),
-        "many_failed_attempts": failed & (so_far[upto] - so_far[since(DAY)] >= failed_limit),
+        "many_failed_attempts": failed & (so_far[upto] - so_far[since(DAY)] >= FAILED_LIMIT),
         "rapid_attempts": gap < 600 * SECOND,
-        "fail_then_success": (rows["result"] == "success").to_numpy() & after_failures & (at - three_back <= DAY * SECOND),
+        "fail_then_success": success & after_failures & (at - three_back <= DAY * SECOND),
     }
+    return {rule: hit[n_before:] for rule, hit in found.items()}
+
+
+def context_of(rows: list[tuple]) -> list[tuple]:
+    """Of attempts in order, those that later ones are judged by: a few, however many there are."""
+    failures = [r for r in rows if r[3] == "failed"][-FAILURES_BACK:]
+    last = rows[-ROWS_BACK:]
+    return [f for f in failures if f not in last] + last
 
 
 class AttemptRules(StatefulProcessor):
-    """The attempts of one customer and time slice, each judged when the watermark has passed its time.
+    """The attempts of one customer, each judged when the watermark has passed its time.
 
-    Then no earlier one can come, whatever the order they came in. A timer stands at the earliest attempt that
-    waits; when it fires, all attempts up to the watermark are judged in the order of their times. The rows stay
-    as context until the watermark has passed the slice.
+    Then no earlier one can come, whatever the order they came in. State: the first success (for good), the few last
+    attempts (for a day after the last), and the attempts that wait, by minute. A batch reads the minutes that are
+    due, and of those only. What a table of the past knows comes in once, as initial state.
     """
 
-    def __init__(self, slice_seconds: int):
-        self.slice_us = slice_seconds * SECOND
-
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.rows = handle.getListState("rows", ", ".join(f"{n} {t}" for n, t in ATTEMPT.items()))
-        self.upto = handle.getValueState("upto", "at long")
-
-    def wake(self, at: int) -> None:
-        """A timer in the first whole millisecond after a time: the watermark is then beyond it."""
-        self.handle.registerTimer(at // 1000 + 1)
+        fields = ", ".join(f"{n} {t}" for n, t in ATTEMPT.items())
+        lists = ", ".join(f"{n} array<{t}>" for n, t in ATTEMPT.items())
+        self.first = handle.getValueState("first", "at long, payment_id long")
+        self.last = handle.getListState("last", fields)
+        self.waiting = handle.getMapState("waiting", "minute long", lists)
+        self.wakes = handle.getValueState("wakes", "at long")
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        row = initialState.iloc[0]
+        if not pd.isna(row["first_at"]):
+            self.first.update((int(row["first_at"]), int(row["first_id"])))
+        last = [tuple(r[n] for n in ATTEMPT) for r in (x.asDict() if hasattr(x, "asDict") else x for x in row["last"])]
+        if last:
+            self.last.put(last)
+            self._wake(max(r[0] for r in last) + DAY * SECOND)
+
+    def _wake(self, at: int) -> None:
+        """A timer in the first whole millisecond after a time, when the watermark is beyond it; one at a time."""
+        mine = self.wakes.get()[0] if self.wakes.exists() else None
+        if mine is None or at // 1000 + 1 < mine:
+            if mine is not None:
+                self.handle.deleteTimer(mine)
+            self.handle.registerTimer(at // 1000 + 1)
+            self.wakes.update((at // 1000 + 1,))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        come: dict[int, list[tuple]] = {}
         for batch in rows:
             plain = batch[list(ATTEMPT)].astype(object)
-            self.rows.appendList(list(plain.where(batch[list(ATTEMPT)].notna(), None).itertuples(index=False, name=None)))
-            own = batch["at"][batch["live"].astype(bool)]
-            if len(own):
-                self.wake(int(own.min()))
-        self.wake((int(key[1]) + 1) * self.slice_us)
+            for r in plain.where(batch[list(ATTEMPT)].notna(), None).itertuples(index=False, name=None):
+                come.setdefault(int(r[0]) // MINUTE, []).append(r)
+        for minute, own in come.items():
+            held = self.waiting.getValue((minute,))
+            columns = [list(c) for c in zip(*own, strict=True)]
+            if held is not None:
+                columns = [[*a, *b] for a, b in zip(held, columns, strict=True)]
+            self.waiting.updateValue((minute,), tuple(columns))
+        if come:
+            self._wake(min(r[0] for r in come[min(come)]))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.wakes.clear()
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        before = self.upto.get()[0] if self.upto.exists() else None
-        if not self.rows.exists() or (before is not None and before >= passed):
-            return
-        held = pd.DataFrame(list(self.rows.get()), columns=list(ATTEMPT)).sort_values(["at", "payment_id"], ignore_index=True)
-        held = held.astype({"payment_id": "int64", "at": "int64", "first_at": "Int64", "first_id": "Int64"})
-        at, live = held["at"].to_numpy(), held["live"].to_numpy(dtype=bool)
-        due = live & (at <= passed) & (before is None or at > before)
-        if due.any():
-            found = []
-            for rule, hit in judge(held).items():
-                own = held[due & hit]
-                found.append(
-                    pd.DataFrame(
-                        {
-                            "payment_id": own["payment_id"],
-                            "customer_id": int(key[0]),
-                            "ts": pd.to_datetime(own["at"], unit="us"),
-                            "rule": rule,
-                        }
-                    )
-                )
-            yield pd.concat(found, ignore_index=True)
-        if passed >= (int(key[1]) + 1) * self.slice_us:
-            self.rows.clear()
-            self.upto.clear()
-            return
-        self.upto.update((passed,))
-        waiting = at[live & (at > passed)]
-        if len(waiting):
-            self.wake(int(waiting[0]))
+        minutes = sorted(k[0] for k in self.waiting.keys())
+        due, rest = [], None
+        for minute in [m for m in minutes if m * MINUTE <= passed]:
+            own = sorted(zip(*self.waiting.getValue((minute,)), strict=True), key=lambda r: r[:2])
+            later = [r for r in own if r[0] > passed]
+            due += own[: len(own) - len(later)]
+            if later:
+                rest = min(r[0] for r in later)
+                self.waiting.updateValue((minute,), tuple(list(c) for c in zip(*later, strict=True)))
+            else:
+                self.waiting.removeKey((minute,))
+        before = [tuple(r) for r in self.last.get()] if self.last.exists() else []
+        if due:
+            had_success = self.first.exists()
+            found = judge([*before, *due], len(before), had_success)
+            good = next((r for r in due if r[3] == "success"), None)
+            if not had_success and good:
+                self.first.update((good[0], good[1]))
+            before = context_of([*before, *due])
+            self.last.put(before)
+        if before and before[-1][0] + DAY * SECOND < passed:
+            self.last.clear()
+            before = []
+        ahead = [rest] if rest is not None else [m * MINUTE for m in minutes if m * MINUTE > passed][:1]
+        if ahead:
+            self._wake(ahead[0])
+        elif before:
+            self._wake(before[-1][0] + DAY * SECOND)
+        if due:
+            hits = [(rule, i) for rule, hit in found.items() for i in np.flatnonzero(hit).tolist()]
+            if not hits:
+                return
+            yield pd.DataFrame(
+                {
+                    "payment_id": np.array([due[i][1] for _, i in hits], np.int64),
+                    "customer_id": np.full(len(hits), int(key[0]), np.int64),
+                    "ts": pd.to_datetime(np.array([due[i][0] for _, i in hits], np.int64), unit="us"),
+                    "rule": pd.Series([rule for rule, _ in hits], dtype=object),
+                }
+            )
 
     def close(self) -> None:
         pass
 
 
-def with_lookback(df: DataFrame, ts: str, horizon: int, slice_seconds: int) -> DataFrame:
-    """Add ``_slice`` and ``_live``: a row also goes to the later slices that begin within the horizon.
+def past_of(attempts: DataFrame) -> DataFrame:
+    """The state of each customer after the attempts of a table: first success, and the last attempts in order.
 
-    Any row of [t - horizon, t] is then found in the slice of the live row at t. The copies are
-    horizon / slice_seconds of the rows.
+    Only the newest few of a customer travel, and its first success as one row a task.
     """
-    own = slice_of(ts, slice_seconds)
-    last = F.floor((micros(ts) + F.lit(horizon * SECOND)) / F.lit(slice_seconds * SECOND)).cast("bigint")
-    return df.select("*", F.explode(F.sequence(own.cast("bigint"), last)).alias("_slice")).withColumn(
-        "_live", F.col("_slice") == own
+    attempts = attempts.where("ts is not null and customer_id is not null")
+    rows = attempts.withColumns({"at": micros("ts"), "amount": F.col("amount").cast("double")}).select("customer_id", *ATTEMPT)
+    newest = [F.col("at").desc(), F.col("payment_id").desc()]
+    last = rows.withColumn("nth", F.row_number().over(Window.partitionBy("customer_id").orderBy(*newest)))
+    failures = rows.where("result = 'failed'").withColumn("nth", F.row_number().over(Window.partitionBy("customer_id").orderBy(*newest)))
+    kept = last.where(F.col("nth") <= ROWS_BACK).unionByName(failures.where(F.col("nth") <= FAILURES_BACK)).drop("nth")
+    kept = kept.groupBy("customer_id").agg(F.array_sort(F.collect_set(F.struct(*ATTEMPT))).alias("last"))
+    first = rows.where("result = 'success'").groupBy("customer_id").agg(F.min(F.struct("at", "payment_id")).alias("first"))
+    return kept.join(first, "customer_id", "left").select(
+        "customer_id", F.col("first.at").alias("first_at"), F.col("first.payment_id").alias("first_id"), "last"
     )
 
 
-def attempt_alerts(payments: DataFrame, delay: str = "10 minutes", slice_seconds: int = SLICE) -> DataFrame:
+def attempt_alerts(payments: DataFrame, delay: str = "10 minutes", past: DataFrame | None = None) -> DataFrame:
     """Alerts of all rules, and of a success after three failures, for a stream of attempts.
 
-    ``payments`` has payment_id, customer_id, ts, amount, result, device_id, ip_hash, both countries and the
-    customer's first success (first_at in microseconds, first_id). Keyed by customer and slice; the 24 hours
-    before a slice are sent to it as context. Attempts may come in any order within the watermark.
+    ``payments`` has payment_id, customer_id, ts, amount, result, device_id, ip_hash and both countries. Attempts may
+    come in any order within the watermark. ``past`` (of ``past_of``) is taken in when the stream first starts; what
+    the customer did before the stream then counts. Attempts without a time or a customer are left out.
     """
-    timed = payments.withColumn("ts", F.col("ts").cast("timestamp")).where("ts is not null")
-    # The watermark is on the attempts' own times, ahead of the copies.
-    sent = with_lookback(timed.withWatermark("ts", delay), "ts", DAY, slice_seconds)
-    rows = sent.withColumns(
-        {"at": F.unix_micros("ts"), "live": F.col("_live"), "amount": F.col("amount").cast("double")}
-    ).select("customer_id", "_slice", "ts", *ATTEMPT)
-    return rows.groupBy("customer_id", "_slice").transformWithStateInPandas(
-        statefulProcessor=AttemptRules(slice_seconds),
+    timed = payments.withColumn("ts", F.col("ts").cast("timestamp")).where("ts is not null and customer_id is not null")
+    rows = timed.withWatermark("ts", delay).withColumns({"at": F.unix_micros("ts"), "amount": F.col("amount").cast("double")})
+    return rows.select("customer_id", "ts", *ATTEMPT).groupBy("customer_id").transformWithStateInPandas(
+        statefulProcessor=AttemptRules(),
         outputStructType=ALERTS,
         outputMode="Append",
         timeMode="EventTime",
+        initialState=past.groupBy("customer_id") if past is not None else None,
     )

@@ -44,18 +44,18 @@ def test_duplicates_count_once(spark):
 
 ATTEMPT = (
     "payment_id long, customer_id long, ts timestamp_ntz, amount double, result string, device_id string, ip_hash string,"
-    " payment_country string, customer_country string, first_at long, first_id long"
+    " payment_country string, customer_country string"
 )
 LATER = at(30 * 86400)
 
 
 def attempt(pid, seconds, customer=1, amount=10.0, result="failed", device="d", ip="i", paid="FR", home="FR"):
-    return (pid, customer, at(seconds), amount, result, device, ip, paid, home, None, None)
+    return (pid, customer, at(seconds), amount, result, device, ip, paid, home)
 
 
 def alerts_of(spark, arrivals, name, **options):
-    """Alerts after the arrivals and one last attempt, long after, that closes all slices."""
-    arrivals = [*arrivals, [(999_999, 777, LATER, 1.0, "failed", "d", "i", "FR", "FR", None, None)]]
+    """Alerts after the arrivals and one last attempt, long after, that moves the watermark past all others."""
+    arrivals = [*arrivals, [(999_999, 777, LATER, 1.0, "failed", "d", "i", "FR", "FR")]]
     with settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB, spark__sql__shuffle__partitions="4"):
         out, _ = streams.replay(
             spark, [spark.createDataFrame(a, ATTEMPT) for a in arrivals], lambda s: stateful.attempt_alerts(s, **options), name
@@ -95,23 +95,72 @@ def some_attempts():
 @pytest.mark.parametrize("seed", [1, 2])
 def test_stream_gives_the_batch_rules_for_any_order_of_arrival(spark, seed):
     rows = some_attempts()
-    batch = spark.createDataFrame([r[:9] for r in rows], ATTEMPT.split(", first_at")[0]).withColumnsRenamed({"ts": "attempt_ts"})
+    batch = spark.createDataFrame(rows, ATTEMPT).withColumnsRenamed({"ts": "attempt_ts"})
     batch = batch.withColumn("is_fraudulent", F.lit(False))
     flagged = fraud.flag_all(batch)
     rules = F.filter(F.array(*[F.when(F.col(r), F.lit(r)) for r in RULES]), lambda r: r.isNotNull())
     want = [(r.payment_id, r.rule) for r in flagged.select("payment_id", F.explode(rules).alias("rule")).collect()]
     want += [(r.payment_id, "fail_then_success") for r in fraud.fail_then_success(batch).collect()]
-    first = {}
-    for r in rows:
-        if r[4] == "success":
-            first[r[1]] = min(first.get(r[1], (LATER, 0)), (r[2], r[0]))
-    micros = lambda t: int((t - datetime(1970, 1, 1)).total_seconds() * 1_000_000)
-    known = [(*r[:9], micros(first[r[1]][0]), first[r[1]][1]) if r[1] in first else r for r in rows]
+    known = list(rows)
     random.Random(seed).shuffle(known)
     cut = random.Random(seed).randrange(40, 180)
     assert alerts_of(spark, [known[:cut], known[cut:]], f"any-order-{seed}", delay="3 days") == sorted(want)
 
 
+def rules_by_batch(spark, rows):
+    """(payment, rule) of the batch rules over all rows."""
+    batch = spark.createDataFrame(rows, ATTEMPT).withColumnsRenamed({"ts": "attempt_ts"})
+    batch = batch.withColumn("is_fraudulent", F.lit(False))
+    rules = F.filter(F.array(*[F.when(F.col(r), F.lit(r)) for r in RULES]), lambda r: r.isNotNull())
+    flagged = fraud.flag_all(batch).select("payment_id", F.explode(rules).alias("rule")).collect()
+    return sorted([(r.payment_id, r.rule) for r in flagged] + [(r.payment_id, "fail_then_success") for r in fraud.fail_then_success(batch).collect()])
+
+
+def test_a_new_customer_s_second_large_payment_raises_nothing(spark):
+    """The first success comes on the stream; after it no amount is high, in the same batch or a later one."""
+    large = [attempt(i, 7200 * i, amount=500.0, result="success") for i in range(4)]
+    tried = [attempt(10, 0, customer=2, amount=500.0), attempt(11, 40_000, customer=2, amount=500.0, result="success"), attempt(12, 90_000, customer=2, amount=500.0)]
+    got = alerts_of(spark, [[large[0], large[1], *tried[:2]], [large[2]], [large[3], tried[2]]], "new-customer")
+    assert [p for p, rule in got if rule == "high_amount"] == [0, 10, 11]
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_seeded_state_stands_for_the_past(spark, seed):
+    """A table of the past, taken in once, and the stream after it give what the batch rules give for both."""
+    rows = sorted(some_attempts(), key=lambda r: (r[2], r[0]))
+    cut = random.Random(seed).randrange(60, 160)
+    while rows[cut][2] == rows[cut - 1][2]:
+        cut += 1
+    past, live = rows[:cut], rows[cut:]
+    random.Random(seed).shuffle(live)
+    seeded = stateful.past_of(spark.createDataFrame(past, ATTEMPT))
+    assert max(r.n for r in seeded.select(F.size("last").alias("n")).collect()) <= stateful.ROWS_BACK + stateful.FAILURES_BACK
+    ids = {r[0] for r in live}
+    want = [x for x in rules_by_batch(spark, rows) if x[0] in ids]
+    assert alerts_of(spark, [live[:30], live[30:]], f"seeded-{seed}", delay="3 days", past=seeded) == want
+    assert want != [x for x in rules_by_batch(spark, live)]
+
+
+def test_context_is_dropped_a_day_after_the_last_attempt(spark):
+    """A success after three failures, then a day and more of others' attempts: only the first success is left."""
+    rows = [attempt(i, 60 * i, amount=150.0, result="success" if i == 3 else "failed") for i in range(4)]
+    others = [[attempt(100 + i, 40_000 * (i + 1), customer=2, ip=str(i))] for i in range(6)]
+    again = [attempt(50, 400_000, amount=500.0), attempt(51, 400_060, amount=500.0)]
+    folder = {}
+
+    def build(s):
+        folder["state"] = stateful.attempt_alerts(s)
+        return folder["state"]
+
+    with settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB, spark__sql__shuffle__partitions="2"):
+        out, progress = streams.replay(
+            spark, [spark.createDataFrame(a, ATTEMPT) for a in [rows, *others, again, [attempt(999, 900_000, customer=3)]]], build, "dropped"
+        )
+    got = sorted((r.payment_id, r.rule) for r in out.collect())
+    assert (3, "fail_then_success") in got and (51, "rapid_attempts") in got
+    assert not [x for x in got if x[0] in (50, 51) and x[1] in ("high_amount", "many_failed_attempts")]
+
+
 def test_workers_need_not_have_the_package(tmp_path):
     """From another folder, with the package on the driver's path only."""
     root = str(Path(__file__).resolve().parents[1])
@@ -125,7 +174,7 @@ from etalage.session import prepare
 from etalage.sources import streams
 from etalage.streaming import stateful
 from datetime import datetime
-rows = [(i, 1, datetime(2024, 1, 1 + 9 * (i == 3), 10, 5 * i), 1.0, "failed", "d", "i", "FR", "FR", None, None) for i in (1, 2, 3)]
+rows = [(i, 1, datetime(2024, 1, 1 + 9 * (i == 3), 10, 5 * i), 1.0, "failed", "d", "i", "FR", "FR") for i in (1, 2, 3)]
 df = prepare(spark).createDataFrame(rows, "{ATTEMPT}")
 print("ALERTS", streams.replay(spark, [df], stateful.attempt_alerts, "t")[0].count())
 """
