@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from etalage.functions import values as v
@@ -55,8 +56,12 @@ def stream_replay(shop):
 
 @query(
     "stream_bronze_append",
-    "day:d n:l",
-    "SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM s_events GROUP BY 1",
+    "day:d n:l digest:l",
+    """
+    SELECT CAST(ts AS DATE) AS day, count(*) AS n, CAST(sum(CAST(('0x' || substr(md5(concat_ws('|',
+        event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), user_id, event_type, CAST(value AS DECIMAL(18, 2)), props)), 1, 8)) AS BIGINT)) AS BIGINT)
+        AS digest
+    FROM events GROUP BY 1""",
 )
 def stream_bronze_append(shop):
     """Raw events appended to the bronze layer, one folder per day."""
@@ -64,7 +69,18 @@ def stream_bronze_append(shop):
     path = fresh_dir(spark, "bronze/events")
     stream = streams.table_stream(spark, shop.path, "events").withColumn("day", F.to_date("ts"))
     streams.finish(streams.append_to(stream, path, fresh_dir(spark, "bronze-checkpoint"), by="day"))
-    return spark.read.parquet(path).groupBy("day").agg(F.count("*").alias("n"))
+    row = F.concat_ws(
+        "|",
+        F.col("event_id").cast("string"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+        F.col("user_id").cast("string"),
+        "event_type",
+        F.col("value").cast("decimal(18,2)").cast("string"),
+        "props",
+    )
+    # Columns that change places change the sum.
+    digest = F.conv(F.substring(F.md5(row), 1, 8), 16, 10).cast("bigint")
+    return spark.read.parquet(path).groupBy("day").agg(F.count("*").alias("n"), F.sum(digest).alias("digest"))
 
 
 @query(
@@ -148,6 +164,30 @@ def stream_dedup(shop):
     )
 
 
+@query(
+    "stream_late_counts",
+    "arrival:l came:l late:l",
+    """
+    SELECT 0 AS arrival, count(*) FILTER (ts >= TIMESTAMP '2024-01-10') AS came, 0 AS late FROM s_events
+    UNION ALL
+    SELECT 1, count(*) FILTER (ts < TIMESTAMP '2024-01-10'), count(*) FILTER (ts < TIMESTAMP '2024-01-10'
+        AND ts <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 2 DAY FROM s_events)) FROM s_events""",
+)
+def stream_late_counts(shop):
+    """Two deliveries in the wrong order: how much of each came, and how much of it was behind the watermark."""
+    first, second = _split(shop.events, "2024-01-10")
+    with _state(shop):
+        _, progress = streams.replay(shop.spark, [second, first], jobs.unique_events, "late-counts")
+    logged = streams.progress_rows(shop.spark, progress)
+    # A run's batches follow each other; the second delivery is the second batch that reads anything.
+    arrival = F.sum((F.col("input_rows") > 0).cast("long")).over(Window.orderBy("batch_id")) - 1
+    return (
+        logged.withColumn("arrival", arrival)
+        .groupBy("arrival")
+        .agg(F.sum("input_rows").alias("came"), F.sum("late_rows").alias("late"))
+    )
+
+
 @query(
     "stream_enrich",
     "country:s event_type:s n:l value:m",

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from etalage.schemas import STAR
@@ -38,6 +40,47 @@ def finish(writer: DataStreamWriter) -> list[dict]:
     return [p if isinstance(p, dict) else p.jsonValue for p in query.recentProgress]
 
 
+#: One row for each batch of a query.
+PROGRESS = "query string, batch_id long, started timestamp, input_rows long, late_rows long, state_rows long"
+
+
+def progress_row(progress: dict) -> tuple:
+    """How much came in, how much of it was too late and dropped, how much is held in state."""
+    operators = progress["stateOperators"]
+    return (
+        progress["name"] or str(progress["id"]),
+        int(progress["batchId"]),
+        datetime.fromisoformat(progress["timestamp"].replace("Z", "+00:00")),
+        int(progress["numInputRows"]),
+        sum(int(o["numRowsDroppedByWatermark"]) for o in operators),
+        sum(int(o["numRowsTotal"]) for o in operators),
+    )
+
+
+def progress_rows(spark: SparkSession, progress: list[dict]) -> DataFrame:
+    return spark.createDataFrame([progress_row(p) for p in progress], PROGRESS)
+
+
+class ProgressLog(StreamingQueryListener):
+    """Appends a row for each batch of the session's queries to a table; ``spark.streams.addListener(...)``."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        found = json.loads(event.progress.json)
+        progress_rows(self.spark, [found]).coalesce(1).write.mode("append").parquet(self.path)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def keep_running(writer: DataStreamWriter, every: str = "15 minutes") -> StreamingQuery:
     """Start a query that takes in what is new at an interval, until it is stopped."""
     return writer.trigger(processingTime=every).start()

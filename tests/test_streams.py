@@ -209,3 +209,18 @@ def test_ingest_takes_each_new_file_once(spark, tmp_path):
         query.stop()
     rows = spark.read.parquet(str(tmp_path / "bronze")).collect()
     assert sorted((r.event_id, str(r.day)) for r in rows) == [("a", "2025-11-11"), ("b", "2025-11-11"), ("c", "2025-11-12")]
+
+
+def test_progress_log_counts_what_came_too_late(spark, tmp_path):
+    """The listener writes a row a batch; the late row of the second delivery is one of them."""
+    path = str(tmp_path / "progress")
+    listener = streams.ProgressLog(spark, path)
+    spark.streams.addListener(listener)
+    try:
+        streams.replay(spark, arrivals(spark, [[(1, 5000)], [(2, 1), (3, 5001)]]), jobs.unique_events, "logged")
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(listener)
+    rows = spark.read.parquet(path).orderBy("batch_id").collect()
+    assert sum(r.input_rows for r in rows) == 3 and sum(r.late_rows for r in rows) == 1
+    assert rows[-1].state_rows == 2 and len({r.query for r in rows}) == 1
