@@ -13,7 +13,7 @@ from etalage.session import prepare
 from etalage.sources.files import convert_to_parquet
 from etalage.sources.load import full_load, register_views, validate
 from etalage.sources.streams import append_to, keep_running
-from etalage.operators.privacy import erase_to, pseudonymize
+from etalage.operators.privacy import erase_files, pseudonymize, stored
 from etalage.operators.reports import sales_by_product, top_categories
 
 TABLES = [
@@ -29,16 +29,17 @@ TABLES = [
 
 
 #: Tables whose rows go with those of another, and the column that leads there.
-CHILDREN = {"order_items": ("orders", "order_id"), "fraud_alerts": ("payments", "payment_id")}
+CHILDREN = {
+    "order_items": ("orders", "order_id"),
+    "payments": ("orders", "order_id"),
+    "fraud_alerts": ("payments", "payment_id"),
+}
 
 
 def erase_command(spark: SparkSession, folder: str, ids: str, out: str) -> DataFrame:
     """Curated payments lead to their customer over the order, alerts over the payment."""
-    tables = {t: spark.read.parquet(f"{folder}/{t}") for t in TABLES}
-    keys = tables["orders"].select("order_id", "customer_id")
-    with_customer = {**tables, "payments": tables["payments"].join(keys, "order_id", "left")}
     erased = spark.read.text(ids).select(F.trim("value").alias("customer_id"))
-    return erase_to(with_customer, erased, "customer_id", CHILDREN, out)
+    return erase_files(spark, folder, TABLES, erased, "customer_id", CHILDREN, out)
 
 
 def ingest_events(spark: SparkSession, inbox: str, out: str, checkpoint: str, every: str) -> StreamingQuery:
@@ -59,7 +60,7 @@ def main() -> None:
     ask = commands.add_parser("sql", help="run a statement on the loaded tables and report views")
     ask.add_argument("--tables", required=True)
     ask.add_argument("statement")
-    forget = commands.add_parser("erase", help="write the loaded tables without the customers listed in a file")
+    forget = commands.add_parser("erase", help="rid the loaded tables of the customers listed in a file; files without them stay as they are")
     forget.add_argument("--tables", required=True)
     forget.add_argument("--ids", required=True, help="text file, one customer id a line")
     forget.add_argument("--out", required=True)
@@ -93,10 +94,10 @@ def main() -> None:
         erase_command(spark, args.tables, args.ids, args.out).show(truncate=False)
     elif args.command == "pseudonymize":
         salt = spark.read.text(args.salt_file).first()[0]
-        customers = spark.read.parquet(f"{args.tables}/customers").withColumnsRenamed({"date_of_birth": "birthdate"})
+        customers = stored(spark, args.tables, "customers").withColumnsRenamed({"date_of_birth": "birthdate"})
         pseudonymize(customers.withColumn("segment", F.lit(None).cast("string")), salt).write.parquet(args.out)
     else:
-        register_views({t: spark.read.parquet(f"{args.tables}/{t}") for t in TABLES})
+        register_views({t: stored(spark, args.tables, t) for t in TABLES})
         spark.sql(args.statement).show(100, truncate=False)
     spark.stop()
 

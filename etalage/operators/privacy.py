@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from etalage.functions.columns import age_years, flag, is_adult, salted_hash
-from etalage.session import write_through
+from etalage.session import together, write_through
 
 
 def age_check(labels: DataFrame, as_of: str) -> DataFrame:
@@ -49,6 +52,23 @@ def pseudonymize(customers: DataFrame, salt: str) -> DataFrame:
     )
 
 
+def _marked(
+    tables: dict[str, DataFrame], gone: DataFrame, key: str, children: dict[str, tuple[str, str]], name: str, keep: list[str] | None = None
+) -> DataFrame | None:
+    """Rows of a table with ``_gone`` (true or null), by its own key or by its parent's rows; None: nothing to go by."""
+    df = tables[name].select(*keep) if keep else tables[name]
+    if name in children:
+        parent, column = children[name]
+        above = _marked(tables, gone, key, children, parent)
+        # A parent's column can repeat there; the child's rows must not.
+        dead = above.where("_gone").select(column, "_gone").distinct()
+    elif key in tables[name].columns:
+        column, dead = key, gone.select(key, F.lit(True).alias("_gone"))
+    else:
+        return None
+    return df.join(dead, column, "left").select(*[F.col(f"`{c}`") for c in df.columns], "_gone")
+
+
 def erase(
     tables: dict[str, DataFrame],
     erased: DataFrame,
@@ -64,17 +84,19 @@ def erase(
     gone = write_through(erased.select(key).distinct(), "erased")
     kept = {}
     for name, df in tables.items():
-        if name in children:
-            parent, column = children[name]
-            dead = tables[parent].join(gone, key, "left_semi").select(column)
-            kept[name] = df.join(dead, column, "left_anti")
-        elif key in df.columns:
-            kept[name] = df.join(gone, key, "left_anti")
-        else:
-            kept[name] = df
+        marked = _marked(tables, gone, key, children, name)
+        kept[name] = df if marked is None else marked.where("_gone is null").drop("_gone")
     return kept
 
 
+def _write_rest(marked: DataFrame, path: str) -> tuple[int, int]:
+    """Write the rows that stay; rows before and after, counted as they pass on their way to the files."""
+    seen = Observation()
+    counted = marked.observe(seen, F.count(F.lit(1)).alias("before"), F.count_if(F.col("_gone").isNull()).alias("after"))
+    counted.where("_gone is null").drop("_gone").write.mode("overwrite").parquet(path)
+    return seen.get["before"], seen.get["after"]
+
+
 def erase_to(
     tables: dict[str, DataFrame],
     erased: DataFrame,
@@ -84,14 +106,79 @@ def erase_to(
 ) -> DataFrame:
     """Write the tables without the erased keys to ``out``, a folder each; rows before and after by table.
 
-    The old folders are the caller's to delete, once the new ones are in use.
+    One job a table, several tables at a time. The old folders are the caller's to delete, once the new ones are in use.
     """
     spark = erased.sparkSession
-    counts = []
-    for name, kept in erase(tables, erased, key, children).items():
-        kept.write.mode("overwrite").parquet(f"{out}/{name}")
-        counts.append((name, tables[name].count(), spark.read.parquet(f"{out}/{name}").count()))
-    return spark.createDataFrame(counts, "table_name string, before long, after long")
+    gone = write_through(erased.select(key).distinct(), "erased")
+
+    def job(name: str) -> Callable[[], tuple]:
+        marked = _marked(tables, gone, key, children, name)
+        if marked is None:
+            marked = tables[name].withColumn("_gone", F.lit(None).cast("boolean"))
+        return lambda: _write_rest(marked, f"{out}/{name}")
+
+    counts = together({name: job(name) for name in tables})
+    return spark.createDataFrame([(n, *c) for n, c in counts.items()], "table_name string, before long, after long")
+
+
+FILE_LIST = "_files"
+
+
+def erase_files(
+    spark: SparkSession, folder: str, names: list[str], erased: DataFrame, key: str, children: dict[str, tuple[str, str]], out: str
+) -> DataFrame:
+    """Rid stored tables (folders of Parquet files) of keys, rewriting only the files that hold one.
+
+    A first pass over the keys tells how many rows of which file go. Only those files are read whole and written
+    anew, to ``out``; the others are kept as they lie. ``out`` lists the files that make up each table from now on
+    (``stored`` reads it) and those they replace, for the caller to delete. Result: rows and files by table.
+    """
+    tables = {n: stored(spark, folder, n) for n in names}
+    gone = write_through(erased.select(key).distinct(), "erased")
+
+    def job(name: str) -> Callable[[], tuple]:
+        columns = tables[name].columns
+        column = children[name][1] if name in children else key
+        if column not in columns:
+            files = tables[name].groupBy(F.col("_metadata.file_path").alias("path"))
+            return lambda: ([(r.path, r.n, 0) for r in files.agg(F.count("*").alias("n")).collect()], 0)
+        placed = {**tables, name: tables[name].select("*", F.col("_metadata.file_path").alias("_path"))}
+        marked = _marked(placed, gone, key, children, name, [column, "_path"])
+        per_file = marked.groupBy("_path").agg(F.count("*").alias("n"), F.count("_gone").alias("n_gone"))
+
+        def run() -> tuple:
+            # A row for each file of the table.
+            found = [tuple(r) for r in per_file.collect()]
+            touched = [p for p, _, n_gone in found if n_gone]
+            after = 0
+            if touched:
+                part = {**tables, name: spark.read.schema(tables[name].schema).parquet(*touched)}
+                _, after = _write_rest(_marked(part, gone, key, children, name), f"{out}/{name}")
+            return found, after
+
+        return run
+
+    done = together({name: job(name) for name in names})
+    # Files of the new version, and those they replace.
+    listed = [(n, p, bool(g)) for n, (found, _) in done.items() for p, _, g in found]
+    written = spark.createDataFrame(listed, "table_name string, path string, replaced boolean")
+    written.coalesce(1).write.mode("overwrite").parquet(f"{out}/{FILE_LIST}")
+    rows = []
+    for n, (found, after) in done.items():
+        untouched = sum(m for _, m, g in found if not g)
+        rows.append((n, sum(m for _, m, _ in found), untouched + after, len(found), sum(1 for *_, g in found if g)))
+    return spark.createDataFrame(rows, "table_name string, before long, after long, files long, rewritten long")
+
+
+def stored(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A stored table: the files of its folder, and where ``erase_files`` has left a list the files it keeps."""
+    try:
+        listed = spark.read.parquet(f"{folder}/{FILE_LIST}")
+    except AnalysisException:
+        return spark.read.parquet(f"{folder}/{name}")
+    mine = [(r.path, r.replaced) for r in listed.where(F.col("table_name") == name).collect()]
+    kept = [p for p, replaced in mine if not replaced]
+    return spark.read.parquet(*kept, *([f"{folder}/{name}"] if len(kept) < len(mine) or not mine else []))
 
 
 def row_checksum(columns: list[str]) -> Column:

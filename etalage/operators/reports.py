@@ -66,18 +66,19 @@ def top_categories(products: DataFrame, sales: DataFrame, n: int = 5) -> DataFra
 
 
 def suspicious_payments(
-    payments: DataFrame, orders: DataFrame, customers: DataFrame, alerts: DataFrame
+    payments: DataFrame, orders: DataFrame, customers: DataFrame, alerts: DataFrame | None = None
 ) -> DataFrame:
-    """Payments with a fraud label or an alert, with the order's customer and the number of alerts."""
-    per_payment = alerts.groupBy("payment_id").agg(F.count("*").alias("nb_alerts"))
+    """Payments with a fraud label or an alert, with the order's customer and the number of alerts: ``nb_alerts``
+    of the payments, or else counted in ``alerts``."""
+    if alerts is not None:
+        per_payment = alerts.groupBy("payment_id").agg(F.count("*").alias("nb_alerts"))
+        payments = payments.join(per_payment, "payment_id", "left").withColumn("nb_alerts", F.coalesce("nb_alerts", F.lit(0)))
     people = customers.select("customer_id", F.col("country").alias("customer_country"))
     return (
         payments.drop("customer_id", "customer_country")
-        .join(per_payment, "payment_id", "left")
-        .where("is_fraudulent or nb_alerts is not null")
+        .where("is_fraudulent or nb_alerts > 0")
         .join(orders.select("order_id", "customer_id"), "order_id")
         .join(people, "customer_id")
-        .withColumn("nb_alerts", F.coalesce("nb_alerts", F.lit(0)))
         .orderBy(F.col("payment_date").desc(), "payment_id")
     )
 

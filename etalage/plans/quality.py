@@ -9,7 +9,7 @@ from etalage.functions.columns import id_number, id_text
 from etalage.functions import values as v
 from etalage.operators import curate, privacy, quality, reports
 from etalage.plans.registry import query
-from etalage.session import fresh_dir
+from etalage.session import fresh_dir, together
 
 _CHECK = "check_name:s rows:l failed:l"
 
@@ -328,6 +328,7 @@ def gdpr_erase(shop):
     recent = shop.orders.where(F.col("order_date") >= F.lit("2001-01-01").cast("timestamp_ntz"))
     erased = shop.people.join(recent, "customer_id", "left_anti")
     number = id_number("customer_id", "C")
+    together({"sessions": lambda: shop.sessions, "alerts": lambda: shop.alerts})
     return privacy.erase_to(
         {
             "customers": shop.people,
@@ -350,6 +351,29 @@ def gdpr_erase(shop):
     )
 
 
+@query(
+    "gdpr_erase_files",
+    "table_name:s before:l after:l pruned:b",
+    """
+    SELECT 'orders' AS table_name, count(*) AS before, count(*) FILTER (customer_id > 20) AS after, TRUE AS pruned FROM s_orders
+    UNION ALL SELECT 'order_items', count(*), count(*) FILTER (
+        l_orderkey NOT IN (SELECT order_id FROM s_orders WHERE customer_id <= 20)), NULL FROM lineitem
+    UNION ALL SELECT 'products', count(*), count(*), TRUE FROM s_products""",
+)
+def gdpr_erase_files(shop):
+    """Erase the first twenty customers from stored tables; orders lie by customer, so most of their files stay."""
+    folder, out = fresh_dir(shop.spark, "kept"), fresh_dir(shop.spark, "erased")
+    shop.orders.repartitionByRange(12, "customer_id").write.parquet(f"{folder}/orders")
+    shop.lines.repartitionByRange(12, "order_id").write.parquet(f"{folder}/order_items")
+    shop.products.write.parquet(f"{folder}/products")
+    erased = shop.people.where("customer_id <= 20")
+    names = ["orders", "order_items", "products"]
+    done = privacy.erase_files(shop.spark, folder, names, erased, "customer_id", {"order_items": ("orders", "order_id")}, out)
+    # Lines of twenty customers' orders can be in few files or in all, by the size of the table.
+    pruned = F.when(F.col("table_name") != "order_items", F.col("rewritten") < F.col("files"))
+    return done.select("table_name", "before", "after", pruned.alias("pruned"))
+
+
 def _digest(columns: str) -> str:
     return f"coalesce(sum(CAST(concat('0x', substr(md5(concat_ws('|', {columns})), 1, 8)) AS BIGINT)), 0)"
 

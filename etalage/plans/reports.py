@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from etalage.functions.columns import id_number, share
-from etalage.operators import curate, quality, reports
+from etalage.operators import curate, fraud, quality, reports
 from etalage.operators.ordered import sessionize
 from etalage.plans.registry import query
+from etalage.session import together
 
 
 def _sales(shop):
@@ -93,10 +94,11 @@ def top_categories(shop):
     WHERE p.is_fraudulent OR a.alert_id IS NOT NULL GROUP BY ALL""",
 )
 def suspicious_payments(shop):
-    payments = _linked(shop).withColumnsRenamed(
-        {"attempt_ts": "payment_date", "method": "payment_method"}
-    )
-    return reports.suspicious_payments(payments, shop.orders, shop.customers, shop.alerts)
+    """Straight from the rules' flags; a payment has as many alerts as it breaks rules."""
+    renamed = {"attempt_ts": "payment_date", "method": "payment_method", "n_rules": "nb_alerts"}
+    flagged = fraud.score(shop.flagged).where("is_fraudulent or n_rules > 0")
+    payments = curate.link_nearest(flagged, shop.orders, numbers=shop.attempts).withColumnsRenamed(renamed)
+    return reports.suspicious_payments(payments, shop.orders, shop.customers)
 
 
 @query(
@@ -233,15 +235,15 @@ def distinct_categories(shop):
     WHERE customer_id NOT IN (SELECT customer_id FROM s_customers)
     UNION ALL SELECT 'addresses_customers', count(*) FROM s_people
     WHERE customer_num NOT IN (SELECT customer_id FROM s_customers)
-    UNION ALL SELECT 'orders_shipping_address', count(*) FROM s_orders
-    WHERE customer_id NOT IN (SELECT customer_num FROM s_people)
-    UNION ALL SELECT 'orders_billing_address', count(*) FROM s_orders
+    UNION ALL SELECT 'orders_address', count(*) FROM s_orders
     WHERE customer_id NOT IN (SELECT customer_num FROM s_people)
     UNION ALL SELECT 'documents_customers', count(*) FROM s_people
     WHERE customer_num NOT IN (SELECT customer_id FROM s_customers)""",
 )
 def orphan_counts(shop):
-    """The customer's number stands for the number of their one address; documents are named by it."""
+    """The customer's number stands for the number of their one address, which orders are sent and billed to;
+    documents are named by it."""
+    together({"sessions": lambda: shop.sessions, "alerts": lambda: shop.alerts})
     number = id_number("customer_id", "C")
     homes = curate.addresses(curate.customers(shop.raw("customers"))).select(
         number.alias("customer_id"), number.alias("address_id")
@@ -253,8 +255,7 @@ def orphan_counts(shop):
     more = {
         "sessions_customers": (shop.sessions, shop.people, "customer_id"),
         "addresses_customers": (homes, shop.people, "customer_id"),
-        "orders_shipping_address": (sent, homes, "address_id"),
-        "orders_billing_address": (sent, homes, "address_id"),
+        "orders_address": (sent, homes, "address_id"),
         "documents_customers": (documents, shop.people, "customer_id"),
     }
     return reports.orphan_counts(orphan_links(shop) | more)

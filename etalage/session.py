@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +58,13 @@ def write_through(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def together(jobs: dict[str, Callable[[], object]], at_once: int = 4) -> dict[str, object]:
+    """Run jobs that do not wait for each other a few at a time; the first error is raised."""
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        started = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: job.result() for name, job in started.items()}
+
+
 @contextmanager
 def settings(spark: SparkSession, **conf: str):
     """Set runtime settings for the duration of a block (dots written as ``__``)."""

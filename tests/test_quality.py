@@ -1,3 +1,4 @@
+import hashlib
 import datetime
 
 import pytest
@@ -94,6 +95,39 @@ def test_erasure_leaves_no_key_anywhere(spark, tmp_path):
         "customers": (2, 1), "products": (1, 1), "sessions": (3, 2), "addresses": (2, 1), "orders": (3, 1),
         "order_items": (3, 1), "payments": (3, 1), "fraud_alerts": (2, 1),
     }
-    kept = {t: spark.read.parquet(str(tmp_path / "new" / t)) for t in TABLES}
+    kept = {t: privacy.stored(spark, str(tmp_path / "new"), t) for t in TABLES}
     assert all(df.where("customer_id = 'C1'").isEmpty() for df in kept.values() if "customer_id" in df.columns)
     assert [r.payment_id for r in kept["payments"].collect()] == [20]
+
+
+def test_only_files_with_an_erased_key_are_rewritten(spark, tmp_path):
+    """The others keep their bytes, in the first erasure and in one of its outcome; one job tells, one writes."""
+    def digests(folder):
+        return {p: hashlib.sha256(p.read_bytes()).hexdigest() for p in (tmp_path / folder).rglob("*.parquet")}
+
+    ids = spark.range(1000).withColumnRenamed("id", "customer_id")
+    orders = ids.select((F.col("customer_id") * 10).alias("order_id"), "customer_id").unionByName(ids.selectExpr("customer_id * 10 + 1 as order_id", "null as customer_id"))
+    orders.repartitionByRange(8, "order_id").write.parquet(str(tmp_path / "old/orders"))
+    items = orders.select("order_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("product_id"))
+    items.repartitionByRange(8, "order_id").write.parquet(str(tmp_path / "old/items"))
+    before = digests("old")
+
+    def erase(old, new, *customers):
+        gone = spark.createDataFrame([(c,) for c in customers], "customer_id long")
+        got = privacy.erase_files(spark, str(tmp_path / old), ["orders", "items"], gone, "customer_id", {"items": ("orders", "order_id")}, str(tmp_path / new))
+        return {r.table_name: tuple(r)[1:] for r in got.collect()}
+
+    assert erase("old", "new", 3, 4, 3, 5000) == {"orders": (2000, 1998, 8, 1), "items": (4000, 3996, 8, 1)}
+    assert digests("old") == before
+    listed = spark.read.parquet(str(tmp_path / "new/_files")).where("replaced").collect()
+    assert sorted(r.table_name for r in listed) == ["items", "orders"]
+    for name, n in (("orders", 1998), ("items", 3996)):
+        left = privacy.stored(spark, str(tmp_path / "new"), name)
+        assert left.count() == n and left.where("order_id in (30, 40)").isEmpty()
+    after = digests("new")
+    again = erase("new", "newer", 4, 999)
+    assert (again["orders"][:2], again["orders"][3]) == ((1998, 1997), 1) and (again["items"][:2], again["items"][3]) == ((3996, 3994), 1)
+    assert digests("old") == before and digests("new") == after
+    assert privacy.stored(spark, str(tmp_path / "newer"), "items").where("order_id in (30, 40, 9990)").isEmpty()
+    assert privacy.stored(spark, str(tmp_path / "newer"), "items").count() == 3994
+    assert erase("old", "none", 5000) == {"orders": (2000, 2000, 8, 0), "items": (4000, 4000, 8, 0)}
