@@ -6,10 +6,10 @@ from etalage.plans import (  # noqa: F401
     fraud,
     marts,
     models,
+    patterns,
     quality,
     reports,
     streams,
-
 )
 from etalage.plans.registry import COLUMNS, QUERIES, SQL, run
 

@@ -16,7 +16,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 _CLOSED = "(SELECT max(ts) - INTERVAL 10 MINUTE FROM s_events)"
 
 
-def _state(shop, **more: str):
+def state_settings(shop, **more: str):
     """State is laid out once, when a query first starts: as many partitions as there are cores."""
     cores = str(shop.spark.sparkContext.defaultParallelism)
     return settings(shop.spark, spark__sql__shuffle__partitions=cores, **more)
@@ -91,7 +91,7 @@ def stream_bronze_append(shop):
     GROUP BY 1, 2 HAVING time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE <= {_CLOSED}""",
 )
 def stream_tumbling_5min(shop):
-    with _state(shop):
+    with state_settings(shop):
         return streams.run_to_table(jobs.tumbling_counts(_events(shop)), "tumbling")
 
 
@@ -121,7 +121,7 @@ def stream_sessions(shop):
 def stream_velocity_sliding(shop):
     """Ten-minute windows, one per minute, with two or more attempts of a customer."""
     attempts = _events(shop).where(F.col("event_type").isin("purchase", "error"))
-    with _state(shop):
+    with state_settings(shop):
         return streams.run_to_table(jobs.sliding_attempts(attempts, at_least=2), "velocity")
 
 
@@ -140,7 +140,7 @@ def stream_late_drop(shop):
     )
     first, rest = _split(shop.events, "2024-01-10")
     arrivals = [first.where(~late), rest, shop.events.where(late)]
-    with _state(shop):
+    with state_settings(shop):
         out, _ = streams.replay(
             shop.spark, arrivals, lambda s: jobs.tumbling_counts(s, minutes=60), "late"
         )
@@ -157,7 +157,7 @@ def stream_dedup(shop):
     ts = F.col("ts")
     first = shop.events.where(ts < F.lit("2024-01-16").cast("timestamp_ntz"))
     second = shop.events.where(ts >= F.lit("2024-01-15").cast("timestamp_ntz"))
-    with _state(shop):
+    with state_settings(shop):
         out, _ = streams.replay(shop.spark, [first, second], jobs.unique_events, "unique")
     return out.groupBy("event_type").agg(
         F.count("*").alias("n"), F.countDistinct("event_id").alias("events")
@@ -176,7 +176,7 @@ def stream_dedup(shop):
 def stream_late_counts(shop):
     """Two deliveries in the wrong order: how much of each came, and how much of it was behind the watermark."""
     first, second = _split(shop.events, "2024-01-10")
-    with _state(shop):
+    with state_settings(shop):
         _, progress = streams.replay(shop.spark, [second, first], jobs.unique_events, "late-counts")
     logged = streams.progress_rows(shop.spark, progress)
     # A run's batches follow each other; the second delivery is the second batch that reads anything.
@@ -221,7 +221,7 @@ def _minutes(kind: str, name: str) -> str:
 def stream_interval_join(shop):
     clicks = _events(shop).where("event_type = 'click'")
     purchases = _events(shop).where("event_type = 'purchase'")
-    with _state(shop):
+    with state_settings(shop):
         return streams.run_to_table(jobs.click_to_purchase(clicks, purchases), "pairs")
 
 
@@ -257,7 +257,7 @@ def stream_rules_stateful(shop):
     for those of the second."""
     past, *arrivals = _split(_live_attempts(shop, shop.attempts), _SEEDED_UPTO, "2024-01-15 12:00:00")
     seed = write_through(stateful.past_of(past), "past")
-    with _state(shop, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
+    with state_settings(shop, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
         return streams.replay(shop.spark, arrivals, lambda s: stateful.attempt_alerts(s, past=seed), "alerts")[0]
 
 
@@ -273,7 +273,7 @@ def stream_alert_fanout(shop):
     spark = shop.spark
     table, topic = fresh_dir(spark, "alerts"), fresh_dir(spark, "fraud-alerts")
     attempts = _live_attempts(shop, shop.shape_attempts(_events(shop)))
-    with _state(shop, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
+    with state_settings(shop, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
         streams.finish(
             stateful.attempt_alerts(attempts)
             .writeStream.foreachBatch(jobs.write_twice(table, topic))

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import StatefulProcessorHandle
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from etalage.functions.columns import micros
+from etalage.streaming.in_order import SECOND, InTimeOrder
 
 ALERTS = StructType(
     [
@@ -33,8 +32,6 @@ ATTEMPT = {
     "customer_country": "string",
 }
 DAY = 24 * 3600
-SECOND = 1_000_000
-MINUTE = 60 * SECOND
 #: The rules look back over so many attempts and so many failures, and no further than a day.
 VELOCITY_LIMIT, FAILED_LIMIT, AMOUNT_LIMIT = 5, 3, 100.0
 ROWS_BACK, FAILURES_BACK = VELOCITY_LIMIT + 1, FAILED_LIMIT
@@ -90,22 +87,16 @@ def context_of(rows: list[tuple]) -> list[tuple]:
     return [f for f in failures if f not in last] + last
 
 
-class AttemptRules(StatefulProcessor):
-    """The attempts of one customer, each judged when the watermark has passed its time.
+class AttemptRules(InTimeOrder):
+    """The rules over the attempts of one customer. State besides what waits: the first success (for good) and the few
+    last attempts (for a day after the last). What a table of the past knows comes in once, as initial state."""
 
-    Then no earlier one can come, whatever the order they came in. State: the first success (for good), the few last
-    attempts (for a day after the last), and the attempts that wait, by minute. A batch reads the minutes that are
-    due, and of those only. What a table of the past knows comes in once, as initial state.
-    """
+    FIELDS = ATTEMPT
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        fields = ", ".join(f"{n} {t}" for n, t in ATTEMPT.items())
-        lists = ", ".join(f"{n} array<{t}>" for n, t in ATTEMPT.items())
+        super().init(handle)
         self.first = handle.getValueState("first", "at long, payment_id long")
-        self.last = handle.getListState("last", fields)
-        self.waiting = handle.getMapState("waiting", "minute long", lists)
-        self.wakes = handle.getValueState("wakes", "at long")
+        self.last = handle.getListState("last", ", ".join(f"{n} {t}" for n, t in ATTEMPT.items()))
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         row = initialState.iloc[0]
@@ -114,48 +105,11 @@ class AttemptRules(StatefulProcessor):
         last = [tuple(r[n] for n in ATTEMPT) for r in (x.asDict() if hasattr(x, "asDict") else x for x in row["last"])]
         if last:
             self.last.put(last)
-            self._wake(max(r[0] for r in last) + DAY * SECOND)
-
-    def _wake(self, at: int) -> None:
-        """A timer in the first whole millisecond after a time, when the watermark is beyond it; one at a time."""
-        mine = self.wakes.get()[0] if self.wakes.exists() else None
-        if mine is None or at // 1000 + 1 < mine:
-            if mine is not None:
-                self.handle.deleteTimer(mine)
-            self.handle.registerTimer(at // 1000 + 1)
-            self.wakes.update((at // 1000 + 1,))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        come: dict[int, list[tuple]] = {}
-        for batch in rows:
-            plain = batch[list(ATTEMPT)].astype(object)
-            for r in plain.where(batch[list(ATTEMPT)].notna(), None).itertuples(index=False, name=None):
-                come.setdefault(int(r[0]) // MINUTE, []).append(r)
-        for minute, own in come.items():
-            held = self.waiting.getValue((minute,))
-            columns = [list(c) for c in zip(*own, strict=True)]
-            if held is not None:
-                columns = [[*a, *b] for a, b in zip(held, columns, strict=True)]
-            self.waiting.updateValue((minute,), tuple(columns))
-        if come:
-            self._wake(min(r[0] for r in come[min(come)]))
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.wakes.clear()
-        passed = timerValues.getCurrentWatermarkInMs() * 1000
-        minutes = sorted(k[0] for k in self.waiting.keys())
-        due, rest = [], None
-        for minute in [m for m in minutes if m * MINUTE <= passed]:
-            own = sorted(zip(*self.waiting.getValue((minute,)), strict=True), key=lambda r: r[:2])
-            later = [r for r in own if r[0] > passed]
-            due += own[: len(own) - len(later)]
-            if later:
-                rest = min(r[0] for r in later)
-                self.waiting.updateValue((minute,), tuple(list(c) for c in zip(*later, strict=True)))
-            else:
-                self.waiting.removeKey((minute,))
+            self.wake(max(r[0] for r in last) + DAY * SECOND)
+
+    def judge_due(self, key, due: list[tuple], passed: int) -> tuple[pd.DataFrame | None, int | None]:
         before = [tuple(r) for r in self.last.get()] if self.last.exists() else []
+        out = None
         if due:
             had_success = self.first.exists()
             found = judge([*before, *due], len(before), had_success)
@@ -164,29 +118,20 @@ class AttemptRules(StatefulProcessor):
                 self.first.update((good[0], good[1]))
             before = context_of([*before, *due])
             self.last.put(before)
+            hits = [(rule, i) for rule, hit in found.items() for i in np.flatnonzero(hit).tolist()]
+            if hits:
+                out = pd.DataFrame(
+                    {
+                        "payment_id": np.array([due[i][1] for _, i in hits], np.int64),
+                        "customer_id": np.full(len(hits), int(key[0]), np.int64),
+                        "ts": pd.to_datetime(np.array([due[i][0] for _, i in hits], np.int64), unit="us"),
+                        "rule": pd.Series([rule for rule, _ in hits], dtype=object),
+                    }
+                )
         if before and before[-1][0] + DAY * SECOND < passed:
             self.last.clear()
             before = []
-        ahead = [rest] if rest is not None else [m * MINUTE for m in minutes if m * MINUTE > passed][:1]
-        if ahead:
-            self._wake(ahead[0])
-        elif before:
-            self._wake(before[-1][0] + DAY * SECOND)
-        if due:
-            hits = [(rule, i) for rule, hit in found.items() for i in np.flatnonzero(hit).tolist()]
-            if not hits:
-                return
-            yield pd.DataFrame(
-                {
-                    "payment_id": np.array([due[i][1] for _, i in hits], np.int64),
-                    "customer_id": np.full(len(hits), int(key[0]), np.int64),
-                    "ts": pd.to_datetime(np.array([due[i][0] for _, i in hits], np.int64), unit="us"),
-                    "rule": pd.Series([rule for rule, _ in hits], dtype=object),
-                }
-            )
-
-    def close(self) -> None:
-        pass
+        return out, before[-1][0] + DAY * SECOND if before else None
 
 
 def past_of(attempts: DataFrame) -> DataFrame:
