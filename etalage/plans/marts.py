@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from etalage.operators import marts, reports
+from etalage.operators import baskets, marts, sketches, reports
 from etalage.operators.ordered import sessionize as split_sessions
 from etalage.plans.registry import query
+from etalage.session import write_through
 from etalage.plans.views import age
 
 
@@ -344,3 +345,85 @@ def retention_filter(shop):
 )
 def tumbling_5min(shop):
     return marts.tumbling(shop.events, 5)
+
+
+def _pairs_sql(items: str, least: int) -> str:
+    """Plain self-join of (basket, item) rows."""
+    return f"""
+    WITH items AS (SELECT DISTINCT basket, item FROM ({items}) WHERE basket IS NOT NULL AND item IS NOT NULL),
+    single AS (SELECT item, count(*) AS n FROM items GROUP BY item),
+    pairs AS (SELECT x.item AS a, y.item AS b, count(*) AS baskets FROM items x JOIN items y ON x.basket = y.basket AND x.item < y.item
+              GROUP BY ALL HAVING count(*) >= {least})
+    SELECT a, b, baskets, s.n AS baskets_a, t.n AS baskets_b, CAST(baskets AS DOUBLE) / s.n AS confidence_ab,
+           CAST(baskets AS DOUBLE) / t.n AS confidence_ba,
+           baskets * CAST((SELECT count(DISTINCT basket) FROM items) AS DOUBLE) / (s.n * t.n) AS lift
+    FROM pairs JOIN single s ON a = s.item JOIN single t ON b = t.item"""
+
+
+@query(
+    "product_pairs",
+    "a:l b:l baskets:l baskets_a:l baskets_b:l confidence_ab:r confidence_ba:r lift:r",
+    _pairs_sql("SELECT l_orderkey AS basket, l_partkey AS item FROM lineitem", 3),
+)
+def product_pairs(shop):
+    """Products in three orders or more together."""
+    return baskets.frequent_pairs(shop.lines, "order_id", F.col("product_id"), 3)
+
+
+_TRAITS = """
+    SELECT payment_id AS basket, unnest([concat('method=', method), concat('result=', result),
+        CASE WHEN country_mismatch THEN 'country_mismatch=true' END, CASE WHEN high_amount THEN 'high_amount=true' END,
+        CASE WHEN time_anomaly THEN 'time_anomaly=true' END, CASE WHEN device_change THEN 'device_change=true' END,
+        CASE WHEN amount > 200 THEN 'large=true' END]) AS item
+    FROM s_flags WHERE is_fraudulent"""
+
+
+@query(
+    "fraud_trait_pairs",
+    "a:s b:s baskets:l baskets_a:l baskets_b:l confidence_ab:r confidence_ba:r lift:r",
+    _pairs_sql(_TRAITS, 5),
+)
+def fraud_trait_pairs(shop):
+    """Traits that five fraudulent payments or more have together."""
+    columns = {"method": F.col("method"), "result": F.col("result"), "large": F.col("amount") > 200}
+    columns |= {r: F.col(r) for r in ("country_mismatch", "high_amount", "time_anomaly", "device_change")}
+    seen = baskets.traits(shop.flagged.where("is_fraudulent"), columns)
+    return baskets.frequent_pairs(seen, "payment_id", F.col("trait"), 5)
+
+
+@query(
+    "audience_spans",
+    "grain:s period:d event_type:s customers:l",
+    """
+    SELECT 'week' AS grain, CAST(date_trunc('week', ts) AS DATE) AS period, event_type, count(DISTINCT customer_id) AS customers
+    FROM s_events GROUP BY ALL
+    UNION ALL SELECT 'month', CAST(date_trunc('month', ts) AS DATE), event_type, count(DISTINCT customer_id) FROM s_events GROUP BY ALL""",
+)
+def audience_spans(shop):
+    """Distinct customers of weeks and months from the daily sketches of the gold layer; no event is read for them."""
+    daily = _daily_audience(shop)
+    spans = {g: sketches.sizes(sketches.audience(daily, F.to_date(F.date_trunc(g, "day")), ["event_type"])) for g in ("week", "month")}
+    return spans["week"].withColumn("grain", F.lit("week")).unionByName(spans["month"].withColumn("grain", F.lit("month")))
+
+
+def _daily_audience(shop):
+    return write_through(sketches.daily_audience(shop.events, "customer_id", "ts", ["event_type"]), "gold-audience")
+
+
+@query(
+    "audience_returning",
+    "period:d event_type:s weeks_later:l customers:l again:l",
+    """
+    WITH weeks AS (SELECT DISTINCT CAST(date_trunc('week', ts) AS DATE) AS period, event_type, customer_id AS c FROM s_events),
+    sizes AS (SELECT period, event_type, count(*) AS customers FROM weeks GROUP BY ALL),
+    pairs AS (SELECT a.period, a.event_type, o AS weeks_later, b.period AS later FROM sizes a, (VALUES (1), (2), (3)) v(o)
+              JOIN sizes b ON b.event_type = a.event_type AND b.period = a.period + CAST(7 * o AS INTEGER))
+    SELECT p.period, p.event_type, p.weeks_later, any_value(s.customers) AS customers, count(y.c) AS again
+    FROM pairs p JOIN sizes s ON s.period = p.period AND s.event_type = p.event_type
+    JOIN weeks x ON x.period = p.period AND x.event_type = p.event_type
+    LEFT JOIN weeks y ON y.period = p.later AND y.event_type = p.event_type AND y.c = x.c GROUP BY ALL""",
+)
+def audience_returning(shop):
+    """Customers of a week who are there again one, two or three weeks later."""
+    weekly = sketches.audience(_daily_audience(shop), F.to_date(F.date_trunc("week", "day")), ["event_type"])
+    return sketches.returning(weekly, ["event_type"], [1, 2, 3])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from etalage.domain import AS_OF
 from etalage.functions.columns import id_number, id_text
 from etalage.functions import values as v
-from etalage.operators import curate, privacy, quality, reports
+from etalage.operators import curate, privacy, quality, reports, sketches
 from etalage.plans.registry import query
 from etalage.session import fresh_dir, together
 
@@ -207,6 +207,45 @@ def dq_drift_psi(shop):
     )
 
 
+@query(
+    "dq_drift_quantiles",
+    "utm_source:s week:d n:l psi:r ks:r",
+    """
+    WITH sides AS (
+        SELECT utm_source, ts >= TIMESTAMP '2024-01-08' AS later, CAST(date_trunc('week', ts) AS DATE) AS week, CAST(value AS DOUBLE) AS v
+        FROM s_events WHERE value IS NOT NULL
+    ), shares AS (SELECT list_transform(range(1, 201), lambda i: (2 * i - 1) / CAST(400 AS DOUBLE)) AS s),
+    base AS (SELECT utm_source, count(*) AS base_n, list(v) AS bv FROM sides WHERE NOT later GROUP BY utm_source),
+    weeks AS (SELECT utm_source, week, count(*) AS n, list(v) AS v FROM sides WHERE later GROUP BY utm_source, week),
+    both_sides AS (
+        SELECT utm_source, week, n, base_n, list_transform(s, lambda q: list_sort(bv)[CAST(ceil(q * base_n) AS BIGINT)]) AS b,
+            list_transform(s, lambda q: list_sort(v)[CAST(ceil(q * n) AS BIGINT)]) AS g
+        FROM weeks JOIN base USING (utm_source), shares
+    ), cut AS (
+        SELECT *, list_sort(list_distinct(list_transform(range(1, 10), lambda i: b[20 * i]))) AS edges FROM both_sides
+    ), ranks AS (
+        SELECT *, len(edges) + 1 AS m, list_transform(edges, lambda x: len(list_filter(b, lambda y: y <= x)) / CAST(200 AS DOUBLE)) AS p,
+            list_transform(edges, lambda x: len(list_filter(g, lambda y: y <= x)) / CAST(200 AS DOUBLE)) AS q,
+            list_max(list_transform(list_concat(b, g), lambda x:
+                abs(len(list_filter(b, lambda y: y <= x)) - len(list_filter(g, lambda y: y <= x))) / CAST(200 AS DOUBLE))) AS ks
+        FROM cut
+    ), parts AS (
+        SELECT *, list_transform(range(1, m + 1), lambda i:
+                ((coalesce(p[i], 1.0) - CASE WHEN i = 1 THEN 0.0 ELSE p[i - 1] END) * base_n + 0.5) / (base_n + 0.5 * m)) AS ps,
+            list_transform(range(1, m + 1), lambda i:
+                ((coalesce(q[i], 1.0) - CASE WHEN i = 1 THEN 0.0 ELSE q[i - 1] END) * n + 0.5) / (n + 0.5 * m)) AS qs
+        FROM ranks
+    )
+    SELECT utm_source, week, n, list_sum(list_transform(range(1, m + 1), lambda i: (qs[i] - ps[i]) * ln(qs[i] / ps[i]))) AS psi, ks FROM parts""",
+)
+def dq_drift_quantiles(shop):
+    """Values of each source, week by week, against those before 8 January."""
+    weekly = shop.events.withColumn("week", F.to_date(F.date_trunc("week", "ts")))
+    later = F.col("ts") >= F.lit("2024-01-08").cast("timestamp_ntz")
+    found = sketches.value_sketches(weekly.withColumn("later", later), "value", ["utm_source", "week", "later"])
+    return sketches.drift(found, ["utm_source"], ~F.col("later"))
+
+
 @query(
     "dq_profile",
     "period:d rows:l null_share:f mean:r stddev:r",
