@@ -6,8 +6,8 @@ adverts, forms, comments, by element, role or class name) or ``open`` (anything
 streams of a host's pages are then concatenated, a suffix array of their beginnings finds long runs
 that occur on distinct pages, and open text that such a run covers is boilerplate. Of a page with
 main blocks those are the text, whole, else the named ones; of any other page the open text that is
-left. Where runs cover more than ``copied`` of a page's open text, the page is a copy of another and
-not its frame, and is kept whole.
+left, however much the runs cover. Only near-duplicates (a similarity of ``alike`` or more in shingles of five words
+with what they repeat) are kept whole: of two copies of a page nothing tells which part is the frame.
 
 A host with more than ``pages_per_set`` pages is dealt into sets by a hash of the page, so that a host
 with a third of all pages is many tasks. The suffix array compares the pages of a set; what pages of
@@ -24,13 +24,13 @@ ids as well. An empty table gives an empty table.
 
 from __future__ import annotations
 
-import hashlib
 import html
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,6 +56,13 @@ CHROME_NAMES = set(
     " overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments"
     " reply replies disqus respond pagination pager toolbar widget".split()
 )
+#: Parts of a class name that say where or how large a thing is, not what it is.
+NEUTRAL_NAMES = set(
+    "area article articles bar block body bottom box btn button buttons card cell col column container content desktop element"
+    " entry fixed form frame global group home icons inner item items js left link links list local main mini mobile page"
+    " panel policy popular post posts primary region right row secondary section sections site skip slot sticky stories"
+    " sub tertiary text title top ui unit wrap wrapper zone".split()
+)
 #: Elements that end by themselves where a block begins.
 SELF_CLOSING = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}
 
@@ -67,66 +74,108 @@ TAG = re.compile(
 ATTRIBUTE = re.compile(r"([^\s=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
 
-def _is_chrome(name: str, rest: str) -> bool:
-    if name in CHROME:
-        return True
-    if not rest or name in ("html", "body", *MAIN):
-        return False
-    for m in ATTRIBUTE.finditer(rest):
-        attribute, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if attribute == "hidden" or (attribute == "aria-hidden" and value == "true"):
-            return True
-        if attribute == "role" and value in CHROME_ROLES:
+def _says(value: str, names: set[str]) -> bool:
+    """Whether a class of the list, whole, is one of the names: ``site-footer`` is, ``social-history`` and
+    ``with-sidebar`` are not."""
+    for one in re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower().split():
+        parts = [p for p in re.split(r"[^a-z]+", one) if p]
+        if not names.isdisjoint(parts) and all(p in names or p in NEUTRAL_NAMES or len(p) == 1 for p in parts):
             return True
-        if attribute == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-        if attribute in ("class", "id") and name not in ("h1", "h2"):
-            if not CHROME_NAMES.isdisjoint(re.split(r"[^a-z]+", value)):
-                return True
     return False
 
 
+def _attributes(rest: str) -> Iterator[tuple[str, str]]:
+    for m in ATTRIBUTE.finditer(rest):
+        yield m[1].lower(), m[2] or m[3] or m[4] or ""
+
+
+def _chrome(name: str, rest: str) -> str:
+    """``sure``: page furniture by element, role or being hidden; ``weak``: by a name or as a form, which may also be
+    a wrapper around the whole page; else empty."""
+    if name in CHROME:
+        return "weak" if name == "form" else "sure"
+    if not rest or name in ("html", "body", *MAIN):
+        return ""
+    weak = ""
+    for attribute, value in _attributes(rest):
+        if attribute == "hidden" or (attribute == "aria-hidden" and value.lower() == "true"):
+            return "sure"
+        if attribute == "role" and value.lower() in CHROME_ROLES:
+            return "sure"
+        if attribute == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value.lower()):
+            return "sure"
+        # Inline elements are words of a text, whatever they are called.
+        if attribute in ("class", "id") and name not in ("h1", "h2") and name not in INLINE and _says(value, CHROME_NAMES):
+            weak = "weak"
+    return weak
+
+
 def _is_named(name: str, rest: str) -> bool:
     if not rest or name not in ("div", "section", "td"):
         return False
-    for m in ATTRIBUTE.finditer(rest):
-        attribute, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if attribute == "role" and value in MAIN:
-            return True
-        if attribute in ("class", "id") and not CONTENT_NAMES.isdisjoint(re.split(r"[^a-z]+", value)):
-            return True
-    return False
+    return any(
+        (attribute == "role" and value.lower() in MAIN) or (attribute in ("class", "id") and _says(value, CONTENT_NAMES))
+        for attribute, value in _attributes(rest)
+    )
+
+
+class _Open:
+    """An element that is open: its name and what it is."""
+
+    def __init__(self, name: str, chrome: str, main: bool, named: bool):
+        self.name, self.chrome, self.main, self.named = name, chrome, main, named
 
 
 def blocks(page: str) -> list[tuple[str, str]]:
     """Role (main, named or open) and text of every block that is not chrome, in page order.
 
     References are decoded and white space is one space. A start tag without an end closes with the
-    element around it; what is cut off at the end of the page counts up to there.
+    element around it; what is cut off at the end of the page counts up to there. A weak mark of chrome does not count on
+    what holds the main elements (where there are none, the named ones): of several, those under the fewest such marks.
     """
-    out: list[tuple[str, str]] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, chrome, main, named
-    chrome = main = named = 0
+    found: list[tuple[str, str, tuple[_Open, ...]]] = []  # role, text, weak marks around it
+    holders: dict[str, list[tuple[_Open, ...]]] = {"main": [], "named": []}  # weak marks around the outermost that have a text
+    stack: list[_Open] = []
+    weak: list[_Open] = []
+    outer: dict[str, tuple[_Open, ...] | None] = {"main": None, "named": None}
+    sure = main = named = 0
     held: list[str] = []
 
     def flush() -> None:
         # Decoded as a whole: a reference may stand next to a tag.
         text = " ".join("".join(held).split())
         held.clear()
-        if text and not chrome:
-            out.append(("main" if main else "named" if named else "open", text))
+        if text and not sure:
+            role = "main" if main else "named" if named else "open"
+            found.append((role, text, tuple(weak)))
+            if role != "open" and outer[role] is not None and len(outer[role]) == len(weak):
+                holders[role].append(outer[role])
+
+    def push(element: _Open) -> None:
+        nonlocal sure, main, named
+        stack.append(element)
+        sure += element.chrome == "sure"
+        if element.chrome == "weak":
+            weak.append(element)
+        for role, is_one, depth in (("main", element.main, main), ("named", element.named, named)):
+            if is_one and not depth:
+                outer[role] = tuple(weak)
+        main += element.main
+        named += element.named
 
     def pop() -> None:
-        nonlocal chrome, main, named
-        _, c, m, n = stack.pop()
-        chrome -= c
-        main -= m
-        named -= n
+        nonlocal sure, main, named
+        element = stack.pop()
+        sure -= element.chrome == "sure"
+        if element.chrome == "weak":
+            weak.pop()
+        main -= element.main
+        named -= element.named
 
     at, size = 0, len(page)
     while at < size:
         m = TAG.search(page, at)
-        if not chrome:
+        if not sure:
             held.append(html.unescape(page[at : m.start() if m else size]))
         if not m:
             break
@@ -144,36 +193,37 @@ def blocks(page: str) -> list[tuple[str, str]]:
         if m["close"]:
             if name in INLINE:
                 # Ends what has begun in the same block only.
-                inner = next((i for i, x in enumerate(reversed(stack)) if x[0] == name or x[0] not in INLINE), len(stack))
-                if inner < len(stack) and stack[-1 - inner][0] == name:
+                inner = next((i for i, x in enumerate(reversed(stack)) if x.name == name or x.name not in INLINE), len(stack))
+                if inner < len(stack) and stack[-1 - inner].name == name:
+                    if any(x.chrome for x in stack[len(stack) - 1 - inner :]):
+                        flush()
                     for _ in range(inner + 1):
                         pop()
-            elif any(name == x[0] for x in stack):
-                while stack[-1][0] != name:
+            elif any(name == x.name for x in stack):
+                while stack[-1].name != name:
                     pop()
                 pop()
             continue
         if name in VOID:
             continue
         if name not in INLINE:
-            while stack and (stack[-1][0] in INLINE or stack[-1][0] in SELF_CLOSING):
+            while stack and (stack[-1].name in INLINE or stack[-1].name in SELF_CLOSING):
                 # A paragraph (with inline elements left open in it) ends where the next block begins.
-                if stack[-1][0] in INLINE and not any(x[0] in SELF_CLOSING for x in stack):
+                if stack[-1].name in INLINE and not any(x.name in SELF_CLOSING for x in stack):
                     break
-                if stack[-1][0] in SELF_CLOSING and stack[-1][0] != "p" and stack[-1][0] != name:
+                if stack[-1].name in SELF_CLOSING and stack[-1].name != "p" and stack[-1].name != name:
                     break
                 pop()
-        now_chrome = _is_chrome(name, m["rest"])
-        if now_chrome:
+        chrome = _chrome(name, m["rest"])
+        if chrome:
             flush()
         if not m["rest"].endswith("/") or name not in INLINE:
-            now_named = not now_chrome and _is_named(name, m["rest"])
-            stack.append((name, now_chrome, name in MAIN, now_named))
-            chrome += now_chrome
-            main += name in MAIN
-            named += now_named
+            push(_Open(name, chrome, name in MAIN, not chrome and _is_named(name, m["rest"])))
     flush()
-    return out
+    around = holders["main"] or holders["named"]
+    fewest = min(map(len, around), default=0)
+    wrappers = {mark for marks in around if len(marks) == fewest for mark in marks}
+    return [(role, text) for role, text, marks in found if wrappers.issuperset(marks)]
 
 
 def repeated(tokens: np.ndarray, page: np.ndarray, length: int) -> np.ndarray:
@@ -217,7 +267,7 @@ def mixed(codes: np.ndarray) -> np.ndarray:
 
 
 def word_code(word: str) -> int:
-    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+    return xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
 
 
 def runs(tokens: np.ndarray, page: np.ndarray, codes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -241,6 +291,15 @@ def runs(tokens: np.ndarray, page: np.ndarray, codes: np.ndarray, length: int) -
     return begin, anchor[begin], code[begin]
 
 
+def is_copy(covered: np.ndarray, alike: float, shingle: int = 5) -> bool:
+    """Whether a page of which this much is repeated is a near-duplicate of what it is repeated from: the similarity
+    of their shingles, were the other page as long and had nothing else in common with it."""
+    n = max(len(covered) - shingle + 1, 1)
+    shared = np.convolve(covered, np.ones(shingle, np.int64))[shingle - 1 : len(covered)] == shingle if len(covered) >= shingle else covered[:0]
+    s = int(shared.sum())
+    return s > 0 and s >= alike * (2 * n - s)
+
+
 def in_buckets(codes: np.ndarray, buckets: int, kind: type) -> tuple[list[int], list[bytes]]:
     """The distinct codes dealt to buckets; of each the bytes of as many low bits as ``kind`` has."""
     codes = np.unique(codes)
@@ -268,7 +327,7 @@ def extract(
     url: str = "url",
     run_length: int = 16,
     pages_per_set: int = 512,
-    copied: float = 0.5,
+    alike: float = 0.8,
 ) -> DataFrame:
     """The columns ``keep``, ``text`` and ``repeated_words`` (words of the page's blocks that lie in
     repeated runs, whether or not they count as text)."""
@@ -365,7 +424,7 @@ def extract(
             at += size
             counts.append(int(own.sum()))
             best = max(role, default=0)
-            if best or counts[-1] > copied * size:
+            if best or is_copy(own, alike):
                 out.append(" ".join(t for t, r in zip(text, role, strict=True) if r == best))
             else:
                 flat = [w for b in split for w in b]

@@ -42,6 +42,19 @@ CASES = [
     ("<div role=main>x</div>y", "x"),
     ("", ""),
     ("<article></article>", ""),
+    ("<div class='layout with-sidebar'><main>x y</main></div>", "x y"),
+    ("<div class='page sidebar'><div class=sidebar>s</div><main>x y</main></div>", "x y"),
+    ("<form><article>a b</article></form>", "a b"),
+    ("<form id=all><div class=content>x</div><div class=sidebar>s</div></form>", "x"),
+    ("<article><form><p>f</p></form>x</article>", "x"),
+    ("<article><div class='social-history'>h</div>t</article>", "h t"),
+    ("<article><pre><span class='comment'># c</span> code</pre></article>", "# c code"),
+    ("<article>yes <b hidden>no</b> yes</article>", "yes yes"),
+    ("<div class='page sidebar'><article>A</article><div class='comments'><article>c</article></div></div>", "A"),
+    ("<article>real</article><div class='related'><article>tease</article></div>", "real"),
+    ("<aside><article>tease</article></aside><article>real</article>", "real"),
+    ("<div class='siteHeader'>h</div><div class='article__sidebar'>s</div><main>x</main>", "x"),
+    ("<main>x<div class='ad-300x250'>a</div><div class='cookie-policy-banner'>b</div><div class='comment-list'>c</div></main>", "x"),
 ]
 
 
@@ -112,7 +125,7 @@ def test_runs_are_found_however_the_pages_of_a_host_are_dealt(spark):
     for i, words in enumerate(pages):
         own = covered[at : at + len(words)]
         at += len(words)
-        want[i] = (" ".join(words) if sum(own) > 0.5 * len(words) else " ".join(w for w, c in zip(words, own, strict=True) if not c), sum(own))
+        want[i] = (" ".join(w for w, c in zip(words, own, strict=True) if not c), sum(own))
     assert any(n for _, n in want.values())
     rows = [(i, f"http://h.com/{i}", f"<div>{' '.join(w)}</div>") for i, w in enumerate(pages)]
     docs = spark.createDataFrame(rows, "page_id long, url string, html string")
@@ -121,6 +134,28 @@ def test_runs_are_found_however_the_pages_of_a_host_are_dealt(spark):
         assert {r.page_id: (r.text, r.repeated_words) for r in found} == want
 
 
+@pytest.mark.parametrize(("frame", "own"), [(21, 5), (150, 40), (60, 200)])
+def test_frames_go_whatever_their_share(spark, frame, own):
+    """Six pages with one frame around short articles: only the articles are left."""
+    notice = " ".join(f"n{i}" for i in range(frame))
+    articles = [" ".join(f"a{i}w{j}" for j in range(own)) for i in range(6)]
+    rows = [(i, f"http://h.com/{i}", f"<div>{notice}</div><div>{a}</div>") for i, a in enumerate(articles)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for per_set in (512, 2):
+        found = {r.page_id: r.text for r in html_extract.extract(pages, ["page_id"], pages_per_set=per_set).collect()}
+        assert [found[i] for i in range(6)] == articles
+
+
+def test_similarity_of_copies_by_hand():
+    draw = random.Random(3)
+    for _ in range(200):
+        n = draw.randrange(0, 60)
+        own = [draw.random() < 0.95 for _ in range(n)]
+        shared = sum(all(own[i : i + 5]) for i in range(n - 4))
+        total = max(n - 4, 1)
+        assert html_extract.is_copy(np.array(own, bool), 0.8) == (shared > 0 and shared / (2 * total - shared) >= 0.8)
+
+
 def test_copies_of_a_page_are_kept(spark):
     """What repeats is nearly all of the page: no frame around it, but the same article under two addresses."""
     text = " ".join(f"w{i}" for i in range(60))
