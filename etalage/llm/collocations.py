@@ -30,8 +30,8 @@ from etalage.session import write_through
 
 #: Bytes of text for each bucket of fingerprints, and words that a task adds up at a time.
 BUCKET_BYTES, CHUNK_WORDS = 16 << 20, 2_000_000
-#: Bytes and words that are hashed at a time, and rows that a packed pointer can tell apart.
-SLAB, CHUNK_ROWS = 1 << 20, 1 << 16
+#: Bytes and words that are hashed at a time, bytes that are looked up at a time, and rows that a packed pointer can tell apart.
+SLAB, LOOK_BYTES, CHUNK_ROWS = 1 << 18, 1 << 20, 1 << 16
 #: Bits of the second hash that are sent along; 16 at most.
 CHECK_BITS = 16
 #: The signs that end a piece; all other bytes but blank and tab are in words.
@@ -363,7 +363,7 @@ def materialised(docs: DataFrame, found: DataFrame, longest: int, seed: int, bit
         for batch in batches:
             # A few texts at a time.
             sizes = np.cumsum(pc.binary_length(batch.column(0)).to_numpy())
-            cuts = [0, *(np.flatnonzero(np.diff(sizes // SLAB)) + 1).tolist(), batch.num_rows]
+            cuts = [0, *(np.flatnonzero(np.diff(sizes // LOOK_BYTES)) + 1).tolist(), batch.num_rows]
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if a < b:
                     part = batch.slice(a, b - a)
