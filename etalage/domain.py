@@ -297,6 +297,23 @@ class Shop:
             F.concat(id_text("id_", c, 7), F.lit(".png")).alias("file"),
         )
 
+    @cached_property
+    def extracted(self) -> DataFrame:
+        """What was read from the identity documents, as JSON text: some without a part, with values of another type,
+        broken off, or not there."""
+        c = F.col("customer_id")
+        number = F.when(c % 11 == 0, c.cast("string")).otherwise(F.concat(F.lit('"'), id_text("ID", c, 7), F.lit('"')))
+        expiry = F.when(c % 3 == 0, '"soon"').when(c % 5 == 0, "null").otherwise('"2030-06-30"')
+        kind = F.when(c % 2 == 0, "passport").otherwise("id_card")
+        document = F.concat(F.lit('"document": {"type": "'), kind, F.lit('", "number": '), number, F.lit(', "expiry": '), expiry, F.lit("}, "))
+        born = F.date_format("birthdate", "yyyy-MM-dd")
+        person = F.concat(F.lit('"person": {"name": "'), F.col("name"), F.lit('", "birth": {"date": "'), born, F.lit('"}}, '))
+        score = (c % 100 / 100).cast("decimal(3,2)").cast("string")
+        adult = F.when(c % 13 == 0, '"perhaps"').when(is_adult("birthdate", AS_OF), "true").otherwise("false")
+        rest = F.concat(F.lit('"scores": ['), score, F.lit(', 0.5], "adult": '), adult)
+        text = F.concat(F.lit("{"), F.when(c % 7 == 0, "").otherwise(document), person, rest, F.when(c % 17 == 0, "").otherwise("}"))
+        return self.people.select("customer_id", F.when(c % 19 != 0, text).alias("extracted_data"))
+
     @cached_property
     def _raw_events(self) -> DataFrame:
         return self.events_as_input()

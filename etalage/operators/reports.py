@@ -98,9 +98,10 @@ def suspicious_scored(
 def orders_details(orders: DataFrame, customers: DataFrame, items: DataFrame) -> DataFrame:
     """Orders with their customer and number of lines."""
     n = items.groupBy("order_id").agg(F.count("*").alias("items_count"))
+    # By order first: where both sides are dealt by order, nothing moves for it.
     return (
-        orders.join(customers, "customer_id")
-        .join(n, "order_id", "left")
+        orders.join(n, "order_id", "left")
+        .join(customers, "customer_id")
         .withColumn("items_count", F.coalesce("items_count", F.lit(0)))
     )
 

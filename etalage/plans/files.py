@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from etalage.functions.columns import id_number
 from etalage.functions.values import TOPICS
-from etalage.operators import curate, reports
+from etalage.operators import curate, documents, reports
 from etalage.operators.privacy import row_checksum
 from etalage.plans.registry import query
+from etalage.plans.reports import suspects
 from etalage.schemas import FILES
 from etalage.session import fresh_dir
-from etalage.sources import files
+from etalage.sources import files, gold
 from etalage.sources.load import full_load
 
 _TABLES = ["customers", "products", "orders", "order_items", "payments"]
@@ -291,3 +292,103 @@ def route_topics(shop):
         routed, fresh_dir(shop.spark, "lake"), "topics", "events", by="topic", spread=["customer_id", "ts"]
     )
     return back.groupBy("topic", "event_type").agg(F.count("*").alias("n"))
+
+
+@query(
+    "gold_daily_refresh",
+    "day:d event_type:s n:l value:m",
+    "SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n, sum(value) AS value FROM s_events GROUP BY 1, 2",
+)
+def gold_daily_refresh(shop):
+    """Events of all days, then the purchases of two days that come late: gold is built once, then for two days."""
+    spark = shop.spark
+    bronze, gold_path, seen = (fresh_dir(spark, n) for n in ("bronze-events", "gold-events", "gold-seen"))
+    events = shop.events.select("event_id", "event_type", "value", F.to_date("ts").alias("day"))
+    late = (F.col("event_type") == "purchase") & F.col("day").isin("2024-01-05", "2024-01-12")
+
+    def daily(rows):
+        return rows.groupBy("day", "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("value"))
+
+    for arrival in (events.where(~late), events.where(late)):
+        arrival.write.mode("append").partitionBy("day").parquet(bronze)
+        gold.refresh_days(spark, bronze, events.schema, gold_path, daily, seen)
+    return spark.read.parquet(gold_path)
+
+
+@query(
+    "documents_extracted",
+    "customer_id:l status:s doc_type:s number:s expiry:d birth:d score:f adult:b",
+    """
+    WITH seen AS (
+        SELECT customer_id, CASE WHEN extracted_data IS NULL THEN 'missing' WHEN json_valid(extracted_data) THEN 'ok' ELSE 'unreadable' END AS status,
+            CASE WHEN json_valid(extracted_data) THEN CAST(extracted_data AS JSON) END AS j FROM s_extracted
+    )
+    SELECT customer_id, status, json_extract_string(j, '$.document.type') AS doc_type, json_extract_string(j, '$.document.number') AS number,
+        TRY_CAST(json_extract_string(j, '$.document.expiry') AS DATE) AS expiry, TRY_CAST(json_extract_string(j, '$.person.birth.date') AS DATE) AS birth,
+        CAST(json_extract(j, '$.scores[0]') AS DOUBLE) AS score, TRY_CAST(json_extract_string(j, '$.adult') AS BOOLEAN) AS adult
+    FROM seen""",
+)
+def documents_extracted(shop):
+    """What was read from identity documents, by path; parts that are missing, null or of another type are null."""
+    wanted = {
+        "doc_type": ("$.document.type", "string"),
+        "number": ("$.document.number", "string"),
+        "expiry": ("$.document.expiry", "date"),
+        "birth": ("$.person.birth.date", "date"),
+        "score": ("$.scores[0]", "double"),
+        "adult": ("$.adult", "boolean"),
+    }
+    return documents.fields(documents.read_variant(shop.extracted, "extracted_data"), "extracted_data", wanted)
+
+
+@query(
+    "documents_shape",
+    "source:s key:s kind:s n:l",
+    """
+    WITH objects AS (
+        SELECT 'extracted_data' AS source, CAST(extracted_data AS JSON) AS j FROM s_extracted WHERE json_valid(extracted_data)
+        UNION ALL SELECT 'props', CAST(props AS JSON) FROM events
+    ), pairs AS (SELECT source, unnest(json_keys(j)) AS key, j FROM objects),
+    kinds AS (SELECT source, key, json_type(j, concat('$.', key)) AS t FROM pairs)
+    SELECT source, key, CASE WHEN t IN ('BIGINT', 'UBIGINT', 'DOUBLE') THEN 'number' WHEN t = 'VARCHAR' THEN 'string' ELSE lower(t) END AS kind,
+        count(*) AS n FROM kinds GROUP BY ALL""",
+)
+def documents_shape(shop):
+    """The keys and kinds of values of both semi-structured columns, found from the rows."""
+    read = documents.read_variant(shop.extracted, "extracted_data")
+    props = documents.read_variant(shop.table("events"), "props")
+    found = {"extracted_data": documents.shape(read, "extracted_data"), "props": documents.shape(props, "props")}
+    parts = [df.select(F.lit(n).alias("source"), "key", "kind", "n") for n, df in found.items()]
+    return parts[0].unionByName(parts[1])
+
+
+@query(
+    "orders_details_bucketed",
+    "order_id:l order_date:t status:s total_amount:m customer_id:l name:s country:s items_count:l",
+    """
+    SELECT o.order_id, o.order_date, o.status, o.total_amount, o.customer_id, c.name, c.country, count(i.order_id) AS items_count
+    FROM s_orders o JOIN s_customers c ON o.customer_id = c.customer_id LEFT JOIN s_items i ON i.order_id = o.order_id GROUP BY ALL""",
+)
+def orders_details_bucketed(shop):
+    """Orders and lines dealt by order: counted and joined where they lie."""
+    orders = gold.bucketed(shop.orders, "orders", "order_id", 8)
+    lines = gold.bucketed(shop.lines, "order_items", "order_id", 8)
+    return reports.orders_details(orders, shop.customers, lines)
+
+
+@query(
+    "suspicious_payments_bucketed",
+    "payment_id:l payment_date:t amount:m payment_method:s is_fraudulent:b customer_id:l customer_country:s nb_alerts:l",
+    """
+    SELECT p.payment_id, p.attempt_ts AS payment_date, p.amount, p.method AS payment_method, p.is_fraudulent,
+           o.customer_id, c.country AS customer_country, count(a.alert_id) AS nb_alerts
+    FROM s_payments p JOIN s_links l ON p.payment_id = l.payment_id
+    JOIN s_orders o ON l.order_id = o.order_id JOIN s_customers c ON o.customer_id = c.customer_id
+    LEFT JOIN s_alerts a ON p.payment_id = a.payment_id
+    WHERE p.is_fraudulent OR a.alert_id IS NOT NULL GROUP BY ALL""",
+)
+def suspicious_payments_bucketed(shop):
+    """Linked payments and orders dealt by order: joined where they lie."""
+    payments = gold.bucketed(suspects(shop), "payments", "order_id", 8)
+    orders = gold.bucketed(shop.orders, "orders", "order_id", 8)
+    return reports.suspicious_payments(payments, orders, shop.customers)

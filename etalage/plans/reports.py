@@ -94,11 +94,15 @@ def top_categories(shop):
     WHERE p.is_fraudulent OR a.alert_id IS NOT NULL GROUP BY ALL""",
 )
 def suspicious_payments(shop):
-    """Straight from the rules' flags; a payment has as many alerts as it breaks rules."""
+    return reports.suspicious_payments(suspects(shop), shop.orders, shop.customers)
+
+
+def suspects(shop):
+    """Linked payments with a label or an alert, straight from the rules' flags; a payment has as many alerts as it
+    breaks rules."""
     renamed = {"attempt_ts": "payment_date", "method": "payment_method", "n_rules": "nb_alerts"}
     flagged = fraud.score(shop.flagged).where("is_fraudulent or n_rules > 0")
-    payments = curate.link_nearest(flagged, shop.orders, numbers=shop.attempts).withColumnsRenamed(renamed)
-    return reports.suspicious_payments(payments, shop.orders, shop.customers)
+    return curate.link_nearest(flagged, shop.orders, numbers=shop.attempts).withColumnsRenamed(renamed)
 
 
 @query(

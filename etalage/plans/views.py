@@ -123,6 +123,15 @@ VIEWS = {
                       WHERE n.order_id BETWEEN p.payment_id - 4 AND p.payment_id + 4) END AS order_id,
            CASE WHEN o.order_id IS NOT NULL THEN 'exact' ELSE 'near' END AS link
     FROM s_payments p LEFT JOIN s_orders o ON o.order_id = p.payment_id""",
+    "s_extracted": f"""
+    SELECT customer_id, CASE WHEN customer_id % 19 <> 0 THEN concat('{{', CASE WHEN customer_id % 7 = 0 THEN '' ELSE concat(
+            '"document": {{"type": "', CASE WHEN customer_id % 2 = 0 THEN 'passport' ELSE 'id_card' END, '", "number": ',
+            CASE WHEN customer_id % 11 = 0 THEN CAST(customer_id AS VARCHAR) ELSE printf('"ID%07d"', customer_id) END, ', "expiry": ',
+            CASE WHEN customer_id % 3 = 0 THEN '"soon"' WHEN customer_id % 5 = 0 THEN 'null' ELSE '"2030-06-30"' END, '}}, ') END,
+        '"person": {{"name": "', name, '", "birth": {{"date": "', strftime(birthdate, '%Y-%m-%d'), '"}}}}, "scores": [',
+        CAST(CAST((customer_id % 100) / 100.0 AS DECIMAL(3, 2)) AS VARCHAR), ', 0.5], "adult": ',
+        CASE WHEN customer_id % 13 = 0 THEN '"perhaps"' WHEN {age('birthdate', f"DATE '{AS_OF}'")} >= 18 THEN 'true' ELSE 'false' END,
+        CASE WHEN customer_id % 17 = 0 THEN '' ELSE '}}' END) END AS extracted_data FROM s_customers""",
     "s_sessions": sessions("30 minutes"),
     "s_sessions6": sessions("6 hours"),
     "s_people": f"""
