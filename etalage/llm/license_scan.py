@@ -83,8 +83,11 @@ class Index:
 
     def align(self, words: np.ndarray, t: int, diagonal: int, band: int) -> tuple[int, int, int]:
         """Matched words, and first and last word of the text, of the best local alignment in the band."""
-        own, n = self.words[t].tolist(), len(words)
-        text = words.tolist()
+        own = self.words[t].tolist()
+        # Only what the band can reach of the text.
+        low = max(0, diagonal - band)
+        text = words[low : max(low, diagonal + len(own) + band)].tolist()
+        n = low + len(text)
         width = 2 * band + 1
         score = [0] * (width + 2)
         # Of the best alignment that ends in a cell: matched words and where it begins.
@@ -94,9 +97,9 @@ class Index:
             now, now_matched, now_begin = [0] * (width + 2), [0] * (width + 2), [-1] * (width + 2)
             for b in range(1, width + 1):
                 i = j + diagonal + b - 1 - band
-                if not 0 <= i < n:
+                if not low <= i < n:
                     continue
-                same = text[i] == word
+                same = text[i - low] == word
                 # From the cell before in both, in the template only, in the text only.
                 x = score[b] + (MATCH if same else MISMATCH)
                 y, z = score[b + 1] + GAP, now[b - 1] + GAP

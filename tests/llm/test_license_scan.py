@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -109,3 +110,17 @@ def test_query_finds_the_notices_of_the_documents(spark):
     want = {(d.doc_id, n) for d in docs for n, t in notices.items() if t in d.text}
     got = {(r.doc_id, r.license) for r in queries.QUERIES["op2_license_scan"](spark, SF).where("coverage = 1").collect()}
     assert got == want and want
+
+
+def test_many_notices_in_a_very_long_text_take_time_in_proportion():
+    """208,000 words with 3,200 notices: each alignment looks at its own part of the text only."""
+    index = Index({"N": NOTICE})
+    own = [index.number[w.lower()] for w in TOKEN.findall(NOTICE)]
+    words = np.zeros(208_000, np.int64)
+    starts = np.arange(3200) * 65
+    for i, w in enumerate(own):
+        words[starts + i] = w
+    begin = time.process_time()
+    got = index.scan(words, 8, 0.8)
+    assert time.process_time() - begin < 2.0
+    assert [x[3] for x in got] == starts.tolist() and all(x[1] == 1 for x in got)
