@@ -37,25 +37,22 @@ def targets(sizes: DataFrame, weights: list[int], most: int, shapes: int) -> Dat
         global_row_number(sizes, [F.col("source").isNull(), F.col("source")], "rank"), "sources"
     )
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), ((F.col("rank") - 1) % len(weights) + 1).cast("int"))
-    table = ranked.withColumn("weight", weight)
-    total = table.agg(F.sum("source_size")).first()[0] or 0
-    cap, level, before = F.col("source_size") * most, 0.0, -1
-    while True:
-        # Sources above their cap are taken out at it; what is left is shared among the others.
-        full = cap.cast("double") < F.lit(level) * F.col("weight")
-        out = table.agg(
-            F.sum(F.when(full, 1).otherwise(0)).alias("n"),
-            F.sum(F.when(full, cap).otherwise(0)).alias("given"),
-            F.sum(F.when(full, 0).otherwise(F.col("weight"))).alias("open"),
-        ).first()
-        if not out["open"] or out["n"] == before:
-            break
-        before = out["n"]
-        level = float(total - out["given"]) / float(out["open"])
-    return table.select(
+    cap = F.col("source_size") * most
+    table = ranked.withColumns({"weight": weight, "cap": cap, "_at": cap / weight})
+    # A row a source. In the order in which a rising level reaches their caps, each says which level is left if all
+    # before it are at theirs; the first that is under its cap at that level tells the level of all.
+    total = F.sum("source_size").over(Window.partitionBy())
+    line = Window.orderBy("_at", "rank")
+    given = F.coalesce(F.sum("cap").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    open_weight = F.sum("weight").over(line.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    levels = table.withColumn("_level", (total - given).cast("double") / open_weight.cast("double")).withColumn("_nth", F.row_number().over(line))
+    levels = write_through(levels.drop("_at"), "levels")
+    under = F.col("_level") * F.col("weight") <= F.col("cap")
+    level = levels.where(under).agg(F.min_by("_level", "_nth")).first()[0] or 0.0
+    return levels.select(
         "source_key",
         "source_size",
-        F.least(cap.cast("double"), F.lit(level) * F.col("weight")).alias("target"),
+        F.least(F.col("cap").cast("double"), F.lit(level) * F.col("weight")).alias("target"),
         ((F.col("rank") - 1) % shapes).cast("int").alias("shape"),
     )
 
@@ -91,9 +88,9 @@ def mix(
     """key, size, source_size, target, shape, start (the row's place on its source's tape, in words), copies
     (times the mix takes the row) and position: when its first copy comes, null if it is not taken.
 
-    ``order_by`` is hashed for the order of a tape; if not given, the key is. The tape of a source is cut
-    into slices by the hash that orders it, so that a source with a third of all rows is as many tasks;
-    sums of slices say where each begins.
+    ``order_by`` is hashed for the order of a tape; if not given, the key is. The tapes are cut into slices of
+    about ``rows_per_slice`` rows, so that a source with a third of all rows is as many tasks, also where many rows share
+    a key or have none; sums of slices say where each begins.
     """
     shapes = shapes or [FLAT]
     hashed = F.md5(F.coalesce((key if order_by is None else order_by).cast("string"), F.lit("")).cast("binary"))
@@ -106,12 +103,15 @@ def mix(
             # One that is never null, so that joins and windows hash it alike.
             F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("s"), F.col("source"))).alias("source_key"),
             "order",
+            F.monotonically_increasing_id().alias("_row"),
         ),
         "sizes",
     )
+    # Slices by range: of as many rows each, whoever has no key or shares one. Written, so that a row's slice is the
+    # same wherever it is used.
     slices = max(1, math.ceil(rows.count() / rows_per_slice))
-    at = (F.conv(F.substring("order", 1, 8), 16, 10).cast("bigint") * slices / (1 << 32)).cast("bigint")
-    rows = rows.withColumn("slice", at)
+    along = ["source_key", "order", "size", "key", "_row"]
+    rows = write_through(rows.repartitionByRange(slices, *along).withColumn("slice", F.spark_partition_id()), "tape")
     sums = write_through(
         rows.groupBy("source_key", "slice").agg(F.sum("size").alias("words")), "slices"
     )
@@ -120,7 +120,7 @@ def mix(
     wanted = targets(sizes, weights, most, len(shapes))
     earlier = Window.partitionBy("source_key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     begins = sums.select("source_key", "slice", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("begin"))
-    inside = Window.partitionBy("source_key", "slice").orderBy("order", "size", "key").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source_key", "slice").orderBy("order", "size", "key", "_row").rowsBetween(Window.unboundedPreceding, -1)
     placed = (
         rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
         .join(begins.join(wanted, "source_key"), ["source_key", "slice"])

@@ -1,7 +1,10 @@
+import re
+import random
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from etalage.llm.common import word_count
 from etalage.llm import mixing, queries
 from tests.conftest import SF
 
@@ -126,3 +129,38 @@ def test_queries_carry_the_positions(spark, docs, tmp_path):
     order = [rows[r.doc_id].position for r in queries.QUERIES["op3_source_mix"](spark, str(tmp_path)).collect()]
     taken = [p for p in order if p is not None]
     assert taken == sorted(taken) and order == taken + [None] * (len(order) - len(taken)) and len(set(taken)) > 100
+
+
+def test_rows_without_an_id_lie_in_even_slices(spark):
+    """A third of 3,000 rows has no id, another third shares one: slices of 300 rows are about that large."""
+    rows = [(i if i % 3 == 0 else None if i % 3 == 1 else 7, "one", "w " * (1 + i % 5)) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    found = mixing.mix(docs, F.col("doc_id"), F.col("source"), word_count(F.col("text")), [5, 2, 1], rows_per_slice=300)
+    plan = found._jdf.queryExecution().analyzed().toString()
+    tape = spark.read.parquet(re.search(r"(file:\S+/tape)", "\n".join(found.inputFiles()))[1])
+    sizes = [r["count"] for r in tape.groupBy("slice").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) < 600 and plan
+    total = sum(len(t.split()) for *_, t in rows)
+    taken = found.agg(F.sum(F.col("size") * F.col("copies"))).first()[0]
+    assert abs(taken - total) <= 5
+
+
+def test_targets_by_rounds(spark):
+    """The level found in one pass is the one that taking capped sources out round by round ends at."""
+    draw = random.Random(5)
+    for _ in range(4):
+        sizes = {f"s{i:02d}": draw.choice([1, 5, 40, 1000, 20_000]) for i in range(draw.randint(1, 14))}
+        weights = [5, 2, 1]
+        weight = {s: weights[i % 3] for i, s in enumerate(sorted(sizes))}
+        want, full = {}, set()
+        while True:
+            rest = sum(sizes.values()) - sum(3 * sizes[s] for s in full)
+            level = rest / sum(weight[s] for s in sizes if s not in full) if len(full) < len(sizes) else 0
+            over = {s for s in sizes if s not in full and level * weight[s] > 3 * sizes[s]}
+            if not over:
+                break
+            full |= over
+        want = {s: 3 * sizes[s] if s in full else level * weight[s] for s in sizes}
+        table = spark.createDataFrame([(s, f"s{s}", n) for s, n in sizes.items()], "source string, source_key string, source_size long")
+        got = {r.source_key[1:]: r.target for r in mixing.targets(table, weights, 3, 3).collect()}
+        assert got == pytest.approx(want)
