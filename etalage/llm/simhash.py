@@ -73,6 +73,10 @@ def flips(bits: int, most: int) -> list[tuple[int, int]]:
     return [(sum(1 << b for b in c), n) for n in range(most + 1) for c in combinations(range(bits), n)]
 
 
+def _n_flips(bits: int, most: int) -> int:
+    return sum(math.comb(bits, n) for n in range(most + 1))
+
+
 def meeting(nodes: DataFrame, key_bits: int, half: int) -> DataFrame:
     """place and node: each fingerprint at every variant of its high bits."""
     masks = F.array(*[F.lit(m).cast("long") for m, _ in flips(key_bits, half)])
@@ -102,10 +106,34 @@ def _roots(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[label[moved]]
 
 
-def collide(places: np.ndarray, nodes: np.ndarray, key_bits: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links among the fingerprints that meet at these places: pairs that join up all that share a variant."""
+#: Variants that are made at a time: 8 bytes each, and some four times that on the way.
+AT_ONCE = 8_000_000
+
+
+def collide(places: np.ndarray, nodes: np.ndarray, key_bits: int, radius: int, at_once: int = AT_ONCE) -> tuple[np.ndarray, np.ndarray]:
+    """Links among the fingerprints that meet at these places (sorted): pairs that join up all that share a variant.
+
+    Where their variants are too many, places are taken apart, and a single crowded place by further bits of the
+    variant, one value of these after the other; so memory is bounded for any crowd.
+    """
     half, low = (radius + 1) // 2, BITS - key_bits
     used = _ones((nodes >> np.uint64(low)) ^ places)
+    size = sum(int((used == n).sum()) * _n_flips(low, half - n) for n in range(half + 1))
+    if size > at_once and low and len(nodes) > 1:
+        if places[0] != places[-1]:
+            middle = places[len(places) // 2]
+            cut = int(np.searchsorted(places, middle)) or int(np.searchsorted(places, middle, "right"))
+            parts = [collide(places[x], nodes[x], key_bits, radius, at_once) for x in (slice(0, cut), slice(cut, None))]
+        else:
+            more, parts = min(4, low), []
+            high = nodes >> np.uint64(low - more)
+            for value in range(1 << more):
+                place = (places[0] << np.uint64(more)) | np.uint64(value)
+                own = nodes[_ones(high ^ place) <= half]
+                if len(own) > 1:
+                    parts.append(collide(np.full(len(own), place, np.uint64), own, key_bits + more, radius, at_once))
+        u, v = (np.concatenate(x) if x else nodes[:0] for x in zip(*parts, strict=True)) if parts else (nodes[:0], nodes[:0])
+        return _roots(u, v) if len(u) else (u, v)
     base = (places << np.uint64(low)) | (nodes & np.uint64((1 << low) - 1))
     variants, owners, spent = [], [], []
     for n in range(half + 1):
@@ -134,20 +162,15 @@ def collide(places: np.ndarray, nodes: np.ndarray, key_bits: int, radius: int) -
     return _roots(a[verified], b[verified])
 
 
-def links(nodes: DataFrame, radius: int = 4, most_at_a_place: int = 400_000) -> DataFrame:
+def links(nodes: DataFrame, radius: int = 4, at_once: int = AT_ONCE) -> DataFrame:
     """u and v: links between distinct fingerprints (column node, no value twice) that join up all
     pairs at most ``radius`` bits apart. Within a crowd each is linked with one, not with all.
 
-    The high bits are as many as keep places small: two less than the number of nodes has, and more
-    while one place has over ``most_at_a_place``. The result does not depend on it.
+    The high bits are two less than the number of nodes has, which keeps places small; a crowd at one place is taken
+    apart where it is met. The result does not depend on it.
     """
     half = (radius + 1) // 2
     key_bits = min(32, max(8, math.ceil(math.log2(max(nodes.count(), 2))) - 2))
-    while key_bits < 48:
-        crowd = meeting(nodes, key_bits, half).groupBy("place").count().agg(F.max("count")).first()[0]
-        if (crowd or 0) <= most_at_a_place:
-            break
-        key_bits += 8
     met = meeting(nodes, key_bits, half).repartition("place").sortWithinPartitions("place")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +178,7 @@ def links(nodes: DataFrame, radius: int = 4, most_at_a_place: int = 400_000) ->
             places, nodes = (np.concatenate(x) for x in zip(*held, strict=True))
             # The last place may go on in the next batch.
             stop = len(places) if last else int(np.searchsorted(places, places[-1]))
-            u, v = collide(places[:stop].view(np.uint64), nodes[:stop].view(np.uint64), key_bits, radius)
+            u, v = collide(places[:stop].view(np.uint64), nodes[:stop].view(np.uint64), key_bits, radius, at_once)
             out = pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)), pa.array(u.view(np.int64))], names=["u", "v"])
             return out, [(places[stop:], nodes[stop:])]
 

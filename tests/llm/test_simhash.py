@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -60,7 +61,7 @@ def crowd(seed, n=400):
     return out
 
 
-@pytest.mark.parametrize(("radius", "most"), [(4, 400_000), (3, 400_000), (2, 400_000), (1, 400_000), (0, 400_000), (4, 3)])
+@pytest.mark.parametrize(("radius", "most"), [(4, 8_000_000), (3, 8_000_000), (2, 8_000_000), (1, 8_000_000), (0, 8_000_000), (4, 2000), (3, 2000), (2, 300)])
 def test_links_join_up_all_pairs_within_the_radius(spark, radius, most):
     values = sorted(set(crowd(radius)))
     signed = [int(x) for x in np.array(values, np.uint64).view(np.int64)]
@@ -81,6 +82,22 @@ def test_a_dense_crowd_is_not_paired(spark):
     assert components(found).select("root").distinct().count() == 1
 
 
+def test_a_crowded_place_is_taken_apart_in_bounded_memory():
+    """400,000 fingerprints with the same 28 high bits: a few hundred MB at most, and the links of the pairs among them."""
+    draw = np.random.default_rng(3)
+    nodes = np.unique(draw.integers(0, 1 << 36, 400_000, dtype=np.uint64) | (np.uint64(0xABCDEF1) << np.uint64(36)))
+    pair = nodes[0] ^ np.uint64(0b1111)
+    nodes = np.unique(np.r_[nodes, pair])
+    tracemalloc.start()
+    u, v = simhash.collide(np.full(len(nodes), 0xABCDEF1, np.uint64), nodes, 28, 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1_000_000_000
+    assert (np.bitwise_count(u ^ v) <= 64).all() and (v < u).all()
+    reached = dict(zip(u.tolist(), v.tolist(), strict=True))
+    assert reached.get(int(nodes[0]), int(nodes[0])) == reached.get(int(pair), int(pair))
+
+
 def test_components_of_a_long_path(spark):
     ids = [xxhash.xxh64_intdigest(str(i)) - (1 << 63) for i in range(300)]
     links = spark.createDataFrame(list(zip(ids, ids[1:], strict=False)) + [(ids[0], ids[0]), (5, 5)], "u long, v long")
