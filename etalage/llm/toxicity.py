@@ -22,10 +22,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from etalage.llm.common import extended
+from etalage.session import write_through
 
 #: Fixed patterns: a sentence ends at a full stop, a mark or a line end; a word is a run of letters.
 SENTENCE = r"[^.!?\n]+"
@@ -145,11 +146,13 @@ def train(
     key: str = "doc_id",
     label: str = "toxic",
     text: str = "text",
+    class_chars: int = 40_000_000,
 ) -> Model:
-    """Fit on at most ``per_class`` labelled documents of each class, drawn by a hash of the id.
+    """Fit on at most ``per_class`` labelled documents of each class, drawn by a hash of the id, and of these on the
+    first that have ``class_chars`` characters together.
 
-    The bound is on what goes to the driver: word buckets of the drawn rows. Class shares are
-    counted over all labels.
+    The bounds are on what goes to the driver: word buckets of the drawn rows. Of the rows that share an id one is drawn.
+    Class shares are counted over all labels.
     """
     known = (
         labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1))
@@ -165,7 +168,13 @@ def train(
     )
     # At most 2 x per_class rows of two numbers.
     picked = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(drawn), "_key")
-    bagged = bags(picked, "_label", "_text").toArrow()
+    # One row an id; the choice must be the same on every run.
+    single = F.min_by("_text", F.struct(F.xxhash64("_text"), F.length("_text")))
+    picked = write_through(picked.groupBy("_key", "_label").agg(single.alias("_text")), "drawn")
+    upto = Window.partitionBy("_label").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    sizes = picked.select("_key", "_label", F.coalesce(F.length("_text"), F.lit(0)).alias("_size"))
+    fitting = sizes.withColumn("_upto", F.sum("_size").over(upto)).where(F.col("_upto") <= class_chars).select("_key")
+    bagged = bags(picked.join(F.broadcast(fitting), "_key"), "_label", "_text").toArrow()
     return fit(bagged.sort_by([("label", "ascending"), ("place", "ascending")]), share)
 
 
