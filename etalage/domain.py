@@ -304,7 +304,7 @@ class Shop:
         c = F.col("customer_id")
         number = F.when(c % 11 == 0, c.cast("string")).otherwise(F.concat(F.lit('"'), id_text("ID", c, 7), F.lit('"')))
         expiry = F.when(c % 3 == 0, '"soon"').when(c % 5 == 0, "null").otherwise('"2030-06-30"')
-        kind = F.when(c % 2 == 0, "passport").otherwise("id_card")
+        kind = F.when(c % 23 == 0, "library_card").when(c % 2 == 0, "passport").otherwise("national_id")
         document = F.concat(F.lit('"document": {"type": "'), kind, F.lit('", "number": '), number, F.lit(', "expiry": '), expiry, F.lit("}, "))
         born = F.date_format("birthdate", "yyyy-MM-dd")
         person = F.concat(F.lit('"person": {"name": "'), F.col("name"), F.lit('", "birth": {"date": "'), born, F.lit('"}}, '))

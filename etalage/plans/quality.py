@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from etalage.domain import AS_OF
 from etalage.functions.columns import id_number, id_text
 from etalage.functions import values as v
-from etalage.operators import curate, privacy, quality, reports, sketches
+from etalage.operators import curate, documents, privacy, quality, reports, sketches
 from etalage.plans.registry import query
 from etalage.session import fresh_dir, together
 
@@ -90,7 +90,11 @@ _KNOWN_EVENTS = ["view", "click", "purchase"]
             ("payments.method", "s_payments", "method NOT IN ('card', 'paypal', 'bank_transfer')"),
             ("payments.result", "s_payments", "result NOT IN ('success', 'failed')"),
             ("addresses.address_type", "s_customers", f"'{v.DEFAULT_ADDRESS_TYPE}' NOT IN ('billing', 'shipping', 'both')"),
-            ("documents.document_type", "s_people", "customer_num % 13 = 0"),
+            (
+                "documents.document_type",
+                "(SELECT CASE WHEN json_valid(extracted_data) THEN json_extract_string(extracted_data, '$.document.type') END AS kind FROM s_extracted)",
+                "kind NOT IN ('national_id', 'passport', 'driver_license')",
+            ),
             ("fraud_alerts.severity", "s_alerts", "severity NOT IN ('low', 'medium', 'high', 'critical')"),
             ("fraud_alerts.status", "s_alerts", "status NOT IN ('open', 'investigating', 'resolved', 'false_positive')"),
             ("events.event_type", "s_events", "event_type NOT IN ('view', 'click', 'purchase')"),
@@ -110,9 +114,9 @@ def dq_accepted_values(shop):
                 {"address_type": v.ADDRESS_TYPES},
             ),
             quality.accepted_values(
-                # Documents carry no type; one whose number is not of the card's form counts as another kind.
-                shop.raw("identity_labels").select(
-                    F.when(F.col("doc_number").rlike("^ID[0-9]{7}$"), "national_id").otherwise("other").alias("document_type")
+                # The type is what was read from the document; where nothing could be read there is none to check.
+                documents.fields(
+                    documents.read_variant(shop.extracted, "extracted_data"), "extracted_data", {"document_type": ("$.document.type", "string")}
                 ),
                 "documents",
                 {"document_type": v.DOCUMENT_TYPES},

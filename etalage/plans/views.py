@@ -125,7 +125,7 @@ VIEWS = {
     FROM s_payments p LEFT JOIN s_orders o ON o.order_id = p.payment_id""",
     "s_extracted": f"""
     SELECT customer_id, CASE WHEN customer_id % 19 <> 0 THEN concat('{{', CASE WHEN customer_id % 7 = 0 THEN '' ELSE concat(
-            '"document": {{"type": "', CASE WHEN customer_id % 2 = 0 THEN 'passport' ELSE 'id_card' END, '", "number": ',
+            '"document": {{"type": "', CASE WHEN customer_id % 23 = 0 THEN 'library_card' WHEN customer_id % 2 = 0 THEN 'passport' ELSE 'national_id' END, '", "number": ',
             CASE WHEN customer_id % 11 = 0 THEN CAST(customer_id AS VARCHAR) ELSE printf('"ID%07d"', customer_id) END, ', "expiry": ',
             CASE WHEN customer_id % 3 = 0 THEN '"soon"' WHEN customer_id % 5 = 0 THEN 'null' ELSE '"2030-06-30"' END, '}}, ') END,
         '"person": {{"name": "', name, '", "birth": {{"date": "', strftime(birthdate, '%Y-%m-%d'), '"}}}}, "scores": [',
