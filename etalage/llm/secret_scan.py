@@ -1,7 +1,7 @@
 """Secret scan: candidates by shape, false positives removed by a random forest.
 
-Words with a run of 16 or more letters, digits and key characters are candidates. Each gets features:
-its length, its transitions between kinds of characters, how much of it common words cover, its path,
+Runs of 16 or more letters, digits and key characters are candidates, and any value of 8 or more characters that is
+given to a name of a secret, whole. Each gets features: its length, its transitions between kinds of characters, how much of it common words cover, its path,
 and the words beside it. A forest trained from labelled findings tells secrets from the rest.
 
 Null and empty texts have no candidate; a null path has no path features. Repeated rows and null ids
@@ -21,26 +21,48 @@ from pyspark.sql import functions as F
 from etalage.llm.common import word_list
 from etalage.session import write_through
 
-#: Fixed patterns: a candidate, names of secrets, words of placeholders, paths of tests and examples.
-CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
+#: Fixed patterns: a candidate (with the padding that may end it), what lies between quotes, brackets and signs of
+#: assignment, names of secrets, words of placeholders, paths of tests and examples.
+CANDIDATE = r"[A-Za-z0-9+/_-]{16,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
+VALUE = r"[^\s\"'`,;()\[\]{}<>=:]{8,}(?:={1,2}(?![^\s\"'`,;()\[\]{}<>]))?"
 NAMES = r"(?i)token|secret|passw|passphrase|pwd|api.?key|access.?key|private.?key|credential|auth|bearer"
 PLACEHOLDERS = r"(?i)example|sample|dummy|placeholder|changeme|your|xxxx|test|fake|1234567"
 TEST_PATHS = r"(?i)test|example|sample|fixture|mock|docs?/"
 
+#: A name of a secret to which what follows is given.
+GIVEN = NAMES.replace("(?i)", "(?i)(?:") + r")[A-Za-z0-9_.-]*[\"'`]?\]?\s*(?:=>|:=|[=:])\s*[\"'`]?$"
+
 SHAPE = ["length", "transitions", "vowel_changes", "digits", "capitals", "different", "hex_only", "covered"]
 PATH = ["path_depth", "path_test"]
 NEIGHBOURS = ["named", "assigned", "quoted", "placeholder", "words_before"]
 FEATURES = [*SHAPE, *PATH, *NEIGHBOURS]
 
 
+def _places(word: Column, pattern: str) -> Column:
+    """The matches of a pattern in a word, each with its own place (from 1), also where a value is there twice."""
+    begin = F.struct(F.lit(1).alias("next"), F.array().cast("array<struct<value:string,at:int>>").alias("out"))
+
+    def move(acc: Column, value: Column) -> Column:
+        at = F.call_function("locate", value, word, acc["next"])
+        found = F.array(F.struct(value.alias("value"), at.alias("at")))
+        return F.struct((at + F.length(value)).alias("next"), F.concat(acc["out"], found).alias("out"))
+
+    return F.aggregate(F.regexp_extract_all(word, F.lit(pattern), F.lit(0)), begin, move, lambda acc: acc["out"])
+
+
 def candidates(docs: DataFrame, keep: dict[str, Column], path: Column, text: str = "text") -> DataFrame:
     """A row for each candidate: the columns ``keep``, path, word_no (from 0), value, and the text before and after
     it (two words and one, and the rest of its own word)."""
     own = F.struct(*[c.alias(n) for n, c in keep.items()]).alias("_kept")
     rows = docs.select(own, path.cast("string").alias("path"), word_list(F.col(f"`{text}`")).alias("_words"))
-    spots = F.filter(
-        F.transform("_words", lambda w, i: F.when(F.length(w) >= 16, F.when(w.rlike(CANDIDATE), i))), lambda i: i.isNotNull()
-    )
+    ends = r"[=:][\"'`]?$"
+
+    def spot(w: Column, i: Column) -> Column:
+        long_one = (F.length(w) >= 16) & w.rlike(CANDIDATE)
+        given = (F.length(w) >= 8) & (w.rlike("[=:]") | F.coalesce((i > 0) & F.get("_words", i - 1).rlike(ends), F.lit(False)))
+        return F.when(long_one | given, i)
+
+    spots = F.filter(F.transform("_words", spot), lambda i: i.isNotNull())
     near = F.transform(
         spots,
         lambda i: F.struct(
@@ -51,15 +73,25 @@ def candidates(docs: DataFrame, keep: dict[str, Column], path: Column, text: str
         ),
     )
     spotted = rows.select("_kept", "path", F.explode(near).alias("s")).select("_kept", "path", "s.*")
-    values = spotted.withColumn("value", F.explode(F.regexp_extract_all("word", F.lit(CANDIDATE), F.lit(0))))
-    at = F.instr("word", F.col("value"))
+
+    def before(at: Column) -> Column:
+        return F.concat("left", F.lit(" "), F.substring("word", F.lit(1), at - 1))
+
+    parts = spotted.withColumn("part", F.explode(_places(F.col("word"), VALUE)))
+    # What is given to a name is a candidate whole; of anything else its long runs are.
+    runs = F.transform(
+        _places(F.col("part.value"), CANDIDATE),
+        lambda x: F.struct(x["value"].alias("value"), (x["at"] + F.col("part.at") - 1).alias("at")),
+    )
+    chosen = F.when(before(F.col("part.at")).rlike(GIVEN), F.array(F.col("part"))).otherwise(runs)
+    values = parts.withColumn("found", F.explode(chosen)).withColumns({"value": F.col("found.value"), "_at": F.col("found.at")})
     return values.select(
         "_kept.*",
         "path",
         "word_no",
         "value",
-        F.concat("left", F.lit(" "), F.substring("word", F.lit(1), at - 1)).alias("before"),
-        F.concat(F.substring("word", at + F.length("value"), F.length("word")), F.lit(" "), "right").alias("after"),
+        before(F.col("_at")).alias("before"),
+        F.concat(F.substring("word", F.col("_at") + F.length("value"), F.length("word")), F.lit(" "), "right").alias("after"),
     )
 
 
@@ -106,12 +138,13 @@ def label_by_rule(found: DataFrame) -> DataFrame:
     """Labelled findings where none are given: the clear cases of ``found``, as column label; others are null.
 
     Secret: a quoted value given to a name of a secret, with digits and no placeholder. Not a secret:
-    letters only or digits only, or a placeholder, outside such an assignment.
+    letters only or digits only, or a placeholder, outside such an assignment; in one, a plain word in lower case.
     """
     given = (F.col("named") == 1) & (F.col("assigned") == 1)
     mixed = (F.col("digits") > 0) & (F.col("digits") < 1)
     yes = given & (F.col("quoted") == 1) & mixed & (F.col("placeholder") == 0)
-    no = ~given & (~mixed | (F.col("placeholder") == 1))
+    word = F.col("value").rlike("^[a-z]+$")
+    no = (~given & (~mixed | (F.col("placeholder") == 1))) | (given & word)
     return found.withColumn("label", F.when(yes, 1.0).when(no, 0.0))
 
 
@@ -146,8 +179,17 @@ def classify(found: DataFrame, model: RandomForestClassificationModel | None, le
     return scored.select(*found.columns, "score", (F.col("score") >= least).alias("is_secret"))
 
 
-def scan(docs: DataFrame, keep: dict[str, Column], path: Column, text: str = "text") -> DataFrame:
-    """Candidates of all documents with features, score and is_secret; the forest learns from the clear cases."""
+def scan(
+    docs: DataFrame, keep: dict[str, Column], path: Column, text: str = "text", labelled: DataFrame | None = None
+) -> DataFrame:
+    """Candidates of all documents with features, score and is_secret.
+
+    The forest learns from ``labelled`` (value, and label 1 or 0: findings that have been judged), and where there is none
+    from the clear cases. A value that is labelled both ways counts as a secret.
+    """
     dictionary = common_words(docs, text)
     found = write_through(with_features(candidates(docs, keep, path, text), dictionary), "candidates")
-    return classify(found, train(label_by_rule(found)))
+    if labelled is None:
+        return classify(found, train(label_by_rule(found)))
+    known = labelled.groupBy(F.col("value").alias("value")).agg(F.max("label").cast("double").alias("label"))
+    return classify(found, train(found.join(known, "value")))
