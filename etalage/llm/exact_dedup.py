@@ -8,11 +8,16 @@ with the content at the place the state names, so that two texts with one digest
 Of equal texts the row with the largest key stays, then the last place. Null text counts as empty.
 A null key is smaller than any other; repeated rows are a group of which one row stays. An empty
 table gives an empty table.
+
+With a ``folder`` the state lasts: a further feed goes on from it, its rows meet all that came before, and a row that
+has stayed is not driven out by a later feed. The files of earlier feeds must still be there, as the state holds places
+and no texts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from etalage.llm.common import in_files, located
@@ -26,17 +31,17 @@ def text_digest(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 
 
-def keep_state(rows: DataFrame, files_per_batch: int = 10_000) -> DataFrame:
+def keep_state(rows: DataFrame, files_per_batch: int = 10_000, folder: str | None = None) -> DataFrame:
     """digest, keeper (key and place) and n of each digest: the state after all of ``rows`` has streamed in.
 
-    Rows of a digest are summed up in their task before the shuffle, so a digest that a third of the
+    ``rows`` has digest, turn (less the number of the feed), key and place. Rows of a digest are summed up in their task before the shuffle, so a digest that a third of the
     rows share sends one row from each task. ``files_per_batch`` bounds a micro-batch.
     """
     spark = rows.sparkSession
-    inbox, checkpoint = fresh_dir(spark, "digests"), fresh_dir(spark, "dedup-state")
-    rows.write.parquet(inbox)
+    inbox, checkpoint = (f"{folder}/{n}" if folder else fresh_dir(spark, n) for n in ("digests", "dedup-state"))
+    rows.write.mode("append").parquet(inbox)
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files_per_batch).parquet(inbox)
-    state = stream.groupBy("digest").agg(F.max(F.struct("key", "_loc")).alias("keeper"), F.count("*").alias("n"))
+    state = stream.groupBy("digest").agg(F.max(F.struct("turn", "key", "_loc")).alias("keeper"), F.count("*").alias("n"))
     with settings(
         spark,
         spark__sql__streaming__stateStore__providerClass=ROCKSDB,
@@ -50,7 +55,25 @@ def keep_state(rows: DataFrame, files_per_batch: int = 10_000) -> DataFrame:
         writer.trigger(availableNow=True).start().awaitTermination()
         held = spark.read.format("statestore").load(checkpoint)
         keeper, n = (f"value.{c}" for c in held.schema["value"].dataType.names)
-        return write_through(held.select("key.digest", F.col(keeper).alias("keeper"), F.col(n).alias("n")), "state")
+        stays = F.struct(*[F.col(f"{keeper}.{c}").alias(c) for c in ("key", "_loc")])
+        return write_through(held.select("key.digest", stays.alias("keeper"), F.col(n).alias("n")), "state")
+
+
+def earlier_feeds(spark: SparkSession, folder: str | None) -> DataFrame | None:
+    """digest, turn, key and place of all rows that came before; None before the first feed."""
+    try:
+        return spark.read.parquet(f"{folder}/digests") if folder else None
+    except AnalysisException:
+        return None
+
+
+def contents(rows: DataFrame, text: str) -> DataFrame:
+    """``rows`` (with ``_loc``) with the text at their places, read from the files that the places name."""
+    files = [r[0] for r in rows.select("_loc.file").distinct().collect()]
+    if not files:
+        return rows.withColumn("text", F.lit("")).where("false")
+    found = located(rows.sparkSession.read.parquet(*files), [F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")])
+    return rows.join(found, "_loc")
 
 
 def only_hits(texts: DataFrame, hits: DataFrame, most_sent: int = 1_000_000) -> DataFrame:
@@ -66,26 +89,44 @@ def only_hits(texts: DataFrame, hits: DataFrame, most_sent: int = 1_000_000) ->
 
 
 def exact_duplicates(
-    docs: DataFrame, key: Column, text: str = "text", digest=text_digest, files_per_batch: int = 10_000
+    docs: DataFrame, key: Column, text: str = "text", digest=text_digest, files_per_batch: int = 10_000, folder: str | None = None
 ) -> DataFrame:
     """key, _loc (the row's place), digest, keeper (key and place of the row that stays), n (rows of the
-    group) and kept, for every row. ``digest`` makes the digest column from the text column."""
+    group) and kept, for every row. ``digest`` makes the digest column from the text column.
+
+    ``folder`` holds the state from feed to feed; the keeper can then be a row of an earlier one, and n counts all.
+    """
     content = F.col(f"`{text}`")
     texts = located(
         in_files(docs),
         [key.alias("key"), F.coalesce(content, F.lit("")).alias("text"), digest(content).alias("digest")],
     )
-    rows = write_through(texts.select("digest", "key", "_loc"), "digested")
-    state = keep_state(rows, files_per_batch)
+    before = earlier_feeds(docs.sparkSession, folder)
+    turn = 0 if before is None else (before.agg(F.min("turn")).first()[0] or 0) - 1
+    rows = write_through(texts.select("digest", F.lit(turn).alias("turn"), "key", "_loc"), "digested")
+    # Places are pinned before this feed is added to them.
+    before = None if before is None else write_through(before.join(rows.select("digest"), "digest", "left_semi"), "met")
+    state = keep_state(rows, files_per_batch, folder)
+    hits = state.where("n > 1")
+    if before is not None:
+        hits = hits.join(rows.select("digest"), "digest", "left_semi")
     # Full bytes: the different texts behind each hit, each sent once by a task. Where a digest has one text
     # only, all its rows equal the content that the state points to.
-    behind = only_hits(texts, state.where("n > 1").select("digest")).groupBy("digest", "text").agg(F.count("*").alias("n"))
+    behind = only_hits(texts, hits.select("digest")).select("digest", "text")
+    if before is not None:
+        held = before.join(hits.select("digest", "keeper._loc"), ["digest", "_loc"], "left_semi").select("digest", "_loc")
+        behind = behind.unionByName(contents(held, text).select("digest", "text"))
+    behind = behind.groupBy("digest", "text").agg(F.count("*").alias("n"))
     collided = write_through(behind.groupBy("digest").count().where("count > 1").select("digest"), "collided")
-    found = rows.join(state, "digest")
+    found = rows.join(state, "digest").drop("turn")
     if not collided.isEmpty():
         # Groups of these digests are made from the texts themselves.
-        apart = texts.join(collided, "digest", "left_semi")
-        groups = apart.groupBy("digest", "text").agg(F.max(F.struct("key", "_loc")).alias("keeper"), F.count("*").alias("n"))
+        apart = texts.join(collided, "digest", "left_semi").withColumn("turn", F.lit(turn))
+        whole = apart
+        if before is not None:
+            whole = whole.unionByName(contents(before.join(collided, "digest", "left_semi"), text))
+        groups = whole.groupBy("digest", "text").agg(F.max(F.struct("turn", "key", "_loc")).alias("keeper"), F.count("*").alias("n"))
+        groups = groups.withColumn("keeper", F.col("keeper").dropFields("turn"))
         split = apart.join(groups, ["digest", "text"]).select("digest", "key", "_loc", "keeper", "n")
         found = found.join(collided, "digest", "left_anti").unionByName(split)
     return found.withColumn("kept", F.col("_loc") == F.col("keeper._loc"))

@@ -45,6 +45,27 @@ def test_equal_digests_of_different_texts_are_told_apart(docs):
     assert sum(r.kept for r in found) == len({t or "" for _, t in ROWS})
 
 
+@pytest.mark.parametrize("weak", [False, True])
+def test_a_second_feed_meets_the_state_of_the_first(spark, tmp_path, weak):
+    """Three feeds into one folder: what has stayed stays, later copies go, whatever their keys; also where digests collide."""
+    digest = (lambda text: F.coalesce(F.substring(text, 1, 1), F.lit(""))) if weak else exact_dedup.text_digest
+    feeds = [[(5, "same"), (2, "same"), (1, "one"), (None, None)], [(9, "same"), (8, "some"), (3, "some"), (7, "")], [(4, "some"), (6, "one"), (10, "new"), (11, "oh")], []]
+    stays, counts = {}, {}
+    for i, feed in enumerate(feeds):
+        spark.createDataFrame(feed, "doc_id long, text string").write.parquet(str(tmp_path / f"feed{i}"))
+        docs = spark.read.parquet(str(tmp_path / f"feed{i}"))
+        found = exact_dedup.exact_duplicates(docs, F.col("doc_id"), digest=digest, folder=str(tmp_path / "lasting")).collect()
+        new = {}
+        for key, text in feed:
+            t = text or ""
+            counts[t] = counts.get(t, 0) + 1
+            if t not in stays:
+                new[t] = max([k for k, x in feed if (x or "") == t], key=lambda k: (k is not None, k or 0))
+        stays |= new
+        want = [(key, stays[text or ""], counts[text or ""], new.get(text or "", "none") == key) for key, text in feed]
+        assert sorted([(r.key, r.keeper.key, r.n, r.kept) for r in found], key=str) == sorted(want, key=str)
+
+
 def test_hits_are_the_same_with_and_without_a_shuffle(spark):
     texts = spark.range(100).select(F.col("id").cast("string").alias("digest"))
     hits = texts.where("id % 7 = 0")
