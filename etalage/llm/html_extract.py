@@ -9,7 +9,7 @@ main blocks those are the text, whole, else the named ones; of any other page th
 left, however much the runs cover. Only near-duplicates (a similarity of ``alike`` or more in shingles of five words
 with what they repeat) are kept whole: of two copies of a page nothing tells which part is the frame.
 
-A host with more than ``pages_per_set`` pages is dealt into sets by a hash of the page, so that a host
+A host with more than ``pages_per_set`` pages or ``bytes_per_set`` is dealt into sets by a hash of the page, so that a host
 with a third of all pages is many tasks. The suffix array compares the pages of a set; what pages of
 different sets have in common is found by codes in two rounds. Each run of ``run_length`` words has
 an anchor, the smallest code of its half as long parts, so that equal runs have equal anchors; first
@@ -327,6 +327,7 @@ def extract(
     url: str = "url",
     run_length: int = 16,
     pages_per_set: int = 512,
+    bytes_per_set: int = 16 << 20,
     alike: float = 0.8,
 ) -> DataFrame:
     """The columns ``keep``, ``text`` and ``repeated_words`` (words of the page's blocks that lie in
@@ -360,7 +361,10 @@ def extract(
     cut_up = rows.mapInArrow(cut, extended(rows.drop("html").schema, "roles array<int>, blocks array<string>"))
     # Only hosts with more than one set are looked up; the pages move once, by host and set: the rounds
     # below read one shuffle. For that, its rows must have the same columns and conditions in each.
-    counted = pages.select(host.alias("host")).groupBy("host").agg(F.ceil(F.count("*") / pages_per_set).alias("sets"))
+    # A set is bounded in pages and in bytes; only a single page can be larger.
+    size = F.coalesce(F.octet_length(F.col(f"`{page}`")), F.lit(0)).cast("long")
+    sets = F.greatest(F.ceil(F.count("*") / pages_per_set), F.ceil(F.sum("size") / bytes_per_set))
+    counted = pages.select(host.alias("host"), size.alias("size")).groupBy("host").agg(sets.alias("sets"))
     large = write_through(counted.where("sets > 1"), "large-hosts")
     dealt = cut_up.join(large, "host", "left").withColumn("sets", F.expr("coalesce(sets, 1)"))
     grouped = dealt.withColumn("set", F.expr("pmod(dealt, sets)")).repartition("host", "set")

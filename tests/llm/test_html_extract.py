@@ -129,8 +129,8 @@ def test_runs_are_found_however_the_pages_of_a_host_are_dealt(spark):
     assert any(n for _, n in want.values())
     rows = [(i, f"http://h.com/{i}", f"<div>{' '.join(w)}</div>") for i, w in enumerate(pages)]
     docs = spark.createDataFrame(rows, "page_id long, url string, html string")
-    for per_set in (512, 4, 1):
-        found = html_extract.extract(docs, ["page_id"], pages_per_set=per_set).collect()
+    for per_set, size in ((512, 16 << 20), (4, 16 << 20), (1, 16 << 20), (512, 1000)):
+        found = html_extract.extract(docs, ["page_id"], pages_per_set=per_set, bytes_per_set=size).collect()
         assert {r.page_id: (r.text, r.repeated_words) for r in found} == want
 
 
