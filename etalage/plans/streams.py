@@ -101,7 +101,7 @@ def stream_tumbling_5min(shop):
     f"SELECT * FROM s_sessions WHERE session_end + INTERVAL 30 MINUTE <= {_CLOSED}",
 )
 def stream_sessions(shop):
-    with _state(
+    with state_settings(
         shop, spark__sql__streaming__sessionWindow__merge__sessions__in__local__partition="true"
     ):
         return streams.run_to_table(jobs.session_counts(_events(shop)), "sessions")
