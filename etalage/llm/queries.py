@@ -94,7 +94,7 @@ MIX_SQL = r"""
     ), targets AS (
         SELECT source, source_size, rank, least(CAST(cap AS DOUBLE), chosen.level * weight) AS target FROM weighed, chosen
     ), tapes AS (
-        SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
+        SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target, (t.rank - 1) % 3 AS shape,
             coalesce(sum(size) OVER (
                 PARTITION BY s.source ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), '')), size, doc_id
                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
@@ -106,13 +106,39 @@ MIX_SQL = r"""
             + CAST(CAST(2 * start + 4 * source_size + size AS DOUBLE) <= 2 * target AS BIGINT) ELSE 0 END AS copies
         FROM tapes
     )
-    SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken FROM taken
 """
 
 
-@query("op3_source_mix", MIX_SQL)
+def time_sql(share: str) -> str:
+    """The inverse of each shape's integral in SQL, in the operator's own steps."""
+    arms = []
+    for i, shape in enumerate(MIX_SHAPES):
+        whole = sum((d0 + d1) / 2 * (t1 - t0) for (t0, d0), (t1, d1) in zip(shape, shape[1:], strict=False))
+        cases, passed = [], 0.0
+        for (t0, d0), (t1, d1) in zip(shape, shape[1:], strict=False):
+            before, passed = passed, passed + (d0 + d1) / 2 * (t1 - t0)
+            rest = f"({share} * {whole!r}::DOUBLE - {before!r}::DOUBLE)"
+            root = f"sqrt(greatest({d0 * d0!r}::DOUBLE + {2 * ((d1 - d0) / (t1 - t0))!r}::DOUBLE * {rest}, 0::DOUBLE))"
+            time = f"{t0!r}::DOUBLE + coalesce(2::DOUBLE * {rest} / nullif({d0!r}::DOUBLE + {root}, 0), 0::DOUBLE)"
+            cases.append(f"WHEN {share} * {whole!r}::DOUBLE < {passed!r}::DOUBLE THEN {time}")
+        arms.append(f"WHEN {i} THEN CASE {' '.join(cases)} ELSE 1::DOUBLE END")
+    return f"CASE shape {' '.join(arms)} END"
+
+
+_SHARE = "(CAST(start + source_size * turn AS DOUBLE) / nullif(target, 0))"
+
+
+@query(
+    "op3_source_mix",
+    MIX_SQL
+    + f"""
+    SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken,
+        CASE WHEN copies > 0 THEN {time_sql(_SHARE)} END AS position
+    FROM (SELECT *, 0 AS turn FROM taken)
+    """,
+)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document, range-sorted by the training position of its first copy; those not taken come last."""
+    """Every document with the training position of its first copy, range-sorted by it; those not taken come last."""
     found = mixed(table(spark, sf_dir, "documents"), F.col("doc_id"))
     return found.orderBy(F.col("position").asc_nulls_last(), "key", "start").select(
         F.col("key").alias("doc_id"),
@@ -120,12 +146,20 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         "source_size",
         "target",
         (F.col("size") * F.col("copies")).cast("bigint").alias("taken"),
+        "position",
     )
 
 
-@query("op3_source_mix_order")
+@query(
+    "op3_source_mix_order",
+    MIX_SQL
+    + f"""
+    SELECT doc_id, turn, size, {time_sql(_SHARE)} AS position
+    FROM (SELECT *, CAST(unnest(range(0, copies)) AS INT) AS turn FROM taken WHERE copies > 0)
+    """,
+)
 def op3_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every copy of the mix with its training position, in the order of training; the twin of op3 has no positions."""
+    """Every copy of the mix with its training position, in the order of training."""
     found = mixed(table(spark, sf_dir, "documents"), F.col("doc_id"))
     return mixing.in_order(found, MIX_SHAPES).select(F.col("key").alias("doc_id"), "turn", "size", "position")
 

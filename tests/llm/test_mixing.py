@@ -110,8 +110,11 @@ def test_query_is_its_twin(spark, docs, tmp_path):
     con = duckdb.connect()
     for folder, files in ((SF, f"{SF}/documents.parquet"), (str(tmp_path), f"{tmp_path}/documents.parquet/*.parquet")):
         con.execute(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{files}'")
-        got = queries.QUERIES["op3_source_mix"](spark, folder).collect()
-        assert sorted(map(tuple, got), key=str) == sorted(con.execute(queries.SQL["op3_source_mix"]).fetchall(), key=str)
+        for name in ("op3_source_mix", "op3_source_mix_order"):
+            df = queries.QUERIES[name](spark, folder)
+            cur = con.execute(queries.SQL[name])
+            assert [d[0] for d in cur.description] == df.columns
+            assert sorted(map(tuple, df.collect()), key=str) == sorted(cur.fetchall(), key=str)
 
 
 def test_queries_carry_the_positions(spark, docs, tmp_path):
