@@ -232,14 +232,18 @@ URL_RULES = [
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 ]
-#: Words in a host name that block it where no rule fits.
-HOST_WORDS = ["casino", "adult-", "spam-", "cheap-pills", "ads-track", "free-bets"]
+#: Words in a host name that block it where no rule fits: gambling, adult content, pills, dubious loans and goods,
+#: tracking and adverts, spam, cracked software. A list of one's own goes to ``url_rules``.
+HOST_WORDS = (
+    "casino poker- roulette jackpot free-bets betting- adult- xxx- porn escort- viagra cialis cheap-pills payday-loan"
+    " replica-watch ads-track adserver popunder clickbank- spam- linkfarm warez keygen torrent-"
+).split()
 
 
-def url_rules() -> list[url_filter.Rule]:
+def url_rules(words: list[str] = HOST_WORDS) -> list[url_filter.Rule]:
     return [
         *[url_filter.prefix_rule(*r) for r in URL_RULES],
-        *[url_filter.Rule(f"*{w}**", "block", None, 1) for w in HOST_WORDS],
+        *[url_filter.Rule(f"*{w}**", "block", None, 1) for w in words],
     ]
 
 
