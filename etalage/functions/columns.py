@@ -65,11 +65,6 @@ def micros(ts: str | Column) -> Column:
     return F.unix_micros(_col(ts).cast("timestamp"))
 
 
-def slice_of(ts: str | Column, seconds: int) -> Column:
-    """Number of the fixed time slice a timestamp falls in."""
-    return F.floor(micros(ts) / F.lit(seconds * 1_000_000)).cast("bigint")
-
-
 def salted_hash(c: str | Column, salt: str) -> Column:
     return F.sha2(F.concat(F.lit(salt), _col(c).cast("string")), 256)
 

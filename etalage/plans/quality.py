@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from etalage.domain import AS_OF
 from etalage.functions.columns import id_number, id_text
 from etalage.functions import values as v
-from etalage.operators import curate, documents, privacy, quality, reports, sketches
+from etalage.operators import curate, documents, privacy, quality, sketches
 from etalage.plans.registry import query
 from etalage.session import fresh_dir, together
 
