@@ -120,3 +120,17 @@ def test_no_frequent_pair(spark):
     rows = spark.createDataFrame([(1, 1), (2, 2)], "o long, p long")
     assert baskets.frequent_pairs(rows, "o", F.col("p"), 1).count() == 0
     assert baskets.frequent_pairs(rows.where("false"), "o", F.col("p"), 1).count() == 0
+
+
+def test_a_basket_longer_than_a_span_and_one_kind_of_basket_over_and_over(spark):
+    """Pairs within and across spans; and baskets of 30 common items, which have a thousand million frequent sets but 435
+    pairs."""
+    draw = random.Random(8)
+    rows = [(b, draw.randrange(40)) for b in range(4) for _ in range(60)] + [(9, i) for i in range(7)]
+    df = spark.createDataFrame(rows, "o long, p long")
+    for span in (1, 3, 7):
+        found = baskets.frequent_pairs(df, "o", F.col("p"), 3, span=span)
+        assert sorted(tuple(r)[:5] for r in found.collect()) == [r[:5] for r in pairs_by_hand(rows, 3)]
+    same = spark.createDataFrame([(b, f"i{i:02}") for b in range(3) for i in range(30)], "o long, p string")
+    assert {(r.baskets, r.lift) for r in baskets.frequent_pairs(same, "o", F.col("p"), 3).collect()} == {(3, 1.0)}
+    assert baskets.frequent_pairs(same, "o", F.col("p"), 3).count() == 30 * 29 // 2
