@@ -239,7 +239,9 @@ def distinct_categories(shop):
     WHERE customer_id NOT IN (SELECT customer_id FROM s_customers)
     UNION ALL SELECT 'addresses_customers', count(*) FROM s_people
     WHERE customer_num NOT IN (SELECT customer_id FROM s_customers)
-    UNION ALL SELECT 'orders_address', count(*) FROM s_orders
+    UNION ALL SELECT 'orders_shipping_address', count(*) FROM s_orders
+    WHERE customer_id NOT IN (SELECT customer_num FROM s_people)
+    UNION ALL SELECT 'orders_billing_address', count(*) FROM s_orders
     WHERE customer_id NOT IN (SELECT customer_num FROM s_people)
     UNION ALL SELECT 'documents_customers', count(*) FROM s_people
     WHERE customer_num NOT IN (SELECT customer_id FROM s_customers)""",
@@ -247,22 +249,22 @@ def distinct_categories(shop):
 def orphan_counts(shop):
     """The customer's number stands for the number of their one address, which orders are sent and billed to;
     documents are named by it."""
-    together({"sessions": lambda: shop.sessions, "flagged": lambda: shop.flagged})
+    together({"sessions": lambda: shop.sessions, "alerts": lambda: shop.alerts})
     number = id_number("customer_id", "C")
     homes = curate.addresses(curate.customers(shop.raw("customers"))).select(
         number.alias("customer_id"), number.alias("address_id")
     )
-    sent = shop.orders.select(F.col("customer_id").alias("address_id"))
+    sent = shop.orders.select(F.col("customer_id").alias("shipping_address_id"), F.col("customer_id").alias("billing_address_id"))
     documents = shop.raw("identity_labels").select(
         F.regexp_extract("file", "([0-9]+)", 1).cast("bigint").alias("customer_id")
     )
     more = {
         "sessions_customers": (shop.sessions, shop.people, "customer_id"),
         "addresses_customers": (homes, shop.people, "customer_id"),
-        "orders_address": (sent, homes, "address_id"),
+        "orders_shipping_address": (sent, homes.withColumnRenamed("address_id", "shipping_address_id"), "shipping_address_id"),
+        "orders_billing_address": (sent, homes.withColumnRenamed("address_id", "billing_address_id"), "billing_address_id"),
         "documents_customers": (documents, shop.people, "customer_id"),
-        # An alert is a fired rule: the rules' flags say how many a payment has, without the alerts being built.
-        "alerts_payments": (shop.flagged.select("payment_id", F.explode(fraud.fired_rules())), shop.attempts, "payment_id"),
+        "alerts_payments": (shop.alerts, shop.attempts, "payment_id"),
     }
     return reports.orphan_counts(orphan_links(shop) | more)
 

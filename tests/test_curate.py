@@ -3,9 +3,10 @@ from pyspark.sql import functions as F
 
 from etalage.functions.columns import age_years, id_number, id_text, is_adult
 from etalage.operators import curate, reports
+from etalage.plans import catalog
 from etalage.sources import files
 from etalage.sources.load import full_load, register_views, validate
-from tests.conftest import at
+from tests.conftest import SF, at
 
 
 def test_ids(spark):
@@ -181,3 +182,15 @@ def test_bad_cells_and_broken_lines_are_counted_and_kept_apart(spark, tmp_path):
     assert sorted(r.product_id for r in spark.read.parquet(f"{out}/products").collect()) == ["P0001", "P0004"]
     assert [r.event_id for r in spark.read.parquet(f"{out}/events").collect()] == ["a"]
     assert spark.read.parquet(f"{out}/events_rejects").first()[files.CORRUPT].startswith('{"event_id"')
+
+
+def test_orphans_of_both_address_links(spark, tmp_path):
+    """An order of nobody has neither an address it is sent to nor one it is billed to."""
+    for table in ("nation", "customer", "part", "lineitem", "events"):
+        spark.read.parquet(f"{SF}/{table}.parquet").write.parquet(str(tmp_path / f"{table}.parquet"))
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    stray = orders.limit(1).withColumns({"o_custkey": F.lit(10**9), "o_orderkey": F.lit(10**9)}).select(orders.columns)
+    orders.unionByName(stray).write.parquet(str(tmp_path / "orders.parquet"))
+    got = {r.link: r.orphans for r in catalog.run("orphan_counts", spark, str(tmp_path)).collect()}
+    assert len(got) == 11
+    assert got["orders_customers"] == got["orders_shipping_address"] == got["orders_billing_address"] == 1
