@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import json
+import sys
 
-import numpy as np
-import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessorHandle
@@ -13,6 +13,9 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessorHandle
 from etalage.operators.patterns import Pattern
 from etalage.streaming.in_order import SECOND, InTimeOrder
 
+# The pattern goes to the Python workers with the state, and these need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[Pattern.__module__])
+
 Run = tuple[int, int] | None
 
 
@@ -41,6 +44,7 @@ class PatternState(InTimeOrder):
     """
 
     FIELDS = {"at": "long", "number": "long", "done": "long", "ends": "boolean", "compared": "string"}
+    RESULT = {"key": "long", "number": "long", "started": "long", "ended": "long"}
 
     def __init__(self, pattern: Pattern):
         self.pattern = pattern
@@ -49,29 +53,22 @@ class PatternState(InTimeOrder):
         super().init(handle)
         self.runs = handle.getValueState("runs", "at array<long>, number array<long>")
         self.before = handle.getValueState("before", "compared array<string>")
-        self.open = handle.getListState("open", "at long, number long")
+        self.open = handle.getValueState("open", "at array<long>, number array<long>")
 
-    def judge_due(self, key, due: list[tuple], passed: int) -> tuple[pd.DataFrame | None, int | None]:
-        pattern, within = self.pattern, self.pattern.within * SECOND
+    def judge_due(self, key, due: list[tuple], upto: int) -> tuple[list[tuple], int | None]:
+        within = self.pattern.within * SECOND
         found: list[tuple[int, int, int]] = []
-        if pattern.absent:
-            again = self._absent(due, passed, within, found)
-        else:
-            again = self._present(due, passed, within, found)
-        if not found:
-            return None, again
-        number, started, ended = (np.array(c, np.int64) for c in zip(*found, strict=True))
-        out = {"key": np.full(len(found), int(key[0]), np.int64), "number": number}
-        out |= {"started": pd.to_datetime(started, unit="us"), "ended": pd.to_datetime(ended, unit="us")}
-        return pd.DataFrame(out), again
-
-    def _present(self, due: list[tuple], passed: int, within: int, found: list) -> int | None:
+        again = (self._absent if self.pattern.absent else self._present)(due, upto, within, found)
+        return [(int(key[0]), *r) for r in found], again
+
+    def _present(self, due: list[tuple], upto: int, within: int, found: list) -> int | None:
         steps, compared = self.pattern.steps, self.pattern.compared
-        held = self.runs.get() if self.runs.exists() else None
+        held = self.runs.get()
         state: list[Run] = [None] * (len(steps) - 1)
         if held:
             state = [None if a is None else (int(a), int(b)) for a, b in zip(*held, strict=True)]
-        before = list(self.before.get()[0]) if compared and self.before.exists() else None
+        kept = self.before.get() if compared and due else None
+        before = list(kept[0]) if kept else None
         for at, number, done, ends, values in due:
             values = json.loads(values)
             moved = {c: before is not None and a is not None and b is not None and a != b for c, a, b in zip(compared, before or values, values, strict=True)}
@@ -82,18 +79,20 @@ class PatternState(InTimeOrder):
             before = values
         if due and compared:
             self.before.update((before,))
-        state = [r if r is not None and r[0] + within >= passed else None for r in state]
+        state = [r if r is not None and r[0] + within >= upto else None for r in state]
         if any(state):
             self.runs.update(([r and r[0] for r in state], [r and r[1] for r in state]))
             return max(r[0] for r in state if r) + within
-        self.runs.clear()
+        if held:
+            self.runs.clear()
         return None
 
-    def _absent(self, due: list[tuple], passed: int, within: int, found: list) -> int | None:
-        waits = [tuple(r) for r in self.open.get()] if self.open.exists() else []
+    def _absent(self, due: list[tuple], upto: int, within: int, found: list) -> int | None:
+        held = self.open.get()
+        waits = list(zip(*held, strict=True)) if held else []
 
-        def run_out(upto: int) -> None:
-            late = [r for r in waits if r[0] + within < upto]
+        def run_out(before: int) -> None:
+            late = [r for r in waits if r[0] + within < before]
             found.extend((r[1], r[0], r[0] + within) for r in late)
             del waits[: len(late)]
 
@@ -103,11 +102,12 @@ class PatternState(InTimeOrder):
                 waits.clear()
             if done & 1:
                 waits.append((int(at), int(number)))
-        run_out(passed + 1)
+        run_out(upto + 1)
         if waits:
-            self.open.put(waits)
+            self.open.update(tuple(list(c) for c in zip(*waits, strict=True)))
             return waits[0][0] + within
-        self.open.clear()
+        if held:
+            self.open.clear()
         return None
 
 
@@ -131,10 +131,12 @@ def live_matches(events: DataFrame, key: str, ts: str, order: str, pattern: Patt
     # on its column is not pushed below it.
     if not pattern.strict and not pattern.compared:
         rows = rows.where((F.col("done") > 0) | F.col("ends") | F.col("_ts").isNull())
-    found = rows.groupBy("_key").transformWithStateInPandas(
+    found = rows.groupBy("_key").transformWithState(
         statefulProcessor=PatternState(pattern),
-        outputStructType="key long, number long, started timestamp, ended timestamp",
+        outputStructType=PatternState.result_schema(),
         outputMode="Append",
         timeMode="EventTime",
     )
-    return found.select(F.col("key").alias(key), F.col("number").alias(order), "started", "ended")
+    return found.select(
+        F.col("key").alias(key), F.col("number").alias(order), F.timestamp_micros("started").alias("started"), F.timestamp_micros("ended").alias("ended")
+    )

@@ -2,24 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessorHandle
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from etalage.functions.columns import micros
 from etalage.streaming.in_order import SECOND, InTimeOrder
 
-ALERTS = StructType(
-    [
-        StructField("payment_id", LongType()),
-        StructField("customer_id", LongType()),
-        StructField("ts", TimestampType()),
-        StructField("rule", StringType()),
-    ]
-)
+#: An alert, its time in microseconds.
+ALERT = {"payment_id": "long", "customer_id": "long", "at": "long", "rule": "string"}
 #: What is kept of an attempt until it is judged, and of the last ones as context.
 ATTEMPT = {
     "at": "long",
@@ -91,46 +85,43 @@ class AttemptRules(InTimeOrder):
     """The rules over the attempts of one customer. State besides what waits: the first success (for good) and the few
     last attempts (for a day after the last). What a table of the past knows comes in once, as initial state."""
 
-    FIELDS = ATTEMPT
+    FIELDS, RESULT = ATTEMPT, ALERT
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
         self.first = handle.getValueState("first", "at long, payment_id long")
-        self.last = handle.getListState("last", ", ".join(f"{n} {t}" for n, t in ATTEMPT.items()))
+        self.last = handle.getValueState("last", ", ".join(f"{n} array<{t}>" for n, t in ATTEMPT.items()))
 
-    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        row = initialState.iloc[0]
-        if not pd.isna(row["first_at"]):
-            self.first.update((int(row["first_at"]), int(row["first_id"])))
-        last = [tuple(r[n] for n in ATTEMPT) for r in (x.asDict() if hasattr(x, "asDict") else x for x in row["last"])]
+    def handleInitialState(self, key, initialState: Row, timerValues) -> Iterator[Row]:
+        if initialState["first_at"] is not None:
+            self.first.update((initialState["first_at"], initialState["first_id"]))
+        last = [tuple(r[n] for n in ATTEMPT) for r in initialState["last"]]
         if last:
-            self.last.put(last)
+            self._put_last(last)
             self.wake(max(r[0] for r in last) + DAY * SECOND)
+        return iter([])
+
+    def _put_last(self, rows: list[tuple]) -> None:
+        self.last.update(tuple(list(c) for c in zip(*rows, strict=True)))
 
-    def judge_due(self, key, due: list[tuple], passed: int) -> tuple[pd.DataFrame | None, int | None]:
-        before = [tuple(r) for r in self.last.get()] if self.last.exists() else []
-        out = None
+    def judge_due(self, key, due: list[tuple], upto: int) -> tuple[list[tuple], int | None]:
+        held = self.last.get()
+        before = list(zip(*held, strict=True)) if held else []
+        out: list[tuple] = []
         if due:
-            had_success = self.first.exists()
+            had_success = self.first.get() is not None
             found = judge([*before, *due], len(before), had_success)
             good = next((r for r in due if r[3] == "success"), None)
             if not had_success and good:
                 self.first.update((good[0], good[1]))
+            out = [(due[i][1], key[0], due[i][0], rule) for rule, hit in found.items() for i in np.flatnonzero(hit).tolist()]
             before = context_of([*before, *due])
-            self.last.put(before)
-            hits = [(rule, i) for rule, hit in found.items() for i in np.flatnonzero(hit).tolist()]
-            if hits:
-                out = pd.DataFrame(
-                    {
-                        "payment_id": np.array([due[i][1] for _, i in hits], np.int64),
-                        "customer_id": np.full(len(hits), int(key[0]), np.int64),
-                        "ts": pd.to_datetime(np.array([due[i][0] for _, i in hits], np.int64), unit="us"),
-                        "rule": pd.Series([rule for rule, _ in hits], dtype=object),
-                    }
-                )
-        if before and before[-1][0] + DAY * SECOND < passed:
-            self.last.clear()
-            before = []
+        if before and before[-1][0] + DAY * SECOND < upto:
+            if held:
+                self.last.clear()
+            return out, None
+        if due:
+            self._put_last(before)
         return out, before[-1][0] + DAY * SECOND if before else None
 
 
@@ -161,10 +152,11 @@ def attempt_alerts(payments: DataFrame, delay: str = "10 minutes", past: DataFra
     """
     timed = payments.withColumn("ts", F.col("ts").cast("timestamp")).where("ts is not null and customer_id is not null")
     rows = timed.withWatermark("ts", delay).withColumns({"at": F.unix_micros("ts"), "amount": F.col("amount").cast("double")})
-    return rows.select("customer_id", "ts", *ATTEMPT).groupBy("customer_id").transformWithStateInPandas(
+    found = rows.select("customer_id", "ts", *ATTEMPT).groupBy("customer_id").transformWithState(
         statefulProcessor=AttemptRules(),
-        outputStructType=ALERTS,
+        outputStructType=AttemptRules.result_schema(),
         outputMode="Append",
         timeMode="EventTime",
         initialState=past.groupBy("customer_id") if past is not None else None,
     )
+    return found.select("payment_id", "customer_id", F.timestamp_micros("at").alias("ts"), "rule")
