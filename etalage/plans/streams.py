@@ -6,8 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from etalage.functions import values as v
+from etalage.functions.columns import micros
 from etalage.plans.registry import query
-from etalage.session import fresh_dir, settings, write_through
+from etalage.session import fresh_dir, settings, together, write_through
 from etalage.sources import streams
 from etalage.streaming import jobs, stateful
 
@@ -239,7 +240,7 @@ _LIVE = f"""
         WHERE result = 'success' AND r1 = 'failed' AND r2 = 'failed' AND r3 = 'failed'
           AND attempt_ts - first_failure <= INTERVAL 24 HOUR)
     WHERE ts <= {_JUDGED}"""
-#: The table of the past ends here, and the stream begins.
+#: The attempts before this day come to a first run of the job, the others to one that goes on from a table of its past.
 _SEEDED_UPTO = "2024-01-10"
 
 
@@ -247,18 +248,27 @@ def _live_attempts(shop, attempts):
     return shop.with_countries(attempts).withColumnRenamed("attempt_ts", "ts")
 
 
-@query(
-    "stream_rules_stateful",
-    "payment_id:l customer_id:l ts:t rule:s",
-    f"SELECT * FROM ({_LIVE}) WHERE ts >= TIMESTAMP '{_SEEDED_UPTO}'",
-)
+@query("stream_rules_stateful", "payment_id:l customer_id:l ts:t rule:s", _LIVE)
 def stream_rules_stateful(shop):
-    """State seeded by the attempts before a day; then two arrivals cut inside a day, the rows of the first waiting
-    for those of the second."""
-    past, *arrivals = _split(_live_attempts(shop, shop.attempts), _SEEDED_UPTO, "2024-01-15 12:00:00")
-    seed = write_through(stateful.past_of(past), "past")
+    """The whole log by two runs of the job, each from a state of its own. The first begins with nothing and takes the
+    attempts before a day. The second is seeded by the attempts that the first has judged, and takes all others: two
+    arrivals cut inside a day, the rows of the first waiting for those of the second."""
+    attempts = _live_attempts(shop, shop.attempts).where("ts is not null and customer_id is not null")
+    past, _ = _split(attempts, _SEEDED_UPTO)
+    # The watermark at the end of the first run, in whole milliseconds.
+    latest = shop.attempts.where(F.col("attempt_ts") < F.lit(_SEEDED_UPTO).cast("timestamp_ntz")).where("customer_id is not null")
+    reached = latest.agg((F.floor(F.max(micros("attempt_ts")) / 1000) - 600_000).alias("ms")).first().ms
+    judged = F.lit(False) if reached is None else micros("ts") <= F.lit(reached * 1000)
+    arrivals = _split(attempts.where(~judged), "2024-01-15 12:00:00")
     with state_settings(shop, spark__sql__streaming__stateStore__providerClass=ROCKSDB):
-        return streams.replay(shop.spark, arrivals, lambda s: stateful.attempt_alerts(s, past=seed), "alerts")[0]
+        seed = write_through(stateful.past_of(attempts.where(judged)), "past")
+        runs = together(
+            {
+                "past": lambda: streams.replay(shop.spark, [past], stateful.attempt_alerts, "past-alerts")[0],
+                "live": lambda: streams.replay(shop.spark, arrivals, lambda s: stateful.attempt_alerts(s, past=seed), "alerts")[0],
+            }
+        )
+    return runs["past"].unionByName(runs["live"])
 
 
 @query(
