@@ -1,5 +1,6 @@
 import random
 
+from pyspark.ml.recommendation import ALS
 from pyspark.sql import functions as F
 
 from etalage.domain import Shop
@@ -69,6 +70,32 @@ def test_recommendations_follow_the_taste_of_alike_customers(spark):
     assert all(sorted(r.rank for r in best if r.customer_id == c) == [1, 2, 3] for c in range(60))
 
 
+def test_recommendations_by_the_model_s_own_scores(spark):
+    """All candidates listed and scored by the model give the same; a customer who has bought all leaders gets nothing."""
+    draw = random.Random(3)
+    bought = [(c, p, float(draw.randrange(1, 4))) for c in range(30) for p in draw.sample(range(24), 6)] + [(99, p, 9.0) for p in range(24)]
+    ratings = spark.createDataFrame(bought, "customer_id int, product_id int, times float").persist()
+    kind = {p: "abc"[p % 3] if p else None for p in range(24)}
+    products = spark.createDataFrame(list(kind.items()), "product_id long, category string")
+    als = ALS(userCol="customer_id", itemCol="product_id", ratingCol="times", implicitPrefs=True, rank=4, maxIter=2, seed=1)
+    model = als.fit(ratings)
+    sold, own = {}, {}
+    for c, p, times in bought:
+        sold[p] = sold.get(p, 0) + times
+        own.setdefault(c, set()).add(p)
+    leaders = {k: sorted((p for p in kind if kind[p] == k), key=lambda p: (-sold[p], p))[:5] for k in "abc"}
+    pairs = [(c, p) for c, mine in own.items() for k in {kind[p] for p in mine if kind[p]} for p in leaders[k] if p not in mine]
+    scores = {(r.customer_id, r.product_id): r.prediction for r in model.transform(spark.createDataFrame(pairs, "customer_id int, product_id int")).collect()}
+    want = set()
+    for c in own:
+        mine = sorted((-scores[c, p], p) for x, p in pairs if x == c)
+        want |= {(c, rank, p, -down) for rank, (down, p) in enumerate(mine[:3], 1)}
+    got = ml.best_new(model, ratings, products, 3, 5)
+    assert {tuple(r) for r in got.collect()} == want and 99 not in {c for c, *_ in want}
+    # Ratings by product and by customer, products, factors: no candidate is joined with what is bought.
+    assert "LeftAnti" not in got._jdf.queryExecution().toString()
+
+
 def test_other_formats_are_read_and_written(spark, tmp_path):
     """Formats that need no jar stand for those that do."""
     df = spark.createDataFrame([(1, "a"), (2, None)], "id long, name string")
