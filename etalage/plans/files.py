@@ -14,7 +14,7 @@ from etalage.operators.privacy import row_checksum
 from etalage.plans.registry import query
 from etalage.plans.reports import suspects
 from etalage.schemas import FILES
-from etalage.session import fresh_dir
+from etalage.session import fresh_dir, together
 from etalage.sources import files, gold
 from etalage.sources.load import full_load
 
@@ -23,8 +23,7 @@ _TABLES = ["customers", "products", "orders", "order_items", "payments"]
 
 def _inputs(shop, names) -> str:
     folder = fresh_dir(shop.spark, "inputs")
-    for name in names:
-        files.write_input(shop.raw(name), folder, name)
+    together({name: lambda name=name: files.write_input(shop.raw(name), folder, name) for name in names})
     return folder
 
 

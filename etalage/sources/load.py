@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from etalage.operators import curate, quality, reports
 from etalage.operators.ordered import global_row_number
+from etalage.session import together, write_through
 from etalage.sources.files import good_rows, is_good, read_checked, refresh
 
 
@@ -17,29 +18,31 @@ def full_load(spark: SparkSession, folder: str, out: str) -> tuple[dict[str, Dat
     unreadable, or were left out because what they refer to is not there.
     """
     done: dict[str, DataFrame] = {}
-    counts = []
+    tallies = {}
 
-    def store(name: str, df: DataFrame, checked: DataFrame | None = None) -> DataFrame:
-        done[name] = refresh(df, out, name)
-        if checked is not None:
+    def load(name: str, build) -> DataFrame:
+        # Each file is parsed once, whatever looks at its rows: the builds, some more than once, and the counts.
+        checked = write_through(read_checked(spark, folder, name), f"checked-{name}")
+        done[name] = refresh(build(good_rows(checked)), out, name)
+
+        def tally() -> tuple:
             row = checked.agg(F.count("*").alias("read"), F.count_if(~is_good()).alias("unreadable")).first()
             accepted = done[name].count()
-            counts.append((name, row["read"], accepted, row["unreadable"], row["read"] - row["unreadable"] - accepted))
-        return done[name]
+            return name, row["read"], accepted, row["unreadable"], row["read"] - row["unreadable"] - accepted
 
-    def load(name: str, build) -> DataFrame:
-        checked = read_checked(spark, folder, name)
-        return store(name, build(good_rows(checked)), checked)
+        tallies[name] = tally
+        return done[name]
 
     customers = load("customers", curate.customers)
     products = load("products", curate.products)
     load("sessions", lambda rows: curate.sessions(rows, customers))
     numbered = global_row_number(curate.addresses(customers), [F.col("customer_id")], "address_id")
-    addresses = store("addresses", numbered)
+    addresses = done["addresses"] = refresh(numbered, out, "addresses")
     orders = load("orders", lambda rows: curate.orders(rows, customers, curate.latest_address(addresses)))
     load("order_items", lambda rows: curate.order_items(rows, orders, products))
     payments = load("payments", lambda rows: curate.payments(rows, orders))
     load("fraud_alerts", lambda rows: curate.alerts(rows, payments))
+    counts = list(together(tallies).values())
     return done, spark.createDataFrame(counts, "table_name string, read long, accepted long, unreadable long, unlinked long")
 
 
