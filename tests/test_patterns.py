@@ -1,4 +1,7 @@
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -140,3 +143,26 @@ def test_absent_steps_are_told_up_to_the_watermark(spark):
     upto = df.agg((F.max(micros("ts")) - 600_000_000).alias("m")).first().m
     assert told(matches(df, "who", "ts", "number", pattern, F.lit(upto))) == [(1, 1, 0.0)]
     assert told(matches(df, "who", "ts", "number", pattern)) == [(1, 1, 0.0), (1, 4, 20_000.0)]
+
+
+def test_workers_need_not_have_the_package(tmp_path):
+    """From another folder, with the package on the driver's path only: the pattern travels whole."""
+    root = str(Path(__file__).resolve().parents[1])
+    job = f"""
+import sys
+sys.path.append({root!r})
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2")
+         .config("spark.sql.streaming.stateStore.providerClass", "{ROCKSDB}").getOrCreate())
+from datetime import datetime
+from etalage.operators.patterns import Pattern, Step
+from etalage.session import prepare
+from etalage.sources import streams
+from etalage.streaming.patterns import live_matches
+rows = [(1, 1, datetime(2024, 1, 1, 10), "a"), (2, 1, datetime(2024, 1, 1, 10, 5), "b"), (3, 2, datetime(2024, 1, 2), "a")]
+df = prepare(spark).createDataFrame(rows, "number long, who long, ts timestamp_ntz, kind string")
+pattern = Pattern("pair", (Step("kind = 'a'"), Step("kind = 'b'")), 900)
+print("FOUND", streams.replay(spark, [df], lambda s: live_matches(s, "who", "ts", "number", pattern), "t")[0].count())
+"""
+    said = subprocess.run([sys.executable, "-c", job], cwd=tmp_path, capture_output=True, text=True, timeout=150)
+    assert "FOUND 1" in said.stdout, said.stderr[-2000:]
